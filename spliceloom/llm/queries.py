@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, line_spread, simhash, suffix_match
+from . import bpe, langid, line_spread, ogg, simhash, suffix_match, token_count, toxicity
 from .common import crc_mod, table
 
 
+def op2_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ogg.media(table(spark, sf_dir, "documents"))
+
+
 def op3_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines counted and removed in each document, and the digest of the text that stays (null: empty)."""
     found = line_spread.spread(table(spark, sf_dir, "documents"))
@@ -18,6 +22,10 @@ def op3_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("__lines").alias("n_lines"), F.col("__removed").alias("n_removed"), digest.alias("text_sha256"))
 
 
+def op5_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.counts(table(spark, sf_dir, "documents"))
+
+
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learns from the rows whose crc32(doc_id) mod 3 is not 1 and predicts every row."""
     docs = table(spark, sf_dir, "documents")
@@ -26,6 +34,14 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "n_letters")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from labels of rows whose crc32(doc_id) mod 3 is not 1 and scores every row."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), learn=crc_mod("doc_id", 3) != 1)
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "score", "predicted", "n_fired")
+
+
 def op8_suffix_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_match.digest(suffix_match.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
@@ -40,8 +56,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_ogg": op2_ogg,
     "op3_line_spread": op3_line_spread,
+    "op5_token_count": op5_token_count,
     "op6_langid": op6_langid,
+    "op7_toxicity": op7_toxicity,
     "op8_suffix_match": op8_suffix_match,
     "op9_simhash": op9_simhash,
     "op10_bpe": op10_bpe,
