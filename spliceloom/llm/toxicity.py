@@ -34,6 +34,8 @@ MAX_VOTERS = 1_000
 #: Bytes of the word beginnings that may vote.
 STEMS = (4, 5, 6)
 THRESHOLD = 0.7
+#: Most that the silence of all voters counts for, as a log-ratio.
+MOST_SILENT = 3.0
 #: Log-ratio of a voter's rates on toxic and clean text from which it counts as strong.
 STRONG = 4.5
 LEXICON = ("bastard", "clown", "creep", "crap", "disgusting", "dumb", "filth", "fool", "freak", "garbage", "hate", "idiot", "imbecile", "jerk", "loser", "maggot", "moron", "pathetic", "pig", "scum", "shut", "stupid", "trash", "vermin", "worthless")
@@ -141,9 +143,9 @@ def label_model(row: np.ndarray, voter: np.ndarray, n: int, j: int, toxic: np.nd
         hit = (q @ toxic + 1) / (pos + 2)  # how often the given label is right, by class
         miss = ((1 - q) @ toxic + 0.1) / (neg + 1)
         z = np.log(pos / neg) + np.bincount(row, weights=(discount * np.log(on_bad / on_good))[voter], minlength=n)
-        # a single silent voter abstains; all of them silent is a vote of its own
+        # a silent voter beside others that fire abstains; all of them silent is evidence, of bounded weight
         silent = np.bincount(row, minlength=n) == 0
-        z += np.where(silent, np.log((q[silent].sum() + 0.1) / (pos + 1)) - np.log(((1 - q[silent]).sum() + 0.1) / (neg + 1)), 0)
+        z += np.where(silent, max(-MOST_SILENT, (discount * np.log((1 - on_bad) / (1 - on_good))).sum()), 0)
         z += np.where(toxic > 0, np.log(hit / miss), np.log((1 - hit) / (1 - miss)))
         new = np.clip(1 / (1 + np.exp(-np.clip(z, -30, 30))), 1e-4, 1 - 1e-4)
         if np.abs(new - q).max() < 1e-4:
