@@ -34,7 +34,7 @@ MAX_VOTERS = 1_000
 #: Bytes of the word beginnings that may vote.
 STEMS = (4, 5, 6)
 THRESHOLD = 0.7
-#: Most that the silence of all voters counts for, as a log-ratio.
+#: Most that the silence of a row's other voters counts for, as a log-ratio.
 MOST_SILENT = 3.0
 #: Log-ratio of a voter's rates on toxic and clean text from which it counts as strong.
 STRONG = 4.5
@@ -135,6 +135,7 @@ def label_model(row: np.ndarray, voter: np.ndarray, n: int, j: int, toxic: np.nd
     """
     q = np.clip(toxic.astype(float), 0.05, 0.95)
     discount = np.ones(j)
+    prior = np.log((toxic.sum() + 0.5) / (n - toxic.sum() + 0.5))  # the class balance is the given labels'
     for _ in range(rounds):
         pos, neg = q.sum(), n - q.sum()
         on_bad = (np.bincount(voter, weights=q[row], minlength=j) + 0.1) / (pos + 1)
@@ -142,10 +143,10 @@ def label_model(row: np.ndarray, voter: np.ndarray, n: int, j: int, toxic: np.nd
         discount = 1 / (1 + _correlation(row, voter, q, j, on_bad, pos))
         hit = (q @ toxic + 1) / (pos + 2)  # how often the given label is right, by class
         miss = ((1 - q) @ toxic + 0.1) / (neg + 1)
-        z = np.log(pos / neg) + np.bincount(row, weights=(discount * np.log(on_bad / on_good))[voter], minlength=n)
-        # a silent voter beside others that fire abstains; all of them silent is evidence, of bounded weight
-        silent = np.bincount(row, minlength=n) == 0
-        z += np.where(silent, max(-MOST_SILENT, (discount * np.log((1 - on_bad) / (1 - on_good))).sum()), 0)
+        z = prior + np.bincount(row, weights=(discount * np.log(on_bad / on_good))[voter], minlength=n)
+        # silent voters are evidence too, but many of them abstain by design: together they count for little
+        quiet = discount * np.log((1 - on_bad) / (1 - on_good))
+        z += np.maximum(-MOST_SILENT, quiet.sum() - np.bincount(row, weights=quiet[voter], minlength=n))
         z += np.where(toxic > 0, np.log(hit / miss), np.log((1 - hit) / (1 - miss)))
         new = np.clip(1 / (1 + np.exp(-np.clip(z, -30, 30))), 1e-4, 1 - 1e-4)
         if np.abs(new - q).max() < 1e-4:

@@ -36,7 +36,7 @@ def test_label_model_finds_good_and_bad_voters():
 
 
 def test_edge_cases(spark, make_docs):
-    texts = [None, "", "you stupid worthless idiot", "a fine day", (None, "fine"), (2, "fine"), "word " * 50_000 + "moron scum trash"]
+    texts = [None, "", "you stupid worthless idiot", "a fine day", (None, "fine"), (2, "you stupid worthless idiot"), "word " * 50_000 + "moron scum trash"]
     docs = make_docs(texts, extra=True)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     some = spark.createDataFrame([(2, 1, 1), (3, 1, 0), (3, 1, None), (99, 0, 1), (None, 1, 1), (2, 1, 0)], none.schema)
