@@ -7,10 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, line_spread, ogg, simhash, suffix_match, token_count, toxicity
+from . import bpe, langid, line_spread, ogg, ppm, simhash, suffix_match, token_count, toxicity
 from .common import crc_mod, table
 
 
+def op1_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from the rows whose crc32(doc_id) mod 7 is not 2 and scores every row."""
+    docs = table(spark, sf_dir, "documents")
+    found = ppm.score(docs, crc_mod("doc_id", 7) != 2)
+    return found.select("doc_id", (crc_mod("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte")
+
+
 def op2_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ogg.media(table(spark, sf_dir, "documents"))
 
@@ -56,6 +63,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ppm": op1_ppm,
     "op2_ogg": op2_ogg,
     "op3_line_spread": op3_line_spread,
     "op5_token_count": op5_token_count,
