@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, line_spread, ogg, ppm, simhash, suffix_match, token_count, toxicity
+from . import bpe, langid, line_spread, ogg, ppm, secrets, simhash, suffix_match, token_count, toxicity
 from .common import crc_mod, table
 
 
@@ -29,6 +29,11 @@ def op3_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("__lines").alias("n_lines"), F.col("__removed").alias("n_removed"), digest.alias("text_sha256"))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.scan(docs, secrets.fit(docs))
+
+
 def op5_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.counts(table(spark, sf_dir, "documents"))
 
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ppm": op1_ppm,
     "op2_ogg": op2_ogg,
     "op3_line_spread": op3_line_spread,
+    "op4_secrets": op4_secrets,
     "op5_token_count": op5_token_count,
     "op6_langid": op6_langid,
     "op7_toxicity": op7_toxicity,
