@@ -38,7 +38,9 @@ ORDER = 5
 #: Bytes that UTF-8 never has: before a text's begin, and its end.
 BEFORE, END = 0xFE, 0xFF
 SYMBOLS = 256
-PIECE_BYTES = 6 << 20
+PIECE_BYTES = 16 << 20
+#: Bytes of a piece whose grams are held at once.
+STEP_BYTES = 2 << 20
 MOST_SHARDS = 1024
 GRAMS, WORDS = 0, 1
 
@@ -56,7 +58,7 @@ def grams(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     for j in range(1, ORDER + 1):
         key <<= 8
         key |= buf[j : n + j]
-    return key[buf[ORDER:] != BEFORE], np.repeat(np.arange(len(lens)), lens + 1)
+    return key[buf[ORDER:] != BEFORE], np.repeat(np.arange(len(lens), dtype=np.int32), lens + 1)
 
 
 _SPACE = np.zeros(256, bool)
@@ -74,19 +76,20 @@ def words(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _squeeze(x: np.ndarray) -> bytes:
-    """Sorted or small integers, or doubles, as compressed bytes: differences of integers, bytes of like weight together."""
-    if x.dtype.kind == "i":
+    """Numbers as compressed bytes, bytes of like weight together; sorted keys as their differences."""
+    if x.dtype == np.int64:
         x = np.diff(x, prepend=0)
     plain = np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
     return len(x).to_bytes(8, "little") + pa.compress(plain, codec="zstd", asbytes=True)
 
 
 def _expand(data: bytes, kind) -> np.ndarray:
+    """The inverse: ``kind`` is int64 for sorted keys, else a width that is kept as it is."""
     n = int.from_bytes(data[:8], "little")
     width = np.dtype(kind).itemsize
     plain = np.frombuffer(pa.decompress(data[8:], decompressed_size=n * width, codec="zstd", asbytes=True), np.uint8)
     x = np.ascontiguousarray(plain.reshape(width, n).T).reshape(-1).view(kind)
-    return np.cumsum(x) if np.dtype(kind).kind == "i" else x
+    return np.cumsum(x) if kind == np.int64 else x
 
 
 def _pack(docs: DataFrame, learn: Column, key: str, text: str, limit: int) -> DataFrame:
@@ -108,18 +111,53 @@ def _unpack(data: bytes) -> pa.RecordBatch:
     return pa.ipc.open_stream(data).read_next_batch()
 
 
-def _counted(key: np.ndarray, row: np.ndarray, learn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _steps(raw: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about STEP_BYTES; one row at least."""
+    a, n = 0, len(off) - 1
+    while a < n:
+        b = max(a + 1, int(np.searchsorted(off, off[a] + STEP_BYTES, side="right")) - 1)
+        yield a, b
+        a = b
+
+
+def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and the sums of their counts."""
+    k, c = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(k)
+    k = k[order]
+    at = np.flatnonzero(np.append(True, k[1:] != k[:-1])) if len(k) else np.zeros(0, np.int64)
+    return k[at], np.add.reduceat(c[order], at) if len(k) else c
+
+
+def _counted(split, raw: np.ndarray, off: np.ndarray, learn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct keys of all rows, sorted, and their counts in the rows to learn from."""
-    own, n = np.unique(key[learn[row]], return_counts=True)
-    rest = np.unique(key[~learn[row]])
-    every = np.union1d(own, rest)
-    count = np.zeros(len(every), np.int64)
-    count[np.searchsorted(every, own)] = n
-    return every, count
+    keys, counts = [], []
+    for a, b in _steps(raw, off):
+        key, row = split(raw[off[a] : off[b]], off[a : b + 1] - off[a])
+        use = learn[a:b][row]
+        own, n = np.unique(key[use], return_counts=True)
+        rest = np.unique(key[~use])
+        keys += [own, rest]
+        counts += [n, np.zeros(len(rest), np.int64)]
+        if len(keys) >= 8:
+            k, c = _added(keys, counts)
+            keys, counts = [k], [c]
+    return _added(keys, counts)
 
 
 def _shard_of(key: np.ndarray, kind: int, shards: int) -> np.ndarray:
-    return (mixed(key.view(np.uint64)) % np.uint64(shards)).astype(np.int64) * 2 + kind
+    """Even shards for grams (by their first three bytes, so that a shard's keys lie close together), odd ones for words."""
+    if kind == GRAMS:
+        return (mixed((key >> 24).view(np.uint64)) % np.uint64(shards)).astype(np.int64) * 2
+    return ((key.view(np.uint64) >> np.uint64(40)) * np.uint64(shards) >> np.uint64(24)).astype(np.int64) * 2 + 1
+
+
+def _split(key: np.ndarray, kind: int, shards: int) -> list[tuple[int, np.ndarray]]:
+    """(shard, places of its keys in ``key``), by shard."""
+    shard = _shard_of(key, kind, shards)
+    order = np.argsort(shard, kind="stable")
+    at = np.flatnonzero(np.diff(shard[order], prepend=-1))
+    return [(int(shard[order[a]]), order[a:b]) for a, b in zip(at, np.append(at[1:], len(key)))]
 
 
 def _requests(packed: DataFrame, shards: int) -> DataFrame:
@@ -132,37 +170,34 @@ def _requests(packed: DataFrame, shards: int) -> DataFrame:
                 learn = np.array(rows.column(2).to_pylist(), bool)
                 raw, off = utf8(rows.column(1))
                 for kind, split in ((GRAMS, grams), (WORDS, words)):
-                    key, n = _counted(*split(raw, off), learn)
-                    shard = _shard_of(key, kind, shards)
-                    order = np.argsort(shard, kind="stable")
-                    at = np.flatnonzero(np.diff(shard[order], prepend=-1))
-                    to = np.append(at[1:], len(key))
-                    mine = [order[a:b] for a, b in zip(at, to)]
-                    yield pa.RecordBatch.from_arrays([pa.array(shard[order][at].astype(np.int32)), pa.array(np.full(len(at), piece)), pa.array([_squeeze(key[i]) for i in mine], pa.binary()), pa.array([_squeeze(n[i]) for i in mine], pa.binary())], names=["shard", "piece", "keys", "counts"])
+                    key, n = _counted(split, raw, off, learn)
+                    parts = _split(key, kind, shards)
+                    yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in parts], pa.int32()), pa.array([piece] * len(parts), pa.int64()), pa.array([_squeeze(key[i]) for _, i in parts], pa.binary()), pa.array([_squeeze(n[i].astype(np.int32)) for _, i in parts], pa.binary())], names=["shard", "piece", "keys", "counts"])
 
     return cut(packed.mapInArrow(run, "shard int, piece bigint, keys binary, counts binary"))
 
 
 def _merged(requests: DataFrame) -> DataFrame:
-    """(shard, key, n): every distinct key with its training count; a task holds one shard's distinct keys."""
+    """Every distinct key with its training count; a task holds one shard's distinct keys.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, keys, counts, held = None, [], [], 0
+    Grams come one a row (shard, key, n); words as blocks (shard, keys, counts) with
+    the block's training tokens n and distinct training words v.
+    """
 
-        def add_up() -> None:
-            nonlocal keys, counts, held
-            own, at = np.unique(np.concatenate(keys), return_inverse=True)
-            total = np.zeros(len(own), np.int64)
-            np.add.at(total, at, np.concatenate(counts))
-            keys, counts, held = [own], [total], len(own)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, keys, counts, held, base = None, [], [], 0, 0
+        names = ["shard", "key", "n", "v", "keys", "counts"]
 
         def out() -> Iterator[pa.RecordBatch]:
-            add_up()
-            for i in range(0, held, 50_000):
-                k = keys[0][i : i + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), now, np.int32)), pa.array(k), pa.array(counts[0][i : i + 50_000])], names=["shard", "key", "n"])
+            k, c = _added(keys, counts)
+            for i in range(0, len(k), 50_000):
+                x, y = k[i : i + 50_000], c[i : i + 50_000]
+                if now % 2 == GRAMS:
+                    none = pa.nulls(len(x), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), now, np.int32)), pa.array(x), pa.array(y), pa.nulls(len(x), pa.int64()), none, none], names=names)
+                else:
+                    yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.nulls(1, pa.int64()), pa.array([int(y.sum())], pa.int64()), pa.array([int((y > 0).sum())], pa.int64()), pa.array([_squeeze(x)], pa.binary()), pa.array([_squeeze(y.astype(np.float64))], pa.binary())], names=names)
 
-        base = 0
         for batch in batches:
             for shard, k, c in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
                 if now is not None and shard != now:
@@ -170,15 +205,15 @@ def _merged(requests: DataFrame) -> DataFrame:
                     keys, counts, held, base = [], [], 0, 0
                 now = shard
                 keys.append(_expand(k.as_py(), np.int64))
-                counts.append(_expand(c.as_py(), np.int64))
+                counts.append(_expand(c.as_py(), np.int32).astype(np.int64))
                 held += len(keys[-1])
                 if held > max(1_000_000, 2 * base):
-                    add_up()
-                    base = held
+                    x, y = _added(keys, counts)
+                    keys, counts, held, base = [x], [y], len(x), len(x)
         if keys:
             yield from out()
 
-    return cut(requests.select("shard", "keys", "counts").repartition("shard").sortWithinPartitions("shard").mapInArrow(run, "shard int, key bigint, n bigint"))
+    return cut(requests.select("shard", "keys", "counts").repartition("shard").sortWithinPartitions("shard").mapInArrow(run, "shard int, key bigint, n bigint, v bigint, keys binary, counts binary"))
 
 
 def _mask(order: int) -> int:
@@ -203,37 +238,34 @@ def gram_values(counted: DataFrame) -> DataFrame:
 
     with_top = counted.withColumn("x", F.shiftright("key", 8)).join(stats[ORDER], "x", "left").drop("x")
     known = with_top.where("n > 0").select("shard", "key", F.log10(F.col("n") / (F.col(f"t{ORDER}") + F.col(f"d{ORDER}"))).alias("value"))
-    rest = with_top.where("n = 0").drop("n")
+    # keys that training lacks escape from their longest context, order by order; less_t and less_d are what is excluded
+    t, d = F.col(f"t{ORDER}"), F.col(f"d{ORDER}")
+    zero = F.lit(0).cast("bigint")
+    rest = with_top.where("n = 0").select("shard", "key", F.coalesce(F.log10(d / (t + d)), F.lit(0.0)).alias("value"), F.lit(False).alias("done"), F.coalesce(f"u{ORDER}", zero).alias("less_t"), F.coalesce(d, zero).alias("less_d"))
     for o in range(ORDER - 1, -1, -1):
         few = o <= 1  # 256 to the power of o + 1 rows at most
-        e = edges[o].select(F.col("e"), F.col("n").alias(f"n{o}"))
+        e = edges[o].select("e", F.col("n").alias("n"))
         rest = rest.withColumn("e", F.col("key").bitwiseAND(_mask(o))).join(F.broadcast(e) if few else e, "e", "left").drop("e")
         if o:
-            s = stats[o]
+            s = stats[o].select("x", F.col(f"t{o}").alias("t"), F.col(f"d{o}").alias("d"), F.col(f"u{o}").alias("u"))
             rest = rest.withColumn("x", F.shiftright(F.col("key").bitwiseAND(_mask(o)), 8)).join(F.broadcast(s) if few else s, "x", "left").drop("x")
-    rest = rest.withColumns({"t0": F.lit(root.t), "d0": F.lit(root.d)})
-    value, done = F.lit(0.0), F.lit(False)
-    less_t, less_d = F.lit(0), F.lit(0)
-    for o in range(ORDER, -1, -1):
-        t, d = F.col(f"t{o}") - less_t, F.col(f"d{o}") - less_d
-        n = F.col(f"n{o}") if o < ORDER else F.lit(None).cast("bigint")
-        found, open_ = n.isNotNull(), F.coalesce(t + d > 0, F.lit(False))
-        step = F.when(found, F.log10(n / (t + d))).when(open_ & (d > 0), F.log10(d / (t + d))).otherwise(0.0)
-        value = F.when(done, value).otherwise(value + step)
-        done = done | found
-        if o:
-            less_t, less_d = F.coalesce(F.col(f"u{o}"), F.lit(0)), F.coalesce(F.col(f"d{o}"), F.lit(0))
-        rest = rest.withColumns({f"value{o}": value, f"done{o}": done})
-        value, done = F.col(f"value{o}"), F.col(f"done{o}")
-    last = F.when(done, value).otherwise(value - F.log10(F.lit(float(SYMBOLS - root.d))))
+        else:
+            rest = rest.withColumns({"t": F.lit(root.t), "d": F.lit(root.d), "u": zero})
+        t, d = F.col("t") - F.col("less_t"), F.col("d") - F.col("less_d")
+        step = F.when(F.col("n").isNotNull(), F.log10(F.col("n") / (t + d))).when(F.coalesce(d > 0, F.lit(False)), F.log10(d / (t + d))).otherwise(0.0)
+        rest = rest.select("shard", "key", F.when(F.col("done"), F.col("value")).otherwise(F.col("value") + step).alias("value"), (F.col("done") | F.col("n").isNotNull()).alias("done"), F.coalesce("u", zero).alias("less_t"), F.coalesce("d", zero).alias("less_d"))
+    last = F.when(F.col("done"), F.col("value")).otherwise(F.col("value") - F.log10(F.lit(float(SYMBOLS - root.d))))
     return known.unionByName(rest.select("shard", "key", last.alias("value")))
 
 
 def _answers(requests: DataFrame, values: DataFrame) -> DataFrame:
-    """(piece, shard, keys, values): one value per key that a piece holds."""
+    """(piece, shard, vals): a value for each key that a piece holds of a shard, in the keys' order.
+
+    ``values`` has rows (shard, key, value) or blocks (shard, keys, counts).
+    """
     none = F.lit(None)
-    left = values.select("shard", F.lit(0).alias("turn"), none.cast("bigint").alias("piece"), none.cast("binary").alias("keys"), "key", "value")
-    right = requests.select("shard", F.lit(1).alias("turn"), "piece", "keys", none.cast("bigint").alias("key"), none.cast("double").alias("value"))
+    left = values.select("shard", F.lit(0).alias("turn"), none.cast("bigint").alias("piece"), "keys", "counts", "key", "value")
+    right = requests.select("shard", F.lit(1).alias("turn"), "piece", "keys", none.cast("binary").alias("counts"), none.cast("bigint").alias("key"), none.cast("double").alias("value"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, keys, vals, table = None, [], [], None
@@ -243,40 +275,41 @@ def _answers(requests: DataFrame, values: DataFrame) -> DataFrame:
             for a, b in zip(cuts, np.append(cuts[1:], len(shard))):
                 if shard[a] != now:
                     now, keys, vals, table = shard[a], [], [], None
+                if turn[a] == 0 and now % 2 == GRAMS:
+                    keys.append(batch.column(5).slice(a, b - a).to_numpy())
+                    vals.append(batch.column(6).slice(a, b - a).to_numpy())
+                    continue
                 if turn[a] == 0:
-                    keys.append(batch.column(4).slice(a, b - a).to_numpy())
-                    vals.append(batch.column(5).slice(a, b - a).to_numpy())
+                    keys += [_expand(batch.column(3)[int(i)].as_py(), np.int64) for i in range(a, b)]
+                    vals += [_expand(batch.column(4)[int(i)].as_py(), np.float64) for i in range(a, b)]
                     continue
                 if table is None:
                     k, v = np.concatenate(keys), np.concatenate(vals)
                     order = np.argsort(k)
-                    table, keys, vals = (k[order], v[order]), [], []
-                asked = [batch.column(3)[int(i)].as_py() for i in range(a, b)]
-                got = [_squeeze(table[1][np.searchsorted(table[0], _expand(x, np.int64))].astype(np.float64)) for x in asked]
-                yield pa.RecordBatch.from_arrays([batch.column(2).slice(a, b - a), pa.array(np.full(b - a, now, np.int32)), pa.array(asked, pa.binary()), pa.array(got, pa.binary())], names=["piece", "shard", "keys", "vals"])
-
-    return left.unionByName(right).repartition("shard").sortWithinPartitions("shard", "turn").mapInArrow(run, "piece bigint, shard int, keys binary, vals binary")
-
-
-def _lookup(keys: np.ndarray, values: np.ndarray, want: np.ndarray) -> np.ndarray:
-    """values[i] where keys[i] = want, keys in any order: a direct table by hash, and a search for what collides."""
-    bits = max(8, int(len(keys) * 4).bit_length())
-    place = lambda x: (x.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).view(np.int64)
-    slot = np.zeros(1 << bits, np.int32)
-    slot[place(keys)] = np.arange(len(keys), dtype=np.int32)
-    out = np.empty(len(want), np.float64)
-    order = None
-    for i in range(0, len(want), 1 << 20):
-        w = want[i : i + (1 << 20)]
-        at = slot[place(w)]
-        miss = np.flatnonzero(keys[at] != w)
-        if len(miss):
-            if order is None:
-                order = np.argsort(keys)
-                ranked = keys[order]
-            at[miss] = order[np.searchsorted(ranked, w[miss])]
-        out[i : i + (1 << 20)] = values[at]
-    return out
+                    table, keys, vals = (k[order], v[order].astype(np.float32 if now % 2 == GRAMS else np.float64)), [], []
+                got = [_squeeze(table[1][np.searchsorted(table[0], _expand(batch.column(3)[int(i)].as_py(), np.int64))]) for i in range(a, b)]
+                yield pa.RecordBatch.from_arrays([batch.column(2).slice(a, b - a), pa.array(np.full(b - a, now, np.int32)), pa.array(got, pa.binary())], names=["piece", "shard", "vals"])
+
+    return left.unionByName(right).repartition("shard").sortWithinPartitions("shard", "turn").mapInArrow(run, "piece bigint, shard int, vals binary")
+
+
+class _Lookup:
+    """Values of sorted keys: a direct table by hash, and a search for what collides."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.keys, self.values = keys, values
+        self.shift = np.uint64(64 - max(8, int(len(keys) * 4).bit_length()))
+        self.slot = np.zeros(1 << (64 - int(self.shift)), np.int32)
+        self.slot[self._place(keys)] = np.arange(len(keys), dtype=np.int32)
+
+    def _place(self, x: np.ndarray) -> np.ndarray:
+        return ((x.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
+
+    def __call__(self, want: np.ndarray) -> np.ndarray:
+        at = self.slot[self._place(want)]
+        miss = np.flatnonzero(self.keys[at] != want)
+        at[miss] = np.searchsorted(self.keys, want[miss])
+        return self.values[at]
 
 
 def score(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", piece_bytes: int = PIECE_BYTES) -> DataFrame:
@@ -287,8 +320,10 @@ def score(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text
     requests = _requests(packed, shards)
     counted = _merged(requests)
     unigram = counted.where("shard % 2 = 1")
-    total = unigram.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.when(F.col("n") > 0, 1)).alias("v")).first()
-    values = gram_values(counted.where("shard % 2 = 0")).unionByName(unigram.select("shard", "key", F.col("n").cast("double").alias("value")))
+    total = unigram.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("v"), F.lit(0)).alias("v")).first()
+    none = F.lit(None).cast("binary")
+    values = gram_values(counted.where("shard % 2 = 0").select("shard", "key", "n")).select("shard", "key", "value", none.alias("keys"), none.alias("counts"))
+    values = values.unionByName(unigram.select("shard", "key", F.lit(None).cast("double").alias("value"), "keys", "counts"))
     answers = _answers(requests, values)
     n_train, floor = int(total.n), float(total.n) + float(total.v) + 1
 
@@ -296,20 +331,26 @@ def score(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text
         rows = _unpack(left.column("rows")[0].as_py())
         raw, off = utf8(rows.column(1))
         n = rows.num_rows
-        shard = right.column("shard").to_numpy()
-        got = {}
-        for kind in (GRAMS, WORDS):
-            at = np.flatnonzero(shard % 2 == kind)
-            got[kind] = [np.concatenate([_expand(right.column(c)[int(i)].as_py(), t) for i in at]) for c, t in (("keys", np.int64), ("vals", np.float64))]
-        want, row = words(raw, off)
-        c = _lookup(*got[WORDS], want)
-        tokens, known = np.bincount(row, minlength=n), np.bincount(row[c > 0], minlength=n)
-        base = np.bincount(row, weights=np.log10((c + 1) / floor), minlength=n)
-        want, row = grams(raw, off)
-        model = np.bincount(row, weights=_lookup(*got[GRAMS], want), minlength=n)
+        got = dict(zip(right.column("shard").to_pylist(), right.column("vals")))
+        out = {k: np.zeros(n) for k in ("tokens", "known", "base", "model")}
+        for kind, split in ((GRAMS, grams), (WORDS, words)):
+            key, _ = _counted(split, raw, off, np.zeros(n, bool))
+            value = np.zeros(len(key))
+            for shard, places in _split(key, kind, shards):
+                value[places] = _expand(got[shard].as_py(), np.float32 if kind == GRAMS else np.float64)
+            find = _Lookup(key, value)
+            for a, b in _steps(raw, off):
+                want, row = split(raw[off[a] : off[b]], off[a : b + 1] - off[a])
+                x, m = find(want), b - a
+                if kind == GRAMS:
+                    out["model"][a:b] = np.bincount(row, weights=x, minlength=m)
+                else:
+                    out["tokens"][a:b] = np.bincount(row, minlength=m)
+                    out["known"][a:b] = np.bincount(row[x > 0], minlength=m)
+                    out["base"][a:b] = np.bincount(row, weights=np.log10((x + 1) / floor), minlength=m)
         size = np.diff(off)
-        bits = -model / np.log10(2) / np.maximum(size, 1)
-        cols = [rows.column(0), tokens.astype(np.int64), known.astype(np.int64), np.full(n, n_train, np.int64), base, model, size, bits]
+        bits = -out["model"] / np.log10(2) / np.maximum(size, 1)
+        cols = [rows.column(0), out["tokens"].astype(np.int64), out["known"].astype(np.int64), np.full(n, n_train, np.int64), out["base"], out["model"], size, bits]
         return pa.Table.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in cols], names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte"])
 
     kind = docs.schema[key].dataType.simpleString()

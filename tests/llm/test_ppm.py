@@ -48,7 +48,7 @@ def same(got, want):
     assert len(got) == len(want)
     for a, b in zip(got, want):
         assert a[:4] == b[:4]
-        assert a[4] == pytest.approx(b[4], abs=1e-6) and a[5] == pytest.approx(b[5], abs=1e-6), (a, b)
+        assert a[4] == pytest.approx(b[4], abs=1e-6) and a[5] == pytest.approx(b[5], rel=1e-6), (a, b)
 
 
 FIELDS = ("doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score")
