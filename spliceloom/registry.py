@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+from .plans import driver
+
+QUERIES = driver.QUERIES
+ORACLE_SQL = driver.ORACLE_SQL
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Per-read events with UMI families."""
+    return driver.per_read_families(spark, sf_dir)

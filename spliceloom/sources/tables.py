@@ -23,10 +23,10 @@ FEATURE_SCHEMA = "sample_name string, reference_strain string, distance string,
 
 
 def read_rows(df: DataFrame) -> DataFrame:
-    """The 14 columns of the per-read table as text: None for what is missing, six decimals for fractions."""
+    """The 14 columns of the per-read table as text: None for what is missing, six decimals for fractions (halves to even)."""
 
     def shown(c: str) -> Column:
-        text = F.format_string("%.6f", F.col(c)) if c in FRACTIONS else F.col(c).cast("string")
+        text = F.format_string("%.6f", F.bround(F.col(c), 6)) if c in FRACTIONS else F.col(c).cast("string")
         return F.coalesce(F.when(F.col(c).isNotNull(), text), F.lit("None"))
 
     return df.select(*[shown(c).alias(c) for c in READ_COLUMNS])
