@@ -309,8 +309,11 @@ def train(lines: list[tuple[str, list[tuple[int, int]]]], rounds: int = 60, rate
 
 def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, key: str = "doc_id", text: str = "text") -> dict[str, np.ndarray]:
     """The field's weights: a few hundred kilobytes whatever the table's size."""
-    some = docs.where(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{text}`").cast("string").alias("t"), F.xxhash64(F.col(f"`{key}`")).alias("h"))
-    got = [r.t for r in some.orderBy("h", "t").limit(rows).collect()]
+    h = F.xxhash64(F.col(f"`{key}`"))
+    named = docs.where(F.col(f"`{text}`").isNotNull() & F.col(f"`{key}`").isNotNull())
+    least = [r.h for r in named.select(h.alias("h")).distinct().orderBy("h").limit(rows).collect()]  # numbers alone travel
+    few = named.where(h.isin(least)).groupBy(h.alias("h")).agg(F.min(F.col(f"`{text}`").cast("string")).alias("t")) if least else None
+    got = sorted(r.t for r in few.collect()) if few is not None else []
     return train(made_lines() + [(x, [(m.start(2), m.end(2)) if k == 0 else (a, b) for a, k, b in rule_spans(x) if (m := ASSIGN.match(x, a)) or k]) for x in got])
 
 
