@@ -27,8 +27,12 @@ def first_seen_mode(df: DataFrame, keys: list[str], value: str, order: str) -> D
 
     Counted before the choice: a group is one row per distinct value by then.
     """
-    n = df.groupBy(*keys, value).agg(F.count("*").alias("n"), F.min(order).alias("at"))
-    return n.groupBy(*keys).agg(F.max_by(F.struct(value), F.struct("n", -F.col("at")))[value].alias(f"{value}_common"))
+    return most_frequent(df.groupBy(*keys, value).agg(F.count("*").alias("n"), F.min(order).alias("at")), keys, value)
+
+
+def most_frequent(counted: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """The same from counts: ``keys``, value, n and at (the first place it was seen)."""
+    return counted.groupBy(*keys).agg(F.max_by(F.struct(value), F.struct("n", -F.col("at")))[value].alias(f"{value}_common"))
 
 
 def summarize(families: DataFrame) -> DataFrame:
@@ -39,8 +43,10 @@ def summarize(families: DataFrame) -> DataFrame:
     """
     kept = families.where("umi_family is not null").withColumn("alternative_d1_used", F.when(F.col("alternative_d1_used").isNull(), "None").when(F.col("alternative_d1_used") == "", None).otherwise(F.col("alternative_d1_used")))
     keys = ["umi_family", "splice_category"]
-    common = first_seen_mode(kept, keys, "alternative_d1_used", "read_ix")
-    rows = kept.select(*keys, "size_class", "final_category").distinct().join(common, keys)
+    # one pass over the reads: what follows works on their distinct combinations
+    each = kept.groupBy(*keys, "size_class", "final_category", "alternative_d1_used").agg(F.count("*").alias("n"), F.min("read_ix").alias("at"))
+    common = most_frequent(each.groupBy(*keys, "alternative_d1_used").agg(F.sum("n").alias("n"), F.min("at").alias("at")), keys, "alternative_d1_used")
+    rows = each.select(*keys, "size_class", "final_category").distinct().join(common, keys)
     spliced = spliced_class(F.col("splice_category"))
     rows = rows.withColumn("spliced", spliced)
     rows = rows.withColumn("D1_type", d1_type(F.col("spliced"), F.col("splice_category"))).withColumn("splice_category_2", splice_category_2(F.col("spliced"), F.col("splice_category")))

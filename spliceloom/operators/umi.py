@@ -155,7 +155,7 @@ def _by_joins(umis: DataFrame, distance: int, most_rounds: int = 100) -> DataFra
 def families(events: DataFrame, model: str = FamilyModel.AUTO, distance: int = 1, min_fraction: float = 0.005, risk_limit: float = 0.05, coverage: float = 0.10, task_umis: int = TASK_UMIS) -> DataFrame:
     """``events`` with family, family size and share, model used and the numbers behind the choice."""
     model = FamilyModel(model)
-    umis = counts(events)
+    umis = cut(counts(events))  # one row per exact UMI: the reads are not read again for each use below
     choice = decisions(umis, model, distance, risk_limit, coverage)
     if model is FamilyModel.MAX:
         assigned = max_model(umis)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import build_config
 from ..functions import seq, stats
+from ..functions.lineage import cut
 from ..operators import annotate, chain, isoforms, report, summary, umi
 from . import mock
 
@@ -38,6 +39,12 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores if it has fewer partitions (a small file is one): for the rows of a Python function."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _bases(salt: str, key: str) -> str:
     return f"translate(md5(concat('{salt}-', cast({key} as string))), '0123456789abcdef', 'ACGTACGTACGTACGT')"
 
@@ -128,7 +135,7 @@ _PAIRS = f"(SELECT read_ix, forward_sequence AS a, reverse(translate(reverse_seq
 
 @query("overlap_join", f"SELECT read_ix, CAST(o AS INTEGER) AS overlap, CASE WHEN o IS NOT NULL THEN a || substr(b, CAST(o AS BIGINT) + 1) END AS joined, CASE WHEN o IS NOT NULL THEN a || substr(b, CAST(o AS BIGINT) + 1) ELSE a || b END AS search_sequence FROM (SELECT *, {_OVERLAP} AS o FROM {_PAIRS} p) z")
 def overlap_join(spark, sf_dir):
-    parts = read_split(spark, sf_dir).withColumn("overlap", chain.overlap_udf()("forward_sequence", "reverse_sequence"))
+    parts = spread(read_split(spark, sf_dir)).withColumn("overlap", chain.overlap_udf()("forward_sequence", "reverse_sequence"))
     rc = seq.reverse_complement(F.col("reverse_sequence"))
     joined = F.when(F.col("overlap").isNotNull(), F.concat("forward_sequence", F.substring(rc, F.col("overlap") + 1, F.length(rc))))
     return parts.select("read_ix", "overlap", joined.alias("joined"), F.coalesce(joined, F.concat("forward_sequence", rc)).alias("search_sequence"))
@@ -154,7 +161,7 @@ _TEXTS = f"(SELECT o_orderkey AS k, {_bases('t', 'o_orderkey')} || {_bases('w',
 
 @query("fuzzy_find", f"SELECT k AS read_ix, CAST(best // 100000 AS INTEGER) AS distance, CAST(best % 100000 AS INTEGER) AS stop FROM {_window_search(_duck(_TEXTS), PATTERN, 2, 'k')} f")
 def fuzzy_find(spark, sf_dir):
-    rows = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("read_ix"), F.concat(F.expr(_bases("t", "o_orderkey")), F.expr(_bases("w", "o_orderkey"))).alias("s"))
+    rows = spread(load(spark, sf_dir, "orders").select("o_orderkey")).select(F.col("o_orderkey").alias("read_ix"), F.concat(F.expr(_bases("t", "o_orderkey")), F.expr(_bases("w", "o_orderkey"))).alias("s"))
     return rows.withColumn("f", chain.find_udf(PATTERN, 2)("s")).where("f.distance is not null").select("read_ix", "f.distance", "f.stop")
 
 
@@ -167,7 +174,7 @@ _FIRST = " UNION ALL ".join(f"SELECT k, {i} AS ord, '{a}' AS acceptor FROM {_win
 def first_match_batch(spark, sf_dir):
     from ..config import Step
 
-    rows = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("read_ix"), F.concat(F.expr(_bases("t", "o_orderkey")), F.expr(_bases("w", "o_orderkey"))).alias("s"))
+    rows = spread(load(spark, sf_dir, "orders").select("o_orderkey")).select(F.col("o_orderkey").alias("read_ix"), F.concat(F.expr(_bases("t", "o_orderkey")), F.expr(_bases("w", "o_orderkey"))).alias("s"))
     found = rows.withColumn("m", chain.first_of_udf(tuple(Step(a, p) for a, p in _SHORT), 1)("s"))
     return found.where("m.acceptor is not null").select("read_ix", "m.acceptor")
 
@@ -496,8 +503,9 @@ def read_rows(spark, sf_dir):
 
 def mock_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     forms = F.element_at(F.array(*[F.lit(f) for f in isoforms.mock_ratios()]), (F.col("o_orderkey") % len(isoforms.mock_ratios())).cast("int") + 1)
-    rows = load(spark, sf_dir, "orders").select("o_orderkey", forms.alias("form"))
-    return mock.reads(rows, "form", "o_orderkey", GENOME, umis_per_form=10)
+    rows = spread(load(spark, sf_dir, "orders").select("o_orderkey")).select("o_orderkey", forms.alias("form"))
+    # reads are a stored input in earnest: written once here, not derived anew by each use of a column
+    return cut(mock.reads(rows, "form", "o_orderkey", GENOME, umis_per_form=10))
 
 
 @query("splice_events")
@@ -513,7 +521,7 @@ def joined_records(spark, sf_dir):
 @query("per_read_families")
 def per_read_families(spark, sf_dir):
     """The flagship: mock reads to events to families, automatic model."""
-    return umi.families(splice_events(spark, sf_dir), "auto-model")
+    return umi.families(cut(splice_events(spark, sf_dir)), "auto-model")
 
 
 @query("family_summary")

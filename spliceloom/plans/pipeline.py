@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import RunConfig, build_config
+from ..functions.lineage import cut
 from ..functions.stats import SANE_MAXIMUM
 from ..operators import annotate, chain, report, summary, umi
 from ..sources import reads as read_source
@@ -35,9 +36,9 @@ def timed(stage: str):
 
 
 def call_families(reads: DataFrame, config: RunConfig) -> DataFrame:
-    """Per-read events with families, as one lazy plan."""
+    """Per-read events with families; the events are stored once on the way."""
     splice = build_config(config.strain, config.assay, config.distance, config.genome)
-    found = chain.events(reads, splice, config.header)
+    found = cut(chain.events(reads, splice, config.header))  # read twice: for the UMI counts, and for the rows
     return umi.families(found, config.family_model, config.distance, config.min_fraction, config.neighbor_risk, config.coverage_ratio)
 
 
