@@ -497,6 +497,76 @@ def read_rows(spark, sf_dir):
     full = rows.select(F.col("read_ix").cast("string").alias("sequence_id"), "alternative_d1_used", F.when(F.col("read_ix") % 2 != 0, (F.col("read_ix") % 100) / F.lit(128.0)).alias("umi_family_fraction"), *[F.lit(None).cast("double" if c in tables.FRACTIONS else "string").alias(c) for c in tables.READ_COLUMNS if c not in ("sequence_id", "alternative_d1_used", "umi_family_fraction")])
     return tables.read_rows(full).select("sequence_id", "alternative_d1_used", "umi_family_fraction")
 
+# ---------------------------------------------------------------- small operators by themselves
+
+
+@query("chain_edit", f"SELECT read_ix, array_to_string(list_append(list_filter(string_split(splice_category, '_'), lambda x: x <> 'A1'), 'D1prime'), '_') AS chain FROM ({CALLS}) q")
+def chain_edit(spark, sf_dir):
+    """All A1 events removed, D1prime added."""
+    events_ = F.split("splice_category", "_")
+    return calls(spark, sf_dir).select("read_ix", F.array_join(chain.add_event(chain.remove_event(events_, "A1"), "D1prime"), "_").alias("chain"))
+
+
+@query("final_category", f"SELECT read_ix, splice_category || '_' || size_class AS final_category FROM ({CALLS}) q")
+def final_category(spark, sf_dir):
+    return calls(spark, sf_dir).select("read_ix", chain.final_category(F.split("splice_category", "_"), F.col("size_class")).alias("final_category"))
+
+
+@query("packed_hamming", f"SELECT read_ix, CAST(hamming(substr(r1, 1, 14), substr(r2, 1, 14)) AS BIGINT) AS differing FROM ({_duck(READS)}) q")
+def packed_hamming(spark, sf_dir):
+    a, b = (seq.packed(F.substring(c, 1, 14), 14) for c in ("r1", "r2"))
+    return reads(spark, sf_dir).select("read_ix", seq.mismatches(a, b, 14).cast("bigint").alias("differing"))
+
+
+_CODE = "CASE upper(c) " + " ".join(f"WHEN '{b}' THEN {m}" for b, m in seq.IUPAC.items()) + " ELSE 0 END"
+
+
+@query("iupac_sets", f"SELECT c, CAST({_CODE} AS BIGINT) AS bases FROM (SELECT DISTINCT substr(lower(o_orderpriority), 3, 1) AS c FROM orders UNION SELECT DISTINCT substr(c_name, 1, 1) AS c FROM customer) q")
+def iupac_sets(spark, sf_dir):
+    a = load(spark, sf_dir, "orders").select(F.substring(F.lower("o_orderpriority"), 3, 1).alias("c"))
+    b = load(spark, sf_dir, "customer").select(F.substring("c_name", 1, 1).alias("c"))
+    return a.unionByName(b).distinct().select("c", seq.iupac_set(F.col("c")).cast("bigint").alias("bases"))
+
+
+_FILLER = (mock.SPACER * 16)[:300]
+
+
+@query("padded_reads", f"SELECT read_ix, r1 || substr('{_FILLER}', 1, 300 - length(r1)) AS padded FROM ({_duck(READS)}) q")
+def padded_reads(spark, sf_dir):
+    return reads(spark, sf_dir).select("read_ix", mock.padded(F.col("r1")).alias("padded"))
+
+
+@query("random_bases", "SELECT o_orderkey AS read_ix, substr(translate(md5('7.0-' || CAST(o_orderkey AS VARCHAR)) || md5('7.1-' || CAST(o_orderkey AS VARCHAR)), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 40) AS bases FROM orders")
+def random_bases(spark, sf_dir):
+    return load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("read_ix"), mock.random_bases(40, F.col("o_orderkey")).alias("bases"))
+
+
+def _steps_table() -> list[tuple[str, int, str, str]]:
+    c = build_config()
+    plans = {"D1": c.d1_to_all, "D1prime": c.d1prime_to_all, "alternative D1": c.alternative_d1_to_all, "D2": c.d2_to_all, "D2b": c.d2b_to_all, "D3": c.d3_to_all}
+    return [(name, i, s.acceptor, s.pattern) for name, steps in plans.items() for i, s in enumerate(steps)]
+
+
+_DONOR_SQL = " UNION ALL ".join(f"SELECT '{n}' AS stage, {i} AS ord, '{a}' AS acceptor, '{p}' AS pattern" for n, i, a, p in _steps_table())
+
+
+@query("steps_in_reads", f"SELECT stage, ord, acceptor, pattern, CAST(count(t.k) AS BIGINT) AS n FROM ({_DONOR_SQL}) s LEFT JOIN {_duck(_TEXTS)} t ON contains(t.s, substr(pattern, 1, 5)) GROUP BY ALL")
+def steps_in_reads(spark, sf_dir):
+    """Search steps by stage in their order, and how many sequences hold each pattern's first five bases.
+
+    The steps are constants, so each is one conditional count of a single pass over the sequences.
+    """
+    rows = load(spark, sf_dir, "orders").select(F.concat(F.expr(_bases("t", "o_orderkey")), F.expr(_bases("w", "o_orderkey"))).alias("s"))
+    heads = sorted({p[:5] for *_, p in _steps_table()})
+    counted = rows.agg(F.map_from_arrays(F.array(*[F.lit(h) for h in heads]), F.array(*[F.count_if(F.col("s").contains(h)) for h in heads])).alias("m"))
+    steps = F.array(*[F.struct(F.lit(a).alias("stage"), F.lit(b).alias("ord"), F.lit(c).alias("acceptor"), F.lit(d).alias("pattern")) for a, b, c, d in _steps_table()])
+    return counted.select(F.explode(steps).alias("t"), "m").select("t.stage", "t.ord", "t.acceptor", "t.pattern", F.element_at("m", F.substring("t.pattern", 1, 5)).alias("n"))
+
+
+@query("genome_features", "SELECT r AS \"row\", n AS name, s AS start, e AS \"end\" FROM (VALUES " + ", ".join("({}, '{}', {}, {})".format(r, n.replace("'", "''"), s_, e) for r, n, s_, e in report.FEATURES) + ") v(r, n, s, e)")
+def genome_features(spark, sf_dir):
+    return report.genome_features(spark)
+
 
 # ---------------------------------------------------------------- whole plans, checked by tests instead of SQL
 

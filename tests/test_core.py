@@ -233,3 +233,20 @@ def test_simulation(spark):
     with pytest.raises(ValueError):
         mock.simulated_umis(spark, 10, 2, 17)
     assert Assay("k-mer").in_file_names == "kmer"
+
+
+# ---- fixed values: a pair of reads that overlap, what they join to, and where patterns match in it
+R1 = b"NNNNTTAGTAGAAATTTGTACAGAGATGGAAAAGGAAGGGAAAATTTCAAAAATTGGGCCTGAAAATCCATACAATACTCCAGTATTTGCCATAAAGAAAAAAGA"
+R2 = b"NNNNNNNNNNNNNNAAATCTACTAATTTTCTCCATTTAGTACTGTCTTTTTTCTTTATGGCAAATACTGGAGTATTGTATGGATTTTCAGGCCCAATTTTTGAAATTTTCCCTTC"
+JOINED = b"TTAGTAGAAATTTGTACAGAGATGGAAAAGGAAGGGAAAATTTCAAAAATTGGGCCTGAAAATCCATACAATACTCCAGTATTTGCCATAAAGAAAAAAGACAGTACTAAATGGAGAAAATTAGTAGATTT"
+# ---- end of fixed values
+
+
+def test_golden_join_and_search():
+    a, rc = R1[4:], fuzzy.revcomp(R2[14:])
+    (o,) = fuzzy.overlaps([a], [rc])
+    assert fuzzy.join_pair(a, rc, o) == JOINED
+    assert fuzzy.find(JOINED, b"AGAGCTGGAAAGGAAGGGAAA", 2) == (17, 39, 2)
+    assert fuzzy.find(JOINED, b"AGAGCTGGAAACGAAGGGAAA", 2) is None
+    start, _, _ = fuzzy.find(JOINED, b"AGAGATGGAAAAGGAAGGGAAA", 2)
+    assert JOINED[max(0, start - 15) : start] == b"AGTAGAAATTTGTAC"
