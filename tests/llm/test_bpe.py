@@ -2,7 +2,6 @@ import hashlib
 import random
 
 import numpy as np
-import pytest
 from tokenizers import Tokenizer
 
 from spliceloom.llm import bpe

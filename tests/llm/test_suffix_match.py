@@ -65,7 +65,6 @@ def test_empty_tables(spark, make_docs):
 
 def test_longest_match_exceeds_the_window():
     items = suffix_match.Items([1], ["a b c d e f g h i j k l"], window=3)
-    import numpy as np
     from spliceloom.llm.common import utf8
     import pyarrow as pa
 
