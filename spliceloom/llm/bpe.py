@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,8 @@ from pyspark.sql import DataFrame
 
 from .common import keyed, map_text
 
-#: Distinct words whose ids a task keeps.
-CACHE_WORDS = 400_000
+#: Distinct words whose ids a task keeps from one chunk to the next.
+CACHE_WORDS = 250_000
 
 
 def byte_chars() -> list[str]:
@@ -168,34 +169,62 @@ def encode_words(words: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndar
     return sym[:n][alive], offsets
 
 
+class _Numbers(dict):
+    """Numbers of words in the order of their first sight."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        self.fresh.append(word)
+        return n
+
+
 class Encoder:
-    """Encodes chunks of texts; keeps the ids and token strings of words it has seen."""
+    """Encodes chunks of texts; keeps the ids and token strings of words it has seen.
+
+    A chunk is held as word numbers, not as words; what is kept is let go at the
+    begin of a chunk once it exceeds ``cache_words``.
+    """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         self.v, self.most = Vocabulary(path), cache_words
-        self.cache: dict[str, tuple[bytes, str]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers, self.ids, self.names = _Numbers(), [], []
+
+    def _learn(self) -> None:
+        """Ids and token strings of the words that are new, special strings by their table."""
+        fresh, self.numbers.fresh = self.numbers.fresh, []
+        plain = [w for w in fresh if w not in self.v.special]
+        ids, at = encode_words([w.encode("utf-8", "surrogateescape") for w in plain], self.v) if plain else (np.zeros(0, np.int64), np.zeros(1, np.int64))
+        data, at, ids, token = ids.astype("<u4").tobytes(), at.tolist(), ids.tolist(), self.v.token
+        k = 0
+        for w in fresh:
+            if w in self.v.special:
+                self.ids.append(np.array([self.v.special[w]], "<u4").tobytes())
+                self.names.append(w)
+            else:
+                a, b = at[k], at[k + 1]
+                self.ids.append(data[4 * a : 4 * b])
+                self.names.append(" ".join([token[i] for i in ids[a:b]]))
+                k += 1
 
-    def encode(self, texts: list[str | None]) -> list[tuple[bytes, str]]:
+    def encode(self, texts: list[str | None]) -> Iterator[tuple[bytes, str]]:
         """For each text its ids as little-endian 32-bit integers, and its decoded text."""
-        split = [self.v.split(t) if t else [] for t in texts]
-        fresh = list({w for ws in split for w in ws if w not in self.cache})
-        if len(self.cache) + len(fresh) > self.most:
-            self.cache.clear()
-            fresh = list({w for ws in split for w in ws})
-        for s, i in self.v.special.items():
-            self.cache[s] = (np.array([i], "<u4").tobytes(), s)
-        fresh = [w for w in fresh if w not in self.v.special]
-        if fresh:
-            ids, at = encode_words([w.encode("utf-8", "surrogateescape") for w in fresh], self.v)
-            data, at = ids.astype("<u4").tobytes(), at.tolist()
-            names, ids = self.v.token, ids.tolist()
-            for w, a, b in zip(fresh, at, at[1:]):
-                self.cache[w] = (data[4 * a : 4 * b], " ".join([names[i] for i in ids[a:b]]))
-        out = []
-        for ws in split:
-            got = [self.cache[w] for w in ws]
-            out.append((b"".join([x for x, _ in got]), " ".join([x for _, x in got if x])))
-        return out
+        if len(self.numbers) > self.most:
+            self._forget()
+        number = self.numbers.__getitem__
+        rows = [np.array(list(map(number, self.v.split(t))), np.int32) if t else None for t in texts]
+        self._learn()
+        ids, names = self.ids, self.names
+        for row in rows:
+            n = row.tolist() if row is not None else []
+            # words without ids (bytes that the vocabulary lacks) leave no blank behind
+            yield b"".join([ids[i] for i in n]), " ".join([names[i] for i in n if ids[i]])
 
 
 def decode(ids: bytes, v: Vocabulary) -> str:
@@ -211,12 +240,13 @@ def encoded(docs: DataFrame, path: str | None = None, with_ids: bool = False, ke
         encoder = Encoder(path)
 
         def work(batch: pa.RecordBatch) -> dict:
-            got = encoder.encode(batch.column(1).to_pylist())
-            out = {"doc_id": batch.column(0), "n_tokens": pa.array([len(i) // 4 for i, _ in got], pa.int64())}
-            out |= {"ids_sha256": [hashlib.sha256(i).hexdigest() for i, _ in got], "decoded_sha256": [hashlib.sha256(t.encode()).hexdigest() for _, t in got]}
-            if with_ids:
-                out |= {"ids": pa.array([np.frombuffer(i, "<u4").astype(np.int64) for i, _ in got], pa.list_(pa.int64())), "decoded": pa.array([t for _, t in got], pa.string())}
-            return {k: v if isinstance(v, pa.Array) else pa.array(v, pa.string()) for k, v in out.items()}
+            cols: dict[str, list] = {k: [] for k in ("n_tokens", "ids_sha256", "decoded_sha256", *["ids", "decoded"] * with_ids)}
+            for ids, text_ in encoder.encode(batch.column(1).to_pylist()):
+                row = [len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text_.encode()).hexdigest()]
+                for k, v in zip(cols, row + [np.frombuffer(ids, "<u4").astype(np.int64), text_] * with_ids):
+                    cols[k].append(v)
+            types = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int64())}
+            return {"doc_id": batch.column(0)} | {k: pa.array(v, types.get(k, pa.string())) for k, v in cols.items()}
 
         return work
 
