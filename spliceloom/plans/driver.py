@@ -84,7 +84,7 @@ def _duck(sql: str) -> str:
 
 
 def _view(spark: SparkSession, sf_dir: str, table: str, sql: str) -> DataFrame:
-    return spark.sql(sql.replace(f"FROM {table}", "FROM {t}"), t=load(spark, sf_dir, table))
+    return spark.sql(sql.replace(f"FROM {table}", "FROM {t}"), t=spread(load(spark, sf_dir, table)))
 
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
