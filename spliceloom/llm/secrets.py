@@ -52,6 +52,7 @@ def rule_spans(text: str) -> list[tuple[int, int, int]]:
 
 def maybe(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Rows on which a rule may match: a rule's word, AKIA, or a long run of hexadecimal digits is in them."""
+    raw = np.insert(raw, off[1:-1], 0x0A)  # no rule matches a newline, so that none runs across a border of texts
     data, hits = raw.tobytes(), []
     hits += [m.start() for m in _NAMED.finditer(data.lower())]
     at = data.find(b"AKIA")
@@ -63,7 +64,7 @@ def maybe(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
     edge = np.flatnonzero(np.diff(low[raw].view(np.int8), prepend=0, append=0))
     hits += edge[::2][edge[1::2] - edge[::2] >= 16].tolist()
     out = np.zeros(len(off) - 1, bool)
-    out[np.searchsorted(off, np.array(hits, np.int64), side="right") - 1] = True
+    out[np.searchsorted(off[:-1] + np.arange(len(out)), np.array(hits, np.int64), side="right") - 1] = True
     return out
 
 
