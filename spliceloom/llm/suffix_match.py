@@ -92,7 +92,8 @@ def suffix_array(words: np.ndarray, run_end: np.ndarray, shortest: int, depth: i
 
 def search(words: np.ndarray, run_end: np.ndarray, array: np.ndarray, items: Items) -> tuple[np.ndarray, ...]:
     """Binary search of every test suffix: its longest match in words and that match's interval of the
-    array, and the interval of its window, empty where no window starts or it does not occur.
+    array, and the interval of its window, empty where no window starts or it does not occur.  Last, rows of
+    start, end and depth: parts of the windows' intervals that match so many words and no more.
     """
     m, n = len(items.words), len(array)
     lo, hi = np.zeros(m, np.int64), np.full(m, n, np.int64)
@@ -100,6 +101,7 @@ def search(words: np.ndarray, run_end: np.ndarray, array: np.ndarray, items: Ite
     first, last = np.zeros(m, np.int64), np.zeros(m, np.int64)
     live = np.arange(m) if n else np.zeros(0, np.int64)
     padded = np.append(words, 0)
+    dropped = [np.zeros((0, 3), np.int64)]
     depth = 0
     while len(live):
         want = items.words[live + depth]
@@ -121,13 +123,17 @@ def search(words: np.ndarray, run_end: np.ndarray, array: np.ndarray, items: Ite
         h0 = bound(l0, hi[live], True)
         found = h0 > l0
         live = live[found]
-        lo[live], hi[live] = l0[found], h0[found]
+        l0, h0 = l0[found], h0[found]
+        for a, b in ((lo[live], l0), (h0, hi[live])):
+            out = (last[live] > first[live]) & (b > a)
+            dropped.append(np.unique(np.stack([a[out], b[out], np.full(int(out.sum()), depth)], axis=1), axis=0))
+        lo[live], hi[live] = l0, h0
         depth += 1
         longest[live] = depth
         ends = live[items.length[live] == depth]
         first[ends], last[ends] = lo[ends], hi[ends]
         live = live[items.left[live] > depth]
-    return longest, lo, hi, first, last
+    return longest, lo, hi, first, last, np.concatenate(dropped)
 
 
 def scan_shard(raw: np.ndarray, off: np.ndarray, items: Items) -> dict:
@@ -149,7 +155,7 @@ def scan_shard(raw: np.ndarray, off: np.ndarray, items: Items) -> dict:
         run_end = np.repeat(edges[1:], np.diff(edges))
         run_end = np.where(words == 0, np.arange(n), run_end)
         array = suffix_array(words, run_end, items.shortest, items.longest)
-        longest, lo, hi, first, last = search(words, run_end, array, items)
+        longest, lo, hi, first, last, dropped = search(words, run_end, array, items)
         has = np.flatnonzero(last > first)
         # each interval once for the hits, however many items share the window
         key, one = np.unique(first[has] * (len(array) + 1) + items.length[has], return_index=True)
@@ -176,6 +182,8 @@ def scan_shard(raw: np.ndarray, off: np.ndarray, items: Items) -> dict:
     for w in has:
         np.maximum.at(out["longest"], docs_of[int(first[w]), int(last[w])], items.length[w])
         np.maximum.at(out["longest"], doc[array[lo[w] : hi[w]]], longest[w])
+    for a, b, depth in dropped:
+        np.maximum.at(out["longest"], doc[array[a:b]], depth)
     turn = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
     # spans of hit words, as byte offsets into the row; a run of hits is cut at document ends
     for a, b in zip(turn[::2], turn[1::2]):

@@ -70,3 +70,15 @@ def test_longest_match_exceeds_the_window():
 
     raw, off = utf8(pa.array(["z b c d e q"]))
     assert suffix_match.scan_shard(raw, off, items)["longest"].tolist() == [4]
+
+
+def test_longest_match_of_each_row_of_a_shard():
+    import pyarrow as pa
+    from spliceloom.llm.common import utf8
+
+    item = "a b c d e f g h i j k l"
+    texts = ["z b c d e q", "z b c d e f g q", "a b c", "y k l", "x b c d x b c d e f x"]
+    got = suffix_match.scan_shard(*utf8(pa.array(texts)), suffix_match.Items(["i"], [item], 3))
+    assert got["longest"].tolist() == [4, 6, 3, 0, 5]
+    for text, want in zip(texts, [4, 6, 3, 0, 5]):  # whatever else the shard holds
+        assert suffix_match.scan_shard(*utf8(pa.array([text])), suffix_match.Items(["i"], [item], 3))["longest"].tolist() == [want]
