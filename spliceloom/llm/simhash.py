@@ -251,14 +251,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, seed: int = 42, key: str
 def keep_one(docs: DataFrame, shingle: int = 3, seed: int = 42, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each near-duplicate group: that of the smallest id.
 
-    An id names one document: of rows that share the id, one stays.  A row with a
-    null id stays only where its whole group has none, one for each such group.
+    Of rows that share the id, one stays in each group of which it is the smallest.
+    A row with a null id stays only where its whole group has none, one for each
+    such group.
     """
     fps = cut(fingerprints(docs, shingle, seed, key, text))
     group = cut(classes(fps))
-    stay = fps.join(group, "fp").where("doc_id = component_id").select(F.col("doc_id").alias("__stay")).distinct()
+    stay = cut(fps.join(group, "fp").where("doc_id = component_id").groupBy("root").agg(F.min("doc_id").alias("__stay"), F.min("fp").alias("__own")))
     named = docs.where(F.col(f"`{key}`").isNotNull())
-    kept = named.join(stay, named[key] == stay["__stay"], "left_semi").dropDuplicates([key])
+    kept = named.join(stay, named[key] == stay["__stay"], "left_semi")
+    twice = cut(fps.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__twice")))
+    if not twice.isEmpty():
+        many = kept.join(twice, kept[key] == twice["__twice"], "left_semi").withColumn("__h", F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
+        print_of = fingerprints(many, shingle, seed, "__h", text).select(F.col("doc_id").alias("__g"), F.col("fp").alias("__f")).distinct()
+        many = many.join(print_of, F.col("__h") == F.col("__g"))
+        lasting = stay.withColumnRenamed("root", "__root")
+        one = many.join(lasting, (many[key] == lasting["__stay"]) & (many["__f"] == lasting["__own"])).dropDuplicates(["__root"])
+        kept = kept.join(twice, kept[key] == twice["__twice"], "left_anti").unionByName(one.select(*[F.col(f"`{c}`") for c in docs.columns]))
     nameless = group.where("component_id is null").select(F.col("fp").alias("__fp"), F.col("root").alias("__root"))
     if nameless.isEmpty():
         return kept

@@ -81,5 +81,10 @@ def test_rows_without_an_id(make_docs):
     assert sorted(r.text for r in simhash.keep_one(docs).collect()) == ["a b c d e", "one more text", "quite some other words here"]
 
 
+def test_repeated_id_with_different_texts(make_docs):
+    docs = make_docs([(1, "a b c d e f"), (1, "u v w x y z"), (2, "u v w x y z"), (1, "a b c d e f"), (0, "k l m n o"), (3, "k l m n o"), (3, "one more text")])
+    assert sorted((r.doc_id, r.text) for r in simhash.keep_one(docs).collect()) == [(0, "k l m n o"), (1, "a b c d e f"), (1, "u v w x y z"), (3, "one more text")]
+
+
 def test_empty(make_docs):
     assert simhash.near_duplicates(make_docs([(1, "x")]).limit(0)).collect() == []
