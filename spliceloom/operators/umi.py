@@ -53,7 +53,9 @@ def hamming_pairs(umis: DataFrame, distance: int, by: tuple[str, ...] = (CATEGOR
     """
     u = umis.select(*by, "umi").distinct()
     length = F.length("umi")
-    keys = F.lit(None).cast("array<struct<c:int,s:string>>")
+    # longer UMIs than the table below: chunk bounds from the length
+    edge = [F.floor(length * i / (distance + 1)).cast("int") for i in range(distance + 2)]
+    keys = F.when(length > LONGEST_UMI, F.array(*[F.struct(F.lit(i).alias("c"), F.substring("umi", a + 1, b - a).alias("s")) for i, (a, b) in enumerate(zip(edge, edge[1:]))]))
     for n in range(LONGEST_UMI, 0, -1):
         if distance >= n:
             parts = [F.struct(F.lit(0).alias("c"), F.lit("").alias("s"))]

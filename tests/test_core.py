@@ -250,3 +250,14 @@ def test_golden_join_and_search():
     assert fuzzy.find(JOINED, b"AGAGCTGGAAACGAAGGGAAA", 2) is None
     start, _, _ = fuzzy.find(JOINED, b"AGAGATGGAAAAGGAAGGGAAA", 2)
     assert JOINED[max(0, start - 15) : start] == b"AGTAGAAATTTGTAC"
+
+
+def test_long_umis_cluster_alike_in_both_paths(spark):
+    base = "ACGTTGCAAC" * 6
+    rows = []
+    for size in (40, 41, 60):
+        u = base[:size]
+        rows += [(str(size), u, 9), (str(size), "G" + u[1:], 2), (str(size), u[:-2] + "TT", 1), (str(size), "TTTTT" + u[5:], 4)]
+    df = spark.createDataFrame(rows, "final_category string, umi string, n long")
+    small, large = ({tuple(r) for r in umi.cluster(df, 2, 0.0, t).collect()} for t in (20_000, 0))
+    assert small == large and len({x[2] for x in small}) == 6
