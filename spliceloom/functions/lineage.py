@@ -8,7 +8,11 @@ from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` written to the session's checkpoint folder (a temporary one on a local master that names none)."""
+    """``df`` written to the session's checkpoint folder, without its lineage.
+
+    The folder is the one that spark.checkpoint.dir names.  Only on a local master
+    that names none is a temporary folder used.
+    """
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         where = sc.getConf().get("spark.checkpoint.dir", None)
@@ -16,3 +20,14 @@ def cut(df: DataFrame) -> DataFrame:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(where or tempfile.mkdtemp(prefix="spliceloom-"))
     return df.checkpoint(eager=True)
+
+
+def let_go(df: DataFrame) -> None:
+    """Deletes the files of a table that ``cut`` returned and that nothing reads any more."""
+    plan = df._jdf.queryExecution().logical()
+    if not plan.getClass().getName().endswith("LogicalRDD"):
+        return
+    at = plan.rdd().getCheckpointFile()
+    if at.isDefined():
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(at.get())
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

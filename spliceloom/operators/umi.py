@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..config import FamilyModel
 from ..functions import stats
-from ..functions.lineage import cut
+from ..functions.lineage import cut, let_go
 from ..functions.seq import chunk_bounds
 
 CATEGORY = "final_category"
@@ -148,7 +148,8 @@ def _by_joins(umis: DataFrame, distance: int, most_rounds: int = 100) -> DataFra
         joined = state.join(seen, [CATEGORY, "umi"], "left")
         claimed = F.col("parent").isNotNull() & (F.col("open").isNull() | (F.col("parent") < F.col("open")))
         new = F.when(F.col("family").isNotNull(), F.col("family")).when(claimed, F.col("parent.e")).when(F.col("parent").isNull() & F.col("open").isNull(), F.col("umi"))
-        state = cut(joined.select(CATEGORY, "umi", new.alias("family")))
+        before, state = state, cut(joined.select(CATEGORY, "umi", new.alias("family")))
+        let_go(before)
         if state.where("family is null").isEmpty():
             return node.join(state, [CATEGORY, "umi"]).select(CATEGORY, "umi", "n", F.col("family").alias("umi_family"))
     raise RuntimeError("families did not settle")
