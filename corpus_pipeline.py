@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spliceloom.llm import bpe, langid, line_spread, near_sets, suffix_match
+from spliceloom.llm import bpe, langid, line_spread, simhash, suffix_match
 from spliceloom.llm.common import crc_mod, table
 
 
@@ -19,8 +19,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies: five-word shingles, Jaccard similarity 0.8 or more (9)."""
-    return near_sets.keep_one(docs)
+    """Keeps one document of each group of near copies: five-word shingles, fingerprints within the radius or similarity 0.8 or more (9)."""
+    return simhash.keep_one(docs)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,8 +1,8 @@
-"""Helpers shared by the corpus operators: Arrow text buffers, lineage cuts, row keys."""
+"""Helpers shared by the corpus operators: Arrow text buffers, row keys, word hashes, choice of rows."""
 
 from __future__ import annotations
 
-import tempfile
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -10,26 +10,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Text handled at once inside a task; rows are never cut, so one longer row is handled alone.
-CHUNK_BYTES = 12 << 20
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and forget its lineage.
+from ..functions.lineage import cut, let_go  # noqa: F401  the operators take them from here
 
-    The folder is the one the session names in spark.checkpoint.dir.  Only where
-    that is unset, and only on a local master, a temporary folder is used.
-    """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        where = sc.getConf().get("spark.checkpoint.dir", None)
-        if where is None:
-            if not sc.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            where = tempfile.mkdtemp(prefix="spliceloom-ckpt-")
-        sc.setCheckpointDir(where)
-    return df.checkpoint(eager=True)
+#: Text handled at once inside a task; rows are never cut, so one longer row is handled alone.
+CHUNK_BYTES = 4 << 20
+#: Bytes of one Arrow batch on its way to a Python function.
+BATCH_BYTES = 4 << 20
+#: Rows of a checked table that are broadcast at most; more are joined by a shuffle.
+BROADCAST_ROWS = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +70,35 @@ def _joined(held: list[pa.RecordBatch]) -> pa.RecordBatch:
     return held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
+def give_back() -> None:
+    """Returns to the system what a finished task has freed: workers live on, and two stand beside each executor's heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Lowers the session's bytes of an Arrow batch to BATCH_BYTES; a lower setting stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name).rstrip("b")
+    if now.isdigit() and int(now) > BATCH_BYTES:
+        spark.conf.set(name, f"{BATCH_BYTES}b")
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """mapInArrow with small batches, whose worker gives its freed memory back at the task's end."""
+    _small_batches(df.sparkSession)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(task, schema)
+
+
 def map_text(df: DataFrame, columns: list, schema: str, make: Callable[[], Callable[[pa.RecordBatch], dict | None]], limit: int = CHUNK_BYTES) -> DataFrame:
     """mapInArrow over ``columns``, one of which is named ``text``.
 
@@ -97,19 +114,20 @@ def map_text(df: DataFrame, columns: list, schema: str, make: Callable[[], Calla
             if out is not None:
                 yield pa.RecordBatch.from_arrays([_array(out[n]) for n in names], names=names)
 
-    return df.select(*columns).mapInArrow(run, schema)
+    return map_arrow(df.select(*columns), run, schema)
 
 
 def filter_text(docs: DataFrame, text: str, make: Callable[[], Callable[[pa.Array], np.ndarray]], limit: int = CHUNK_BYTES) -> DataFrame:
     """The rows of ``docs``, all columns as they are, for whose text the task's function says True; no shuffle."""
     at = docs.columns.index(text)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # any name may stand in the table
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = make()
-        for batch in pieces(batches, text, limit):
+        for batch in pieces(batches, f"c{at}", limit):
             yield batch.filter(pa.array(keep(batch.column(at)), pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(plain, run, plain.schema).toDF(*docs.columns)
 
 
 def _array(x) -> pa.Array:
@@ -118,9 +136,45 @@ def _array(x) -> pa.Array:
     return x if isinstance(x, pa.Array) else pa.array(x)
 
 
+def named(column: str) -> Column:
+    """A column by its name, whatever characters the name holds."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def keyed(docs: DataFrame, key: str, text: str, *more: Column) -> list[Column]:
     """The key and text columns under the names doc_id and text, whatever else the table holds."""
-    return [F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"), *more]
+    return [named(key).alias("doc_id"), named(text).cast("string").alias("text"), *more]
+
+
+def text_hash(text: str) -> Column:
+    """XXH64 of the text, null as empty."""
+    return F.xxhash64(F.coalesce(named(text).cast("string"), F.lit("")))
+
+
+def if_small(df: DataFrame) -> DataFrame:
+    """``df``, of narrow rows, marked for broadcast if it has at most BROADCAST_ROWS rows."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
+def keep_rows(docs: DataFrame, judged: DataFrame, key: str, text: str) -> DataFrame:
+    """The rows of ``docs`` that ``judged`` (id, th, many, stays) lets stay; it holds every pair of an id and a text's hash once.
+
+    Where ``many`` rows have one id and text, the row with the smallest hash over
+    all its columns stays.  Rows to drop are broadcast up to BROADCAST_ROWS of them,
+    so that texts need not be shuffled.
+    """
+    every = docs.select(F.struct(*[named(c) for c in docs.columns]).alias("row"), named(key).alias("id"), text_hash(text).alias("th"))
+    to = judged.toDF("to_id", "to_th", "many", "stays")
+    same = every["id"].eqNullSafe(to["to_id"]) & (every["th"] == to["to_th"])
+    # gone: losers, and for now the rows of which only one is to stay
+    gone = to.where("not stays or many").select("to_id", "to_th")
+    once = every.join(if_small(gone), same, "left_anti").select("row.*")
+    again = to.where("stays and many").select("to_id", "to_th")
+    if again.isEmpty():
+        return once
+    rows = every.join(if_small(again), same, "left_semi")
+    one = rows.groupBy("id", "th").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return once.unionByName(one.select("row.*"))
 
 
 def word_bounds(mask: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,36 +191,41 @@ def word_bounds(mask: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
-#: Odd multiplier of the polynomial word hash.
-BASE = np.uint64(0x9E3779B97F4A7C15)
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = x ^ (x >> np.uint64(32))
+    x = x * np.uint64(0xD6E8FEB86659FD93)
+    x = x ^ (x >> np.uint64(32))
+    x = x * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+#: A random number for each byte at each of 64 places.
+_AT = 64
+_DRAWN = np.random.default_rng(1).integers(0, 1 << 64, _AT * 256, dtype=np.uint64)
 
 
 def word_hash(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each slice ``raw[start:end]``: a polynomial in the bytes, then mixed."""
+    """A 64-bit hash of each slice ``raw[start:end]``: the sum of a random number for each byte and place, then mixed.
+
+    Beyond 64 bytes the numbers are mixed anew for every further 64, so no pattern
+    of bytes cancels out.  Two different words have one hash with odds of about
+    2**-64: among a billion distinct words, a pair that does exists with odds of 3 %.
+    """
     lens = ends - starts
     out = np.zeros(len(starts), np.uint64)
-    if not len(starts):
-        return out
-    power = np.cumprod(np.full(int(lens.max()), BASE, np.uint64))
-    step = 1 << 20
+    step = 1 << 18
     for i in range(0, len(starts), step):
         s, n = starts[i : i + step], lens[i : i + step]
         to = np.cumsum(n)
         at = to - n
         rel = np.arange(int(to[-1])) - np.repeat(at, n)
-        byte = raw[rel + np.repeat(s, n)].astype(np.uint64) + np.uint64(1)
-        out[i : i + step] = np.add.reduceat(byte * power[rel], at) + n.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+        x = _DRAWN[(rel & (_AT - 1)) << 8 | raw[rel + np.repeat(s, n)]]
+        if len(far := np.flatnonzero(rel >= _AT)):
+            x[far] = mixed(x[far] + (rel[far] // _AT).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        out[i : i + step] = np.add.reduceat(x, at) + n.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
     return mixed(out)
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> np.uint64(32))
-    x = x * np.uint64(0xD6E8FEB86659FD93)
-    x = x ^ (x >> np.uint64(32))
-    x = x * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
-
-
 def ascii_lower() -> np.ndarray:
     """Byte table that lower-cases A-Z alone."""
     t = np.arange(256, dtype=np.uint8)

@@ -9,9 +9,11 @@ document with the smallest id that has it and is removed from all others.
 
 Defined results: null text has no lines and stays null; blank lines are neither
 counted nor removed; a null site counts as one site of its own; lines are the
-parts between newlines, compared without leading and trailing blanks; a document
-of which nothing stays has empty text; repeated rows of one id count as one
-document; a null id sorts after all others.
+parts between newlines, compared without leading and trailing blanks (ties are
+equal hashes); a document of which nothing stays has empty text; long texts and
+lines are taken whole; repeated rows of one id count as one document and each
+return; a null id sorts after all others; an empty table is empty; other columns
+may have any name and stay as they are.
 """
 
 from __future__ import annotations
@@ -19,29 +21,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, if_small, named, text_hash
 
 MIN_SITES = 5
 #: log2 of the registers: standard error about 1.04 / sqrt(2**12) = 1.6 %.
 LG_K = 12
 #: Estimates within this share of the threshold are counted exactly (over six standard errors), one site at least.
 MARGIN = 0.1
-#: Boilerplate lines broadcast at most; more are joined by a shuffle.
-BROADCAST_LINES = 200_000
 
 
 def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def _hash(line: Column) -> Column:
-    return F.xxhash64(F.trim(line))
-
-
 def line_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", site: str = "source") -> DataFrame:
-    """h (hash of a line that is not blank), site, id: one row per line."""
-    split = docs.select(F.col(f"`{key}`").alias("id"), F.coalesce(F.col(f"`{site}`").cast("string"), F.lit("\u0000")).alias("site"), F.explode(_lines(F.col(f"`{text}`"))).alias("line"))
-    return split.where(F.trim("line") != "").select(_hash(F.col("line")).alias("h"), "site", "id")
+    """h (hash of a line that is not blank), site, id, th (hash of the text), pos: one row per line."""
+    split = docs.select(named(key).alias("id"), text_hash(text).alias("th"), F.coalesce(named(site).cast("string"), F.lit("\u0000")).alias("site"), F.posexplode(_lines(named(text))).alias("pos", "line"))
+    return split.where(F.trim("line") != "").select(F.xxhash64(F.trim("line")).alias("h"), "site", "id", "th", "pos")
 
 
 def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, key: str = "doc_id", text: str = "text", site: str = "source", margin: float = MARGIN) -> DataFrame:
@@ -53,38 +49,37 @@ def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, key: str = "doc_id"
     sure = guess.where(~near).select("h", "home")
     band = guess.where(near).select("h", "home")
     # exact counts: the lines of the band alone, each site once per map task
-    exact = _among(rows.select("h", "site"), band).groupBy("h").agg(F.countDistinct("site").alias("n")).where(F.col("n") >= min_sites)
+    exact = rows.select("h", "site").join(if_small(band.select("h")), "h", "left_semi").groupBy("h").agg(F.countDistinct("site").alias("n")).where(F.col("n") >= min_sites)
     return sure.unionByName(band.join(exact, "h", "left_semi"))
 
 
-def _among(rows: DataFrame, few: DataFrame) -> DataFrame:
-    """Rows whose h is in ``few``, broadcast if its size allows."""
-    few = few.select("h")
-    n = few.limit(BROADCAST_LINES + 1).count()
-    return rows.join(F.broadcast(few) if n <= BROADCAST_LINES else few, "h", "left_semi")
-
-
 def spread(docs: DataFrame, min_sites: int = MIN_SITES, key: str = "doc_id", text: str = "text", site: str = "source") -> DataFrame:
-    """``docs`` with the text cleaned, and two columns more: __lines (not blank) and __removed."""
+    """row (struct of the table's columns, the text cleaned), n_lines (not blank) and n_removed: one row per input row."""
     found = cut(boilerplate(docs, min_sites, key, text, site))
-    rows = line_rows(docs, key, text, site)
-    n = found.limit(BROADCAST_LINES + 1).count()
-    gone = rows.select("h", "id").join(F.broadcast(found) if n <= BROADCAST_LINES else found, "h").where(~F.col("id").eqNullSafe(F.col("home")))
-    per_doc = gone.groupBy("id").agg(F.collect_set("h").alias("__gone")).withColumnRenamed("id", "__id")
-    joined = docs.join(per_doc, docs[key].eqNullSafe(per_doc["__id"]), "left")
-    all_lines, bad = _lines(F.col(f"`{text}`")), F.coalesce(F.col("__gone"), F.array().cast("array<bigint>"))
-    blank = lambda x: F.trim(x) == ""
-    keep = F.when(F.col("__gone").isNull(), F.col(f"`{text}`")).otherwise(F.array_join(F.filter(all_lines, lambda x: blank(x) | ~F.array_contains(bad, _hash(x))), "\n"))
-    count = lambda of: F.coalesce(F.size(F.filter(all_lines, of)), F.lit(0)).cast("bigint")
-    lines = F.when(F.col(f"`{text}`").isNull(), F.lit(0)).otherwise(count(lambda x: ~blank(x)))
-    removed = F.when(F.col("__gone").isNull() | F.col(f"`{text}`").isNull(), F.lit(0)).otherwise(count(lambda x: ~blank(x) & F.array_contains(bad, _hash(x))))
-    same = [keep.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
-    return joined.select(*same, lines.cast("bigint").alias("__lines"), removed.cast("bigint").alias("__removed"))
+    gone = line_rows(docs, key, text, site).select("h", "id", "th", "pos").join(if_small(found), "h").where(~F.col("id").eqNullSafe(F.col("home")))
+    # places of a text's own removed lines: no more than it has lines
+    per_text = gone.groupBy("id", "th").agg(F.sort_array(F.collect_set("pos")).alias("gone")).toDF("to_id", "to_th", "gone")
+    every = docs.select(F.struct(*[named(c) for c in docs.columns]).alias("row"), named(key).alias("id"), text_hash(text).alias("th"), named(text).alias("text"))
+    joined = every.join(per_text, every["id"].eqNullSafe(per_text["to_id"]) & (every["th"] == per_text["to_th"]), "left")
+    places = F.col("gone")
+
+    def kept(lines: Column) -> Column:
+        """What lies between the removed places, one slice after another: linear in the lines."""
+        before = lambda k: F.when(k == 0, -1).otherwise(F.get(places, k - 1))
+        after = lambda k: F.when(k == F.size(places), F.size(lines)).otherwise(F.get(places, k))
+        parts = F.transform(F.sequence(F.lit(0), F.size(places)), lambda k: F.slice(lines, before(k) + 2, after(k) - before(k) - 1))
+        return F.array_join(F.flatten(parts), "\n")
+
+    # the array of one binds the lines, so that a text is split once
+    clean = F.when(places.isNull(), F.col("text")).otherwise(F.get(F.transform(F.array(_lines(F.col("text"))), kept), F.lit(0)))
+    row = F.struct(*[clean.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns])
+    n = F.size(F.filter(_lines(F.coalesce("text", F.lit(""))), lambda x: F.trim(x) != ""))
+    return joined.select(row.alias("row"), n.cast("bigint").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_removed"))
 
 
 def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, key: str = "doc_id", text: str = "text", site: str = "source") -> DataFrame:
     """``docs`` with boilerplate lines taken out of the text, all rows and columns kept."""
-    return spread(docs, min_sites, key, text, site).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return spread(docs, min_sites, key, text, site).select("row.*")
 
 
 #: What DuckDB makes of ``op3`` over documents; SITES stands for min_sites.

@@ -1,4 +1,7 @@
-"""Near copies by the exact Jaccard similarity of word-shingle sets.
+"""Links between near copies by the exact Jaccard similarity of word-shingle sets.
+
+This is the part of the near-copy stage that fingerprints cannot give: at a similarity of 0.8 fingerprints of 64 bits
+differ in some 10 bits, for which covering masks would take 2**11 - 1 tables and more.
 
 Candidates come from min-wise hashing: a set has ``BANDS`` keys, each made of ``ROWS`` minima, and two sets of
 similarity s share a key with probability 1 - (1 - s**ROWS)**BANDS (over 0.9999 at 0.8).  Every candidate pair is then
@@ -10,9 +13,9 @@ members of overlapping large buckets in more than one component, they are dealt
 and each pair of blocks goes to a task that holds sets of different components against each other, those first whose
 minima agree on at least ``LEAST`` of the draws; it returns a forest of links, never all pairs.
 
-Defined results: null and empty texts, or texts without words, have the empty set and are copies of each other; a text
-of fewer words than a shingle is one shingle; of a component the row with the smallest id stays (one with the smallest
-set hash if the id is repeated in it), a row with a null id only where all ids of the component are null.
+Defined results: null and empty texts, or texts without words, have the empty set, which is one set; a text of fewer
+words than a shingle is one shingle; long texts are taken whole; repeated rows have one set; an empty table has no
+links; other columns of the table are not read.
 """
 
 from __future__ import annotations
@@ -25,8 +28,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, keyed, map_text, mixed, pieces, utf8
-from .simhash import components
+from .common import cut, if_small, keyed, map_arrow, map_text, mixed, text_hash, utf8
+from .graph import components
+from .shingles import majority, shingle_hashes
 
 BANDS, ROWS = 24, 5
 SMALL = 16
@@ -38,21 +42,6 @@ _FLIP = _DRAW.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
 _TIMES = _DRAW.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
 
 
-def shingle_set(text: bytes, shingle: int) -> np.ndarray:
-    """Distinct hashes, in order, of the shingles of lower-cased words."""
-    words = text.lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = xxhash.xxh64_intdigest
-    joined = b" ".join(words)
-    if len(words) <= shingle:
-        return np.array([h(joined)], np.uint64)
-    size = np.fromiter(map(len, words), np.int64, len(words))
-    end = np.cumsum(size + 1) - 1
-    start = end - size
-    return np.unique(np.array([h(joined[a:b]) for a, b in zip(start[: 1 - shingle].tolist(), end[shingle - 1 :].tolist())], np.uint64))
-
-
 def set_hash(s: np.ndarray) -> int:
     """Name of a set, as a signed long."""
     return int(np.array(xxhash.xxh64_intdigest(s.tobytes()), np.uint64).view(np.int64))
@@ -72,49 +61,56 @@ def band_keys(sets: list[np.ndarray]) -> np.ndarray:
     return out.view(np.int64)
 
 
-def sketches(docs: DataFrame, shingle: int, key: str, text: str) -> DataFrame:
-    """doc_id, h (name of the set), n (its size) and its keys, one row per input row."""
+def sketches(docs: DataFrame, shingle: int, seed: int, key: str, text: str) -> DataFrame:
+    """doc_id, th (hash of the text), h (name of the set), n (its size), fp (fingerprint) and the set's keys, one row per input row."""
 
     def make():
         def work(batch: pa.RecordBatch) -> dict:
             raw, off = utf8(batch.column(1))
             data, rows = raw.tobytes(), batch.num_rows
-            h, n = np.zeros(rows, np.int64), np.zeros(rows, np.int64)
+            h, n, fp = np.zeros(rows, np.int64), np.zeros(rows, np.int64), np.zeros(rows, np.uint64)
             keys: list = [[]] * rows
+            lists: list[np.ndarray] = []
             held: list[np.ndarray] = []
             who: list[int] = []
+            few = 0
 
             def flush() -> None:
                 if held:
+                    fp[who] = majority(lists)
                     for i, k in zip(who, band_keys(held)):
                         keys[i] = k
-                    held.clear(), who.clear()
+                    lists.clear(), held.clear(), who.clear()
 
-            few = 0
             for i in range(rows):
-                s = shingle_set(data[off[i] : off[i + 1]], shingle)
+                every = shingle_hashes(data[off[i] : off[i + 1]], shingle, seed)
+                s = np.unique(every)
                 h[i], n[i] = set_hash(s), len(s)
                 if len(s):
-                    held.append(s), who.append(i)
-                    few += len(s)
-                if few > 200_000:
+                    lists.append(every), held.append(s), who.append(i)
+                    few += len(every)
+                if few > 100_000:
                     flush()
                     few = 0
             flush()
-            return {"doc_id": batch.column(0), "h": h, "n": n, "keys": pa.array(keys, pa.list_(pa.int64()))}
+            return {"doc_id": batch.column(0), "th": batch.column(2), "h": h, "n": n, "fp": fp.view(np.int64), "keys": pa.array(keys, pa.list_(pa.int64()))}
 
         return work
 
     kind = docs.schema[key].dataType.simpleString()
-    return map_text(docs, keyed(docs, key, text), f"doc_id {kind}, h bigint, n bigint, keys array<bigint>", make)
+    return map_text(docs, keyed(docs, key, text, text_hash(text).alias("th")), f"doc_id {kind}, th bigint, h bigint, n bigint, fp bigint, keys array<bigint>", make)
+
 
+def near_pairs(key: np.ndarray, n: np.ndarray, h: np.ndarray, similarity: float, going_on: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Candidates (larger h, smaller h) of buckets in order of key and size; rows of large buckets and the first of their bucket.
 
-def near_pairs(key: np.ndarray, n: np.ndarray, h: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Candidates (larger h, smaller h) of whole buckets in order of key and size; rows of large buckets and the first of their bucket."""
+    ``going_on``: the first bucket is the rest of a large one, after its first row and its last two so far.
+    """
     begin = np.flatnonzero(np.diff(key, prepend=key[:1] - 1))
     count = np.diff(np.append(begin, len(key)))
     first, many = np.repeat(begin, count), np.repeat(count, count)
     big = many > SMALL
+    big[first == 0] |= going_on
     row = np.arange(len(key))
     left, right = [], []
     for d in range(1, SMALL):
@@ -129,15 +125,18 @@ def near_pairs(key: np.ndarray, n: np.ndarray, h: np.ndarray, similarity: float)
     return np.maximum(x, y), np.minimum(x, y), h[big], h[first[big]]
 
 
-def candidates(filed: DataFrame, similarity: float) -> DataFrame:
-    """(a, b, big) from (key, n, h): candidate pairs, and (set, a set of its bucket) for the sets in large buckets where ``big``."""
+def candidates(filed: DataFrame, similarity: float, most: int = 100_000) -> DataFrame:
+    """(a, b, big) from (key, n, h): candidate pairs, and (set, a set of its bucket) for the sets in large buckets where ``big``.
+
+    A task holds some ``most`` rows at a time: of a longer bucket, its first row and its last two are carried on.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
-        rows = 0
+        rows, going_on = 0, False
 
         def out(x: np.ndarray) -> pa.RecordBatch:
-            a, b, many, first = near_pairs(x[0], x[1], x[2], similarity)
+            a, b, many, first = near_pairs(x[0], x[1], x[2], similarity, going_on)
             pairs = np.unique(np.stack([a, b], axis=1), axis=0)
             mark = np.arange(len(pairs) + len(many)) >= len(pairs)
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate([pairs[:, 0], many])), pa.array(np.concatenate([pairs[:, 1], first])), pa.array(mark)], names=["a", "b", "big"])
@@ -145,16 +144,20 @@ def candidates(filed: DataFrame, similarity: float) -> DataFrame:
         for batch in batches:
             held.append(np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]))
             rows += batch.num_rows
-            if rows > 100_000:
+            if rows > most:
                 x = np.concatenate(held, axis=1)
                 whole = int(np.searchsorted(x[0], x[0, -1]))
                 if whole:
                     yield out(x[:, :whole])
-                held, rows = [x[:, whole:]], x.shape[1] - whole
+                    x, going_on = x[:, whole:], False
+                if x.shape[1] > max(most // 2, SMALL):
+                    yield out(x)
+                    x, going_on = x[:, [0, -2, -1]], True
+                held, rows = [x], x.shape[1]
         if rows:
             yield out(np.concatenate(held, axis=1))
 
-    return filed.select("key", "n", "h").repartition("key").sortWithinPartitions("key", "n", "h").mapInArrow(run, "a bigint, b bigint, big boolean")
+    return map_arrow(filed.select("key", "n", "h").repartition("key").sortWithinPartitions("key", "n", "h"), run, "a bigint, b bigint, big boolean")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -167,30 +170,33 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
             total = np.array([len(x) + len(y) for x, y in zip(a, b)], np.int64) - same
             yield batch.select([0, 1]).filter(pa.array(same >= similarity * total, pa.bool_()))
 
-    return pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
+    return map_arrow(pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y"), run, "a bigint, b bigint")
 
 
-def member_sets(docs: DataFrame, ids: DataFrame, shingle: int, key: str, text: str) -> DataFrame:
-    """(h, set) of the documents of ``ids`` (one column, id), each set once."""
+def member_sets(docs: DataFrame, first: DataFrame, shingle: int, seed: int, key: str, text: str, repeated: bool) -> DataFrame:
+    """(h, set) of the documents ``first`` (id, th), each set once; ``repeated``: an id may have a text in several rows."""
 
     def make():
         def work(batch: pa.RecordBatch) -> dict:
             raw, off = utf8(batch.column(1))
             data = raw.tobytes()
-            sets = [shingle_set(data[off[i] : off[i + 1]], shingle) for i in range(batch.num_rows)]
+            sets = [np.unique(shingle_hashes(data[off[i] : off[i + 1]], shingle, seed)) for i in range(batch.num_rows)]
             return {"h": np.array([set_hash(s) for s in sets], np.int64), "set": pa.array([s.tobytes() for s in sets], pa.binary())}
 
         return work
 
-    mine = docs.select(*keyed(docs, key, text))
-    return map_text(mine.join(ids, mine.doc_id.eqNullSafe(ids.id), "left_semi"), ["doc_id", "text"], "h bigint, set binary", make).dropDuplicates(["h"])
+    mine, to = docs.select(*keyed(docs, key, text, text_hash(text).alias("th"))), first.toDF("to_id", "to_th")
+    found = mine.join(if_small(to), mine["doc_id"].eqNullSafe(to["to_id"]) & (mine["th"] == to["to_th"]), "left_semi")
+    sets = map_text(found, ["doc_id", "text"], "h bigint, set binary", make)
+    return sets.dropDuplicates(["h"]) if repeated else sets
 
 
-def links(docs: DataFrame, own: DataFrame, similarity: float, shingle: int, key: str, text: str) -> DataFrame:
-    """Verified links (a, b) over the distinct sets ``own`` (h, first_id, n, keys)."""
+def links(docs: DataFrame, own: DataFrame, similarity: float, shingle: int, seed: int, key: str, text: str, repeated: bool) -> DataFrame:
+    """Verified links (a, b) over the distinct sets ``own`` (h, first: struct of id and th, n, keys)."""
     found = cut(candidates(own.select(F.explode("keys").alias("key"), "n", "h"), similarity))
     nodes = found.select(F.col("a").alias("h")).unionByName(found.where("not big").select(F.col("b").alias("h"))).distinct()
-    sets = cut(member_sets(docs, own.join(nodes, "h", "left_semi").select(F.col("first_id").alias("id")).distinct(), shingle, key, text).join(nodes, "h", "left_semi"))
+    first = cut(own.join(nodes, "h", "left_semi").select("first.id", "first.th"))
+    sets = cut(member_sets(docs, first, shingle, seed, key, text, repeated))
     out = cut(verified(found.where("not big").select("a", "b").distinct(), sets, similarity))
     big = found.where("big").select("a", "b")
     if big.isEmpty():
@@ -233,7 +239,7 @@ def across(dealt: DataFrame, similarity: float) -> DataFrame:
         if held:
             yield out()
 
-    return dealt.select(*where, "own", "label", "h", "set").repartition(*where).sortWithinPartitions(*where).mapInArrow(run, "a bigint, b bigint")
+    return map_arrow(dealt.select(*where, "own", "label", "h", "set").repartition(*where).sortWithinPartitions(*where), run, "a bigint, b bigint")
 
 
 def forest(sets: list[np.ndarray], label: np.ndarray, block: np.ndarray, inside: bool, similarity: float) -> list[tuple[int, int]]:
@@ -256,30 +262,3 @@ def forest(sets: list[np.ndarray], label: np.ndarray, block: np.ndarray, inside:
                 out.append((i, k))
                 label[label == label[k]] = label[i]
     return out
-
-
-def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each component of near copies: that of the smallest id."""
-    rows = cut(sketches(docs, shingle, key, text))
-    own = cut(rows.groupBy("h").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("keys").alias("keys")))
-    root = components(links(docs, own, similarity, shingle, key, text))
-    member = own.join(root, own.h == root.node, "left").select("h", "first_id", F.coalesce("root", "h").alias("root"))
-    # one set of each component: that of the smallest id, named ids first
-    stay = cut(member.groupBy("root").agg(F.min(F.struct(F.col("first_id").isNull().alias("none"), F.col("first_id").alias("id"), F.col("h"))).alias("t")).select(F.col("t.id").alias("__id"), F.col("t.h").alias("__stay")))
-    twice = cut(rows.groupBy("doc_id").count().where("count > 1 or doc_id is null").select(F.col("doc_id").alias("__twice")))
-    kept = docs.join(stay, docs[key] == stay["__id"], "left_semi")
-    if twice.isEmpty():
-        return kept
-    at = docs.columns.index(text)
-
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, text):
-            raw, off = utf8(batch.column(at))
-            data = raw.tobytes()
-            yield batch.append_column("__h", pa.array([set_hash(shingle_set(data[off[i] : off[i + 1]], shingle)) for i in range(batch.num_rows)], pa.int64()))
-
-    schema = docs.withColumn("__h", F.lit(0).cast("long")).schema
-    again = docs.join(twice, docs[key].eqNullSafe(twice["__twice"]), "left_semi").mapInArrow(name, schema)
-    one = again.join(stay, again[key].eqNullSafe(stay["__id"]) & (again["__h"] == stay["__stay"])).dropDuplicates(["__stay"])
-    once = kept.join(twice, kept[key].eqNullSafe(twice["__twice"]), "left_anti")
-    return once.unionByName(one.select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -25,8 +25,8 @@ def op2_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines counted and removed in each document, and the digest of the text that stays (null: empty)."""
     found = line_spread.spread(table(spark, sf_dir, "documents"))
-    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
-    return found.select("doc_id", F.col("__lines").alias("n_lines"), F.col("__removed").alias("n_removed"), digest.alias("text_sha256"))
+    digest = F.sha2(F.coalesce("row.text", F.lit("")).cast("binary"), 256)
+    return found.select("row.doc_id", "n_lines", "n_removed", digest.alias("text_sha256"))
 
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

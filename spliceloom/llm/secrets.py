@@ -10,11 +10,15 @@ decoded by Viterbi, many lines at a time.
 
 The field is trained on lines made from templates and random secrets, and on the
 lines of a bounded sample of texts tagged by the rules: the ``SAMPLE_ROWS`` rows
-with the smallest hash.  All texts are scanned whole.
+with the smallest hash among those of ``SAMPLE_CHARS`` characters or fewer.  All
+texts are scanned whole.
 
 Defined results: null and empty texts have no spans; spans are in code points,
-end exclusive; of field spans, those that touch a rule's span are dropped, the
-rules' spans always stay.
+end exclusive, by start and then by kind (ties); of field spans, those that touch
+a rule's span are dropped, the rules' spans always stay; a long text is handled
+alone, in time that grows with its length; repeated rows and null ids return
+their own rows; an empty table is empty, and the field then learns from the
+templates alone; other columns of the table are not read.
 """
 
 from __future__ import annotations
@@ -29,10 +33,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, keyed, map_text, utf8, word_hash
+from .common import ascii_lower, keyed, map_text, named, utf8, word_hash
 
-#: Texts of which the field learns, at most.
-SAMPLE_ROWS = 200
+#: Texts of which the field learns, at most, and the most characters that one of them may have.
+SAMPLE_ROWS, SAMPLE_CHARS = 200, 20_000
 WORD_BUCKETS = 1 << 12
 KINDS = ("assign", "access", "hex", "crf")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -310,10 +314,11 @@ def train(lines: list[tuple[str, list[tuple[int, int]]]], rounds: int = 60, rate
 
 def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, key: str = "doc_id", text: str = "text") -> dict[str, np.ndarray]:
     """The field's weights: a few hundred kilobytes whatever the table's size."""
-    h = F.xxhash64(F.col(f"`{key}`"))
-    named = docs.where(F.col(f"`{text}`").isNotNull() & F.col(f"`{key}`").isNotNull())
-    least = [r.h for r in named.select(h.alias("h")).distinct().orderBy("h").limit(rows).collect()]  # numbers alone travel
-    few = named.where(h.isin(least)).groupBy(h.alias("h")).agg(F.min(F.col(f"`{text}`").cast("string")).alias("t")) if least else None
+    h = F.xxhash64(named(key))
+    few_chars = F.length(named(text).cast("string")) <= SAMPLE_CHARS
+    rows_ = docs.where(named(key).isNotNull() & few_chars)
+    least = [r.h for r in rows_.select(h.alias("h")).distinct().orderBy("h").limit(rows).collect()]  # numbers alone travel
+    few = rows_.where(h.isin(least)).groupBy(h.alias("h")).agg(F.min(named(text).cast("string")).alias("t")) if least else None
     got = sorted(r.t for r in few.collect()) if few is not None else []
     return train(made_lines() + [(x, [(m.start(2), m.end(2)) if k == 0 else (a, b) for a, k, b in rule_spans(x) if (m := ASSIGN.match(x, a)) or k]) for x in got])
 
@@ -333,6 +338,16 @@ def field_spans(raw: np.ndarray, off: np.ndarray, model: dict[str, np.ndarray])
     return t.row[a], t.start[a], t.end[b]
 
 
+def touched(a: np.ndarray, b: np.ndarray, spans: list[tuple[int, int, int]]) -> np.ndarray:
+    """Which of the spans a to b share a place with one of ``spans``, which come by start."""
+    if not spans:
+        return np.zeros(len(a), bool)
+    begin = np.array([x for x, _, _ in spans])
+    furthest = np.maximum.accumulate([y for _, _, y in spans])
+    before = np.searchsorted(begin, b)  # spans that begin before b
+    return (before > 0) & (furthest[before - 1] > a)
+
+
 def scan(docs: DataFrame, model: dict[str, np.ndarray], key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, n_crf, base_sha256, spans: one row per input row."""
     box = docs.sparkSession.sparkContext.broadcast(model)
@@ -346,16 +361,15 @@ def scan(docs: DataFrame, model: dict[str, np.ndarray], key: str = "doc_id", tex
             row, start, end = field_spans(raw, off, weights)
             edge = np.searchsorted(row, np.arange(n + 1))
             look = maybe(raw, off) | (np.diff(edge) > 0)
+            point = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80, dtype=np.int32 if len(raw) < 1 << 31 else np.int64)])  # code points before each byte
             counts = np.zeros((4, n), np.int64)
             base_sha, spans = [_NONE] * n, [""] * n
             for i in np.flatnonzero(look).tolist():
-                part = raw[off[i] : off[i + 1]].tobytes()
-                found = rule_spans(part.decode())
+                found = rule_spans(raw[off[i] : off[i + 1]].tobytes().decode())
                 base_sha[i] = hashlib.sha256(_joined(found).encode()).hexdigest()
-                # bytes to code points
-                points = lambda b, part=part, i=i: len(part[: b - off[i]].decode())
-                more = [(points(a), 3, points(b)) for a, b in zip(start[edge[i] : edge[i + 1]], end[edge[i] : edge[i + 1]])]
-                more = [x for x in more if not any(x[0] < b and a < x[2] for a, _, b in found)]
+                a, b = (point[x[edge[i] : edge[i + 1]]] - point[off[i]] for x in (start, end))
+                alone = ~touched(a, b, found)
+                more = [(x, 3, y) for x, y in zip(a[alone].tolist(), b[alone].tolist())]
                 every = sorted(found + more)
                 for _, k, _ in every:
                     counts[k, i] += 1

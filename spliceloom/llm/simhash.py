@@ -13,11 +13,13 @@ point one bit away from both (or are one bit apart).  So each member is filed
 under itself and its one-bit neighbours and linked to the smallest member of
 each file: linear in the bucket, and no wrong or lost link.  Buckets above
 ``max_bucket`` are divided by the same seven masks over the left-out positions,
-again without loss.
+again without loss, until none is.
 
 Defined results: null or empty text, or no words, has fingerprint 0 and links
-like any other; repeated rows each return a row; a null doc_id keeps its row and
-never names a component unless all ids of it are null; an empty table is empty.
+like any other; long texts are taken whole; equal fingerprints (ties) are one
+class; repeated rows each return a row; a null doc_id keeps its row and never
+names a component unless all ids of it are null; an empty table is empty; other
+columns may have any name, and ``keep_one`` returns them as they are.
 """
 
 from __future__ import annotations
@@ -26,54 +28,48 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, keyed, map_text, utf8
+from . import near_sets
+from .common import cut, keep_rows, keyed, map_arrow, map_text, utf8
+from .graph import components
+from .shingles import majority, shingle_hashes
 
 RADIUS = 2
 BITS = 64
+EVERY = (1 << BITS) - 1
 TABLES = 7
-#: Distinct fingerprints of one bucket that a task takes at once (33 filings of 8 bytes each).
-MAX_BUCKET = 500_000
+#: Distinct fingerprints of one bucket that a task takes at once (some 40 filings of 60 bytes each).
+MAX_BUCKET = 1 << 15
+#: Buckets are not divided below this: division ends at four left-out bits or fewer, and no bucket is larger then.
+LEAST_BUCKET = 16
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and its 64-bit fingerprint ``fp`` (as a signed long), one row per input row."""
 
     def make():
-        h = xxhash.xxh64_intdigest
-
         def work(batch: pa.RecordBatch) -> dict:
             raw, off = utf8(batch.column(1))
-            data, out = raw.tobytes().lower(), np.zeros(batch.num_rows, np.uint64)  # bytes.lower() changes A-Z alone
-            held: list[int] = []
-            sizes: list[int] = []
+            data, out = raw.tobytes(), np.zeros(batch.num_rows, np.uint64)
+            held: list[np.ndarray] = []
             rows: list[int] = []
+            size = 0
 
             def flush() -> None:
                 if held:
-                    out[rows] = _majority(np.array(held, np.uint64), np.array(sizes))
-                    held.clear(), sizes.clear(), rows.clear()
+                    out[rows] = majority(held)
+                    held.clear(), rows.clear()
 
             for i in range(batch.num_rows):
-                words = data[off[i] : off[i + 1]].split()  # splits at 0x20 and 0x09-0x0D
-                if not words:
-                    continue
-                joined = b" ".join(words)
-                if len(words) <= shingle:
-                    got = [h(joined, seed)]
-                else:
-                    size = np.fromiter(map(len, words), np.int64, len(words))
-                    end = np.cumsum(size + 1) - 1
-                    start = end - size
-                    got = [h(joined[a:b], seed) for a, b in zip(start[: 1 - shingle].tolist(), end[shingle - 1 :].tolist())]
-                held += got
-                sizes.append(len(got))
-                rows.append(i)
-                if len(held) > 200_000:
+                got = shingle_hashes(data[off[i] : off[i + 1]], shingle, seed)
+                if len(got):
+                    held.append(got), rows.append(i)
+                    size += len(got)
+                if size > 200_000:
                     flush()
+                    size = 0
             flush()
             return {"doc_id": batch.column(0), "fp": out.view(np.int64)}
 
@@ -83,24 +79,11 @@ def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42, key: str = "
     return map_text(docs, keyed(docs, key, text), f"doc_id {kind}, fp bigint", make)
 
 
-def _majority(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Per group of consecutive hashes, the bits that over half of them have."""
-    at = np.cumsum(sizes) - sizes
-    fp = np.zeros(len(sizes), np.uint64)
-    for low in range(0, BITS, 8):
-        byte = ((hashes >> np.uint64(low)) & np.uint64(255)).astype(np.uint8)
-        ones = np.add.reduceat(np.unpackbits(byte[:, None], axis=1, bitorder="little"), at, axis=0, dtype=np.int32)
-        bits = np.packbits(2 * ones > sizes[:, None], axis=1, bitorder="little")[:, 0]
-        fp |= bits.astype(np.uint64) << np.uint64(low)
-    return fp
-
-
-def masks(left_out: int = (1 << BITS) - 1, depth: int = 0) -> list[int]:
+def masks(left_out: int = EVERY) -> list[int]:
     """The seven masks of kept bits among ``left_out``; bits outside it are kept by all."""
     free = [i for i in range(BITS) if left_out >> i & 1]
-    vector = {p: (k + depth) % TABLES + 1 for k, p in enumerate(free)}
-    every = (1 << BITS) - 1
-    return [every & ~sum(1 << p for p in free if bin(vector[p] & v).count("1") % 2) for v in range(1, TABLES + 1)]
+    vector = {p: k % TABLES + 1 for k, p in enumerate(free)}
+    return [EVERY & ~sum(1 << p for p in free if bin(vector[p] & v).count("1") % 2) for v in range(1, TABLES + 1)]
 
 
 def _signed(x: int) -> int:
@@ -125,9 +108,9 @@ def star_links(fp: np.ndarray, group: np.ndarray, kept: np.ndarray) -> tuple[np.
         a, g = fp[mine], group[mine]
         _, g = np.unique(g, return_inverse=True)
         flips = [0] + [1 << i for i in range(BITS) if not int(table) >> i & 1]
-        # 2**20 filings or so at a time, whole buckets together
+        # 2**20 filings or so at a time, or one bucket
         edges = np.flatnonzero(np.diff(g, prepend=-1))
-        step = max(1, (1 << 22) // len(flips))
+        step = max(1, (1 << 20) // len(flips))
         lo = 0
         while lo < len(a):
             hi = int(edges[np.searchsorted(edges, lo + step)]) if lo + step < len(a) and np.searchsorted(edges, lo + step) < len(edges) else len(a)
@@ -148,30 +131,28 @@ def star_links(fp: np.ndarray, group: np.ndarray, kept: np.ndarray) -> tuple[np.
 
 def links(fps: DataFrame, max_bucket: int = MAX_BUCKET) -> DataFrame:
     """Links (a, b), a != b, over distinct fingerprints ``fp`` that connect exactly what radius 2 connects."""
-    level = _filed(fps.select("fp"), [((1 << BITS) - 1, 0)])
+    whole = fps.select(F.lit(0).cast("long").alias("kept"), "fp")
+    level = _filed(whole, [0])
     out = None
-    for _ in range(4):
-        crowd = level.groupBy("kept", "bucket").count().where(F.col("count") > max_bucket).select("kept", "bucket")
-        hot = cut(crowd)
-        if hot.isEmpty():
-            break
-        small = level.join(hot, ["kept", "bucket"], "left_anti")
-        out = _in_buckets(small) if out is None else out.unionByName(_in_buckets(small))
-        big = level.join(hot, ["kept", "bucket"], "left_semi")
-        tables = [r.kept for r in big.select("kept").distinct().collect()]  # at most 7 to the level's power
-        parts = [_filed(big.where(F.col("kept") == k).select("fp"), [(~k & ((1 << BITS) - 1), 0)]) for k in tables]
-        level = parts[0]
-        for p in parts[1:]:
-            level = level.unionByName(p)
-        level = cut(level.distinct())
-    rest = _in_buckets(level)
-    return rest if out is None else out.unionByName(rest)
-
-
-def _filed(fps: DataFrame, left: list[tuple[int, int]]) -> DataFrame:
-    """Each fingerprint once under each table: kept (the mask, signed), bucket (the masked bits), fp."""
-    rows = [F.struct(F.lit(_signed(m)).cast("long").alias("kept"), F.col("fp").bitwiseAND(F.lit(_signed(m)).cast("long")).alias("bucket")) for out, d in left for m in masks(out, d)]
-    return fps.select("fp", F.explode(F.array(*rows)).alias("t")).select("t.kept", "t.bucket", "fp")
+    while True:
+        hot = cut(level.groupBy("kept", "bucket").count().where(F.col("count") > max(max_bucket, LEAST_BUCKET)).select("kept", "bucket"))
+        tables = [r.kept for r in hot.select("kept").distinct().collect()]  # at most 7 to the level's power
+        found = _in_buckets(level.join(hot, ["kept", "bucket"], "left_anti") if tables else level)
+        out = found if out is None else out.unionByName(found)
+        if not tables:
+            return out
+        level = cut(_filed(level.join(hot, ["kept", "bucket"], "left_semi").select("kept", "fp"), tables).distinct())
+
+
+def _filed(fps: DataFrame, tables: list[int]) -> DataFrame:
+    """Each (kept, fp) once under each of the seven masks that divide what its table leaves out: kept (the mask, signed), bucket, fp."""
+    masks_of = [(k, _signed(m)) for k in tables for m in masks(~k & EVERY)]
+    if len(tables) == 1:
+        finer = fps.select("fp", F.explode(F.array(*[F.lit(m).cast("long") for _, m in masks_of])).alias("kept"))
+    else:
+        to = fps.sparkSession.createDataFrame(masks_of, "kept long, finer long")
+        finer = fps.join(F.broadcast(to), "kept").select("fp", F.col("finer").alias("kept"))
+    return finer.select("kept", F.col("fp").bitwiseAND(F.col("kept")).alias("bucket"), "fp")
 
 
 def _in_buckets(filed: DataFrame) -> DataFrame:
@@ -200,37 +181,7 @@ def _in_buckets(filed: DataFrame) -> DataFrame:
         if held and rows:
             yield links_of(np.ascontiguousarray(np.concatenate(held, axis=1)))
 
-    return filed.repartition("kept", "bucket").sortWithinPartitions("kept", "bucket").mapInArrow(run, "a bigint, b bigint")
-
-
-def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
-    """(node, root) for every node of ``edges`` (a, b): root is the smallest node reachable.
-
-    Alternates linking each node's larger neighbours to its smallest neighbour and
-    its smaller ones likewise; every round is cut to the shared folder.  Only the
-    number and a checksum of the links reach the driver.
-    """
-    now = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
-    seen = _sum(now)
-    for _ in range(most_rounds):
-        if seen[0] == 0:
-            break
-        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        now = cut(small.select("e.*").where("a <> b").distinct())
-        if (after := _sum(now)) == seen:
-            break
-        seen = after
-    else:
-        raise RuntimeError("components did not settle")
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
-
-
-def _sum(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+    return map_arrow(filed.repartition("kept", "bucket").sortWithinPartitions("kept", "bucket"), run, "a bigint, b bigint")
 
 
 def classes(fps: DataFrame, max_bucket: int = MAX_BUCKET) -> DataFrame:
@@ -248,30 +199,27 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, seed: int = 42, key: str
     return fps.join(classes(fps), "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = 3, seed: int = 42, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each near-duplicate group: that of the smallest id.
+def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, seed: int = 42, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of near copies: that of the smallest id.
 
-    Of rows that share the id, one stays in each group of which it is the smallest.
-    A row with a null id stays only where its whole group has none, one for each
-    such group.
+    Documents link where their fingerprints (here of five-word shingles) are within
+    the radius, and, as few fingerprints of edited copies are, also where their sets
+    of shingles have a Jaccard similarity of ``similarity`` or more (``near_sets``).
+    Of rows with one id but different texts the one with the smallest text hash
+    stands for the id; a row with a null id stays only where its whole group has no
+    other; see ``common.keep_rows`` for rows equal in both.
     """
-    fps = cut(fingerprints(docs, shingle, seed, key, text))
-    group = cut(classes(fps))
-    stay = cut(fps.join(group, "fp").where("doc_id = component_id").groupBy("root").agg(F.min("doc_id").alias("__stay"), F.min("fp").alias("__own")))
-    named = docs.where(F.col(f"`{key}`").isNotNull())
-    kept = named.join(stay, named[key] == stay["__stay"], "left_semi")
-    twice = cut(fps.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__twice")))
-    if not twice.isEmpty():
-        many = kept.join(twice, kept[key] == twice["__twice"], "left_semi").withColumn("__h", F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
-        print_of = fingerprints(many, shingle, seed, "__h", text).select(F.col("doc_id").alias("__g"), F.col("fp").alias("__f")).distinct()
-        many = many.join(print_of, F.col("__h") == F.col("__g"))
-        lasting = stay.withColumnRenamed("root", "__root")
-        one = many.join(lasting, (many[key] == lasting["__stay"]) & (many["__f"] == lasting["__own"])).dropDuplicates(["__root"])
-        kept = kept.join(twice, kept[key] == twice["__twice"], "left_anti").unionByName(one.select(*[F.col(f"`{c}`") for c in docs.columns]))
-    nameless = group.where("component_id is null").select(F.col("fp").alias("__fp"), F.col("root").alias("__root"))
-    if nameless.isEmpty():
-        return kept
-    kind = docs.where(F.col(f"`{key}`").isNull()).withColumn("__h", F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
-    seen = fingerprints(kind, shingle, seed, "__h", text).select(F.col("doc_id").alias("__g"), F.col("fp").alias("__f")).distinct()
-    one = kind.join(seen, F.col("__h") == F.col("__g")).join(nameless, F.col("__f") == F.col("__fp")).dropDuplicates(["__root"])
-    return kept.unionByName(one.select(*[F.col(f"`{c}`") for c in docs.columns]))
+    rows = cut(near_sets.sketches(docs, shingle, seed, key, text))
+    own = cut(rows.groupBy("h").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "th")).alias("first"), F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("keys").alias("keys")))
+    head = own.groupBy("fp").agg(F.min("h").alias("head"))
+    alike = own.join(head, "fp").select(F.col("h").alias("a"), F.col("head").alias("b"))
+    near = cut(links(head.select("fp")))
+    across = near.join(head.toDF("a", "x"), "a").join(head.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    pair = cut(rows.groupBy("doc_id", "th").agg(F.count("*").alias("rows")).select(F.col("doc_id").alias("id"), "th", (F.col("rows") > 1).alias("many")))
+    repeated = not pair.where("many").isEmpty()
+    root = components(alike.unionByName(across).unionByName(near_sets.links(docs, own, similarity, shingle, seed, key, text, repeated)))
+    member = own.join(root, own.h == root.node, "left").select("h", "first", F.coalesce("root", "h").alias("root"))
+    stay = member.groupBy("root").agg(F.min("first").alias("first"))
+    first = stay.select(F.col("first.id").alias("stay_id"), F.col("first.th").alias("stay_th"))
+    judged = pair.join(first, pair["id"].eqNullSafe(first["stay_id"]) & (pair["th"] == first["stay_th"]), "left")
+    return keep_rows(docs, cut(judged.select("id", "th", "many", F.col("stay_th").isNotNull().alias("stays"))), key, text)

@@ -9,9 +9,16 @@ it, word after word, which gives its longest verbatim match and, at window
 length, all places where the window occurs.  Words of hits are compared byte by
 byte, so a hash collision cannot make a hit.
 
-Defined results: null text has no words; an item of fewer than ``window`` words
-is one window, one of none has no window; repeated rows and ids return their own
-rows; a document is hit by an item once however often it occurs.
+Items come in blocks of bounded size, each one broadcast.  A task holds one
+shard and one block at a time and goes through the blocks for every shard, so
+neither its memory nor the plan grows with the number of items.
+
+Defined results: null and empty texts have no words; an item of fewer than
+``window`` words is one window, one of none has no window; long texts are one
+shard of their own; items with equal windows (ties) are all named; repeated rows
+and ids return their own rows; a document is hit by an item once however often it
+occurs; without items, or with an empty table, nothing is hit; other columns may
+have any name and ``decontaminate`` returns them as they are.
 """
 
 from __future__ import annotations
@@ -21,11 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, filter_text, keyed, map_text, utf8, word_bounds, word_hash
+from .common import CHUNK_BYTES, ascii_lower, filter_text, keyed, map_text, named, utf8, word_bounds, word_hash
 
 WINDOW = 10
-#: UTF-8 bytes of items that are searched in one pass over the documents; more items take more passes.
-BLOCK_BYTES = 16 << 20
+#: UTF-8 bytes of one block of items; a longer item alone is a block.
+BLOCK_BYTES = 8 << 20
+#: Bytes of a shard at most: as many as the items have, within CHUNK_BYTES and this.
+MOST_SHARD_BYTES = 12 << 20
 
 
 def _word_bytes() -> np.ndarray:
@@ -46,7 +55,9 @@ class Items:
         h = word_hash(low, s, e)
         self.hashes, first, self.words = np.unique(h, return_index=True, return_inverse=True)
         self.words = self.words.astype(np.int64) + 1
-        self.spelled = [low[s[i] : e[i]].tobytes() for i in first]
+        size = e[first] - s[first]
+        self.at = np.concatenate([[0], np.cumsum(size)])
+        self.spelled = low[np.arange(int(self.at[-1])) + np.repeat(s[first] - self.at[:-1], size)].tobytes()
         self.ids = [str(x) for x in ids]
         cut_at = np.searchsorted(s, off)
         count = np.diff(cut_at)
@@ -165,7 +176,7 @@ def scan_shard(raw: np.ndarray, off: np.ndarray, items: Items) -> dict:
             np.add.at(mark, p, 1)
             np.add.at(mark, p + items.length[w], -1)
         hit = np.cumsum(mark[:n]) > 0
-        wrong = [i for i in np.flatnonzero(hit) if low[s[i] : e[i]].tobytes() != items.spelled[words[i] - 1]]
+        wrong = [i for i in np.flatnonzero(hit) if low[s[i] : e[i]].tobytes() != items.spelled[items.at[words[i] - 1] : items.at[words[i]]]]
         if not wrong:
             break
         words[wrong] = 0
@@ -194,56 +205,70 @@ def scan_shard(raw: np.ndarray, off: np.ndarray, items: Items) -> dict:
     return out
 
 
-def matches(docs: DataFrame, bench: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, hit_items (array), longest (verbatim match of an item with
-    an occurring window, in words), spans (array: start and end byte of each run of hits).
-
-    Items reach the executors in blocks of ``block_bytes`` at most (a longer item alone is one
-    block); each further block is one more step over the same rows.
-    """
-    spark = docs.sparkSession
-    kind = docs.schema[key].dataType.simpleString()
-    df = docs.select(*keyed(docs, key, text), F.lit(None).cast("array<bigint>").alias("hits"), F.lit(None).cast("array<string>").alias("hit_items"), F.lit(0).cast("bigint").alias("n_words"), F.lit(0).cast("bigint").alias("longest"))
-    for ids, texts in _blocks(bench.select(F.col(f"`{item_key}`"), F.col(f"`{item_text}`")), block_bytes):
-        box = spark.sparkContext.broadcast((ids, texts))
-
-        def make(box=box):
-            items = Items(*box.value, window)
-
-            def work(batch: pa.RecordBatch) -> dict:
-                raw, off = utf8(batch.column(1))
-                got = scan_shard(raw, off, items)
-                old_hits, old_items = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-                hits = [(h or []) + [x for span in g for x in span] for h, g in zip(old_hits, got["spans"])]
-                both = [sorted({*(h or []), *g}) for h, g in zip(old_items, got["items"])]
-                return {"doc_id": batch.column(0), "text": batch.column(1), "hits": pa.array(hits, pa.list_(pa.int64())), "hit_items": pa.array(both, pa.list_(pa.string())), "n_words": got["n_words"].astype(np.int64), "longest": np.maximum(batch.column(5).to_numpy(), got["longest"])}
-
-            return work
+class Blocks:
+    """Broadcast blocks of items, of which a task holds one at a time."""
+
+    def __init__(self, bench: DataFrame, window: int, item_key: str, item_text: str, block_bytes: int):
+        sc = bench.sparkSession.sparkContext
+        self.boxes, self.bytes = [], 0
+        for ids, texts in _blocks(bench.select(named(item_key), named(item_text)), block_bytes):
+            self.bytes = max(self.bytes, sum(len(t or "") for t in texts))
+            self.boxes.append(sc.broadcast(Items(ids, texts, window)))
+
+    def __iter__(self):
+        for box in self.boxes:
+            yield box.value
+            if len(self.boxes) > 1:
+                box.__dict__.pop("_value", None)  # it is read again from the executor's copy
+
+    @property
+    def shard_bytes(self) -> int:
+        """More items are worth larger shards, as each is searched for in every shard."""
+        return min(MOST_SHARD_BYTES, max(CHUNK_BYTES, self.bytes))
+
+
+def scan_blocks(raw: np.ndarray, off: np.ndarray, blocks) -> dict:
+    """``scan_shard`` over all blocks of items: hits are united."""
+    out = None
+    for items in blocks:
+        got = scan_shard(raw, off, items)
+        if out is None:
+            out, many = got, False
+            continue
+        many = True
+        out["longest"] = np.maximum(out["longest"], got["longest"])
+        out["items"] = [a + b for a, b in zip(out["items"], got["items"])]
+        out["spans"] = [a + b for a, b in zip(out["spans"], got["spans"])]
+    if many:
+        keep, low = _word_bytes(), ascii_lower()
+        for i, spans in enumerate(out["spans"]):
+            if spans:
+                s, e = word_bounds(keep[low[raw[off[i] : off[i + 1]]]], np.array([0, off[i + 1] - off[i]]))
+                step = np.zeros(len(s) + 1, np.int64)
+                for k, side in ((0, 1), (1, -1)):  # hit words, whichever blocks hit them
+                    np.add.at(step, np.searchsorted(s, [x[k] for x in spans]), side)
+                hit = np.cumsum(step[:-1]) > 0
+                turn = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
+                out["n_hit"][i] = hit.sum()
+                out["spans"][i] = [(int(s[a]), int(e[b - 1])) for a, b in zip(turn[::2], turn[1::2])]
+    return out
 
-        df = map_text(df, df.columns, f"doc_id {kind}, text string, hits array<bigint>, hit_items array<string>, n_words bigint, longest bigint", make)
 
-    def make_last():
-        keep = _word_bytes()
+def matches(docs: DataFrame, bench: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """One row per document: doc_id, n_words, n_hit, hit_items (array), longest (verbatim match of an item with
+    an occurring window, in words), spans (array: start and end byte of each run of hits)."""
+    blocks = Blocks(bench, window, item_key, item_text, block_bytes)
 
+    def make():
         def work(batch: pa.RecordBatch) -> dict:
-            raw, off = utf8(batch.column(1))
-            hit, spans = [], []
-            for i, flat in enumerate(batch.column(2).to_pylist()):
-                merged: list[list[int]] = []
-                for a, b in sorted(zip((flat or [])[::2], (flat or [])[1::2])):
-                    if merged and a <= merged[-1][1]:
-                        merged[-1][1] = max(b, merged[-1][1])
-                    else:
-                        merged.append([a, b])
-                row = ascii_lower()[raw[off[i] : off[i + 1]]] if merged else None
-                count = lambda x: len(word_bounds(keep[x], np.array([0, len(x)]))[0])
-                hit.append(sum(count(row[a:b]) for a, b in merged))
-                spans.append([x for m in merged for x in m])
-            return {"doc_id": batch.column(0), "n_words": batch.column(4), "n_hit": pa.array(hit, pa.int64()), "hit_items": batch.column(3), "longest": batch.column(5), "spans": pa.array(spans, pa.list_(pa.int64()))}
+            got = scan_blocks(*utf8(batch.column(1)), blocks)
+            hit_items, spans = [sorted(set(x)) for x in got["items"]], [[x for s in row for x in s] for row in got["spans"]]
+            return {"doc_id": batch.column(0), "n_words": got["n_words"].astype(np.int64), "n_hit": got["n_hit"].astype(np.int64), "hit_items": pa.array(hit_items, pa.list_(pa.string())), "longest": got["longest"].astype(np.int64), "spans": pa.array(spans, pa.list_(pa.int64()))}
 
         return work
 
-    return map_text(df, df.columns, f"doc_id {kind}, n_words bigint, n_hit bigint, hit_items array<string>, longest bigint, spans array<bigint>", make_last)
+    kind = docs.schema[key].dataType.simpleString()
+    return map_text(docs, keyed(docs, key, text), f"doc_id {kind}, n_words bigint, n_hit bigint, hit_items array<string>, longest bigint, spans array<bigint>", make, blocks.shard_bytes)
 
 
 def _blocks(bench: DataFrame, most: int):
@@ -267,13 +292,14 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, bench: DataFrame, window: int = WINDOW, text: str = "text", item_key: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` without the rows that hold an item's window; one pass without a shuffle for each block of items."""
-    for block in _blocks(bench.select(F.col(f"`{item_key}`"), F.col(f"`{item_text}`")), block_bytes):
-        box = docs.sparkSession.sparkContext.broadcast(block)
+    """``docs`` without the rows that hold an item's window; one pass without a shuffle."""
+    blocks = Blocks(bench, window, item_key, item_text, block_bytes)
+
+    def make():
+        def keep(column: pa.Array) -> np.ndarray:
+            raw, off = utf8(column)
+            return np.logical_and.reduce([scan_shard(raw, off, items)["n_hit"] == 0 for items in blocks])
 
-        def make(box=box):
-            items = Items(*box.value, window)
-            return lambda column: scan_shard(*utf8(column), items)["n_hit"] == 0
+        return keep
 
-        docs = filter_text(docs, text, make)
-    return docs
+    return filter_text(docs, text, make, blocks.shard_bytes)

@@ -1,6 +1,12 @@
 import pytest
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
+#: Names that the operators use for their own columns, now or in the past, and awkward ones.
+CLASHES = (
+    "fp", "bucket", "hits", "n_words", "line", "h", "words", "score", "root", "a", "b", "count", "row", "id", "th", "to_id", "to_th", "many", "stays", "gone", "pos", "site", "home",
+    "kept", "n", "keys", "first", "label", "own", "other", "piece", "shard", "learn", "n_lines", "n_removed", "toxic", "node", "__h", "__g", "__f", "__fp", "__root", "__id", "__gone",
+    "__lines", "__removed", "__stay", "__twice", "__own", "a.b", "doc id", "back`tick",
+)
 
 
 @pytest.fixture(scope="session")
@@ -14,8 +20,7 @@ def make_docs(spark):
         if extra:
             from pyspark.sql import functions as F
 
-            for c in ("fp", "bucket", "hits", "n_words", "line", "h", "words", "score", "root", "a", "b", "count"):
-                df = df.withColumn(c, F.lit("clash"))
+            df = df.withColumns({c: F.lit("clash") for c in CLASHES})
         return df
 
     return make

@@ -1,7 +1,7 @@
 import duckdb
 import pytest
 
-from spliceloom.llm import line_spread, queries
+from spliceloom.llm import common, line_spread, queries
 
 
 def brute(rows, min_sites):
@@ -32,7 +32,7 @@ def test_whole_table_against_sql(spark):
 
 @pytest.mark.parametrize("few", [200_000, 0])
 def test_edge_cases(spark, make_docs, few, monkeypatch):
-    monkeypatch.setattr(line_spread, "BROADCAST_LINES", few)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", few)
     bp = "accept all cookies"
     texts = [None, "", bp, f"{bp}\nown one", f" {bp} \n\n{bp}\nown two", bp, f"x\n{bp}", "\n\n", "own", f"last\n{bp}", ("long line " * 2000 + "\n") * 30 + bp, (None, bp + "\nnameless"), (4, f" {bp} \n\n{bp}\nown two")]
     docs = make_docs(texts, extra=True)
@@ -52,3 +52,28 @@ def test_many_sites_take_the_sketch_path(spark):
 
 def test_empty(make_docs):
     assert line_spread.remove_boilerplate(make_docs(["x"]).limit(0)).collect() == []
+
+
+def test_awkward_names(spark):
+    docs = spark.createDataFrame([(i, "shared\nown %d" % i, f"s{i}", "x") for i in range(6)], "`doc.id` long, `the text` string, `si``te` string, text string")
+    got = line_spread.remove_boilerplate(docs, 5, "doc.id", "the text", "si`te")
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect())) == [(i, "shared\nown 0" if i == 0 else f"own {i}", f"s{i}", "x") for i in range(6)]
+
+
+def test_rows_of_one_id_with_other_texts(spark):
+    rows = [(0, "b\nx", "s0"), (1, "b\ny", "s1"), (1, "z\nb\nb", "s2"), (2, "b", "s3"), (3, "b", "s4"), (1, "b\ny", "s1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted((r.row.doc_id, r.row.text, r.n_lines, r.n_removed) for r in line_spread.spread(docs, 5).collect())
+    assert got == [(0, "b\nx", 2, 0), (1, "y", 2, 1), (1, "y", 2, 1), (1, "z", 3, 2), (2, "", 1, 1), (3, "", 1, 1)]
+
+
+def test_long_text_takes_linear_time(spark):
+    import time
+
+    lines = [f"line {i}" for i in range(60_000)]
+    docs = spark.createDataFrame([(i, "\n".join(lines), f"s{i}") for i in range(5)], "doc_id long, text string, source string")
+    began = time.time()
+    got = {r.row.doc_id: (len(r.row.text), r.n_lines, r.n_removed) for r in line_spread.spread(docs, 5).collect()}
+    assert got == {0: (len("\n".join(lines)), 60_000, 0)} | {i: (0, 60_000, 60_000) for i in range(1, 5)}
+    assert time.time() - began < 60

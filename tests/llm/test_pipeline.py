@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from test_bpe import library
 from test_line_spread import brute as brute_lines
-from test_simhash import brute_components, brute_fp
+from test_near_sets import brute_kept
 from test_suffix_match import brute as brute_hits
 
 import corpus_pipeline
@@ -54,8 +54,7 @@ def test_line_stage(stages):
 
 def test_near_copy_stage(stages):
     before = {r.doc_id: r.text for r in stages[2].collect()}
-    best = brute_components([(i, brute_fp(t)) for i, t in before.items()])
-    want = {i: before[i] for i in before if best[i] == i}
+    want = {i: before[i] for i in brute_kept(before)}
     assert {r.doc_id: r.text for r in stages[3].collect()} == want
 
 

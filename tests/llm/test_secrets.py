@@ -99,3 +99,42 @@ def test_random_rule_spans():
         n = [sum(k == j for _, k, _ in secrets.rule_spans(t)) for j in range(3)]
         assert (*n, hashlib.sha256(secrets._joined(secrets.rule_spans(t)).encode()).hexdigest()) == brute(t)
         assert not any(n) or secrets.maybe(*utf8(pa.array([t])))[0]
+
+
+def test_rows_of_a_batch_do_not_see_each_other(spark, model):
+    """Random neighbouring rows, many to a batch, against the rules one row at a time."""
+    rng = random.Random(8)
+    parts = ["token", "=", "secre", "t:", "abcdef123456", "AKI", "AKIA", "ABCDEFGHIJKLMN", "01234567", "89abcdef", "é", " ", "", "password", '"']
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 7))) for _ in range(3000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    assert {r.doc_id: (r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in secrets.scan(docs, model).collect()} == {i: brute(t) for i, t in enumerate(texts)}
+
+
+def test_touched_spans():
+    rng = random.Random(3)
+    for _ in range(300):
+        spans = sorted((a, 0, a + rng.randint(1, 9)) for a in (rng.randrange(60) for _ in range(rng.randint(0, 6))))
+        a = np.array(sorted(rng.randrange(70) for _ in range(5)))
+        b = a + np.array([rng.randint(1, 6) for _ in range(5)])
+        assert secrets.touched(a, b, spans).tolist() == [any(x < e and s < y for s, _, e in spans) for x, y in zip(a, b)]
+
+
+def test_a_long_text_of_secrets_takes_linear_time(spark, model):
+    import time
+
+    line = "user bob password = Zk9aQ2bX7cL4mN8pR1sT then é auth 5f4dcc3b5aa765d61d8327deb882cf99 end\n"
+    took = []
+    for n in (20_000, 80_000):
+        docs = spark.createDataFrame([(0, line * n)], "doc_id long, text string")
+        began = time.time()
+        got = secrets.scan(docs, model).first()
+        took.append(time.time() - began)
+        assert (got.n_assign, got.n_hex) == (n, n)
+    assert took[1] < 6 * took[0] + 10, took
+
+
+def test_long_texts_are_not_learned_from(make_docs, monkeypatch):
+    seen = []
+    monkeypatch.setattr(secrets, "train", lambda lines: seen.append(lines))
+    secrets.fit(make_docs(["short", "x" * 30_000, None, "another"], extra=True))
+    assert {t for t, _ in seen[0]} >= {"short", "another"} and max(len(t) for t, _ in seen[0]) < 20_000

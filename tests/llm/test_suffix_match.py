@@ -82,3 +82,29 @@ def test_longest_match_of_each_row_of_a_shard():
     assert got["longest"].tolist() == [4, 6, 3, 0, 5]
     for text, want in zip(texts, [4, 6, 3, 0, 5]):  # whatever else the shard holds
         assert suffix_match.scan_shard(*utf8(pa.array([text])), suffix_match.Items(["i"], [item], 3))["longest"].tolist() == [want]
+
+
+def test_many_blocks_are_one_step(spark, make_docs):
+    """A hundred blocks of items: one Python function in the plan, results as with one block."""
+    rng = __import__("random").Random(4)
+    vocabulary = [f"w{i}" for i in range(30)]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 30)))) for i in range(100)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(200)) + " " + rng.choice(items)[1] + " " + rng.choice(items)[1] for _ in range(40)] + [None, ""]
+    docs = make_docs(texts)
+    found = suffix_match.matches(docs, bench, window=4, block_bytes=1)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    want = brute(list(enumerate(texts)), items, 4)
+    assert sorted(((r.doc_id, r.n_words, r.n_hit, sorted(r.hit_items or [])) for r in found.collect()), key=str) == want
+    one = {r.doc_id: (r.longest, r.spans) for r in suffix_match.matches(docs, bench, window=4).collect()}
+    assert {r.doc_id: (r.longest, r.spans) for r in found.collect()} == one
+    assert suffix_match.decontaminate(docs, bench, window=4, block_bytes=1).count() == sum(not x[2] for x in want)
+
+
+def test_awkward_names(spark):
+    docs = spark.createDataFrame([(1, "a b c d", 0), (2, "none", 1)], "`doc.id` long, `te``xt` string, hits int")
+    bench = spark.createDataFrame([(9, "b c d", 0)], "`item.id` long, `it text` string, doc_id int")
+    more = {"window": 3, "text": "te`xt", "item_key": "item.id", "item_text": "it text"}
+    assert [r.doc_id for r in suffix_match.matches(docs, bench, key="doc.id", **more).collect() if r.n_hit] == [1]
+    kept = suffix_match.decontaminate(docs, bench, **more)
+    assert kept.columns == docs.columns and [r[0] for r in kept.collect()] == [2]
