@@ -13,13 +13,18 @@ regular expression; any other text is split by the library's own normaliser and
 splitter, so rare characters cannot differ.  The file's special strings found in
 a text become their ids, as the library does by default.
 
-Defined results: null and empty texts have no ids and decode to empty text.
+Defined results: null and empty texts have no ids and decode to empty text; of two
+special strings at one place the longer counts; equal ranks do not occur, and of
+overlapping occurrences of a pair (ties) the left one merges; a long text's words
+are taken some at a time; repeated rows and null ids return their own rows; an
+empty table is empty; other columns of the table are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 import json
 from collections.abc import Iterator
 
@@ -30,8 +35,10 @@ from pyspark.sql import DataFrame
 
 from .common import keyed, map_text
 
-#: Distinct words whose ids a task keeps from one chunk to the next.
-CACHE_WORDS = 250_000
+#: Distinct words whose ids a task keeps; beyond, it forgets all of them.
+CACHE_WORDS = 100_000
+#: Words that are held before their ids are looked up; a text may have more.
+STEP_WORDS = 100_000
 
 
 def byte_chars() -> list[str]:
@@ -71,7 +78,9 @@ class Vocabulary:
         #: a merge may use a symbol only after the merges that make it; else positions go one at a time
         self.ordered = bool((np.maximum(born[left], born[right]) < np.arange(len(pairs))).all())
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.words = regex.compile(split).findall
+        self.pattern = regex.compile(split)
+        longest_first = sorted(self.special, key=len, reverse=True)
+        self.cut_special = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")").split
         self.unusual = regex.compile(r"[^\t\n\r\x20-\x7e\xa1-įı-ňŊ-ſ]").search
         self.path = path
         self._library = None
@@ -82,20 +91,33 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
         return np.where(self.key[at] == key, self.rank[at], -1)
 
-    def split(self, text: str) -> list[str]:
-        """The text's words, characters standing for bytes not yet applied; special strings come as they are."""
-        if "<|" in text and any(s in text for s in self.special):
-            parts = regex.split("(" + "|".join(map(regex.escape, self.special)) + ")", text)
-            return [w for p in parts for w in ([p] if p in self.special else self.split(p))]
+    def split(self, text: str) -> Iterator[list[str]]:
+        """The text's words in lists of STEP_WORDS at most, characters standing for bytes not yet applied; special strings come as they are."""
+        if any(s in text for s in self.special):
+            for part in self.cut_special(text):
+                if part in self.special:
+                    yield [part]
+                elif part:
+                    yield from self._plain(part)
+        else:
+            yield from self._plain(text)
+
+    def _plain(self, text: str) -> Iterator[list[str]]:
         if not self.unusual(text):
-            return self.words(text.lower())
+            if len(text) < STEP_WORDS:
+                yield self.pattern.findall(text.lower())
+                return
+            found = self.pattern.finditer(text.lower())
+            while some := [m[0] for m in itertools.islice(found, STEP_WORDS)]:
+                yield some
+            return
         if self._library is None:
             from tokenizers import Tokenizer
 
             self._library = Tokenizer.from_file(self.path)
         plain = self._library.normalizer.normalize_str(text)
         back = {c: b for b, c in enumerate(byte_chars())}
-        return [bytes(back[c] for c in w).decode("utf-8", "surrogateescape") for w, _ in self._library.pre_tokenizer.pre_tokenize_str(plain)]
+        yield [bytes(back[c] for c in w).decode("utf-8", "surrogateescape") for w, _ in self._library.pre_tokenizer.pre_tokenize_str(plain)]
 
 
 def encode_words(words: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
@@ -183,10 +205,10 @@ class _Numbers(dict):
 
 
 class Encoder:
-    """Encodes chunks of texts; keeps the ids and token strings of words it has seen.
+    """Encodes texts; keeps the ids and token strings of words it has seen.
 
-    A chunk is held as word numbers, not as words; what is kept is let go at the
-    begin of a chunk once it exceeds ``cache_words``.
+    Texts are held as word numbers, not as words, and STEP_WORDS of them at a time;
+    what is kept is let go once it exceeds ``cache_words``.
     """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
@@ -215,16 +237,36 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[bytes, str]]:
         """For each text its ids as little-endian 32-bit integers, and its decoded text."""
-        if len(self.numbers) > self.most:
-            self._forget()
-        number = self.numbers.__getitem__
-        rows = [np.array(list(map(number, self.v.split(t))), np.int32) if t else None for t in texts]
-        self._learn()
-        ids, names = self.ids, self.names
-        for row in rows:
-            n = row.tolist() if row is not None else []
-            # words without ids (bytes that the vocabulary lacks) leave no blank behind
-            yield b"".join([ids[i] for i in n]), " ".join([names[i] for i in n if ids[i]])
+        held: list[np.ndarray | None] = []  # a list of a text's words, or None for a text's end
+        size = 0
+        ids: list[bytes] = []
+        names: list[str] = []
+
+        def take() -> Iterator[tuple[bytes, str]]:
+            nonlocal size
+            self._learn()
+            for part in held:
+                if part is None:
+                    yield b"".join(ids), " ".join(names)
+                    ids.clear(), names.clear()
+                    continue
+                # words without ids (bytes that the vocabulary lacks) leave no blank behind
+                some = [n for n in part.tolist() if self.ids[n]]
+                ids.append(b"".join([self.ids[n] for n in some]))
+                names.extend([" ".join([self.names[n] for n in some])] if some else [])
+            held.clear()
+            size = 0
+            if len(self.numbers) > self.most:
+                self._forget()
+
+        for t in texts:
+            for words in self.v.split(t) if t else ():
+                held.append(np.array(list(map(self.numbers.__getitem__, words)), np.int32))
+                size += len(words)
+                if size >= STEP_WORDS:
+                    yield from take()
+            held.append(None)
+        yield from take()
 
 
 def decode(ids: bytes, v: Vocabulary) -> str:

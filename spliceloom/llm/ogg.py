@@ -9,7 +9,11 @@ time from the granule positions.
 
 Defined results: bytes that are no page are skipped to the next capture pattern
 and counted; pages with a wrong checksum are counted and left out; a packet with
-a missing part is dropped and counted; empty or null bytes have no streams.
+a missing part is dropped and counted; empty or null bytes have no streams.  A
+null or empty text is stored as one frame of bytes 255; a long text is handled
+alone; packets that begin at one time (ties) come by serial number; repeated rows
+and null ids return their own rows, equal texts with equal values; an empty table
+is empty; other columns of the table are not read.
 """
 
 from __future__ import annotations

@@ -15,11 +15,15 @@ pieces of bounded size; each piece sends its distinct six-byte grams and words
 with their training counts to shards by hash; shards add them up; shorter
 contexts are sums of longer ones, made with DataFrame aggregations and joins; and
 each piece gets back one value per gram and word that it holds.  A gram or word
-takes one entry per piece, however often it occurs.
-
-Defined results: null text is empty text (an end and nothing else); without
-training rows every byte has probability 1/256; repeated rows count and return
-each time; a null id is crc32 of empty text for the caller's split.
+takes one entry per piece, however often it occurs.  There are as many shards as
+pieces, so that a shard's share does not grow with the input.
+
+Defined results: null text is empty text (an end and nothing else); a long text is
+a piece of its own; words are told apart by 64-bit hashes (``common.word_hash`` has
+the odds); without training rows every byte has probability 1/256; repeated rows
+count and return each time; a null id is crc32 of empty text for the caller's
+split; an empty table is empty; other columns of the table are not read, but by
+``learn``.
 """
 
 from __future__ import annotations
@@ -32,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, cut, keyed, mixed, pieces, utf8, word_bounds, word_hash
+from .common import ascii_lower, cut, keyed, map_arrow, mixed, pieces, utf8, word_bounds, word_hash
 
 ORDER = 5
 #: Bytes that UTF-8 never has: before a text's begin, and its end.
@@ -41,7 +45,8 @@ SYMBOLS = 256
 PIECE_BYTES = 16 << 20
 #: Bytes of a piece whose grams are held at once.
 STEP_BYTES = 2 << 20
-MOST_SHARDS = 1024
+#: Shards by a gram's first three bytes; more shards than this divide each of these by the next two bytes.
+COARSE_SHARDS = 1024
 GRAMS, WORDS = 0, 1
 
 
@@ -104,7 +109,7 @@ def _pack(docs: DataFrame, learn: Column, key: str, text: str, limit: int) -> Da
                 w.write_batch(batch)
             yield pa.RecordBatch.from_arrays([pa.array([base + k]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["piece", "rows"])
 
-    return cut(docs.select(*keyed(docs, key, text), F.coalesce(learn, F.lit(False)).alias("learn")).mapInArrow(run, "piece bigint, rows binary"))
+    return cut(map_arrow(docs.select(*keyed(docs, key, text), F.coalesce(learn, F.lit(False)).alias("learn")), run, "piece bigint, rows binary"))
 
 
 def _unpack(data: bytes) -> pa.RecordBatch:
@@ -146,10 +151,19 @@ def _counted(split, raw: np.ndarray, off: np.ndarray, learn: np.ndarray) -> tupl
 
 
 def _shard_of(key: np.ndarray, kind: int, shards: int) -> np.ndarray:
-    """Even shards for grams (by their first three bytes, so that a shard's keys lie close together), odd ones for words."""
+    """Even shards for grams, odd ones for words.
+
+    Grams go by their first three bytes, so that a shard's keys lie close together.
+    Beyond COARSE_SHARDS each of these is divided by the two bytes after them as
+    well, so that no beginning, however common, stays in one shard.
+    """
     if kind == GRAMS:
-        return (mixed((key >> 24).view(np.uint64)) % np.uint64(shards)).astype(np.int64) * 2
-    return ((key.view(np.uint64) >> np.uint64(40)) * np.uint64(shards) >> np.uint64(24)).astype(np.int64) * 2 + 1
+        coarse, fine = min(shards, COARSE_SHARDS), -(-shards // COARSE_SHARDS)
+        shard = (mixed((key >> 24).view(np.uint64)) % np.uint64(coarse)).astype(np.int64)
+        if fine > 1:
+            shard = shard * fine + (mixed((key >> 8).view(np.uint64)) % np.uint64(fine)).astype(np.int64)
+        return shard * 2
+    return ((key.view(np.uint64) >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64) * 2 + 1
 
 
 def _split(key: np.ndarray, kind: int, shards: int) -> list[tuple[int, np.ndarray]]:
@@ -174,7 +188,7 @@ def _requests(packed: DataFrame, shards: int) -> DataFrame:
                     parts = _split(key, kind, shards)
                     yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in parts], pa.int32()), pa.array([piece] * len(parts), pa.int64()), pa.array([_squeeze(key[i]) for _, i in parts], pa.binary()), pa.array([_squeeze(n[i].astype(np.int32)) for _, i in parts], pa.binary())], names=["shard", "piece", "keys", "counts"])
 
-    return cut(packed.mapInArrow(run, "shard int, piece bigint, keys binary, counts binary"))
+    return cut(map_arrow(packed, run, "shard int, piece bigint, keys binary, counts binary"))
 
 
 def _merged(requests: DataFrame) -> DataFrame:
@@ -213,7 +227,7 @@ def _merged(requests: DataFrame) -> DataFrame:
         if keys:
             yield from out()
 
-    return cut(requests.select("shard", "keys", "counts").repartition("shard").sortWithinPartitions("shard").mapInArrow(run, "shard int, key bigint, n bigint, v bigint, keys binary, counts binary"))
+    return cut(map_arrow(requests.select("shard", "keys", "counts").repartition("shard").sortWithinPartitions("shard"), run, "shard int, key bigint, n bigint, v bigint, keys binary, counts binary"))
 
 
 def _mask(order: int) -> int:
@@ -290,7 +304,7 @@ def _answers(requests: DataFrame, values: DataFrame) -> DataFrame:
                 got = [_squeeze(table[1][np.searchsorted(table[0], _expand(batch.column(3)[int(i)].as_py(), np.int64))]) for i in range(a, b)]
                 yield pa.RecordBatch.from_arrays([batch.column(2).slice(a, b - a), pa.array(np.full(b - a, now, np.int32)), pa.array(got, pa.binary())], names=["piece", "shard", "vals"])
 
-    return left.unionByName(right).repartition("shard").sortWithinPartitions("shard", "turn").mapInArrow(run, "piece bigint, shard int, vals binary")
+    return map_arrow(left.unionByName(right).repartition("shard").sortWithinPartitions("shard", "turn"), run, "piece bigint, shard int, vals binary")
 
 
 class _Lookup:
@@ -316,7 +330,7 @@ def score(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text
     """doc_id, n_tokens, n_known, train_tokens, base_score, score, n_bytes, bits_per_byte: one row per input row."""
     spark = docs.sparkSession
     packed = _pack(docs, learn, key, text, piece_bytes)
-    shards = int(min(MOST_SHARDS, max(12, packed.count())))
+    shards = max(12, packed.count())
     requests = _requests(packed, shards)
     counted = _merged(requests)
     unigram = counted.where("shard % 2 = 1")

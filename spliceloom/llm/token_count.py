@@ -11,7 +11,9 @@ position lies in the overlap, the overlap is doubled, up to the whole left chunk
 and then the left chunk is lengthened.
 
 Defined results: null and empty texts have no tokens; special strings in a text
-count as the library counts them.
+count as the library counts them; long texts are counted whole, by chunks; of
+several common boundaries (ties) the last is used; repeated rows and null ids
+return their own rows; an empty table is empty; other columns are not read.
 """
 
 from __future__ import annotations

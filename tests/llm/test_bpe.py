@@ -48,6 +48,32 @@ def test_one_at_a_time_gives_the_same_words():
     assert a.tolist() == b.tolist() and at.tolist() == bt.tolist()
 
 
+def test_long_texts_are_taken_in_steps(monkeypatch):
+    texts = ["some words and more, " * 40 + "<|endoftext|>" + "né " * 30, "", "one", "x" * 90, None]
+    want = library(texts)
+    for step in (1, 3, 50):
+        monkeypatch.setattr(bpe, "STEP_WORDS", step)
+        for most in (0, 2, 1000):
+            assert mine(texts, cache_words=most) == want
+
+
+def test_special_strings_of_the_file(tmp_path):
+    """Special strings are the file's own, whatever they look like, the longer first."""
+    import json
+
+    with open(PATH, encoding="utf-8") as f:
+        spec = json.load(f)
+    for i, t in enumerate(spec["added_tokens"][:2]):
+        spec["model"]["vocab"].pop(t["content"], None)
+        t["content"] = ["[stop]", "[stop][stop]"][i]
+    (tmp_path / "v.json").write_text(json.dumps(spec))
+    encoder = bpe.Encoder(str(tmp_path / "v.json"))
+    special = encoder.v.special
+    for text, n in (("a [stop] b", 1), ("a[stop][stop]b", 1), ("a [stop][stop][stop]", 2), ("[stp]", 0)):
+        ids = np.frombuffer(next(encoder.encode([text]))[0], "<u4").tolist()
+        assert sum(i in special.values() for i in ids) == n, text
+
+
 def test_whole_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = docs.collect()

@@ -54,9 +54,9 @@ def same(got, want):
 FIELDS = ("doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
-def test_small_table_equals_brute_force(spark):
+def test_whole_table_equals_brute_force(spark):
     d = "/root/testdata/sf0.001"
-    rows = [(r.doc_id, r.text, zlib.crc32(str(r.doc_id).encode()) % 7 != 2) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.substring("text", 1, 1500).alias("text")).collect()]
+    rows = [(r.doc_id, r.text, zlib.crc32(str(r.doc_id).encode()) % 7 != 2) for r in spark.read.parquet(f"{d}/documents.parquet").collect()]
     docs = spark.createDataFrame(rows, "doc_id long, text string, learn boolean")
     same(sorted((tuple(r[f] for f in FIELDS) for r in ppm.score(docs, F.col("learn"), piece_bytes=20_000).collect()), key=str), brute(rows))
 
@@ -98,3 +98,29 @@ def test_total_probability_is_one(spark):
     value = {r.key: 10**r.value for r in ppm.gram_values(df).collect()}
     for i in range(0, len(want), 256):
         assert sum(value[k] for k in want[i : i + 256]) == pytest.approx(1)
+
+
+@pytest.mark.parametrize("pieces,coarse", [(20_000, 1024), (20_000, 5), (2_000, 16)])
+def test_shards_follow_the_input(make_docs, monkeypatch, pieces, coarse):
+    """As many shards as pieces, and the same scores however they are divided."""
+    import random
+
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice(["the", "then", "there", "a", "Tea", "nothing"]) for _ in range(rng.randint(1, 400))) for _ in range(120)]
+    docs = make_docs(texts)
+    rows = [(i, t, i % 3 > 0) for i, t in enumerate(texts)]
+    monkeypatch.setattr(ppm, "COARSE_SHARDS", coarse)
+    seen = []
+    shard_of = ppm._requests
+    monkeypatch.setattr(ppm, "_requests", lambda packed, shards: seen.append((packed.count(), shards)) or shard_of(packed, shards))
+    same(sorted((tuple(r[f] for f in FIELDS) for r in ppm.score(docs, F.col("doc_id") % 3 > 0, piece_bytes=pieces).collect()), key=str), brute(rows))
+    assert seen == [(seen[0][0], max(12, seen[0][0]))] and seen[0][0] >= sum(map(len, texts)) // pieces
+
+
+def test_a_common_beginning_is_divided():
+    import numpy as np
+
+    key = np.array([int.from_bytes(b" the" + bytes([a, b]), "big") for a in range(97, 123) for b in range(32, 123)])
+    assert len(set((ppm._shard_of(key, ppm.GRAMS, 1024)).tolist())) == 1
+    shard, n = np.unique(ppm._shard_of(key, ppm.GRAMS, 16 * 1024), return_counts=True)
+    assert len(shard) > 10 and n.max() < len(key) / 4 and (shard % 2 == 0).all()

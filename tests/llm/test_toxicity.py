@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 
@@ -20,19 +22,108 @@ def test_held_out_recall_and_precision(spark, sf, least):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
 
 
-def test_label_model_finds_good_and_bad_voters():
-    rng = np.random.default_rng(0)
-    n, y = 4000, None
+def made(n=4000, seed=0):
+    """Firings of a good voter, a fair one, one of chance and a near copy of the first; labels with errors; the truth."""
+    rng = np.random.default_rng(seed)
     y = rng.random(n) < 0.2
     fires = np.stack([np.where(y, rng.random(n) < a, rng.random(n) < b) for a, b in ((0.7, 0.02), (0.5, 0.01), (0.1, 0.1))] + [np.zeros(n, bool)])
-    fires[3] = fires[0]  # a copy of the first voter
-    voter, row = np.nonzero(fires)
-    toxic = np.where(rng.random(n) < 0.05, ~y, y).astype(float)  # labels with errors
-    q, bad, good, discount = toxicity.label_model(row, voter, n, 4, toxic)
+    fires[3] = fires[0] & (rng.random(n) < 0.95)
+    return fires, np.where(rng.random(n) < 0.05, ~y, y).astype(float), y
+
+
+def test_label_model_finds_good_and_bad_voters():
+    fires, toxic, y = made()
+    row, voter = np.nonzero(fires.T)
+    q, bad, good, parent = toxicity.label_model(row, voter, len(y), 4, toxic)
     # silent voters abstain, so rates lean towards each other, but keep their order
     assert abs(bad[0] - 0.7) < 0.15 and abs(good[0] - 0.02) < 0.02 and abs(bad[2] - good[2]) < 0.05
-    assert discount[0] < 0.6 and discount[1] > 0.8
+    assert parent[3] == 0 and parent[0] == parent[2] == -1  # the copy depends on its model, the voter of chance on none
     assert np.mean((q > 0.5) == y) > np.mean(toxic == y)
+    # the copy adds nothing: rows on which both fire are as sure without it
+    alone, *_ = toxicity.label_model(*np.nonzero(fires[:3].T), len(y), 3, toxic)
+    both = fires[0] & fires[3]
+    assert np.abs(q[both] - alone[both]).mean() < 0.03
+
+
+def brute_label_model(fires, toxic, parents, rounds=15):
+    """The same expectation maximisation, one row and one voter at a time."""
+    j, n = fires.shape
+    q = [min(max(t, 0.05), 0.95) for t in toxic]
+    prior = math.log((sum(toxic) + 0.5) / (n - sum(toxic) + 0.5))
+    for parent in parents:
+        for _ in range(rounds):
+            rate = {}
+            for c in (1, 0):
+                w = [x if c else 1 - x for x in q]
+                for v in range(j):
+                    p = parent[v]
+                    for up in (0, 1) if p >= 0 else (0,):
+                        of = [i for i in range(n) if p < 0 or fires[p][i] == up]
+                        rate[c, v, up] = (sum(w[i] for i in of if fires[v][i]) + 0.1) / (sum(w[i] for i in of) + 1)
+            hit = (sum(x * t for x, t in zip(q, toxic)) + 1) / (sum(q) + 2)
+            miss = (sum((1 - x) * t for x, t in zip(q, toxic)) + 0.1) / (n - sum(q) + 1)
+            new = []
+            for i in range(n):
+                z, silent = prior + (math.log(hit / miss) if toxic[i] else math.log((1 - hit) / (1 - miss))), 0.0
+                for v in range(j):
+                    up = int(parent[v] >= 0 and fires[parent[v]][i])
+                    a, b = rate[1, v, up], rate[0, v, up]
+                    if fires[v][i]:
+                        z += math.log(a / b)
+                    else:
+                        silent += math.log((1 - a) / (1 - b))
+                z += max(-toxicity.MOST_SILENT, silent)
+                new.append(min(max(1 / (1 + math.exp(-min(max(z, -30), 30))), 1e-4), 1 - 1e-4))
+            settled = max(abs(a - b) for a, b in zip(q, new)) < 1e-4
+            q = new
+            if settled:
+                break
+    return q
+
+
+def test_label_model_equals_brute_force(monkeypatch):
+    fires, toxic, _ = made(300, 3)
+    seen, tree = [], toxicity.voter_tree
+    monkeypatch.setattr(toxicity, "voter_tree", lambda *a: seen.append(tree(*a)) or seen[-1])
+    q, *_ = toxicity.label_model(*np.nonzero(fires.T), 300, 4, toxic)
+    assert seen[0][3] == 0
+    assert np.allclose(q, brute_label_model(fires, toxic, seen), atol=1e-6)
+
+
+def test_tree_equals_brute_force():
+    rng = np.random.default_rng(5)
+    for _ in range(20):
+        n, j = 200, 5
+        fires = rng.random((j, n)) < rng.uniform(0.05, 0.5, (j, 1))
+        fires[2] = np.where(rng.random(n) < 0.8, fires[0], fires[2])
+        q = rng.random(n)
+        got = toxicity.voter_tree(*np.nonzero(fires.T), q, j)
+        order = sorted(range(j), key=lambda v: (-fires[v].sum(), v))
+        for v in range(j):
+            gain = {}
+            for p in order[: order.index(v)]:
+                gain[p] = 0.0
+                for w in (q, 1 - q):
+                    for a in (0, 1):
+                        for b in (0, 1):
+                            x = w[(fires[v] == a) & (fires[p] == b)].sum()
+                            if x > 1e-6:
+                                gain[p] += x * math.log(x * w.sum() / (w[fires[v] == a].sum() * w[fires[p] == b].sum()))
+            best = max(gain, key=gain.get, default=None)
+            assert got[v] == (best if best is not None and gain[best] > math.log(n) else -1)
+
+
+def test_classifier_reaches_the_optimum():
+    """Weights against Newton's method on the whole matrix."""
+    rng = np.random.default_rng(2)
+    n, j = 500, 6
+    fires = rng.random((n, j)) < 0.3
+    q = 1 / (1 + np.exp(-(fires @ rng.normal(size=j) - 0.5 + rng.normal(size=n) * 0.3)))
+    x, w = np.hstack([fires, np.ones((n, 1))]).astype(float), np.zeros(j + 1)
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-x @ w))
+        w -= np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) / n + 1e-6 * np.eye(j + 1), x.T @ (p - q) / n + 1e-6 * w)
+    assert np.allclose(toxicity.train_linear(*np.nonzero(fires), q, j), w, atol=0.01)
 
 
 def test_edge_cases(spark, make_docs):
