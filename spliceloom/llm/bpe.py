@@ -36,9 +36,9 @@ from pyspark.sql import DataFrame
 from .common import keyed, map_text
 
 #: Distinct words whose ids a task keeps; beyond, it forgets all of them.
-CACHE_WORDS = 100_000
+CACHE_WORDS = 150_000
 #: Words that are held before their ids are looked up; a text may have more.
-STEP_WORDS = 100_000
+STEP_WORDS = 300_000
 
 
 def byte_chars() -> list[str]:
