@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from math import comb
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,16 +22,21 @@ def cutoff(m: Column) -> Column:
     return F.when((m <= 10) | (n < 3), 2).otherwise(n).cast("bigint")
 
 
-def neighbours(length: int, distance: int) -> float:
-    """Sequences within ``distance`` substitutions of one of ``length`` bases, itself left out."""
-    return float(sum(comb(length, k) * 3**k for k in range(1, distance + 1)))
+def neighbours(length: Column, distance: int) -> Column:
+    """Sequences within ``distance`` substitutions of one of ``length`` bases, itself left out: the sum of C(length, k) 3^k."""
+    start = F.struct(F.lit(1.0).alias("term"), F.lit(0.0).alias("total"))
+
+    def add(acc: Column, k: Column) -> Column:
+        term = acc["term"] * (length - k + 1).cast("double") * 3.0 / k.cast("double")
+        return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(distance)), start, add)["total"]
 
 
-def neighbour_risk(n: Column, length: Column, distance: int, longest: int = 40) -> Column:
+def neighbour_risk(n: Column, length: Column, distance: int) -> Column:
     """Expected random neighbours of a UMI among ``n`` distinct ones of a length."""
     if distance == 0:
         return F.lit(0.0)
-    by_length = [F.lit(neighbours(k, distance) / (4.0**k - 1)) for k in range(1, longest + 1)]
-    rate = F.element_at(F.array(*by_length), F.greatest(length, F.lit(1)))
     more = (n - 1).cast("double")
+    rate = neighbours(length, distance) / (F.pow(F.lit(4.0), length.cast("double")) - 1)
     return F.when(n <= 1, F.lit(0.0)).when(length <= distance, more).otherwise(more * rate)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import Assay, SpliceConfig, Step
+from ..config import Assay, SpliceConfig
 from ..functions import fuzzy, seq
 
 #: Bases kept before an acceptor without D1, and after an unrecognised D1.
@@ -171,22 +171,28 @@ def find_udf(pattern: str, k: int):
     return run
 
 
-def first_of_udf(steps: tuple[Step, ...], k: int):
-    """UDF: the first pattern of an ordered list that occurs within k edits, and the sequence from there on."""
+def first_udf(config: SpliceConfig, donor: str, k: int | None = None):
+    """UDF: the first of a donor's acceptors that occurs, where it starts, the sequence from there on and the bases before."""
 
-    @F.pandas_udf("acceptor string, tail string, donor string")
+    @F.pandas_udf("acceptor string, start int, tail string, donor string")
     def run(s: pd.Series) -> pd.DataFrame:
-        plan = [(x.acceptor, x.pattern.encode()) for x in steps]
+        reader = _reader(config)
         rows = []
         for x in s:
-            t = x.encode()
-            row = (None, None, None)
-            for name, p in plan:
-                if hit := fuzzy.find(t, p, k):
-                    row = (name, x[hit[0] :], x[max(0, hit[0] - CONTEXT) : hit[0]])
-                    break
-            rows.append(row)
-        return pd.DataFrame(rows, columns=["acceptor", "tail", "donor"], dtype=object)
+            hit = reader.first(x.encode(), donor, reader.k if k is None else k)
+            rows.append((hit[0], hit[1], x[hit[1] :], x[max(0, hit[1] - CONTEXT) : hit[1]]) if hit else (None, None, None, None))
+        return pd.DataFrame(rows, columns=["acceptor", "start", "tail", "donor"], dtype=object)
+
+    return run
+
+
+def size_class_udf(config: SpliceConfig):
+    """UDF: size class of a chain and the sequence from its last site on."""
+
+    @F.pandas_udf("string")
+    def run(chain: pd.Series, tail: pd.Series) -> pd.Series:
+        reader = _reader(config)
+        return pd.Series([reader.size_class(list(c), t.encode()) for c, t in zip(chain, tail)], dtype=object)
 
     return run
 
@@ -201,15 +207,30 @@ def overlap_udf(least: int = 10, rate: float = 0.02):
     return run
 
 
+def rejects(header: str | None, distance: int) -> dict[str, Column]:
+    """Why a read pair (r1, r2) is left out: conditions by name, of which the first that holds counts."""
+    why = {"too_short": ~seq.readable(F.col("r1"), F.col("r2")), "homopolymer": seq.has_homopolymer(F.col("r1")) | seq.has_homopolymer(F.col("r2"))}
+    return why | ({"header": ~seq.header_matches(F.upper("r1"), header, distance)} if header else {})
+
+
+def reject_counts(header: str | None, distance: int) -> list[Column]:
+    """Aggregates: read pairs, and those left out for each reason."""
+    out, before = [F.count(F.lit(1)).alias("pairs")], F.lit(False)
+    for name, wrong in rejects(header, distance).items():
+        out.append(F.count_if(F.coalesce(wrong, F.lit(True)) & ~before).alias(name))
+        before = before | F.coalesce(wrong, F.lit(True))
+    return out
+
+
 def events(reads: DataFrame, config: SpliceConfig, header: str | None = None) -> DataFrame:
     """Per-read events of (read_ix, id, r1, r2).
 
     Native filters come first so that the UDF sees as few rows as possible:
     homopolymers on the raw reads, reads too short to split, the header pattern.
     """
-    kept = reads.where(seq.readable(F.col("r1"), F.col("r2")) & ~seq.has_homopolymer(F.col("r1")) & ~seq.has_homopolymer(F.col("r2")))
-    if header:
-        kept = kept.where(seq.header_matches(F.upper("r1"), header, config.distance))
+    kept = reads
+    for wrong in rejects(header, config.distance).values():
+        kept = kept.where(~wrong)
     parts = kept.select("read_ix", F.col("id").alias("sequence_id"), *[c.alias(n) for n, c in seq.split_reads(F.col("r1"), F.col("r2")).items()])
     found = parts.withColumn("e", splice_chain(config)("forward_sequence", "reverse_sequence"))
     return found.select("read_ix", "sequence_id", "forward_ns", "umi", "forward_sequence", "reverse_sequence", F.col("e.joined").alias("joined_sequence"), F.col("e.chain").alias("chain"), F.array_join("e.chain", "_").alias("splice_category"), F.col("e.size_class").alias("size_class"), final_category(F.col("e.chain"), F.col("e.size_class")).alias("final_category"), "e.alternative_d1_used", "e.unknown_sequence_after_d1", F.col("e.tail").alias("post_splice_sequence"))

@@ -95,7 +95,7 @@ def chi_square(df: DataFrame, group: str, value: str) -> float | None:
     # sum (n - e)^2 / e = t * (sum n^2 / (r c) - 1): cells without rows add nothing
     x = n.join(rows, group).join(cols, value).agg(F.sum(F.col("n") * F.col("n") / (F.col("r") * F.col("c"))).alias("s")).join(total, F.lit(True)).first()
     degrees = (rows.count() - 1) * (cols.count() - 1)
-    return None if degrees <= 0 else _chi_tail(x.t * (x.s - 1), degrees)
+    return None if degrees <= 0 else _chi_tail(max(0.0, x.t * (x.s - 1)), degrees)
 
 
 def _chi_tail(x: float, k: int) -> float:

@@ -35,14 +35,14 @@ def most_frequent(counted: DataFrame, keys: list[str], value: str) -> DataFrame:
     return counted.groupBy(*keys).agg(F.max_by(F.struct(value), F.struct("n", -F.col("at")))[value].alias(f"{value}_common"))
 
 
-def summarize(families: DataFrame) -> DataFrame:
-    """Distinct family rows of reads with families (read_ix orders them).
+def summarize(families: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Distinct family rows of reads with families (read_ix orders them); ``by``: columns of samples to keep apart.
 
     In the text form that this step reads, a missing donor is the word None and an
     empty one is missing.
     """
     kept = families.where("umi_family is not null").withColumn("alternative_d1_used", F.when(F.col("alternative_d1_used").isNull(), "None").when(F.col("alternative_d1_used") == "", None).otherwise(F.col("alternative_d1_used")))
-    keys = ["umi_family", "splice_category"]
+    keys = [*by, "umi_family", "splice_category"]
     # one pass over the reads: what follows works on their distinct combinations
     each = kept.groupBy(*keys, "size_class", "final_category", "alternative_d1_used").agg(F.count("*").alias("n"), F.min("read_ix").alias("at"))
     common = most_frequent(each.groupBy(*keys, "alternative_d1_used").agg(F.sum("n").alias("n"), F.min("at").alias("at")), keys, "alternative_d1_used")
@@ -50,4 +50,4 @@ def summarize(families: DataFrame) -> DataFrame:
     spliced = spliced_class(F.col("splice_category"))
     rows = rows.withColumn("spliced", spliced)
     rows = rows.withColumn("D1_type", d1_type(F.col("spliced"), F.col("splice_category"))).withColumn("splice_category_2", splice_category_2(F.col("spliced"), F.col("splice_category")))
-    return rows.select(*COLUMNS)
+    return rows.select(*by, *COLUMNS)

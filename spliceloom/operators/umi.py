@@ -16,7 +16,6 @@ from ..functions.seq import chunk_bounds
 CATEGORY = "final_category"
 #: Distinct UMIs of a category that one task clusters; larger categories are clustered by joins.
 TASK_UMIS = 20_000
-LONGEST_UMI = 40
 
 
 def counts(events: DataFrame) -> DataFrame:
@@ -34,7 +33,7 @@ def decisions(umis: DataFrame, model: str, distance: int, risk_limit: float = 0.
     """One row per category: model used, distinct UMIs, their share of reads, and the neighbour risk (automatic choice only)."""
     model = FamilyModel(model)
     by_length = umis.groupBy(CATEGORY, F.length("umi").alias("len")).agg(F.count("*").alias("u"), F.sum("n").alias("reads"), F.bool_and(F.col("umi").rlike("^[ACGT]*$")).alias("plain"))
-    risk = stats.neighbour_risk(F.col("u"), F.col("len"), distance, LONGEST_UMI)
+    risk = stats.neighbour_risk(F.col("u"), F.col("len"), distance)
     all_ = by_length.groupBy(CATEGORY).agg(F.sum("u").alias("umi_unique_count"), F.sum("reads").alias("reads"), F.bool_and("plain").alias("plain"), F.max(risk).alias("risk"))
     share = F.col("umi_unique_count") / F.col("reads")
     if model is not FamilyModel.AUTO:
@@ -52,16 +51,12 @@ def hamming_pairs(umis: DataFrame, distance: int, by: tuple[str, ...] = (CATEGOR
     the chunk, verified by counting differing bases.
     """
     u = umis.select(*by, "umi").distinct()
-    length = F.length("umi")
-    # longer UMIs than the table below: chunk bounds from the length
-    edge = [F.floor(length * i / (distance + 1)).cast("int") for i in range(distance + 2)]
-    keys = F.when(length > LONGEST_UMI, F.array(*[F.struct(F.lit(i).alias("c"), F.substring("umi", a + 1, b - a).alias("s")) for i, (a, b) in enumerate(zip(edge, edge[1:]))]))
-    for n in range(LONGEST_UMI, 0, -1):
-        if distance >= n:
-            parts = [F.struct(F.lit(0).alias("c"), F.lit("").alias("s"))]
-        else:
-            parts = [F.struct(F.lit(i).alias("c"), F.substring("umi", a + 1, b - a).alias("s")) for i, (a, b) in enumerate(chunk_bounds(n, distance + 1))]
-        keys = F.when(length == n, F.array(*parts)).otherwise(keys)
+    length, chunks = F.length("umi"), distance + 1
+    # the bounds of chunk_bounds from each UMI's own length: near-equal chunks, the longer ones first
+    size, longer = F.floor(length / chunks).cast("int"), length % chunks
+    cut_at = lambda i: i * size + F.least(i, longer)
+    chunk = F.transform(F.sequence(F.lit(0), F.lit(distance)), lambda i: F.struct(i.alias("c"), F.substring("umi", cut_at(i) + 1, cut_at(i + 1) - cut_at(i)).alias("s")))
+    keys = F.when(length > distance, chunk).otherwise(F.array(F.struct(F.lit(0).alias("c"), F.lit("").alias("s"))))
     filed = u.withColumn("k", F.explode(keys)).select(*by, length.alias("len"), "k.c", "k.s", "umi")
     a, b = filed.withColumnRenamed("umi", "a"), filed.withColumnRenamed("umi", "b")
     pairs = a.join(b, [*by, "len", "c", "s"]).where("a < b")
@@ -84,7 +79,7 @@ def cluster(umis: DataFrame, distance: int, min_fraction: float, task_umis: int
     tagged = umis.join(size, CATEGORY)
     small, big = tagged.where(F.col("u") <= task_umis).drop("u"), tagged.where(F.col("u") > task_umis).drop("u")
     schema = f"{CATEGORY} string, umi string, n bigint, umi_family string"
-    found = small.groupBy(CATEGORY).applyInPandas(lambda pdf: _greedy(pdf, distance), schema)
+    found = cut(small.groupBy(CATEGORY).applyInPandas(lambda pdf: _greedy(pdf, distance), schema))  # clustered once, used three times below
     if not size.where(F.col("u") > task_umis).isEmpty():
         found = found.unionByName(_by_joins(big, distance))
     return _large_enough(found, min_fraction)
@@ -126,12 +121,13 @@ def _keys(umi: str, distance: int) -> Iterator[tuple]:
             yield (len(umi), i, umi[a:b])
 
 
-def _by_joins(umis: DataFrame, distance: int, most_rounds: int = 100) -> DataFrame:
+def _by_joins(umis: DataFrame, distance: int) -> DataFrame:
     """The same assignment for categories of any size.
 
     Rounds decide nodes: one whose earlier neighbours are all known not to be
     parents is a parent; one with an earlier parent before which no neighbour is
-    undecided belongs to it.
+    undecided belongs to it.  The earliest undecided node is always decided, so
+    the rounds end.
     """
     node = umis.select(CATEGORY, "umi", "n")
     pairs = hamming_pairs(node, distance)
@@ -141,7 +137,7 @@ def _by_joins(umis: DataFrame, distance: int, most_rounds: int = 100) -> DataFra
     # rank orders early before late: falling count, rising name
     edges = cut(p.select(CATEGORY, F.when(first, F.col("a")).otherwise(F.col("b")).alias("early"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("late"), F.when(first, F.col("na")).otherwise(F.col("nb")).alias("early_n")))
     state = cut(node.select(CATEGORY, "umi", F.lit(None).cast("string").alias("family")))
-    for _ in range(most_rounds):
+    while True:
         known = state.select(CATEGORY, F.col("umi").alias("early"), F.col("family").alias("of"))
         rank = F.struct((-F.col("early_n")).alias("r"), F.col("early").alias("e"))
         seen = edges.join(known, [CATEGORY, "early"]).groupBy(CATEGORY, F.col("late").alias("umi")).agg(F.min(F.when(F.col("of") == F.col("early"), rank)).alias("parent"), F.min(F.when(F.col("of").isNull(), rank)).alias("open"))
@@ -152,7 +148,6 @@ def _by_joins(umis: DataFrame, distance: int, most_rounds: int = 100) -> DataFra
         let_go(before)
         if state.where("family is null").isEmpty():
             return node.join(state, [CATEGORY, "umi"]).select(CATEGORY, "umi", "n", F.col("family").alias("umi_family"))
-    raise RuntimeError("families did not settle")
 
 
 def families(events: DataFrame, model: str = FamilyModel.AUTO, distance: int = 1, min_fraction: float = 0.005, risk_limit: float = 0.05, coverage: float = 0.10, task_umis: int = TASK_UMIS) -> DataFrame:
@@ -168,6 +163,8 @@ def families(events: DataFrame, model: str = FamilyModel.AUTO, distance: int = 1
         assigned = assigned.unionByName(cluster(chosen.where(F.col("umi_model_used") == FamilyModel.CLUSTER.value).drop("umi_model_used"), distance, min_fraction, task_umis))
     else:
         assigned = cluster(umis, min(255, distance + (model is FamilyModel.CLUSTER_PLUS_ONE)), min_fraction, task_umis)
+    if model is not FamilyModel.MAX:
+        assigned = cut(assigned)
     # sizes from the counts, not from the reads: rows are one per distinct UMI
     sized = umis.join(assigned, [CATEGORY, "umi"], "left")
     reads = sized.groupBy(CATEGORY).agg(F.sum("n").alias("reads"))

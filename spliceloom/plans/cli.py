@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import argparse
-from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 from ..config import Assay, FamilyModel, RunConfig
 from ..operators import isoforms
-from ..sources import reads
+from ..sources import files, reads, tables
 from . import mock, pipeline
 
 
@@ -27,33 +26,37 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("-2", "--file2", dest="r2", required=True)
     r.add_argument("-a", "--assay", type=Assay, choices=list(Assay), default=Assay.RANDOM_REVERSE)
     r.add_argument("-o", "--output", help="folder; that of the first file if not given")
-    r.add_argument("-g", "--genome", required=True, help="FASTA file of the reference genome")
+    r.add_argument("-g", "--genome", help="FASTA file of the reference genome; the built-in one if not given")
+    r.add_argument("--single", action="store_true", help="the per-read table as one file, written by one task")
     c = sub.add_parser("compare", help="summaries of several runs")
     c.add_argument("-i", "--input", required=True)
     c.add_argument("-o", "--output", required=True)
     m = sub.add_parser("mock", help="mock read pairs")
     m.add_argument("-n", "--reads", type=int, default=10_000)
-    m.add_argument("-g", "--genome")
+    m.add_argument("-g", "--genome", help="FASTA file of the genome that second reads come from; the built-in one if not given")
+    m.add_argument("--ratios", help="CSV file of forms and their shares (SpliceForm, ratio)")
+    m.add_argument("--format", choices=["fasta", "fa", "fastq", "fq", "fasta.gz", "fastq.gz"], default="fasta")
     m.add_argument("-o", "--output", required=True)
     return top
 
 
 def config(a: argparse.Namespace) -> RunConfig:
-    return RunConfig(a.query, a.distance, a.umiFamilyModel, a.umiMinFraction, a.umiAutoNeighborRisk, header=a.headerMatch, r1=a.r1, r2=a.r2, assay=a.assay, out=a.output or str(Path(a.r1).parent), genome=reads.genome(a.genome))
+    return RunConfig(a.query, a.distance, a.umiFamilyModel, a.umiMinFraction, a.umiAutoNeighborRisk, header=a.headerMatch, r1=a.r1, r2=a.r2, assay=a.assay, out=a.output or a.r1.split(",")[0].rpartition("/")[0] or ".", genome=reads.genome(a.genome))
 
 
 def main(argv: list[str] | None = None) -> int:
     a = parser().parse_args(argv)
-    spark = SparkSession.builder.appName("spliceloom").getOrCreate()
+    # finished stages' checkpoints go when nothing refers to them any more
+    spark = SparkSession.builder.appName("spliceloom").config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").getOrCreate()
     if a.what == "run":
-        done = pipeline.run(spark, config(a))
+        done = pipeline.run(spark, config(a), single=a.single)
     elif a.what == "compare":
         done = pipeline.compare(spark, a.input, a.output)
     else:
-        genome = reads.genome(a.genome) if a.genome else mock.pseudo_genome()
-        Path(a.output).mkdir(parents=True, exist_ok=True)
-        done = {"r1": f"{a.output}/mock_r1.fasta", "r2": f"{a.output}/mock_r2.fasta"}
-        mock.write_fasta(mock.reads(mock.allotted(spark, isoforms.mock_ratios(), a.reads), "form", "read_ix", genome), done["r1"], done["r2"])
+        files.make_folder(spark, a.output)
+        done = {"r1": f"{a.output}/mock_r1.{a.format}", "r2": f"{a.output}/mock_r2.{a.format}"}
+        ratios = tables.read_ratios(spark, a.ratios) if a.ratios else isoforms.mock_ratios()
+        mock.write_pairs(mock.reads(mock.allotted(spark, ratios, a.reads), "form", "read_ix", reads.genome(a.genome)), done["r1"], done["r2"])
     for name, path in done.items():
         print(f"{name}: {path}")
     return 0

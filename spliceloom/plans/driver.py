@@ -11,11 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import build_config
+from ..config import Assay, build_config
 from ..functions import seq, stats
-from ..functions.lineage import cut
+from ..functions.lineage import cut, shared_folder
 from ..operators import annotate, chain, isoforms, report, summary, umi
-from . import mock
+from ..sources import reads as read_source
+from ..sources import tables
+from . import chain_sql, mock
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -165,48 +167,79 @@ def fuzzy_find(spark, sf_dir):
     return rows.withColumn("f", chain.find_udf(PATTERN, 2)("s")).where("f.distance is not null").select("read_ix", "f.distance", "f.stop")
 
 
-_STEPS = build_config(distance=1).d3_to_all[1:6]
-_SHORT = [(s.acceptor, s.pattern[-7:]) for s in _STEPS]
-_FIRST = " UNION ALL ".join(f"SELECT k, {i} AS ord, '{a}' AS acceptor FROM {_window_search(_duck(_TEXTS), p, 1, 'k')} f{i}" for i, (a, p) in enumerate(_SHORT))
+def _one_edit(source: str, pattern: str, keep: str) -> str:
+    """Best match within one edit: least distance, first end; of equal pieces there the one as long as the pattern, then the longer.
 
+    Pieces are looked at only around an unchanged half of the pattern: one edit leaves one half as it is.
+    """
+    m, half = len(pattern), len(pattern) // 2
+    a, b = pattern[:half], pattern[half:]
+    near = f"(contains(substr(s, CAST(greatest(e - {m + 1}, 0) + 1 AS BIGINT), {m + 2}), '{a}') OR contains(substr(s, CAST(greatest(e - {m + 1}, 0) + 1 AS BIGINT), {m + 2}), '{b}'))"
+    return f"""(SELECT {keep}, best // 1000000 AS distance, best % 1000000 // 10 AS stop, best % 1000000 // 10 - (CASE best % 10 WHEN 0 THEN {m} WHEN 1 THEN {m + 1} ELSE {m - 1} END) AS start FROM (
+      SELECT {keep}, min(levenshtein(substr(s, e - n + 1, n), '{pattern}') * 1000000 + e * 10 + (CASE n WHEN {m} THEN 0 WHEN {m + 1} THEN 1 ELSE 2 END)) AS best
+      FROM (SELECT * FROM (SELECT {keep}, s, unnest(range(1, length(s) + 1)) AS e FROM {source} src WHERE contains(s, '{a}') OR contains(s, '{b}')) w WHERE {near}) x, (SELECT unnest(range({m - 1}, {m + 2})) AS n) y
+      WHERE n <= e GROUP BY {keep}) z WHERE best < 2000000)"""
 
-@query("first_match_batch", f"SELECT k AS read_ix, arg_min(acceptor, ord) AS acceptor FROM ({_FIRST}) u GROUP BY k")
-def first_match_batch(spark, sf_dir):
-    from ..config import Step
 
+@query("fuzzy_find_start", f"SELECT k AS read_ix, CAST(start AS INTEGER) AS start, CAST(stop AS INTEGER) AS stop, CAST(distance AS INTEGER) AS distance FROM {_one_edit(_duck(_TEXTS), PATTERN, 'k')} f")
+def fuzzy_find_start(spark, sf_dir):
     rows = spread(load(spark, sf_dir, "orders").select("o_orderkey")).select(F.col("o_orderkey").alias("read_ix"), F.concat(F.expr(_bases("t", "o_orderkey")), F.expr(_bases("w", "o_orderkey"))).alias("s"))
-    found = rows.withColumn("m", chain.first_of_udf(tuple(Step(a, p) for a, p in _SHORT), 1)("s"))
-    return found.where("m.acceptor is not null").select("read_ix", "m.acceptor")
+    return rows.withColumn("f", chain.find_udf(PATTERN, 1)("s")).where("f.distance is not null").select("read_ix", "f.start", "f.stop", "f.distance")
+
+
+#: Sequences that hold one of the patterns after D3 with a base changed, dropped, doubled or none, between random bases.
+_D3 = [(a, p) for stage, _, a, p in chain_sql.steps() if stage == "D3"]
+_D3_LIST = ", ".join(f"'{p}'" for _, p in _D3)
+_HELD_SPARK = f"""
+SELECT k, concat(x, CASE k % 4 WHEN 0 THEN p WHEN 1 THEN concat(substr(p, 1, pos), 'N', substr(p, pos + 2, 40)) WHEN 2 THEN concat(substr(p, 1, pos), substr(p, pos + 2, 40)) ELSE concat(substr(p, 1, pos), 'N', substr(p, pos + 1, 40)) END, y) AS s
+FROM (SELECT o_orderkey AS k, {_bases('t', 'o_orderkey')} AS x, {_bases('w', 'o_orderkey')} AS y, element_at(array({_D3_LIST}), cast(o_orderkey % {len(_D3)} as int) + 1) AS p, cast(o_orderkey % 13 as int) AS pos FROM orders) o
+"""
+_HELD = _HELD_SPARK.replace("element_at(array(", "list_extract(list_value(").replace("as string", "as varchar")
+_FIRST = " UNION ALL ".join(f"SELECT k, {i} AS ord, '{a}' AS acceptor, start FROM {_one_edit(f'({_HELD})', p, 'k')} f{i}" for i, (a, p) in enumerate(_D3))
+
+
+@query("first_match_batch", f"SELECT h.k AS read_ix, acceptor, CAST(start AS INTEGER) AS start, substr(s, CAST(start + 1 AS BIGINT)) AS tail, right(left(s, CAST(start AS BIGINT)), 15) AS donor FROM ({_HELD}) h JOIN (SELECT k, arg_min(acceptor, ord) AS acceptor, arg_min(start, ord) AS start FROM ({_FIRST}) u GROUP BY k) f ON h.k = f.k")
+def first_match_batch(spark, sf_dir):
+    """The reader's ordered search after D3, with its tail and the bases before."""
+    rows = _view(spark, sf_dir, "orders", _HELD_SPARK)
+    found = rows.withColumn("m", chain.first_udf(build_config(), "D3", 1)("s"))
+    return found.where("m.acceptor is not null").select(F.col("k").alias("read_ix"), "m.acceptor", "m.start", "m.tail", "m.donor")
 
 
 _SLICES = "CASE WHEN length(s) - 15 >= 10 THEN list_transform(range(length(s) - 15, 9, -20), lambda e: substr(s, CAST(greatest(e - 20, 0) + 1 AS BIGINT), CAST(least(e, 20) AS BIGINT))) ELSE [] END"
 
 
-@query("slices_from_end", f"SELECT read_ix, array_to_string({_SLICES}, ',') AS pieces FROM (SELECT read_ix, substr(r1, 1, CAST(read_ix % 90 AS BIGINT)) AS s FROM ({_duck(READS)}) q) z")
+@query("slices_from_end", f"SELECT read_ix, array_to_string({_SLICES}, ',') AS pieces FROM (SELECT read_ix, r1 AS s FROM ({_duck(READS)}) q) z")
 def slices_from_end(spark, sf_dir):
-    s = F.substring(F.col("r1"), F.lit(1), (F.col("read_ix") % 90).cast("int"))
-    return reads(spark, sf_dir).select("read_ix", F.array_join(seq.slices_from_end(s), ",").alias("pieces"))
+    return reads(spark, sf_dir).select("read_ix", F.array_join(seq.slices_from_end(F.col("r1")), ",").alias("pieces"))
 
 
-_PLACES = "SELECT o_orderkey AS read_ix, o_orderkey % 3 AS kind, CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE o_custkey * 37 % 8966 END AS place FROM orders"
+_GENOME_SQL = f"(SELECT '{GENOME}' AS g)"
+_ASSAYS = [a.value for a in Assay]
+_CHAINS = ["D1,A1", "D1,A7", "D1,unknown,A7", "D1,D1-unspliced", "noD1,no-acceptor", "D1,A2,D3,A4a"]
+#: A tail from some place of the genome (of varied length, some from none), a chain and an assay.
+_TAILS_SPARK = f"""
+SELECT read_ix, assay, split(c, ',') AS chain, CASE WHEN read_ix % 17 = 0 THEN x ELSE concat(substr(x, 1, cast(read_ix % 7 as int)), substr('{GENOME}', cast(place as int), cast(read_ix % 90 as int) + 12)) END AS tail
+FROM (SELECT o_orderkey AS read_ix, element_at(array({', '.join(repr(a) for a in _ASSAYS)}), cast(o_orderkey % 3 as int) + 1) AS assay, element_at(array({', '.join(repr(c) for c in _CHAINS)}), cast(o_custkey % {len(_CHAINS)} as int) + 1) AS c, o_custkey * 37 % 8900 + 1 AS place, {_bases('x', 'o_orderkey')} AS x FROM orders) o
+"""
+_TAILS = _TAILS_SPARK.replace("element_at(array(", "list_extract(list_value(").replace("as string", "as varchar").replace("split(c, ',')", "string_split(c, ',')")
 
 
-@query("size_class_rules", f"SELECT read_ix, CASE WHEN place IS NULL THEN 'Unknown' WHEN kind = 0 THEN CASE WHEN place < 5301 THEN '4kb' WHEN place > 7625 THEN '1.8kb' ELSE 'Unknown' END WHEN kind = 1 THEN CASE WHEN place > 7625 THEN '1.8kb' ELSE '4kb' END ELSE CASE WHEN place > 5301 AND place < 7625 THEN '4kb' WHEN place > 7625 THEN '1.8kb' WHEN place < 5301 THEN 'Both' ELSE 'Unknown' END END AS size_class FROM ({_PLACES}) p")
+@query("size_class_rules", f"SELECT read_ix, assay, {chain_sql.size_class('chain', 'tail', 'g', 'assay')} AS size_class FROM ({_TAILS}) t, {_GENOME_SQL} g")
 def size_class_rules(spark, sf_dir):
-    """The breakpoint rules on given places, by assay (0 size-specific, 1 k-mer, 2 random-reverse)."""
-    c = build_config()
-    p, low, high = F.col("place"), c.d4_breakpoint, c.a7_breakpoint
-    specific = F.when(p < low, "4kb").when(p > high, "1.8kb").otherwise("Unknown")
-    kmer = F.when(p > high, "1.8kb").otherwise("4kb")
-    rand = F.when((p > low) & (p < high), "4kb").when(p > high, "1.8kb").when(p < low, "Both").otherwise("Unknown")
-    rows = _view(spark, sf_dir, "orders", _PLACES)
-    return rows.select("read_ix", F.when(p.isNull(), "Unknown").when(F.col("kind") == 0, specific).when(F.col("kind") == 1, kmer).otherwise(rand).alias("size_class"))
+    """The reader's size classes of given chains and tails, exact search, by assay."""
+    rows = _view(spark, sf_dir, "orders", _TAILS_SPARK)
+    size = F.lit(None).cast("string")
+    for a in _ASSAYS:
+        size = F.when(F.col("assay") == a, chain.size_class_udf(build_config(assay=a, distance=0, genome=GENOME))("chain", "tail")).otherwise(size)
+    return rows.select("read_ix", "assay", size.alias("size_class"))
 
 
 # ---------------------------------------------------------------- UMI families
 
 _COUNTS = f"(SELECT final_category, umi, count(*) AS n FROM ({_duck(UMIS)}) q GROUP BY final_category, umi)"
-_POLY = " + ".join([*(f"{c!r} * power(CAST({{m}} AS DOUBLE), {p}.0)" for p, c in zip(range(6, 0, -1), stats.CUTOFF)), repr(stats.CUTOFF[-1])])
+#: The cut-off polynomial.
+_POLY = "-9.59e-27 * power(CAST({m} AS DOUBLE), 6.0) + 3.27e-21 * power(CAST({m} AS DOUBLE), 5.0) + -3.05e-16 * power(CAST({m} AS DOUBLE), 4.0) + 1.2e-11 * power(CAST({m} AS DOUBLE), 3.0) + -2.19e-7 * power(CAST({m} AS DOUBLE), 2.0) + 0.004044 * power(CAST({m} AS DOUBLE), 1.0) + 2.273"
 
 
 def _cutoff_sql(m: str) -> str:
@@ -233,15 +266,16 @@ def umi_family_pass(spark, sf_dir):
     return rows.groupBy("final_category", "umi", "umi_family", "umi_family_size", "umi_family_fraction", "umi_model_used", "umi_unique_count", "umi_unique_fraction").agg(F.count("*").alias("reads"))
 
 
-_RISK = f"CASE WHEN u <= 1 THEN 0.0 ELSE (u - 1) * {stats.neighbours(14, 1)!r} / (power(4.0, 14.0) - 1) END"
+#: Of 14 bases, 14 * 3 sequences lie within one substitution, of 4^14 - 1 others.
+_RATE = "(42.0 / (power(4.0, 14.0) - 1))"
 
 
-@query("neighbour_risk", f"SELECT u, {_RISK.replace(f'* {stats.neighbours(14, 1)!r} / (power(4.0, 14.0) - 1)', f'* {stats.neighbours(14, 1) / (4.0**14 - 1)!r}')} AS risk FROM (SELECT DISTINCT l_partkey AS u FROM lineitem) q")
+@query("neighbour_risk", f"SELECT u, CASE WHEN u <= 1 THEN 0.0 ELSE (u - 1) * {_RATE} END AS risk FROM (SELECT DISTINCT l_partkey AS u FROM lineitem) q")
 def neighbour_risk(spark, sf_dir):
     return load(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("u")).distinct().select("u", stats.neighbour_risk(F.col("u"), F.lit(14), 1).alias("risk"))
 
 
-@query("auto_model_decision", f"SELECT final_category, CASE WHEN CAST(u AS DOUBLE) / reads <= 0.1 OR risk >= 0.05 THEN 'max-model' ELSE 'cluster-model' END AS umi_model_used, u AS umi_unique_count, CAST(u AS DOUBLE) / reads AS umi_unique_fraction, risk AS umi_neighbor_risk FROM (SELECT final_category, count(*) AS u, CAST(sum(n) AS BIGINT) AS reads, CASE WHEN count(*) <= 1 THEN 0.0 ELSE (count(*) - 1) * {stats.neighbours(14, 1) / (4.0**14 - 1)!r} END AS risk FROM {_COUNTS} c GROUP BY final_category) d")
+@query("auto_model_decision", f"SELECT final_category, CASE WHEN CAST(u AS DOUBLE) / reads <= 0.1 OR risk >= 0.05 THEN 'max-model' ELSE 'cluster-model' END AS umi_model_used, u AS umi_unique_count, CAST(u AS DOUBLE) / reads AS umi_unique_fraction, risk AS umi_neighbor_risk FROM (SELECT final_category, count(*) AS u, CAST(sum(n) AS BIGINT) AS reads, CASE WHEN count(*) <= 1 THEN 0.0 ELSE (count(*) - 1) * {_RATE} END AS risk FROM {_COUNTS} c GROUP BY final_category) d")
 def auto_model_decision(spark, sf_dir):
     return umi.decisions(umi.counts(umis(spark, sf_dir)), "auto-model", 1)
 
@@ -278,6 +312,17 @@ def umi_cluster_by_joins(spark, sf_dir):
     return umi.cluster(umi.counts(umis(spark, sf_dir)), 1, 0.005, task_umis=0)
 
 
+_LONG = f"(SELECT final_category, concat(umi, umi, umi, substr(umi, 1, 3)) AS umi, n FROM {_COUNTS} c0)"
+
+
+@query("umi_cluster_long", _GREEDY.replace(f"FROM {_COUNTS} c)", f"FROM {_LONG} c)").replace("<= 1)[1]", "<= 3)[1]"))
+def umi_cluster_long(spark, sf_dir):
+    """UMIs of 45 bases, three substitutions, by joins."""
+    short = umi.counts(umis(spark, sf_dir))
+    long = short.withColumn("umi", F.concat("umi", "umi", "umi", F.substring("umi", 1, 3)))
+    return umi.cluster(long, 3, 0.005, task_umis=0)
+
+
 @query("umi_cluster_plusone", _GREEDY.replace("<= 1)[1]", "<= 2)[1]"))
 def umi_cluster_plusone(spark, sf_dir):
     rows = umi.families(umis(spark, sf_dir), "cluster-model-plusone", 1)
@@ -297,7 +342,15 @@ def umi_histogram(spark, sf_dir):
 # ---------------------------------------------------------------- summary and annotation
 
 _KEPT = f"(SELECT read_ix, umi_family, splice_category, size_class, id, concat(splice_category, '_', size_class) AS final_category, CASE WHEN donor IS NULL THEN 'None' WHEN donor = '' THEN NULL ELSE donor END AS v FROM ({CALLS}) q)"
-_MODE = f"(SELECT umi_family, splice_category, v FROM (SELECT *, row_number() OVER (PARTITION BY umi_family, splice_category ORDER BY n DESC, f) AS r FROM (SELECT umi_family, splice_category, v, count(*) AS n, min(read_ix) AS f FROM {_KEPT} k GROUP BY ALL) c) d WHERE r = 1)"
+
+
+def _mode(kept: str, more: str = "") -> str:
+    """The most frequent value v by family and category, the first seen of equal ones; ``more``: further keys, each with a comma."""
+    keys = f"{more}umi_family, splice_category"
+    return f"(SELECT {keys}, v FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY n DESC, f) AS r FROM (SELECT {keys}, v, count(*) AS n, min(read_ix) AS f FROM {kept} k GROUP BY ALL) c) d WHERE r = 1)"
+
+
+_MODE = _mode(_KEPT)
 
 
 @query("mode_first_seen", f"SELECT umi_family, splice_category, v AS alternative_d1_used_common FROM {_MODE} m")
@@ -307,10 +360,18 @@ def mode_first_seen(spark, sf_dir):
 
 
 _CLASS = "CASE WHEN contains(splice_category, 'D1_unknown') OR contains(splice_category, 'no-acceptor') THEN 'unknown' WHEN splice_category IN ('D1_D1-unspliced', 'D1_gag-AUG', 'noD1_gag-AUG_unspliced') THEN 'unspliced' ELSE 'spliced' END"
-_SUMMARY = f"""(SELECT *, CASE WHEN spliced = 'spliced' THEN CASE WHEN contains(splice_category, 'noD1_') THEN 'Alternative D1' WHEN contains(splice_category, 'D1prime_') THEN 'D1prime' ELSE 'D1' END END AS D1_type,
+
+
+def _summarized(kept: str, by_sample: bool) -> str:
+    id_, same = ("k.id, ", " AND k.id = m.id") if by_sample else ("", "")
+    return f"""(SELECT *, CASE WHEN spliced = 'spliced' THEN CASE WHEN contains(splice_category, 'noD1_') THEN 'Alternative D1' WHEN contains(splice_category, 'D1prime_') THEN 'D1prime' ELSE 'D1' END END AS D1_type,
   CASE WHEN spliced = 'spliced' THEN replace(replace(splice_category, 'D1prime', 'D1'), 'noD1', 'D1') ELSE spliced END AS splice_category_2
-  FROM (SELECT DISTINCT k.id, k.umi_family, k.splice_category, k.size_class, k.final_category, m.v AS alternative_d1_used_common, {_CLASS.replace('splice_category', 'k.splice_category')} AS spliced
-        FROM {_KEPT} k JOIN {_MODE} m ON k.umi_family = m.umi_family AND k.splice_category = m.splice_category) s)"""
+  FROM (SELECT DISTINCT {id_}k.umi_family, k.splice_category, k.size_class, k.final_category, m.v AS alternative_d1_used_common, {_CLASS.replace('splice_category', 'k.splice_category')} AS spliced
+        FROM {kept} k JOIN {_mode(kept, 'id, ' if by_sample else '')} m ON k.umi_family = m.umi_family AND k.splice_category = m.splice_category{same}) s)"""
+
+
+_SUMMARY = _summarized(_KEPT, True)
+_SUMMARY_COLUMNS = "umi_family, splice_category, size_class, final_category, alternative_d1_used_common, spliced, D1_type, splice_category_2"
 
 
 @query("spliced_class", f"SELECT read_ix, {_CLASS} AS spliced FROM {_KEPT} k")
@@ -318,20 +379,14 @@ def spliced_class(spark, sf_dir):
     return calls(spark, sf_dir).select("read_ix", summary.spliced_class(F.col("splice_category")).alias("spliced"))
 
 
-@query("summary_distinct", f"SELECT DISTINCT umi_family, splice_category, size_class, final_category, alternative_d1_used_common, spliced, D1_type, splice_category_2 FROM {_SUMMARY} s")
+@query("summary_distinct", f"SELECT {_SUMMARY_COLUMNS} FROM {_summarized(_KEPT, False)} s")
 def summary_distinct(spark, sf_dir):
     return summary.summarize(calls(spark, sf_dir))
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Summary rows of three samples (order status), united and annotated."""
-    rows = calls(spark, sf_dir)
-    keys = ["umi_family", "splice_category"]
-    common = mode_first_seen(spark, sf_dir)
-    s = rows.select("id", *keys, "size_class", "final_category").distinct().join(common, keys)
-    s = s.withColumn("spliced", summary.spliced_class(F.col("splice_category")))
-    s = s.withColumn("D1_type", summary.d1_type(F.col("spliced"), F.col("splice_category"))).withColumn("splice_category_2", summary.splice_category_2(F.col("spliced"), F.col("splice_category")))
-    return annotate.annotate(s)
+    return annotate.annotate(summary.summarize(calls(spark, sf_dir), by=("id",)))
 
 
 def _lookup_sql() -> str:
@@ -423,12 +478,13 @@ _EDGES = f"""(SELECT unnest([{{'a': 'D1', 'b': substr(c, 4, 2)}}, CASE WHEN d2 <
 _LINKS = f"""(SELECT e.a AS "from", e.b AS "to", CAST(sum(n) AS BIGINT) AS w, sum(n) * 100.0::DOUBLE / (SELECT count(*) FROM {_ANNOTATED} z {_SPLICED}) AS percent_exact FROM {_EDGES} x WHERE e IS NOT NULL GROUP BY e.a, e.b)"""
 
 
-@query("splice_links", f"SELECT * FROM {_LINKS} l")
+@query("splice_links", f"SELECT *, CAST(round(CAST(percent_exact AS DECIMAL(18, 10)), 1) AS DOUBLE) AS percent FROM {_LINKS} l")
 def splice_links(spark, sf_dir):
-    return report.links(samples(spark, sf_dir)).drop("percent")
+    return report.links(samples(spark, sf_dir))
 
 
-_SITES = ", ".join(f"('{s}', {p})" for s, p in report.ANCHORS.items())
+#: Sites on the genome map.
+_SITES = "('D1', 743), ('A1', 4913), ('D2', 4962), ('A2', 5390), ('D3', 5463), ('A3', 5777), ('A4', 5955), ('A5', 5977), ('D4', 6045), ('A7', 8379)"
 
 
 @query("splice_map", f"""SELECT l."from", l."to", l.w, CAST(a.p AS INTEGER) AS from_pos, CAST(b.p AS INTEGER) AS to_pos FROM {_LINKS} l JOIN (VALUES {_SITES}) a(s, p) ON l."from" = a.s JOIN (VALUES {_SITES}) b(s, p) ON l."to" = b.s""")
@@ -491,8 +547,6 @@ def sample_union(spark, sf_dir):
 
 @query("read_rows", f"SELECT CAST(q.read_ix AS VARCHAR) AS sequence_id, coalesce(donor, 'None') AS alternative_d1_used, CASE WHEN q.read_ix % 2 = 0 THEN 'None' ELSE printf('%.6f', (q.read_ix % 100) / 128.0::DOUBLE) END AS umi_family_fraction FROM ({CALLS}) q")
 def read_rows(spark, sf_dir):
-    from ..sources import tables
-
     rows = calls(spark, sf_dir)
     full = rows.select(F.col("read_ix").cast("string").alias("sequence_id"), "alternative_d1_used", F.when(F.col("read_ix") % 2 != 0, (F.col("read_ix") % 100) / F.lit(128.0)).alias("umi_family_fraction"), *[F.lit(None).cast("double" if c in tables.FRACTIONS else "string").alias(c) for c in tables.READ_COLUMNS if c not in ("sequence_id", "alternative_d1_used", "umi_family_fraction")])
     return tables.read_rows(full).select("sequence_id", "alternative_d1_used", "umi_family_fraction")
@@ -518,14 +572,15 @@ def packed_hamming(spark, sf_dir):
     return reads(spark, sf_dir).select("read_ix", seq.mismatches(a, b, 14).cast("bigint").alias("differing"))
 
 
-_CODE = "CASE upper(c) " + " ".join(f"WHEN '{b}' THEN {m}" for b, m in seq.IUPAC.items()) + " ELSE 0 END"
+#: IUPAC codes as sets of A, C, G and T (1, 2, 4, 8).
+_CODE = "CASE upper(c) WHEN 'A' THEN 1 WHEN 'C' THEN 2 WHEN 'G' THEN 4 WHEN 'T' THEN 8 WHEN 'U' THEN 8 WHEN 'R' THEN 5 WHEN 'Y' THEN 10 WHEN 'S' THEN 6 WHEN 'W' THEN 9 WHEN 'K' THEN 12 WHEN 'M' THEN 3 WHEN 'B' THEN 14 WHEN 'D' THEN 13 WHEN 'H' THEN 11 WHEN 'V' THEN 7 WHEN 'N' THEN 15 ELSE 0 END"
 
 
-@query("iupac_sets", f"SELECT c, CAST({_CODE} AS BIGINT) AS bases FROM (SELECT DISTINCT substr(lower(o_orderpriority), 3, 1) AS c FROM orders UNION SELECT DISTINCT substr(c_name, 1, 1) AS c FROM customer) q")
+@query("iupac_sets", f"SELECT c, CAST({_CODE} AS BIGINT) AS bases FROM (SELECT DISTINCT chr(CAST(33 + o_orderkey % 90 AS INTEGER)) AS c FROM orders) q")
 def iupac_sets(spark, sf_dir):
-    a = load(spark, sf_dir, "orders").select(F.substring(F.lower("o_orderpriority"), 3, 1).alias("c"))
-    b = load(spark, sf_dir, "customer").select(F.substring("c_name", 1, 1).alias("c"))
-    return a.unionByName(b).distinct().select("c", seq.iupac_set(F.col("c")).cast("bigint").alias("bases"))
+    """All characters of the alphabet in both cases, and others."""
+    c = load(spark, sf_dir, "orders").select(F.char((F.col("o_orderkey") % 90 + 33)).alias("c")).distinct()
+    return c.select("c", seq.iupac_set(F.col("c")).cast("bigint").alias("bases"))
 
 
 _FILLER = (mock.SPACER * 16)[:300]
@@ -547,7 +602,7 @@ def _steps_table() -> list[tuple[str, int, str, str]]:
     return [(name, i, s.acceptor, s.pattern) for name, steps in plans.items() for i, s in enumerate(steps)]
 
 
-_DONOR_SQL = " UNION ALL ".join(f"SELECT '{n}' AS stage, {i} AS ord, '{a}' AS acceptor, '{p}' AS pattern" for n, i, a, p in _steps_table())
+_DONOR_SQL = " UNION ALL ".join(f"SELECT '{n}' AS stage, {i} AS ord, '{a}' AS acceptor, '{p}' AS pattern" for n, i, a, p in chain_sql.steps())
 
 
 @query("steps_in_reads", f"SELECT stage, ord, acceptor, pattern, CAST(count(t.k) AS BIGINT) AS n FROM ({_DONOR_SQL}) s LEFT JOIN {_duck(_TEXTS)} t ON contains(t.s, substr(pattern, 1, 5)) GROUP BY ALL")
@@ -563,11 +618,150 @@ def steps_in_reads(spark, sf_dir):
     return counted.select(F.explode(steps).alias("t"), "m").select("t.stage", "t.ord", "t.acceptor", "t.pattern", F.element_at("m", F.substring("t.pattern", 1, 5)).alias("n"))
 
 
-@query("genome_features", "SELECT r AS \"row\", n AS name, s AS start, e AS \"end\" FROM (VALUES " + ", ".join("({}, '{}', {}, {})".format(r, n.replace("'", "''"), s_, e) for r, n, s_, e in report.FEATURES) + ") v(r, n, s, e)")
+#: Rows of the genome map.
+_FEATURES = """
+(1, '5''-LTR', 1, 634), (1, 'gag', 790, 2292), (1, 'vif', 5041, 5619), (1, 'tat-2', 8379, 8424), (1, 'nef', 8797, 9417),
+(2, 'tat-1', 5831, 6045), (2, 'vpu', 6062, 6310), (2, 'rev-2', 8379, 8653), (2, '3''-LTR', 9407, 9719),
+(3, 'pol', 2085, 5096), (3, 'pro', 2253, 2550), (3, 'vpr', 5559, 5850), (3, 'rev-1', 5970, 6045), (3, 'env', 6225, 8795)
+"""
+
+
+@query("genome_features", f'SELECT r AS "row", n AS name, s AS start, e AS "end" FROM (VALUES {_FEATURES}) v(r, n, s, e)')
 def genome_features(spark, sf_dir):
     return report.genome_features(spark)
 
 
+# ---------------------------------------------------------------- whole plans, exact search
+
+def _body(form: str) -> str:
+    """Sites of a form's events, donors after the first apart from what is before them."""
+    sites, out = chain_sql.SITES, ""
+    for e in form.split("_"):
+        if e == "D1prime":
+            out += sites["D1"] + sites["D1-unspliced"][:4]
+        elif e in ("D2", "D2b", "D3"):
+            out += mock.SPACER + sites[e]
+        elif e == "gag-AUG" or e in sites:
+            out += sites[e]
+        else:
+            out += mock.SPACER[:10]
+    return out
+
+
+_WINDOWS = [GENOME[at : at + mock.TAIL_BASES] if at is not None else (mock.SPACER * 15)[: mock.TAIL_BASES] for at, _ in mock.WINDOWS]
+_QUOTED = lambda xs: ", ".join(f"'{x}'" for x in xs)
+#: Reads of known chains: every form with every window; every third pair overlaps by 40 bases; few UMIs, some with one base changed.
+EXACT_SPARK = f"""
+SELECT read_ix, id, concat(head, body, substr('{(mock.SPACER * 16)[:300]}', 1, 300 - length(body))) AS r1,
+  concat(u, reverse(translate(CASE WHEN read_ix % 3 = 0 THEN concat(right(concat(body, substr('{(mock.SPACER * 16)[:300]}', 1, 300 - length(body))), 40), w) ELSE w END, 'ACGT', 'TGCA'))) AS r2
+FROM (SELECT o_orderkey AS read_ix, concat('mock_', cast(o_orderkey as string)) AS id, substr({_bases('f', 'o_orderkey')}, 1, 4) AS head,
+  concat('{mock.SPACER}', element_at(array({_QUOTED(_body(f) for f in FORMS)}), cast(o_orderkey % {len(FORMS)} as int) + 1)) AS body,
+  element_at(array({_QUOTED(_WINDOWS)}), cast(o_orderkey % 4 as int) + 1) AS w,
+  CASE WHEN o_orderkey % 9 = 0 THEN concat(substr(u, 1, 3), 'T', substr(u, 5, 10)) ELSE u END AS u
+  FROM (SELECT o_orderkey, substr({_bases('u', f'(CASE WHEN o_orderkey % {len(FORMS)} % 5 = 0 THEN 0 ELSE o_custkey % 12 END)')}, 1, 14) AS u FROM orders) a) o
+"""
+EXACT = EXACT_SPARK.replace("element_at(array(", "list_extract(list_value(").replace("as string", "as varchar")
+_EXACT_EVENTS = f"""searched AS MATERIALIZED (SELECT * FROM {chain_sql.overlapped(EXACT)} x), {chain_sql.chains('searched')},
+ev AS MATERIALIZED (SELECT read_ix, id AS sequence_id, umi, joined AS joined_sequence, splice_category, size_class, concat(splice_category, '_', size_class) AS final_category, alt AS alternative_d1_used, beyond AS unknown_sequence_after_d1, tail AS post_splice_sequence
+  FROM (SELECT c.read_ix, id, umi, joined, array_to_string(chain, '_') AS splice_category, {chain_sql.size_class('chain', 'tail', 'g')} AS size_class, alt, beyond, tail FROM chain c JOIN searched t ON c.read_ix = t.read_ix, {_GENOME_SQL} g) y)"""
+
+
+def exact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chain.events(_view(spark, sf_dir, "orders", EXACT_SPARK), build_config(distance=0, genome=GENOME))
+
+
+@query("splice_events_exact", f"WITH RECURSIVE {_EXACT_EVENTS} SELECT * FROM ev")
+def splice_events_exact(spark, sf_dir):
+    """Chain, tail, contexts, size class and joined read of every pair, exact search."""
+    return exact_events(spark, sf_dir).select("read_ix", "sequence_id", "umi", "joined_sequence", "splice_category", "size_class", "final_category", "alternative_d1_used", "unknown_sequence_after_d1", "post_splice_sequence")
+
+
+@query("joined_records_exact", f"SELECT concat('>', id, '-joined ForwardNs: ', substr(r1, 1, 4), ', UMI: ', j.umi, chr(10), joined) AS record FROM (SELECT j.*, e.r1 FROM {chain_sql.overlapped(EXACT)} j JOIN ({EXACT}) e ON j.read_ix = e.read_ix) j WHERE joined IS NOT NULL")
+def joined_records_exact(spark, sf_dir):
+    return chain.joined_record(exact_events(spark, sf_dir))
+
+
+_EXACT_FAMILIES = f"""{_EXACT_EVENTS},
+cnt AS MATERIALIZED (SELECT final_category, umi, count(*) AS n FROM ev GROUP BY ALL),
+dec AS MATERIALIZED (SELECT final_category, u, reads, CAST(u AS DOUBLE) / reads AS share, risk, most, CASE WHEN CAST(u AS DOUBLE) / reads <= 0.1 OR risk >= 0.05 THEN 'max-model' ELSE 'cluster-model' END AS model
+  FROM (SELECT final_category, count(*) AS u, CAST(sum(n) AS BIGINT) AS reads, max(n) AS most, CASE WHEN count(*) <= 1 THEN 0.0 ELSE (count(*) - 1) * {_RATE} END AS risk FROM cnt GROUP BY final_category) d),
+k AS MATERIALIZED (SELECT c.final_category, umi, n, row_number() OVER (PARTITION BY c.final_category ORDER BY n DESC, umi) AS r FROM cnt c JOIN dec d ON c.final_category = d.final_category WHERE model = 'cluster-model'),
+g AS (
+  SELECT final_category, r, umi, n, umi AS parent, [umi] AS parents FROM k WHERE r = 1
+  UNION ALL
+  SELECT final_category, r, umi, n, coalesce(p, umi), CASE WHEN p IS NULL THEN list_append(parents, umi) ELSE parents END
+  FROM (SELECT k.final_category, k.r, k.umi, k.n, g.parents, list_filter(g.parents, lambda x: hamming(x, k.umi) <= 1)[1] AS p
+        FROM g JOIN k ON k.final_category = g.final_category AND k.r = g.r + 1) s
+), size AS (SELECT final_category, parent, sum(n) AS size FROM g GROUP BY ALL),
+fam AS (
+  SELECT g.final_category, g.umi, g.parent AS umi_family, CAST(s.size AS BIGINT) AS umi_family_size FROM g JOIN size s ON g.final_category = s.final_category AND g.parent = s.parent JOIN dec d ON g.final_category = d.final_category WHERE s.size >= ceil(d.reads * 0.005)
+  UNION ALL
+  SELECT c.final_category, c.umi, c.umi, c.n FROM cnt c JOIN dec d ON c.final_category = d.final_category WHERE model = 'max-model' AND c.n > {_cutoff_sql('d.most')}
+),
+per AS MATERIALIZED (SELECT ev.*, f.umi_family, f.umi_family_size, CAST(f.umi_family_size AS DOUBLE) / d.reads AS umi_family_fraction, d.model AS umi_model_used, d.u AS umi_unique_count, d.share AS umi_unique_fraction, d.risk AS umi_neighbor_risk
+  FROM ev JOIN dec d ON ev.final_category = d.final_category LEFT JOIN fam f ON ev.final_category = f.final_category AND ev.umi = f.umi)"""
+_FAMILY_COLUMNS = "sequence_id, umi, umi_family, umi_family_size, umi_family_fraction, umi_model_used, umi_unique_count, umi_unique_fraction, umi_neighbor_risk, splice_category, size_class, final_category, alternative_d1_used, unknown_sequence_after_d1"
+
+
+@query("per_read_families_exact", f"WITH RECURSIVE {_EXACT_FAMILIES} SELECT read_ix, {_FAMILY_COLUMNS} FROM per")
+def per_read_families_exact(spark, sf_dir):
+    """Reads to events to families, automatic model, exact search."""
+    return umi.families(cut(exact_events(spark, sf_dir)), "auto-model").select("read_ix", *_FAMILY_COLUMNS.split(", "))
+
+
+_EXACT_KEPT = "(SELECT read_ix, umi_family, splice_category, size_class, final_category, CASE WHEN alternative_d1_used IS NULL THEN 'None' WHEN alternative_d1_used = '' THEN NULL ELSE alternative_d1_used END AS v FROM per WHERE umi_family IS NOT NULL)"
+
+
+@query("family_summary_exact", f"WITH RECURSIVE {_EXACT_FAMILIES} SELECT {_SUMMARY_COLUMNS} FROM {_summarized(_EXACT_KEPT, False)} s")
+def family_summary_exact(spark, sf_dir):
+    return summary.summarize(per_read_families_exact(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- files, written and read again
+
+
+def _written(spark: SparkSession, df: DataFrame, ending: str) -> DataFrame:
+    """Read pairs as two files in the shared folder, read by the engine's source."""
+    at = shared_folder(spark)
+    pair = f"{at}/r1.{ending}", f"{at}/r2.{ending}"
+    mock.write_pairs(df, *pair)
+    return read_source.read_pairs(spark, *pair).select("read_ix", "id", "r1", "r2")
+
+
+_NUMBERED = "SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS read_ix, concat('mock_', CAST(o_orderkey AS VARCHAR), '_r1') AS id, r1, r2 FROM (SELECT e.*, e.read_ix AS o_orderkey FROM ({}) e) o"
+
+
+@query("pairs_fasta", _NUMBERED.format(EXACT))
+def pairs_fasta(spark, sf_dir):
+    return _written(spark, _view(spark, sf_dir, "orders", EXACT_SPARK), "fasta")
+
+
+@query("pairs_fastq_gz", _NUMBERED.format(EXACT))
+def pairs_fastq_gz(spark, sf_dir):
+    return _written(spark, _view(spark, sf_dir, "orders", EXACT_SPARK), "fastq.gz")
+
+
+@query("reads_table_file", f"WITH RECURSIVE {_EXACT_FAMILIES} SELECT {', '.join(f'CAST(round(CAST({c} AS DECIMAL(38, 18)), 6) AS DOUBLE) AS {c}' if c in tables.FRACTIONS else c for c in _FAMILY_COLUMNS.split(', '))} FROM per")
+def reads_table_file(spark, sf_dir):
+    """The per-read table written as text and read back: fractions have six decimals."""
+    at = f"{shared_folder(spark)}/reads.tsv"
+    tables.write_reads(per_read_families_exact(spark, sf_dir), at)
+    return tables.read_reads(spark, at)
+
+
+@query("summary_files", f"SELECT id, 'nl43' AS reference_strain, '1' AS distance, 'random-reverse' AS assay, {_SUMMARY_COLUMNS} FROM {_SUMMARY} s")
+def summary_files(spark, sf_dir):
+    """One run folder for each sample; the folders scanned, the summaries gathered and read with what their names say."""
+    at = shared_folder(spark)
+    rows = summary.summarize(calls(spark, sf_dir), by=("id",)).cache()
+    for (name,) in rows.select("id").distinct().collect():
+        tables.write_summary(rows.where(F.col("id") == name), f"{at}/runs/{name}/output_strain_nl43_distance_1_assay_random-reverse_summary.csv", single=True)
+    rows.unpersist()
+    tables.write_features(spark, tables.scan_runs(spark, f"{at}/runs"), f"{at}/all")
+    features = tables.read_features(spark, f"{at}/all/run_features.csv").select(F.col("sample_name").alias("id"), "reference_strain", "distance", "assay")
+    return tables.read_samples(spark, f"{at}/all").join(F.broadcast(features), "id").select("id", "reference_strain", "distance", "assay", *summary.COLUMNS)
+
+
 # ---------------------------------------------------------------- whole plans, checked by tests instead of SQL
 
 

@@ -10,17 +10,17 @@ import sys
 import time
 from contextlib import contextmanager
 from dataclasses import asdict
-from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import RunConfig, build_config
-from ..functions.lineage import cut
+from ..functions.lineage import cut, let_go
 from ..functions.stats import SANE_MAXIMUM
-from ..operators import annotate, chain, report, summary, umi
+from ..operators import annotate, chain, isoforms, report, summary, umi
+from ..sources import files, tables
 from ..sources import reads as read_source
-from ..sources import tables
+from . import drawing as draw
 
 VERSION = "0.1.0"
 log = logging.getLogger("spliceloom")
@@ -38,8 +38,12 @@ def timed(stage: str):
 def call_families(reads: DataFrame, config: RunConfig) -> DataFrame:
     """Per-read events with families; the events are stored once on the way."""
     splice = build_config(config.strain, config.assay, config.distance, config.genome)
-    found = cut(chain.events(reads, splice, config.header))  # read twice: for the UMI counts, and for the rows
-    return umi.families(found, config.family_model, config.distance, config.min_fraction, config.neighbor_risk, config.coverage_ratio)
+    return _families(cut(chain.events(reads, splice, config.header)), config)
+
+
+def _families(events: DataFrame, config: RunConfig) -> DataFrame:
+    """The events are read twice: for the UMI counts, and for the rows."""
+    return umi.families(events, config.family_model, config.distance, config.min_fraction, config.neighbor_risk, config.coverage_ratio)
 
 
 def report_frames(annotated: DataFrame) -> dict[str, DataFrame]:
@@ -85,16 +89,57 @@ def comparison_frames(pooled: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def page(title: str, frames: dict[str, DataFrame], most_rows: int = 1000) -> str:
-    """A plain HTML page of the frames: they are counts by category, and longer ones say that they are cut."""
+#: How a frame is drawn: label columns and the value of its bars.
+BARS = {
+    "spliced_classes": (["spliced"], "percent"), "size_classes": (["size_class"], "percent"), "d1_types": (["D1_type"], "percent"), "d1_types_detailed": (["D1_type_revised"], "percent"),
+    "main_acceptors": (["main_acceptor_after_d1"], "percent"), "isoforms": (["splice_cat2"], "percent"), "after_a1": (["A1_fate"], "percent"), "after_a2": (["upstream_event", "A2_fate"], "percent"),
+    "acceptors_by_d1": (["D1_type_revised", "main_acceptor_after_d1"], "percent"), "flow": (["final_des", "splice_cat2"], "percent"), "umi_histogram": (["reads"], "umis"),
+}
+COMPARED = {
+    "percent_spliced": (["id"], "percent"), "size_classes": (["id", "size_class"], "percent"), "d1_types": (["id", "D1_type_revised2"], "percent"), "d1_types_detailed": (["id", "D1_type_revised"], "percent"),
+    "main_acceptors": (["id", "main_acceptor_after_d1"], "percent"), "final_destinations": (["id", "final_des"], "percent"), "after_a1": (["id", "A1_fate"], "percent"), "after_a2": (["id", "A2_fate"], "percent"),
+}
+TITLES = {"D1_type": "D1 type", "D1_type_revised": "D1 type in detail", "D1_type_revised2": "D1 type", "splice_cat2": "isoform", "splice_category_2": "splice category", "main_acceptor_after_d1": "acceptor after D1", "final_des": "final destination", "A1_fate": "after A1", "A2_fate": "after A2", "upstream_event": "way to A2", "n": "families", "w": "families", "percent": "%", "id": "sample", "size_class": "size class"}
+
+
+def ordered(df: DataFrame) -> DataFrame:
+    """Samples together, the largest numbers first, equal ones by what they are of."""
+    first = [c for c in ("id",) if c in df.columns]
+    number = next((c for c in ("n", "w", "splice_category_count", "umis") if c in df.columns), None)
+    rest = [c for c in df.columns if c not in (*first, number)]
+    return df.orderBy(*first, *([F.desc(number)] if number else []), *[F.col(f"`{c}`") for c in rest])
+
+
+def drawing(name: str, rows: list, columns: list[str], shapes: dict) -> str:
+    if name in shapes and rows:
+        return draw.bars(rows, *shapes[name])
+    if name == "sankey" and rows:
+        return draw.sankey(rows)
+    return ""
+
+
+def page(title: str, frames: dict[str, DataFrame], folder: str, shapes: dict, tests: dict[str, float | None] | None = None, most_rows: int = 1000) -> str:
+    """An HTML page of the frames, sorted and drawn, with p-values of association.
+
+    They are counts by category.  Of a longer frame the page shows the first rows,
+    and links to a CSV file beside it that holds all.
+    """
     parts = [f"<!doctype html><meta charset='utf-8'><title>{html.escape(title)}</title><h1>{html.escape(title)}</h1>"]
     for name, df in frames.items():
-        rows = df.limit(most_rows + 1).collect()
-        text = "\n".join(",".join("" if v is None else str(v) for v in r) for r in [df.columns, *rows])
-        cells = "".join("<tr>" + "".join(f"<td>{html.escape('' if v is None else str(v))}</td>" for v in r) + "</tr>" for r in rows[:most_rows])
-        head = "".join(f"<th>{html.escape(c)}</th>" for c in df.columns)
-        note = f"<p>The first {most_rows} rows.</p>" if len(rows) > most_rows else ""
-        parts.append(f"<h2>{html.escape(name)}</h2>{note}<table><tr>{head}</tr>{cells}</table><a download='{name}.csv' href='{tables.embedded(text)}'>CSV</a>")
+        sorted_ = ordered(df)
+        rows = sorted_.limit(most_rows + 1).collect()
+        shown = rows[:most_rows]
+        cells = "".join("<tr>" + "".join(f"<td>{html.escape('' if v is None else f'{v:.4g}' if isinstance(v, float) else str(v))}</td>" for v in r) + "</tr>" for r in shown)
+        head = "".join(f"<th>{html.escape(TITLES.get(c, c))}</th>" for c in df.columns)
+        if len(rows) > most_rows:
+            tables._write(sorted_, f"{folder}/{name}.csv", True)
+            link, note = f"{name}.csv", f"<p>The first {most_rows} rows; the file has all.</p>"
+        else:
+            link, note = tables.embedded(tables.csv_text(df.columns, rows)), ""
+        if tests and name in tests:
+            note += "<p>Association: " + ("not tested, one row or column" if tests[name] is None else f"p = {tests[name]:.3g} (chi-square)") + "</p>"
+        picture = draw.splice_map(shown, frames["features"].collect(), report.GENOME_END) if name == "map" and rows else drawing(name, shown, df.columns, shapes)
+        parts.append(f"<h2>{html.escape(name.replace('_', ' '))}</h2>{note}{picture}<table><tr>{head}</tr>{cells}</table><a download='{name}.csv' href='{link}'>CSV</a>")
         if name == "links":
             # a category's text cannot close the script
             data = json.dumps([r.asDict() for r in rows]).replace("</", "<\\/")
@@ -102,41 +147,59 @@ def page(title: str, frames: dict[str, DataFrame], most_rows: int = 1000) -> str
     return "\n".join(parts)
 
 
-def run(spark: SparkSession, config: RunConfig, partitions: int | None = None) -> dict[str, str]:
-    """Reads to per-read table, summary, parameters and report; the paths written."""
-    out = Path(config.out)
-    out.mkdir(parents=True, exist_ok=True)
-    paths = {"reads": str(out / f"{config.stem}.tsv"), "summary": str(out / f"{config.stem}_summary.csv"), "params": str(out / "params.json"), "report": str(out / f"{config.stem}.html"), "isoforms": str(out / "isoforms.csv")}
-    reads = read_source.read_pairs(spark, config.r1, config.r2, partitions or spark.sparkContext.defaultParallelism)
+def run(spark: SparkSession, config: RunConfig, partitions: int | None = None, single: bool = False) -> dict[str, str]:
+    """Reads to per-read table (a folder of parts, or one file if ``single``), summary, parameters and report; the paths written."""
+    out = config.out.rstrip("/")
+    with timed("folder"):
+        files.make_folder(spark, out)
+        paths = {"reads": f"{out}/{config.stem}.tsv", "summary": f"{out}/{config.stem}_summary.csv", "params": f"{out}/params.json", "report": f"{out}/{config.stem}.html", "isoforms": f"{out}/isoforms.csv"}
+    with timed("search patterns"):
+        splice = build_config(config.strain, config.assay, config.distance, config.genome)
+    with timed("read pairs"):
+        reads = read_source.read_pairs(spark, config.r1, config.r2, partitions or spark.sparkContext.defaultParallelism)
+        seen = Observation("reads")
+        reads = reads.observe(seen, *chain.reject_counts(config.header, config.distance))
+    with timed("events"):
+        events = cut(chain.events(reads, splice, config.header))
+    left_out = {k: v for k, v in seen.get.items()}
     with timed("families"):
-        rows = call_families(reads, config).cache()  # for the two tables written below
-        tables.write_reads(rows, paths["reads"], single=True)
-    most = umi.counts(rows).agg(F.max("n")).first()[0]
+        rows = cut(_families(events, config))  # for the three tables below
+        let_go(events)
+    with timed("per-read table"):
+        tables.write_reads(rows, paths["reads"], single)
+    umis = umi.counts(rows)
+    most = umis.agg(F.max("n")).first()[0]
     if most and most > SANE_MAXIMUM:
         log.warning("a UMI has %d reads: the cut-off is not meaningful beyond %d", most, SANE_MAXIMUM)
     with timed("summary"):
         tables.write_summary(summary.summarize(rows), paths["summary"], single=True)
-    rows.unpersist()
-    from ..operators import isoforms
-
-    tables._write(isoforms.lookup(spark), paths["isoforms"], True)
+    with timed("isoform lookup"):
+        tables._write(isoforms.lookup(spark), paths["isoforms"], True)
     with timed("report"):
         annotated = annotate.annotate(tables.read_summary(spark, paths["summary"])).cache()
-        Path(paths["report"]).write_text(page(config.stem, report_frames(annotated)))
+        spliced = report.spliced_only(annotated)
+        tests = {"acceptors_by_d1": report.chi_square(spliced, "D1_type_revised", "main_acceptor_after_d1"), "after_a2": report.chi_square(annotate.reaching_a2(annotated), "upstream_event", "A2_fate")}
+        frames = report_frames(annotated) | {"umi_histogram": umi.histogram(umis), "features": report.genome_features(spark)}
+        files.write_text(spark, paths["report"], page(config.stem, frames, out, BARS, tests))
         annotated.unpersist()
+    let_go(rows)
     settings = {k: v for k, v in asdict(config).items() if k != "genome"}
-    tables.write_params(paths["params"], version=VERSION, summary=paths["summary"], **settings)
+    tables.write_params(spark, paths["params"], version=VERSION, summary=paths["summary"], reads=left_out, **settings)
     return paths
 
 
 def compare(spark: SparkSession, folder: str, out: str) -> dict[str, str]:
     """Summaries of all runs under a folder to a pooled table and a comparison page."""
-    runs = tables.scan_runs(folder)
+    out = out.rstrip("/")
+    runs = tables.scan_runs(spark, folder)
     if len({r["assay"] for r in runs}) > 1:
         log.warning("the runs are of different assays: %s", sorted({r["assay"] for r in runs}))
     tables.write_features(spark, runs, out)
     pooled = annotate.annotate(tables.read_samples(spark, out)).cache()
     tables._write(pooled, f"{out}/pooled_annotated_data.csv", True, nullValue="NA")
-    Path(f"{out}/comparison.html").write_text(page("Comparison of samples", {"runs": tables.read_features(spark, f"{out}/run_features.csv")} | comparison_frames(pooled)))
+    known, spliced = report.known_only(pooled), report.spliced_only(pooled).withColumn("D1_type_revised2", annotate.d1_type_revised2(F.col("D1_type")))
+    tests = {"spliced_classes": report.chi_square(known, "id", "spliced"), "size_classes": report.chi_square(spliced, "id", "size_class"), "d1_types": report.chi_square(spliced, "id", "D1_type_revised2"), "main_acceptors": report.chi_square(spliced, "id", "main_acceptor_after_d1")}
+    frames = {"runs": tables.read_features(spark, f"{out}/run_features.csv")} | comparison_frames(pooled)
+    files.write_text(spark, f"{out}/comparison.html", page("Comparison of samples", frames, out, COMPARED, tests))
     pooled.unpersist()
     return {"pooled": f"{out}/pooled_annotated_data.csv", "report": f"{out}/comparison.html"}

@@ -11,12 +11,14 @@ parallel, and repartition a single one before heavy work.
 
 from __future__ import annotations
 
-import gzip
 from collections.abc import Iterator
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from .files import open_text
+
 SCHEMA = "pair int, read_ix bigint, id string, r1 string, r2 string"
 ENDINGS = {".fasta": "fasta", ".fa": "fasta", ".fastq": "fastq", ".fq": "fastq"}
 
@@ -40,8 +42,8 @@ def check_pair(r1: str, r2: str) -> tuple[str, bool]:
 
 def records(path: str) -> Iterator[tuple[str, str, str]]:
     """(id, description, sequence) of each record; qualities are dropped."""
-    kind, packed = data_type(path)
-    with gzip.open(path, "rt") if packed else open(path) as f:
+    kind, _ = data_type(path)
+    with open_text(path) as f:
         yield from (_fasta(f) if kind == "fasta" else _fastq(f))
 
 
@@ -117,6 +119,6 @@ def read_pairs(spark: SparkSession, r1: str, r2: str, partitions: int | None = N
     return df.repartition(partitions) if partitions else df
 
 
-def genome(path: str) -> str:
-    """Sequence of the first record of a FASTA file."""
-    return next(records(path))[2].upper()
+def genome(path: str | None = None) -> str:
+    """Sequence of the first record of a FASTA file, or the built-in genome, which serves all built-in strains."""
+    return next(records(path or str(Path(__file__).parent.parent / "data" / "nl43.fasta")))[2].upper()

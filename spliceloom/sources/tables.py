@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import base64
+import csv
+import io
 import json
 import re
-import shutil
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.isoforms import COLUMNS as ISOFORM_COLUMNS
 from ..operators.summary import COLUMNS as SUMMARY_COLUMNS
+from . import files
 
 SUMMARY_SCHEMA = ", ".join(f"{c} string" for c in SUMMARY_COLUMNS)
 ISOFORM_SCHEMA = ", ".join(f"{c} string" for c in ISOFORM_COLUMNS)
@@ -56,8 +57,9 @@ def read_isoforms(spark: SparkSession, path: str) -> DataFrame:
     return _na(spark.read.csv(path, header=True, schema=ISOFORM_SCHEMA))
 
 
-def read_ratios(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, header=True, schema="SpliceForm string, ratio double")
+def read_ratios(spark: SparkSession, path: str) -> dict[str, float]:
+    """Shares of forms in mock data, a few dozen, in the file's order."""
+    return {r.SpliceForm: r.ratio for r in spark.read.csv(path, header=True, schema="SpliceForm string, ratio double").collect()}
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
@@ -72,19 +74,19 @@ def _write(df: DataFrame, path: str, single: bool, **options: str) -> None:
     if not single:
         df.write.mode("overwrite").csv(path, header=True, **options)
         return
-    parts = f"{path}.parts"
+    spark, parts = df.sparkSession, f"{path}.parts"
     df.coalesce(1).write.mode("overwrite").csv(parts, header=True, **options)
-    shutil.move(str(next(Path(parts).glob("part-*.csv"))), path)
-    shutil.rmtree(parts)
+    files.move(spark, next(at for name, at, _ in files.listed(spark, parts) if name.startswith("part-")), path)
+    files.delete(spark, parts)
 
 
-def scan_runs(folder: str) -> list[dict[str, str]]:
+def scan_runs(spark: SparkSession, folder: str) -> list[dict[str, str]]:
     """One run for each sub-folder: its first summary by name, with what the name says."""
     out = []
-    for sub in sorted(p for p in Path(folder).iterdir() if p.is_dir()):
-        for f in sorted(p for p in sub.iterdir() if p.is_file()):
-            if m := SUMMARY_NAME.match(f.name):
-                out.append({"sample_name": sub.name, "reference_strain": m[1], "distance": m[2], "assay": m[3], "file_path": str(f)})
+    for sample, sub, _ in (x for x in files.listed(spark, folder) if x[2]):
+        for name, at, _ in (x for x in files.listed(spark, sub) if not x[2]):
+            if m := SUMMARY_NAME.match(name):
+                out.append({"sample_name": sample, "reference_strain": m[1], "distance": m[2], "assay": m[3], "file_path": at})
                 break
     if not out:
         raise ValueError(f"no run summaries under {folder}")
@@ -93,13 +95,11 @@ def scan_runs(folder: str) -> list[dict[str, str]]:
 
 def write_features(spark: SparkSession, runs: list[dict[str, str]], out: str) -> None:
     """run_features.csv, and the summaries copied beside it under their samples' names."""
-    if Path(out).is_file():
-        raise ValueError(f"the output is a file: {out}")
-    Path(out).mkdir(parents=True, exist_ok=True)
+    files.make_folder(spark, out)
     names = FEATURE_SCHEMA.replace(" string", "").split(", ")
     _write(spark.createDataFrame([tuple(r[n] for n in names) for r in runs], FEATURE_SCHEMA), f"{out}/run_features.csv", True)
     for r in runs:
-        shutil.copy(r["file_path"], f"{out}/{r['sample_name']}_summary.csv")
+        files.copy(spark, r["file_path"], f"{out}/{r['sample_name']}_summary.csv")
 
 
 def read_samples(spark: SparkSession, out: str) -> DataFrame:
@@ -108,8 +108,15 @@ def read_samples(spark: SparkSession, out: str) -> DataFrame:
     return rows.select("id", *[F.when(~F.col(c).isin("", "NA"), F.col(c)).alias(c) for c in SUMMARY_COLUMNS])
 
 
-def write_params(path: str, **params) -> None:
-    Path(path).write_text(json.dumps(params, indent=2, default=str))
+def write_params(spark: SparkSession, path: str, **params) -> None:
+    files.write_text(spark, path, json.dumps(params, indent=2, default=str))
+
+
+def csv_text(columns: list[str], rows: list) -> str:
+    """A small table as CSV, empty where a value is missing."""
+    out = io.StringIO()
+    csv.writer(out, lineterminator="\n").writerows([columns, *(["" if v is None else v for v in r] for r in rows)])
+    return out.getvalue()
 
 
 def embedded(text: str, kind: str = "text/csv") -> str:

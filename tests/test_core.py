@@ -261,3 +261,38 @@ def test_long_umis_cluster_alike_in_both_paths(spark):
     df = spark.createDataFrame(rows, "final_category string, umi string, n long")
     small, large = ({tuple(r) for r in umi.cluster(df, 2, 0.0, t).collect()} for t in (20_000, 0))
     assert small == large and len({x[2] for x in small}) == 6
+
+
+def test_decisions_for_any_length(spark):
+    """Neighbour risk without a table of lengths, and no crash beyond one."""
+    from math import comb
+
+    for length in (3, 14, 41, 60):
+        for d in (1, 2, 5):
+            n = 50
+            got = spark.range(1).select(stats.neighbour_risk(F.lit(n), F.lit(length), d).alias("r")).first().r
+            want = n - 1 if length <= d else (n - 1) * sum(comb(length, k) * 3**k for k in range(1, d + 1)) / (4.0**length - 1)
+            assert got == pytest.approx(want, rel=1e-12), (length, d)
+    rows = [("c", "ACGT" * 15, 3), ("c", "ACGT" * 14 + "AAAA", 1)]
+    got = umi.decisions(spark.createDataFrame(rows, "final_category string, umi string, n long"), "auto-model", 1).first()
+    assert got.umi_model_used == "cluster-model" and got.umi_neighbor_risk > 0
+
+
+def test_clustering_runs_once(spark):
+    df = umi_table(spark, [("AAAAA", 3), ("AAAAT", 2), ("GGGGG", 1)])
+    events = df.selectExpr("final_category", "umi", "explode(sequence(1, cast(n as int))) as k")
+    for model in ("auto-model", "cluster-model"):
+        plan = umi.families(events, model)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("FlatMapGroupsInPandas") == 0  # it ran already, once, before the cut
+
+
+def test_chunks_of_any_length(spark):
+    """Pairs within a distance against all pairs, lengths mixed."""
+    rng = random.Random(6)
+    for d in (0, 1, 3, 7):
+        pool = list({"".join(rng.choice("AC") for _ in range(rng.choice((1, 2, 5, 9, 44)))) for _ in range(40)})
+        near = pool + ["G" + u[1:] for u in pool[:10]]
+        df = spark.createDataFrame([("c", u, 1) for u in set(near)], "final_category string, umi string, n long")
+        got = {(r.a, r.b) for r in umi.hamming_pairs(df, d).collect()}
+        want = {(a, b) for a in set(near) for b in set(near) if a < b and len(a) == len(b) and sum(x != y for x, y in zip(a, b)) <= d}
+        assert got == want

@@ -18,7 +18,7 @@ GENOME = mock.pseudo_genome()
 def files(spark, tmp_path_factory):
     d = tmp_path_factory.mktemp("reads")
     df = mock.reads(mock.allotted(spark, isoforms.mock_ratios(), 1500), "form", "read_ix", GENOME, umis_per_form=5)
-    mock.write_fasta(df, str(d / "a_r1.fasta"), str(d / "a_r2.fasta"))
+    mock.write_pairs(df, str(d / "a_r1.fasta"), str(d / "a_r2.fasta"))
     (d / "genome.fa").write_text(">g\n" + "\n".join(GENOME[i : i + 70] for i in range(0, len(GENOME), 70)))
     return d
 
@@ -52,19 +52,77 @@ def test_run_and_compare(spark, files, tmp_path):
         args = cli.parser().parse_args(["run", "-1", str(files / "a_r1.fasta"), "-2", str(files / "a_r2.fasta"), "-g", str(files / "genome.fa"), "-o", str(tmp_path / "runs" / sample), "-u", model])
         out.append(pipeline.run(spark, cli.config(args)))
     back = tables.read_reads(spark, out[0]["reads"])
+    assert Path(out[0]["reads"]).is_dir()
     assert back.count() == 1500 and back.columns == list(tables.READ_COLUMNS)
     assert back.where("splice_category = 'D1_A3'").count() > 0
     summary = tables.read_summary(spark, out[0]["summary"])
     assert summary.where("umi_family is null").isEmpty() and summary.where("alternative_d1_used_common = 'None'").count() > 0
-    assert json.loads(Path(out[0]["params"]).read_text())["strain"] == "nl43"
-    assert "window.links" in Path(out[0]["report"]).read_text()
+    params = json.loads(Path(out[0]["params"]).read_text())
+    assert params["strain"] == "nl43" and params["reads"] == {"pairs": 1500, "too_short": 0, "homopolymer": 0}
+    text = Path(out[0]["report"]).read_text()
+    assert "window.links" in text and "chi-square" in text and text.count("<svg") > 10 and "genome" not in params
     got = pipeline.compare(spark, str(tmp_path / "runs"), str(tmp_path / "all"))
     assert tables.read_features(spark, str(tmp_path / "all" / "run_features.csv")).count() == 2
     assert "percent_spliced" in Path(got["report"]).read_text()
     pooled = annotate.annotate(tables.read_samples(spark, str(tmp_path / "all")))
     assert {r.id for r in pooled.select("id").distinct().collect()} == {"one", "two"}
     with pytest.raises(ValueError):
-        tables.scan_runs(str(files))
+        tables.scan_runs(spark, str(files))
+
+
+def test_run_without_a_genome(spark, files, tmp_path):
+    args = cli.parser().parse_args(["run", "-1", str(files / "a_r1.fasta"), "-2", str(files / "a_r2.fasta"), "-o", str(tmp_path / "out"), "--single"])
+    config = cli.config(args)
+    assert len(config.genome) == 8966
+    got = pipeline.run(spark, config, single=args.single)
+    assert Path(got["reads"]).is_file() and tables.read_reads(spark, got["reads"]).count() == 1500
+    assert not list((tmp_path / "out").glob("*.parts"))
+
+
+def test_golden_search_in_the_built_in_genome():
+    from spliceloom.functions import fuzzy
+
+    assert fuzzy.find(reads.genome().encode(), b"TTTTCCTAGGATATGGCTCCATAACTTAGGACAA", 2) == (4913, 4947, 0)
+
+
+def test_mock_files_with_ratios(spark, tmp_path, monkeypatch):
+    (tmp_path / "ratios.csv").write_text("SpliceForm,ratio\nD1_A3,0.75\nnoD1,0.25\n")
+    assert tables.read_ratios(spark, str(tmp_path / "ratios.csv")) == {"D1_A3": 0.75, "noD1": 0.25}
+    cli.main(["mock", "-n", "40", "--ratios", str(tmp_path / "ratios.csv"), "--format", "fastq.gz", "-o", str(tmp_path / "m")])
+    rows = reads.read_pairs(spark, str(tmp_path / "m/mock_r1.fastq.gz"), str(tmp_path / "m/mock_r2.fastq.gz")).collect()
+    assert len(rows) == 40 and sum("D1_A3" in r.id for r in rows) == 30
+
+
+def test_rejected_pairs_are_counted(spark):
+    from spliceloom.operators import chain
+
+    run_ = "A" * 14
+    rows = spark.createDataFrame([("ACGTACGTAC", "C" * 3 + "G" * 11 + "AT"), ("AC", "A" * 20), ("ACG" + run_ + "CC", "ACGT" * 5), ("TTTTACGTAC", "ACGT" * 5), ("ACGTACGTAC", "ACGT" * 5)], "r1 string, r2 string")
+    got = rows.agg(*chain.reject_counts("ACGT", 0)).first().asDict()
+    assert got == {"pairs": 5, "too_short": 1, "homopolymer": 2, "header": 1}
+
+
+def test_stage_timings(spark, files, tmp_path, monkeypatch, capsys):
+    monkeypatch.setenv("SPLICELOOM_TIMING", "1")
+    args = cli.parser().parse_args(["run", "-1", str(files / "a_r1.fasta"), "-2", str(files / "a_r2.fasta"), "-o", str(tmp_path / "t")])
+    pipeline.run(spark, cli.config(args))
+    assert len([x for x in capsys.readouterr().err.splitlines() if x.endswith(" s") and ": " in x]) == 9
+
+
+def test_long_frames_are_cut_on_the_page_alone(spark, tmp_path):
+    df = spark.range(30).selectExpr("cast(id as string) as splice_cat2", "id as n")
+    text = pipeline.page("x", {"isoforms": df}, str(tmp_path), {}, most_rows=10)
+    assert text.count("<tr>") == 11 and "<td>29</td>" in text and "<td>5</td>" not in text
+    assert len((tmp_path / "isoforms.csv").read_text().split()) == 31
+
+
+def test_files_on_other_file_systems(tmp_path):
+    from spliceloom.sources import files as f
+
+    with f.open_text(f"file://{tmp_path}/a b.fa.gz", "w") as out:
+        out.write(">x\nAC\n")
+    assert f.local("hdfs://host/x") is None and f.local("file:/x%20y") == "/x y"
+    assert next(reads.records(f"{tmp_path}/a b.fa.gz"))[2] == "AC"
 
 
 def test_stream_equals_batch(spark, files, tmp_path):
