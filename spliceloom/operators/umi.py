@@ -180,7 +180,7 @@ def histogram(umis: DataFrame) -> DataFrame:
 
 def parent_rank(umis: DataFrame) -> DataFrame:
     """Order in which UMIs may become parents."""
-    return umis.withColumn("parent_rank", F.row_number().over(Window.partitionBy(CATEGORY).orderBy(F.desc("n"), "umi")))
+    return umis.withColumn("parent_rank", F.row_number().over(Window.partitionBy(CATEGORY).orderBy(F.desc("n"), "umi")).cast("bigint"))
 
 
 def check_space(n: int, length: int) -> None:
