@@ -10,6 +10,11 @@ tokens up to it and right tokens from it are then the whole text's.  If no such
 position lies in the overlap, the overlap is doubled, up to the whole left chunk,
 and then the left chunk is lengthened.
 
+A shorter text is encoded as a whole.  Most of that time is the library's splitting,
+so where a text has only characters that the file's splitter surely treats alike
+in another implementation of its pattern, it is split by that, and the library's
+model counts each distinct pre-token once; any other text goes to the library.
+
 Defined results: null and empty texts have no tokens; special strings in a text
 count as the library counts them; long texts are counted whole, by chunks; of
 several common boundaries (ties) the last is used; repeated rows and null ids
@@ -18,13 +23,16 @@ return their own rows; an empty table is empty; other columns are not read.
 
 from __future__ import annotations
 
+import json
 import os
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bpe import byte_chars
 from .common import keyed, map_text
 
 CHUNK = 32_768
@@ -47,6 +55,37 @@ def load(path: str):
     return t
 
 
+# ---- fixed values: the byte-level splitter's pattern, and characters outside which it is left to the library
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+UNUSUAL = r"[^\t\n\r\x20-\x7e\xa1-\u017f]"
+# ---- end of fixed values
+
+
+class Pretokens(dict):
+    """Tokens of each distinct pre-token, by the library's model; forgets all of them beyond ``most``."""
+
+    def __init__(self, tokenizer, spec: dict, most: int = 150_000):
+        super().__init__()
+        self.model, self.most, self.chars = tokenizer.model, most, byte_chars()
+        splitter = spec.get("pre_tokenizer") or {}
+        plain = splitter.get("type") == "ByteLevel" and splitter.get("use_regex") and not splitter.get("add_prefix_space")
+        self.known = bool(plain and spec.get("normalizer") is None and spec.get("post_processor") is None and spec["model"]["type"] == "BPE")
+        self.special = [t["content"] for t in spec["added_tokens"]]
+        self.words, self.unusual = regex.compile(SPLIT).findall, regex.compile(UNUSUAL).search
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self.model.tokenize("".join([self.chars[b] for b in word.encode()])))
+        return n
+
+    def count(self, text: str) -> int | None:
+        """Tokens of a text, None if it has to go to the library."""
+        if not self.known or self.unusual(text) or any(s in text for s in self.special):
+            return None
+        if len(self) > self.most:
+            self.clear()
+        return sum(map(self.__getitem__, self.words(text)))
+
+
 def boundaries(encoding) -> tuple[np.ndarray, np.ndarray]:
     """Character positions where a pre-token begins, and the number of tokens before each."""
     words = np.array([-1 if w is None else w for w in encoding.word_ids])
@@ -103,17 +142,23 @@ def counts(docs: DataFrame, path: str | None = None, limit: int = 512, chunk: in
 
     def make():
         tokenizer = load(path)
+        with open(path, encoding="utf-8") as f:
+            pretokens = Pretokens(tokenizer, json.load(f))
 
         def work(batch: pa.RecordBatch) -> dict:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             n = np.zeros(len(texts), np.int64)
-            short = [i for i, t in enumerate(texts) if len(t) <= chunk]
-            for lo in range(0, len(short), 64):
-                at = short[lo : lo + 64]
-                n[at] = [len(e) for e in tokenizer.encode_batch_fast([texts[i] for i in at], add_special_tokens=False)]
+            short = []
             for i, t in enumerate(texts):
                 if len(t) > chunk:
                     n[i] = count_long(tokenizer, t, chunk)
+                elif (k := pretokens.count(t)) is not None:
+                    n[i] = k
+                else:
+                    short.append(i)
+            for lo in range(0, len(short), 64):
+                at = short[lo : lo + 64]
+                n[at] = [len(e) for e in tokenizer.encode_batch_fast([texts[i] for i in at], add_special_tokens=False)]
             return {"doc_id": batch.column(0), "n_bytes": pa.array([len(t.encode()) for t in texts], pa.int64()), "n_tokens": n}
 
         return work
