@@ -50,7 +50,7 @@ def brute_label_model(fires, toxic, parents, rounds=15):
     j, n = fires.shape
     q = [min(max(t, 0.05), 0.95) for t in toxic]
     prior = math.log((sum(toxic) + 0.5) / (n - sum(toxic) + 0.5))
-    for parent in parents:
+    for parent, weight in parents:
         for _ in range(rounds):
             rate = {}
             for c in (1, 0):
@@ -69,9 +69,9 @@ def brute_label_model(fires, toxic, parents, rounds=15):
                     up = int(parent[v] >= 0 and fires[parent[v]][i])
                     a, b = rate[1, v, up], rate[0, v, up]
                     if fires[v][i]:
-                        z += math.log(a / b)
+                        z += weight[v] * math.log(a / b)
                     else:
-                        silent += math.log((1 - a) / (1 - b))
+                        silent += weight[v] * math.log((1 - a) / (1 - b))
                 z += max(-toxicity.MOST_SILENT, silent)
                 new.append(min(max(1 / (1 + math.exp(-min(max(z, -30), 30))), 1e-4), 1 - 1e-4))
             settled = max(abs(a - b) for a, b in zip(q, new)) < 1e-4
@@ -86,7 +86,7 @@ def test_label_model_equals_brute_force(monkeypatch):
     seen, tree = [], toxicity.voter_tree
     monkeypatch.setattr(toxicity, "voter_tree", lambda *a: seen.append(tree(*a)) or seen[-1])
     q, *_ = toxicity.label_model(*np.nonzero(fires.T), 300, 4, toxic)
-    assert seen[0][3] == 0
+    assert seen[0][0][3] == 0
     assert np.allclose(q, brute_label_model(fires, toxic, seen), atol=1e-6)
 
 
@@ -95,9 +95,10 @@ def test_tree_equals_brute_force():
     for _ in range(20):
         n, j = 200, 5
         fires = rng.random((j, n)) < rng.uniform(0.05, 0.5, (j, 1))
-        fires[2] = np.where(rng.random(n) < 0.8, fires[0], fires[2])
+        fires[2] = np.where(rng.random(n) < 0.9, fires[0], fires[2])
+        fires[4] = np.where(rng.random(n) < 0.9, fires[0], fires[4])
         q = rng.random(n)
-        got = toxicity.voter_tree(*np.nonzero(fires.T), q, j)
+        got, weight = toxicity.voter_tree(*np.nonzero(fires.T), q, j)
         order = sorted(range(j), key=lambda v: (-fires[v].sum(), v))
         for v in range(j):
             gain = {}
@@ -111,6 +112,11 @@ def test_tree_equals_brute_force():
                                 gain[p] += x * math.log(x * w.sum() / (w[fires[v] == a].sum() * w[fires[p] == b].sum()))
             best = max(gain, key=gain.get, default=None)
             assert got[v] == (best if best is not None and gain[best] > math.log(n) else -1)
+        rate = [q[f].sum() / q.sum() for f in fires]
+        for v in range(j):
+            others = [u for u in range(j) if u != v and got[v] != u and got[u] != v]
+            phi = [(q[fires[u] & fires[v]].sum() / q.sum() - rate[u] * rate[v]) / math.sqrt(rate[u] * (1 - rate[u]) * rate[v] * (1 - rate[v])) for u in others]
+            assert weight[v] == pytest.approx(1 / (1 + sum(x for x in phi if x > toxicity.STRONG_PHI)), abs=1e-4)
 
 
 def test_classifier_reaches_the_optimum():
