@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, line_spread, ogg, ppm, secrets, simhash, suffix_match, token_count, toxicity
+from . import bpe, fim, langid, line_spread, ogg, ppm, secrets, simhash, suffix_match, token_count, toxicity
 from .common import crc_mod, table
 
 
@@ -67,6 +67,14 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(table(spark, sf_dir, "documents"))
 
 
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Layout of every text with the seed 1, and the digest of what is read back from it."""
+    found = fim.transform(table(spark, sf_dir, "documents"))
+    sha = lambda c: F.sha2(c.cast("binary"), 256)
+    chars = [F.length(part).cast("bigint").alias(f"{part}_chars") for part in ("prefix", "middle")]
+    return found.select(F.col("id").alias("doc_id"), "n", "form", *chars, sha(F.col("output")).alias("output_sha256"), sha(fim.restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ppm": op1_ppm,
     "op2_ogg": op2_ogg,
@@ -78,7 +86,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_match": op8_suffix_match,
     "op9_simhash": op9_simhash,
     "op10_bpe": op10_bpe,
+    "op12_fim": op12_fim,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {"op3_line_spread": line_spread.SQL.replace("SITES", str(line_spread.MIN_SITES))}
+ORACLE_SQL: dict[str, str] = {"op3_line_spread": line_spread.SQL.replace("SITES", str(line_spread.MIN_SITES)), "op12_fim": fim.SQL}
