@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fim, langid, line_spread, ogg, ppm, secrets, simhash, suffix_match, token_count, toxicity
+from . import bpe, fim, langid, line_spread, ogg, ppm, secrets, simhash, spelling, suffix_match, token_count, toxicity
 from .common import crc_mod, table
 
 
@@ -75,6 +75,17 @@ def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n", "form", *chars, sha(F.col("output")).alias("output_sha256"), sha(fim.restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of all words, some of which lose a character by a hash of id and word."""
+
+    def slipped(key: Column, word: Column) -> Column:
+        h = F.crc32(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(":"), word).cast("binary"))
+        at = (h % F.length(word)).cast("int")
+        return F.when(h % 199 == 0, F.concat(F.left(word, at), F.substr(word, at + 2))).otherwise(word)
+
+    return spelling.group(spelling.word_counts(table(spark, sf_dir, "documents"), changed=slipped))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ppm": op1_ppm,
     "op2_ogg": op2_ogg,
@@ -87,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": op9_simhash,
     "op10_bpe": op10_bpe,
     "op12_fim": op12_fim,
+    "op13_spelling": op13_spelling,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
