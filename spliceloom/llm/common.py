@@ -151,9 +151,10 @@ def text_hash(text: str) -> Column:
     return F.xxhash64(F.coalesce(named(text).cast("string"), F.lit("")))
 
 
-def if_small(df: DataFrame) -> DataFrame:
-    """``df``, of narrow rows, marked for broadcast if it has at most BROADCAST_ROWS rows."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+def if_small(df: DataFrame, most: int | None = None) -> DataFrame:
+    """``df``, marked for broadcast if it has at most ``most`` rows (BROADCAST_ROWS if they are narrow)."""
+    most = BROADCAST_ROWS if most is None else most
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
 def keep_rows(docs: DataFrame, judged: DataFrame, key: str, text: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fim, langid, line_spread, ogg, ppm, secrets, simhash, spelling, suffix_match, token_count, toxicity
+from . import bpe, fim, langid, line_spread, ogg, ppm, quality, secrets, simhash, spelling, suffix_match, token_count, toxicity
 from .common import crc_mod, table
 
 
@@ -67,6 +67,14 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(table(spark, sf_dir, "documents"))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and the verdict of divergence from the references of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    found = quality.judge(docs, quality.references(docs))
+    shown = [F.round(c, 6).alias(c) for c in ("class_divergence", "common_divergence")]
+    return found.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *shown)
+
+
 def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Layout of every text with the seed 1, and the digest of what is read back from it."""
     found = fim.transform(table(spark, sf_dir, "documents"))
@@ -97,9 +105,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_match": op8_suffix_match,
     "op9_simhash": op9_simhash,
     "op10_bpe": op10_bpe,
+    "op11_quality": op11_quality,
     "op12_fim": op12_fim,
     "op13_spelling": op13_spelling,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {"op3_line_spread": line_spread.SQL.replace("SITES", str(line_spread.MIN_SITES)), "op12_fim": fim.SQL}
+ORACLE_SQL: dict[str, str] = {"op3_line_spread": line_spread.SQL.replace("SITES", str(line_spread.MIN_SITES)), "op11_quality": quality.SQL, "op12_fim": fim.SQL}
