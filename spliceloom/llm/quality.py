@@ -16,8 +16,8 @@ third of all rows sends no more than another.  What is broadcast is one row for
 ``MOST_LANGUAGES`` of them; more are joined by a shuffle.  Judging is a
 projection over whole texts, without a shuffle.
 
-Windows are compared by XXH64 of their words: a text of a million words has a
-false repeat with odds under one in ten million.
+Windows are compared by XXH64 over those of their words: a text of a million words
+has a false repeat with odds under one in ten million.
 
 Defined results: null and empty texts have no words and fail; a language with
 fewer than ``MIN_REFERENCE`` words in all, an unknown and a null one are
@@ -33,7 +33,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, if_small, named
+from .common import cut, if_small, let_go, named
 from .fim import let
 
 #: A word is what stands between blanks; common words are runs of letters, lower-cased.
@@ -68,8 +68,13 @@ def _common(text: Column) -> Column:
 
 
 def class_counts(text: Column, word_chars: Column) -> Column:
-    """Characters of each class, those of no class last."""
-    return let(F.array(*[_matched(text, p) for p in CLASSES.values()]), lambda c: F.array_append(c, word_chars.cast("int") - F.aggregate(c, F.lit(0), lambda a, x: a + x)))
+    """Characters of each class, those of no class last; lower-case letters, the bulk of a text, are taken out in one pass."""
+
+    def counted(rest: Column) -> Column:
+        others = [_matched(rest, p) for name, p in CLASSES.items() if name != "lower"]
+        return let(F.array(word_chars.cast("int") - F.length(rest), *others), lambda c: F.array_append(c, word_chars.cast("int") - F.aggregate(c, F.lit(0), lambda a, x: a + x)))
+
+    return let(F.regexp_replace(text, F.lit(r"[a-z\x20\x09-\x0D]+"), F.lit("")), counted)
 
 
 def repeated_words(words: Column, window: int = WINDOW) -> Column:
@@ -82,7 +87,8 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
         places = let(F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))), lambda s: F.array_sort(F.transform(again(s), lambda j: s[j]["i"])))
         return let(places, lambda p: window + F.aggregate(F.sequence(F.lit(1), F.size(p) - 1), F.lit(0), lambda a, k: a + F.least(F.lit(window), p[k] - p[k - 1])))
 
-    hashes = F.transform(F.sequence(F.lit(1), F.size(words) - window + 1), lambda i: F.xxhash64(F.slice(words, i, window)))
+    of_words = F.transform(words, lambda w: F.xxhash64(w))
+    hashes = let(of_words, lambda h: F.transform(F.sequence(F.lit(0), F.size(h) - window), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(window)])))
     some = let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(covered(h)))
     return F.when(F.size(words) > window, some).otherwise(0)
 
@@ -103,6 +109,7 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", top: int
     """
     rows = docs.select(named(lang).cast("string").alias("lang"), _text(named(text)).alias("text"))
     counts = rows.select("lang", F.explode(_common(F.col("text"))).alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    counts = cut(counts)  # the texts are split once for what is made of it below
 
     def common(counted: DataFrame) -> DataFrame:
         total = counted.groupBy("lang").agg(F.sum("n").alias("total"))
@@ -118,7 +125,7 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", top: int
     word_chars = F.length("text") - _matched(F.col("text"), r"[\x20\x09-\x0D]")
     judged = rows.withColumn("n", word_chars).where(F.col("n") >= MIN_CLASS_CHARS)
     cells = judged.select("lang", "n", F.posexplode(class_counts(F.col("text"), F.col("n"))).alias("cell", "c"))
-    steps = cells.groupBy("lang", "cell", F.expr(f"{STEPS} * bigint(c) div n").alias("step")).agg(F.count(F.lit(1)).alias("docs"))
+    steps = cut(cells.groupBy("lang", "cell", F.expr(f"{STEPS} * bigint(c) div n").alias("step")).agg(F.count(F.lit(1)).alias("docs")))
 
     def middle(counted: DataFrame) -> DataFrame:
         """The median document's share of each class, in steps, and all scaled to 1."""
@@ -130,7 +137,10 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", top: int
 
     classes = middle(steps.where("lang is not null")).unionByName(middle(steps.groupBy("cell", "step").agg(F.sum("docs").alias("docs")).select(F.lit(None).cast("string").alias("lang"), "cell", "step", "docs")))
     found = own.unionByName(every).join(classes, F.col("lang").eqNullSafe(F.col("of")))
-    return cut(found.select("lang", "classes", "words", "shares"))
+    done = cut(found.select("lang", "classes", "words", "shares"))
+    let_go(counts)
+    let_go(steps)
+    return done
 
 
 def _divergence(p: Column, q: Column) -> Column:
@@ -139,9 +149,9 @@ def _divergence(p: Column, q: Column) -> Column:
     return part(p) + part(q)
 
 
-def class_divergence(counts: Column, shares: Column) -> Column:
-    n = F.aggregate(counts, F.lit(0), lambda a, x: a + x)
-    return let(n, lambda n: F.aggregate(F.zip_with(counts, shares, lambda c, q: _divergence(c / n, q)), F.lit(0.0), lambda a, x: a + x) / 2)
+def class_divergence(counts: Column, n: Column, shares: Column) -> Column:
+    """Of counts whose sum is ``n`` from the shares of a reference."""
+    return F.aggregate(F.zip_with(counts, shares, lambda c, q: _divergence(c / n, q)), F.lit(0.0), lambda a, x: a + x) / 2
 
 
 def common_divergence(words: Column, n: Column, common: Column, shares: Column) -> Column:
@@ -162,7 +172,9 @@ def common_divergence(words: Column, n: Column, common: Column, shares: Column)
         none = F.struct(F.lit(0.0).alias("d"), F.lit(0.0).alias("q"))
         return let(F.when(F.size(at) > 0, total(at)).otherwise(none), lambda x: (x["d"] + other + 1 - rest - x["q"]) / 2)
 
-    places = F.array_sort(F.filter(F.transform(words, lambda w: F.array_position(common, w)), lambda i: i > 0))
+    longest = F.array_max(F.transform(common, F.length))
+    short = let(longest, lambda most: F.filter(words, lambda w: F.length(w) <= most))  # only these can be common
+    places = F.sort_array(F.filter(F.transform(short, lambda w: F.array_position(common, w)), lambda i: i > 0))
     return let(places, whole)
 
 
@@ -179,7 +191,7 @@ def judge(docs: DataFrame, refs: DataFrame, text: str = "text", lang: str = "lan
     own = rows.join(if_small(named_refs.where("of is not null"), MOST_LANGUAGES), F.col("lang") == F.col("of"), "left")
     met = own.join(F.broadcast(every), how="left").withColumn("ref", F.coalesce("ref", "every"))  # one row: all documents
     base = met.withColumn("b", base_counts(F.col("text"))).select("row", "text", "ref", "b.*")
-    shown = base.withColumn("class_divergence", F.when(F.col("word_chars") >= MIN_CLASS_CHARS, class_divergence(class_counts(F.col("text"), F.col("word_chars")), F.col("ref.classes"))))
+    shown = base.withColumn("class_divergence", F.when(F.col("word_chars") >= MIN_CLASS_CHARS, class_divergence(class_counts(F.col("text"), F.col("word_chars")), F.col("word_chars"), F.col("ref.classes"))))
     common = let(_common(F.col("text")), lambda w: F.struct(F.size(w).alias("n"), F.when(F.size(w) >= MIN_COMMON_WORDS, common_divergence(w, F.size(w), F.col("ref.words"), F.col("ref.shares"))).alias("d")))
     shown = shown.withColumn("common", common)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
