@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from ..config import Assay, FamilyModel, RunConfig
 from ..operators import isoforms
-from ..sources import files, reads, tables
+from ..sources import files, reads, tables, writer
 from . import mock, pipeline
 
 
@@ -56,7 +56,10 @@ def main(argv: list[str] | None = None) -> int:
         files.make_folder(spark, a.output)
         done = {"r1": f"{a.output}/mock_r1.{a.format}", "r2": f"{a.output}/mock_r2.{a.format}"}
         ratios = tables.read_ratios(spark, a.ratios) if a.ratios else isoforms.mock_ratios()
-        mock.write_pairs(mock.reads(mock.allotted(spark, ratios, a.reads), "form", "read_ix", reads.genome(a.genome)), done["r1"], done["r2"])
+        parts = {k: f"{a.output}/_mock_{k}.{a.format}" for k in done}
+        writer.write_pairs(mock.reads(mock.allotted(spark, ratios, a.reads), "form", "read_ix", reads.genome(a.genome)), parts["r1"], parts["r2"])
+        for k, path in done.items():
+            writer.as_one_file(spark, parts[k], path)
     for name, path in done.items():
         print(f"{name}: {path}")
     return 0

@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 from ..config import UMI_BASES, strain_sites
 from ..functions.seq import reverse_complement
 from ..operators.umi import check_space
-from ..sources.files import open_text
-from ..sources.reads import check_pair
 
 SPACER = "CTATCTCATACTCATCATAC"
 READ_BASES, TAIL_BASES = 300, 286
@@ -102,12 +100,3 @@ def simulated_umis(spark: SparkSession, reads_: int, length: int, targets: int,
     index = F.greatest(F.lit(0), F.least(F.lit(targets - 1), F.round(normal * (targets / 6) + targets / 2).cast("int")))
     umi = mutated(random_bases(length, index, seed=seed), error_rate, F.col("id"), seed=seed + 2)
     return spark.range(reads_).select(umi.alias("umi")).groupBy("umi").agg(F.count("*").alias("n"))
-
-
-def write_pairs(df: DataFrame, r1: str, r2: str) -> None:
-    """Two files, FASTA or FASTQ and gzip or not by their names, by one writer in the order of read_ix: for mock data, not for large tables."""
-    kind, _ = check_pair(r1, r2)
-    with open_text(r1, "w") as a, open_text(r2, "w") as b:
-        for row in df.orderBy("read_ix").toLocalIterator():
-            for f, end, bases in ((a, "r1", row.r1), (b, "r2", row.r2)):
-                f.write(f">{row.id}_{end}\n{bases}\n" if kind == "fasta" else f"@{row.id}_{end}\n{bases}\n+\n{'I' * len(bases)}\n")

@@ -1,8 +1,7 @@
-"""Single files on any file system: by Hadoop's on the driver, by pyarrow's or plain files where Python reads sequences."""
+"""Single files on any file system: by Hadoop's on the driver, by pyarrow's or plain files where Python code reads and writes sequences."""
 
 from __future__ import annotations
 
-import gzip
 from urllib.parse import unquote, urlparse
 
 from pyspark.sql import SparkSession
@@ -14,18 +13,43 @@ def local(path: str) -> str | None:
     return path if u.scheme == "" else unquote(u.path) if u.scheme == "file" else None
 
 
-def open_text(path: str, mode: str = "r"):
-    """A text file for reading or writing, gzip if its name says so."""
-    packed, at = path.endswith(".gz"), local(path)
-    if at is not None:
-        return gzip.open(at, mode + "t") if packed else open(at, mode)
+def system(path: str):
+    """(pyarrow's file system, path in it): what Python code on executors uses."""
+    from pyarrow import fs
+
+    at = local(path)
+    return fs.FileSystem.from_uri(path) if at is None else (fs.LocalFileSystem(), at)
+
+
+def open_bytes(path: str):
+    """A binary file that can be read from any byte on."""
+    if (at := local(path)) is not None:
+        return open(at, "rb")
     import io
 
+    there, where = system(path)
+    return io.BufferedReader(there.open_input_file(where), 1 << 20)
+
+
+def exists(path: str) -> bool:
+    from pyarrow import fs
+
+    there, where = system(path)
+    return there.get_file_info(where).type != fs.FileType.NotFound
+
+
+def parts(path: str) -> list[tuple[str, int]]:
+    """(path, bytes) of a file, or of the files in a folder by name, without hidden ones."""
     from pyarrow import fs
 
-    system, where = fs.FileSystem.from_uri(path)
-    raw = system.open_input_stream(where, compression=None) if mode == "r" else system.open_output_stream(where, compression=None)
-    return io.TextIOWrapper(gzip.GzipFile(fileobj=raw, mode=mode + "b") if packed else raw)
+    there, where = system(path)
+    info = there.get_file_info(where)
+    if info.type == fs.FileType.NotFound:
+        raise FileNotFoundError(path)
+    if info.type != fs.FileType.Directory:
+        return [(path, info.size)]
+    found = [x for x in there.get_file_info(fs.FileSelector(where)) if x.type == fs.FileType.File and not x.base_name.startswith(("_", "."))]
+    return sorted((f"{path.rstrip('/')}/{x.base_name}", x.size) for x in found)
 
 
 def _at(spark: SparkSession, path: str):
