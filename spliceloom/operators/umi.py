@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import FamilyModel
 from ..functions import stats
 from ..functions.lineage import cut, let_go
 from ..functions.seq import chunk_bounds
+from . import neighbours
 
 CATEGORY = "final_category"
 #: Distinct UMIs of a category that one task clusters; larger categories are clustered by joins.
@@ -45,27 +46,8 @@ def decisions(umis: DataFrame, model: str, distance: int, risk_limit: float = 0.
 
 
 def hamming_pairs(umis: DataFrame, distance: int, by: tuple[str, ...] = (CATEGORY,)) -> DataFrame:
-    """Pairs (a, b), a < b, of distinct UMIs of a category and length within ``distance`` substitutions.
-
-    UMIs at most d substitutions apart share one of d + 1 chunks: an equi-join on
-    the chunk, verified by counting differing bases.
-    """
-    u = umis.select(*by, "umi").distinct()
-    length, chunks = F.length("umi"), distance + 1
-    # the bounds of chunk_bounds from each UMI's own length: near-equal chunks, the longer ones first
-    size, longer = F.floor(length / chunks).cast("int"), length % chunks
-    cut_at = lambda i: i * size + F.least(i, longer)
-    chunk = F.transform(F.sequence(F.lit(0), F.lit(distance)), lambda i: F.struct(i.alias("c"), F.substring("umi", cut_at(i) + 1, cut_at(i + 1) - cut_at(i)).alias("s")))
-    keys = F.when(length > distance, chunk).otherwise(F.array(F.struct(F.lit(0).alias("c"), F.lit("").alias("s"))))
-    filed = u.withColumn("k", F.explode(keys)).select(*by, length.alias("len"), "k.c", "k.s", "umi")
-    a, b = filed.withColumnRenamed("umi", "a"), filed.withColumnRenamed("umi", "b")
-    pairs = a.join(b, [*by, "len", "c", "s"]).where("a < b")
-    return pairs.where(differing(F.col("a"), F.col("b")) <= distance).select(*by, "a", "b").distinct()
-
-
-def differing(a: Column, b: Column) -> Column:
-    """Positions at which two strings of equal length differ."""
-    return F.size(F.filter(F.sequence(F.lit(1), F.length(a)), lambda i: F.substring(a, i, 1) != F.substring(b, i, 1)))
+    """Pairs (a, b), a < b, of distinct UMIs of a category and length within ``distance`` substitutions."""
+    return neighbours.pairs(umis, distance, by)
 
 
 def cluster(umis: DataFrame, distance: int, min_fraction: float, task_umis: int = TASK_UMIS) -> DataFrame:
@@ -152,25 +134,35 @@ def _by_joins(umis: DataFrame, distance: int) -> DataFrame:
 
 def families(events: DataFrame, model: str = FamilyModel.AUTO, distance: int = 1, min_fraction: float = 0.005, risk_limit: float = 0.05, coverage: float = 0.10, task_umis: int = TASK_UMIS) -> DataFrame:
     """``events`` with family, family size and share, model used and the numbers behind the choice."""
-    model = FamilyModel(model)
     umis = cut(counts(events))  # one row per exact UMI: the reads are not read again for each use below
+    per_umi, choice = assigned(umis, model, distance, min_fraction, risk_limit, coverage, task_umis)
+    return with_families(events, per_umi, choice)
+
+
+def with_families(events: DataFrame, per_umi: DataFrame, choice: DataFrame) -> DataFrame:
+    return events.join(per_umi, [CATEGORY, "umi"], "left").join(choice, CATEGORY)
+
+
+def assigned(umis: DataFrame, model: str = FamilyModel.AUTO, distance: int = 1, min_fraction: float = 0.005, risk_limit: float = 0.05, coverage: float = 0.10, task_umis: int = TASK_UMIS) -> tuple[DataFrame, DataFrame]:
+    """Of stored counts: family, its size and share of each UMI that has one; and one row for each category with the model used."""
+    model = FamilyModel(model)
     choice = decisions(umis, model, distance, risk_limit, coverage)
     if model is FamilyModel.MAX:
-        assigned = max_model(umis)
+        found = max_model(umis)
     elif model is FamilyModel.AUTO:
         chosen = umis.join(choice.select(CATEGORY, "umi_model_used"), CATEGORY)
-        assigned = max_model(chosen.where(F.col("umi_model_used") == FamilyModel.MAX.value).drop("umi_model_used"))
-        assigned = assigned.unionByName(cluster(chosen.where(F.col("umi_model_used") == FamilyModel.CLUSTER.value).drop("umi_model_used"), distance, min_fraction, task_umis))
+        found = max_model(chosen.where(F.col("umi_model_used") == FamilyModel.MAX.value).drop("umi_model_used"))
+        found = found.unionByName(cluster(chosen.where(F.col("umi_model_used") == FamilyModel.CLUSTER.value).drop("umi_model_used"), distance, min_fraction, task_umis))
     else:
-        assigned = cluster(umis, min(255, distance + (model is FamilyModel.CLUSTER_PLUS_ONE)), min_fraction, task_umis)
+        found = cluster(umis, min(255, distance + (model is FamilyModel.CLUSTER_PLUS_ONE)), min_fraction, task_umis)
     if model is not FamilyModel.MAX:
-        assigned = cut(assigned)
+        found = cut(found)
     # sizes from the counts, not from the reads: rows are one per distinct UMI
-    sized = umis.join(assigned, [CATEGORY, "umi"], "left")
+    sized = umis.join(found, [CATEGORY, "umi"], "left")
     reads = sized.groupBy(CATEGORY).agg(F.sum("n").alias("reads"))
     size = sized.where("umi_family is not null").groupBy(CATEGORY, "umi_family").agg(F.sum("n").alias("umi_family_size"))
-    per_umi = assigned.join(size, [CATEGORY, "umi_family"]).join(reads, CATEGORY).select(CATEGORY, "umi", "umi_family", "umi_family_size", (F.col("umi_family_size") / F.col("reads")).alias("umi_family_fraction"))
-    return events.join(per_umi, [CATEGORY, "umi"], "left").join(choice, CATEGORY)
+    per_umi = found.join(size, [CATEGORY, "umi_family"]).join(reads, CATEGORY).select(CATEGORY, "umi", "umi_family", "umi_family_size", (F.col("umi_family_size") / F.col("reads")).alias("umi_family_fraction"))
+    return per_umi, choice
 
 
 def histogram(umis: DataFrame) -> DataFrame:
@@ -178,9 +170,24 @@ def histogram(umis: DataFrame) -> DataFrame:
     return umis.groupBy("n").agg(F.count("*").alias("umis")).withColumnRenamed("n", "reads")
 
 
-def parent_rank(umis: DataFrame) -> DataFrame:
-    """Order in which UMIs may become parents."""
-    return umis.withColumn("parent_rank", F.row_number().over(Window.partitionBy(CATEGORY).orderBy(F.desc("n"), "umi")).cast("bigint"))
+def parent_rank(umis: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Order in which UMIs may become parents: by falling count, then by name, from 1 in each category.
+
+    Ranges of (category, count, name) are sorted by a task each, so a category of
+    all rows is spread over all tasks.  What a range counts before a category's
+    rows is taken off, what earlier ranges hold of the category added: a sum over
+    one row for each category and range.
+    """
+    partitions = partitions or int(umis.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(CATEGORY), F.desc("n"), F.col("umi")]
+    numbered = umis.repartitionByRange(partitions, *order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
+    rows = cut(numbered.withColumns({"part": F.shiftright("at", 33), "at": F.col("at").bitwiseAND((1 << 33) - 1)}))
+    parts = rows.groupBy(CATEGORY, "part").agg(F.min("at").alias("first"), F.count("*").alias("held"))
+    every = parts.groupBy(CATEGORY).agg(F.array_sort(F.collect_list(F.struct("part", "first", "held"))).alias("ps"))
+    before = lambda p: F.aggregate(F.filter("ps", lambda q: q["part"] < p["part"]), F.lit(0).cast("bigint"), lambda a, q: a + q["held"])
+    offset = every.select(F.col(CATEGORY).alias("of"), F.explode(F.transform("ps", lambda p: F.struct(p["part"].alias("in"), (before(p) - p["first"] + 1).alias("add")))).alias("o")).select("of", "o.*")
+    placed = rows.join(offset, F.col(CATEGORY).eqNullSafe(F.col("of")) & (F.col("part") == F.col("in")))
+    return placed.select(*umis.columns, (F.col("at") + F.col("add")).alias("parent_rank"))
 
 
 def check_space(n: int, length: int) -> None:
