@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,3 +42,46 @@ def neighbour_risk(n: Column, length: Column, distance: int) -> Column:
     more = (n - 1).cast("double")
     rate = neighbours(length, distance) / (F.pow(F.lit(4.0), length.cast("double")) - 1)
     return F.when(n <= 1, F.lit(0.0)).when(length <= distance, more).otherwise(more * rate)
+
+
+def chi_square_tail(x: float, degrees: int) -> float:
+    """P(chi-square > x): the upper incomplete gamma function, its terms scaled by their logarithm, so that nothing overflows."""
+    a, z = degrees / 2, x / 2
+    if z <= 0:
+        return 1.0
+    scale = a * math.log(z) - z - math.lgamma(a)
+    if z < a + 1:  # one less the series of the lower function
+        term = total = 1 / a
+        n = a
+        while term > total * 1e-17:
+            n += 1
+            term *= z / n
+            total += term
+        return min(1.0, max(0.0, 1 - total * math.exp(scale)))
+    # continued fraction of the upper one, by its convergents' ratios
+    b = z + 1 - a
+    c, d = 1e300, 1 / b
+    h = d
+    for i in range(1, 100_000):
+        k = i * (a - i)
+        b += 2
+        d = 1 / (k * d + b or 1e-300)
+        c = b + k / c or 1e-300
+        h *= d * c
+        if abs(d * c - 1) < 1e-16:
+            break
+    return min(1.0, math.exp(scale + math.log(h)) if h > 0 and scale + math.log(h) > -745 else 0.0)
+
+
+def fisher_exact(a: int, b: int, c: int, d: int) -> float:
+    """Two-sided exact test of a table of two by two: the sum of the tables that are no more probable."""
+    import numpy as np
+
+    r, s, left = a + b, c + d, a + c
+    lo, hi = max(0, left - s), min(r, left)
+    x = np.arange(lo, hi + 1, dtype=float)
+    # log of the ratio of neighbouring probabilities, summed up; the largest scaled to 1
+    step = np.log((r - x[:-1]) * (left - x[:-1])) - np.log((x[:-1] + 1) * (s - left + x[:-1] + 1))
+    log = np.concatenate([[0.0], np.cumsum(step)])
+    p = np.exp(log - log.max())
+    return float(min(1.0, p[p <= p[a - lo] * (1 + 1e-7)].sum() / p.sum()))

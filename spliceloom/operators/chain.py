@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Generator
 from functools import lru_cache
 
 import pandas as pd
@@ -27,8 +28,12 @@ EVENT = T.StructType([
 ])
 
 
+#: The searches of a sequence: (sequence, list of patterns, edits) asked for, (name, place) or None answered.
+Flow = Generator[tuple[bytes, str, int], tuple[str, int] | None, tuple]
+
+
 class Reader:
-    """Reads the ordered events of one sequence after another."""
+    """Reads the ordered events of sequences."""
 
     def __init__(self, config: SpliceConfig):
         self.c, self.k = config, config.distance
@@ -38,61 +43,98 @@ class Reader:
         genome = config.genome.encode()
         self.locate = lru_cache(1 << 16)(lambda piece: fuzzy.find(genome, piece, self.k))
 
+        self.lists = {f"at {n}": [(n, p)] for n, p in self.site.items()} | self.after
+
     def first(self, s: bytes, donor: str, k: int) -> tuple[str, int] | None:
         """The first of a donor's acceptors, in their order, that occurs; and where it starts."""
-        for name, pattern in self.after[donor]:
-            if hit := fuzzy.find(s, pattern, k):
-                return name, hit[0]
-        return None
+        return self.first_many([s], donor, k)[0]
+
+    def first_many(self, texts: list[bytes], wanted: str, k: int) -> list[tuple[str, int] | None]:
+        """The same of many sequences: each pattern is looked for in those that none before it was found in."""
+        out: list[tuple[str, int] | None] = [None] * len(texts)
+        left = list(range(len(texts)))
+        for name, pattern in self.lists[wanted]:
+            found = fuzzy.find_many([texts[i] for i in left], pattern, k)
+            for i, hit in zip(left, found):
+                if hit:
+                    out[i] = name, hit[0]
+            left = [i for i, hit in zip(left, found) if not hit]
+            if not left:
+                break
+        return out
 
     def read(self, s: bytes) -> tuple[list[str], bytes, bytes | None, bytes | None]:
         """Chain, tail from the last recognised site, and the two context sequences."""
-        if not (hit := fuzzy.find(s, self.site["D1"], self.k)):
-            return self._without_d1(["noD1"], s, None)
-        s, d1 = s[hit[0] :], len(self.site["D1"])
-        if got := self.first(s, "D1", self.k):
-            return (*self._onward(["D1", got[0]], got[0], s[got[1] :]), None, None)
+        return self.read_many([s])[0]
+
+    def read_many(self, texts: list[bytes]) -> list[tuple[list[str], bytes, bytes | None, bytes | None]]:
+        """The same of many sequences, which go from search to search together: those that wait for one kind of search are served at once."""
+        out: list = [None] * len(texts)
+        flows = [self._flow(s) for s in texts]
+        waiting: dict[tuple[str, int], list[tuple[int, bytes]]] = {}
+        for i, flow in enumerate(flows):
+            s, wanted, k = next(flow)
+            waiting.setdefault((wanted, k), []).append((i, s))
+        while waiting:
+            wanted, k = key = max(waiting, key=lambda x: len(waiting[x]))
+            rows = waiting.pop(key)
+            for (i, _), hit in zip(rows, self.first_many([s for _, s in rows], wanted, k)):
+                try:
+                    s, then, j = flows[i].send(hit)
+                    waiting.setdefault((then, j), []).append((i, s))
+                except StopIteration as done:
+                    out[i] = done.value
+        return out
+
+    def _flow(self, s: bytes) -> Flow:
+        """The searches of one sequence, one after another: yields what is wanted in what sequence, and is sent what was found."""
+        k = self.k
+        if not (hit := (yield s, "at D1", k)):
+            return (yield from self._without_d1(["noD1"], s, None))
+        s, d1 = s[hit[1] :], len(self.site["D1"])
+        if got := (yield s, "D1", k):
+            return (*(yield from self._onward(["D1", got[0]], got[0], s[got[1] :])), None, None)
         beyond = s[d1 : d1 + CONTEXT] if s else None
         if not s:
             return ["D1", "unknown"], s, None, None
-        if got := self.first(s, "D1prime", self.k):
-            return (*self._onward(["D1prime", got[0]], got[0], s[got[1] :]), None, beyond)
+        if got := (yield s, "D1prime", k):
+            return (*(yield from self._onward(["D1prime", got[0]], got[0], s[got[1] :])), None, beyond)
         if len(s) > d1 + 4:
-            return self._without_d1(["D1", "unknown"], s, s[d1 + 4 : d1 + 4 + CONTEXT])
+            return (yield from self._without_d1(["D1", "unknown"], s, s[d1 + 4 : d1 + 4 + CONTEXT]))
         return ["D1", "unknown"], s, None, beyond
 
-    def _without_d1(self, chain: list[str], s: bytes, beyond: bytes | None) -> tuple[list[str], bytes, bytes | None, bytes | None]:
-        got = self.first(s, "none", ALTERNATIVE_DISTANCE)
-        if not got:
+    def _without_d1(self, chain: list[str], s: bytes, beyond: bytes | None) -> Flow:
+        if not (got := (yield s, "none", ALTERNATIVE_DISTANCE)):
             return chain + ["no-acceptor"], s, None, beyond
         name, at = got
         before, tail = s[max(0, at - CONTEXT) : at], s[at:]
         if name == "gag-AUG":
             return chain + [name, "unspliced"], tail, before, beyond
-        return (*self._onward(chain + [name], name, tail), before, beyond)
+        return (*(yield from self._onward(chain + [name], name, tail)), before, beyond)
 
-    def _onward(self, chain: list[str], last: str, s: bytes) -> tuple[list[str], bytes]:
+    def _onward(self, chain: list[str], last: str, s: bytes) -> Flow:
         """What follows an acceptor: D2 after A1, D3 after A2, nothing after the others."""
+        k = self.k
         if last == "A1":
-            if not (hit := fuzzy.find(s, self.site["D2"], self.k)):
+            if not (hit := (yield s, "at D2", k)):
                 return chain + ["noD2"], s
-            s, chain = s[hit[0] :], chain + ["D2"]
-            if not (got := self.first(s, "D2", self.k)):
+            s, chain = s[hit[1] :], chain + ["D2"]
+            if not (got := (yield s, "D2", k)):
                 return chain + ["unknown"], s
             chain, s = chain + [got[0]], s[got[1] :]
             if got[0] == "D2-unspliced":
-                if not (hit := fuzzy.find(s, self.site["D2b"], self.k)):
+                if not (hit := (yield s, "at D2b", k)):
                     return chain + ["noD2b"], s
-                s, chain = s[hit[0] :], chain + ["D2b"]
-                if not (got := self.first(s, "D2b", self.k)):
+                s, chain = s[hit[1] :], chain + ["D2b"]
+                if not (got := (yield s, "D2b", k)):
                     return chain + ["unknown"], s
                 chain, s = chain + [got[0]], s[got[1] :]
-            return self._onward(chain, got[0], s) if got[0] == "A2" else (chain, s)
+            return (yield from self._onward(chain, got[0], s)) if got[0] == "A2" else (chain, s)
         if last == "A2":
-            if not (hit := fuzzy.find(s, self.site["D3"], self.k)):
+            if not (hit := (yield s, "at D3", k)):
                 return chain + ["noD3"], s
-            s, chain = s[hit[0] :], chain + ["D3"]
-            got = self.first(s, "D3", self.k)
+            s, chain = s[hit[1] :], chain + ["D3"]
+            got = yield s, "D3", k
             return (chain + [got[0]], s[got[1] :]) if got else (chain + ["unknown"], s)
         return chain, s
 
@@ -139,10 +181,10 @@ def splice_chain(config: SpliceConfig):
         reader = _reader(config)
         a = [x.encode() for x in forward]
         b = [fuzzy.revcomp(x.encode()) for x in reverse]
+        pairs = [fuzzy.join_pair(x, y, o) for x, y, o in zip(a, b, fuzzy.overlaps(a, b))]
+        read = reader.read_many([x + y if joined is None else joined for x, y, joined in zip(a, b, pairs)])
         rows = []
-        for x, y, o in zip(a, b, fuzzy.overlaps(a, b)):
-            joined = fuzzy.join_pair(x, y, o)
-            chain, tail, alternative, beyond = reader.read(joined if joined is not None else x + y)
+        for joined, (chain, tail, alternative, beyond) in zip(pairs, read):
             text = lambda t: None if t is None else t.decode()
             rows.append((text(joined), chain, text(tail), text(alternative), text(beyond), reader.size_class(chain, tail)))
         return pd.DataFrame(rows, columns=result.names)
@@ -166,7 +208,7 @@ def find_udf(pattern: str, k: int):
     @F.pandas_udf("start int, stop int, distance int")
     def run(s: pd.Series) -> pd.DataFrame:
         p = pattern.encode()
-        return pd.DataFrame([fuzzy.find(x.encode(), p, k) or (None, None, None) for x in s], columns=["start", "stop", "distance"]).astype("Int32")
+        return pd.DataFrame([hit or (None, None, None) for hit in fuzzy.find_many([x.encode() for x in s], p, k)], columns=["start", "stop", "distance"]).astype("Int32")
 
     return run
 
@@ -178,8 +220,7 @@ def first_udf(config: SpliceConfig, donor: str, k: int | None = None):
     def run(s: pd.Series) -> pd.DataFrame:
         reader = _reader(config)
         rows = []
-        for x in s:
-            hit = reader.first(x.encode(), donor, reader.k if k is None else k)
+        for x, hit in zip(s, reader.first_many([x.encode() for x in s], donor, reader.k if k is None else k)):
             rows.append((hit[0], hit[1], x[hit[1] :], x[max(0, hit[1] - CONTEXT) : hit[1]]) if hit else (None, None, None, None))
         return pd.DataFrame(rows, columns=["acceptor", "start", "tail", "donor"], dtype=object)
 
@@ -222,17 +263,18 @@ def reject_counts(header: str | None, distance: int) -> list[Column]:
     return out
 
 
-def events(reads: DataFrame, config: SpliceConfig, header: str | None = None) -> DataFrame:
+def events(reads: DataFrame, config: SpliceConfig, header: str | None = None, hop: Callable[[str, str], Column] | None = None) -> DataFrame:
     """Per-read events of (read_ix, id, r1, r2).
 
-    Native filters come first so that the UDF sees as few rows as possible:
+    Native filters come first so that ``hop``, which joins the two reads and reads
+    the chain (the UDF, if none is given), sees as few rows as possible:
     homopolymers on the raw reads, reads too short to split, the header pattern.
     """
     kept = reads
     for wrong in rejects(header, config.distance).values():
         kept = kept.where(~wrong)
     parts = kept.select("read_ix", F.col("id").alias("sequence_id"), *[c.alias(n) for n, c in seq.split_reads(F.col("r1"), F.col("r2")).items()])
-    found = parts.withColumn("e", splice_chain(config)("forward_sequence", "reverse_sequence"))
+    found = parts.withColumn("e", (hop or splice_chain(config))("forward_sequence", "reverse_sequence"))
     return found.select("read_ix", "sequence_id", "forward_ns", "umi", "forward_sequence", "reverse_sequence", F.col("e.joined").alias("joined_sequence"), F.col("e.chain").alias("chain"), F.array_join("e.chain", "_").alias("splice_category"), F.col("e.size_class").alias("size_class"), final_category(F.col("e.chain"), F.col("e.size_class")).alias("final_category"), "e.alternative_d1_used", "e.unknown_sequence_after_d1", F.col("e.tail").alias("post_splice_sequence"))
 
 

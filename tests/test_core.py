@@ -26,6 +26,43 @@ def brute_find(text, pattern, k):
     return (end, best) if best <= k else None
 
 
+def test_find_many_equals_find():
+    """Texts with edited copies of the pattern, some twice, some cut off, more and fewer than a batch of lanes."""
+    rng = random.Random(8)
+
+    def edited(p, edits):
+        out = list(p)
+        for _ in range(edits):
+            i = rng.randrange(len(out))
+            out[i] = rng.choice(["", rng.choice("ACGT"), out[i] + rng.choice("ACGT")])
+        return "".join(out)
+
+    some = lambda n, letters: "".join(rng.choices(letters, k=n))
+    found = 0
+    for size, letters, k in [(8, "AC", 1), (9, "ACGT", 2), (16, "ACGT", 1), (27, "AC", 3), (40, "ACGT", 2), (5, "ACGT", 1)]:
+        p = some(size, letters)
+        texts = [(some(rng.randrange(60), letters) + edited(p, rng.randrange(5)) + some(rng.randrange(60), letters) + rng.choice(["", edited(p, 2)])).encode() for _ in range(1500)] + [b"", b"A", p.encode()]
+        for part in (texts, texts[:3], []):
+            want = [fuzzy.find(t, p.encode(), k) for t in part]
+            assert fuzzy.find_many(part, p.encode(), k) == want
+            found += sum(x is not None for x in want)
+    assert found > 3000
+
+
+def test_read_many_equals_read():
+    rng = random.Random(9)
+    c = build_config(distance=1, genome=GENOME)
+    texts = []
+    for form in ("D1 A1 D2 D2-unspliced D2b A2 D3 A7", "D1 A2 D3 A3", "D1 gag-AUG", "A1 D2 A5a", "D1", "", "A7"):
+        for _ in range(30):
+            s = list("".join("CTATCTCATACTCATCATAC"[: rng.randrange(20)] * (e in ("D2", "D3", "D2b")) + c.sites[e] for e in form.split()) + "".join(rng.choices("ACGT", k=60)))
+            for _ in range(rng.randrange(3)):
+                s[rng.randrange(len(s))] = rng.choice("ACGT")
+            texts.append("".join(s).encode())
+    r = chain.Reader(c)
+    assert r.read_many(texts) == [r.read(t) for t in texts] and len({tuple(x[0]) for x in r.read_many(texts)}) > 8
+
+
 def test_find_equals_full_alignment():
     rng = random.Random(0)
     for _ in range(3000):
