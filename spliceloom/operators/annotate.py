@@ -72,14 +72,24 @@ def a2_fate(c: Column) -> Column:
     return F.when(c.contains("noD3"), incomplete).when(c.contains("D3_unknown"), lost).when(c.contains("D3-unspliced"), none).otherwise(spliced)
 
 
+def reaches_a1() -> Column:
+    return (F.col("spliced") == "spliced") & (F.col("main_acceptor_after_d1") == "A1")
+
+
+def reaches_a2() -> Column:
+    return (F.col("spliced") == "spliced") & F.col("splice_category_2").rlike("D2_A2|D2b_A2|D1_A2")
+
+
+def upstream_event() -> Column:
+    return F.when(F.col("main_acceptor_after_d1") == "A1", "D1->A1->A2").when(F.col("main_acceptor_after_d1").isNotNull(), "D1->A2")
+
+
 def reaching_a1(annotated: DataFrame) -> DataFrame:
-    return annotated.where((F.col("spliced") == "spliced") & (F.col("main_acceptor_after_d1") == "A1")).withColumn("A1_fate", a1_fate(F.col("splice_category_2")))
+    return annotated.where(reaches_a1()).withColumn("A1_fate", a1_fate(F.col("splice_category_2")))
 
 
 def reaching_a2(annotated: DataFrame) -> DataFrame:
-    rows = annotated.where((F.col("spliced") == "spliced") & F.col("splice_category_2").rlike("D2_A2|D2b_A2|D1_A2"))
-    upstream = F.when(F.col("main_acceptor_after_d1") == "A1", "D1->A1->A2").when(F.col("main_acceptor_after_d1").isNotNull(), "D1->A2")
-    return rows.withColumn("A2_fate", a2_fate(F.col("splice_category_2"))).withColumn("upstream_event", upstream)
+    return annotated.where(reaches_a2()).withColumn("A2_fate", a2_fate(F.col("splice_category_2"))).withColumn("upstream_event", upstream_event())
 
 
 def d1_type_revised2(d1: Column) -> Column:

@@ -23,11 +23,12 @@ def counts(df: DataFrame, *by: str) -> DataFrame:
 
 
 def percent(df: DataFrame, by: list[str], within: list[str] | None = None) -> DataFrame:
-    """Counts with their percentage of all rows, or of the rows equal in ``within``.
+    """Counts with their percentage of all rows, or of the rows equal in ``within``."""
+    return shares(counts(df, *by), by, within)
 
-    The window runs over the counts, one row per combination.
-    """
-    n = counts(df, *by)
+
+def shares(n: DataFrame, by: list[str], within: list[str] | None = None) -> DataFrame:
+    """Counts with their percentages; the window runs over the counts, one row per combination."""
     if within:
         total = F.sum("n").over(Window.partitionBy(*within))
         return n.withColumn("percent", 100.0 * F.col("n") / total)
@@ -57,7 +58,10 @@ def edges(category2: Column) -> Column:
 
 def links(annotated: DataFrame) -> DataFrame:
     """from, to, w, percent of all spliced rows: from the counts of categories."""
-    n = counts(spliced_only(annotated), "splice_category_2")
+    return links_of(counts(spliced_only(annotated), "splice_category_2"))
+
+
+def links_of(n: DataFrame) -> DataFrame:
     total = n.agg(F.sum("n").alias("total"))
     e = n.select(F.explode(edges(F.col("splice_category_2"))).alias("e"), "n").groupBy("e.from", "e.to").agg(F.sum("n").alias("w"))
     exact = F.col("w") * 100.0 / F.col("total")
@@ -78,8 +82,12 @@ def genome_features(spark: SparkSession) -> DataFrame:
 
 def pivot(df: DataFrame, row: str, column: str, values: list[str]) -> DataFrame:
     """Counts with one column for each value and one for rows without (named NA); 0 where there is none."""
-    tagged = df.withColumn("__c", F.coalesce(F.col(column), F.lit("NA")))
-    return tagged.groupBy(row).pivot("__c", [*values, "NA"]).count().na.fill(0)
+    return pivot_of(counts(df, row, column), row, column, values)
+
+
+def pivot_of(n: DataFrame, row: str, column: str, values: list[str]) -> DataFrame:
+    tagged = n.withColumn("__c", F.coalesce(F.col(column), F.lit("NA")))
+    return tagged.groupBy(row).pivot("__c", [*values, "NA"]).agg(F.sum("n")).na.fill(0)
 
 
 def cross_table(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -87,34 +95,13 @@ def cross_table(df: DataFrame, group: str, value: str) -> DataFrame:
     return percent(df.where(F.col(value).isNotNull()), [group, value], [group])
 
 
-def chi_square(df: DataFrame, group: str, value: str) -> float | None:
-    """P-value of independence of two columns, from their cross-table (as small as its levels); None if it has one row or column."""
-    n = counts(df.where(F.col(group).isNotNull() & F.col(value).isNotNull()), group, value)
-    rows, cols = n.groupBy(group).agg(F.sum("n").alias("r")), n.groupBy(value).agg(F.sum("n").alias("c"))
-    total = n.agg(F.sum("n").alias("t"))
-    # sum (n - e)^2 / e = t * (sum n^2 / (r c) - 1): cells without rows add nothing
-    x = n.join(rows, group).join(cols, value).agg(F.sum(F.col("n") * F.col("n") / (F.col("r") * F.col("c"))).alias("s")).join(total, F.lit(True)).first()
-    degrees = (rows.count() - 1) * (cols.count() - 1)
-    return None if degrees <= 0 else _chi_tail(max(0.0, x.t * (x.s - 1)), degrees)
-
-
-def _chi_tail(x: float, k: int) -> float:
-    """P(chi-square with k degrees > x), by the recurrence of the incomplete gamma function."""
-    from math import erfc, exp, gamma, sqrt
-
-    half = x / 2
-    q, a = (erfc(sqrt(half)), 0.5) if k % 2 else (exp(-half), 1.0)
-    while a < k / 2:
-        q += half**a * exp(-half) / gamma(a + 1)
-        a += 1
-    return min(1.0, max(0.0, q))
-
-
 def cascade(annotated: DataFrame) -> DataFrame:
     """splice_cat2, its count, Steps and value: the steps of each isoform, one a row."""
-    rows = annotated.where(~F.col("splice_cat2").isin("Incomplete", "Unspliced"))
-    n = counts(rows, "splice_cat2").withColumnRenamed("n", "splice_category_count")
-    wide = rows.select("splice_cat2", *STEPS).distinct().join(n, "splice_cat2")
+    return cascade_of(counts(annotated.where(~F.col("splice_cat2").isin("Incomplete", "Unspliced")), "splice_cat2", *STEPS))
+
+
+def cascade_of(n: DataFrame) -> DataFrame:
+    wide = n.withColumn("splice_category_count", F.sum("n").over(Window.partitionBy("splice_cat2")))
     return wide.unpivot(["splice_cat2", "splice_category_count"], list(STEPS), "Steps", "value").select("splice_cat2", "splice_category_count", "Steps", "value")
 
 

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from ..config import Assay, build_config
 from ..functions import seq, stats
 from ..functions.lineage import cut, shared_folder
-from ..operators import annotate, chain, isoforms, report, summary, umi
+from ..operators import annotate, association, chain, chain_native, isoforms, report, summary, tally, umi
 from ..sources import reads as read_source
-from ..sources import tables
+from ..sources import tables, writer
 from . import chain_sql, mock
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -539,6 +539,22 @@ def final_destination_flow(spark, sf_dir):
     return report.flow(samples(spark, sf_dir))
 
 
+#: Cross tables of all tests of a comparison: name, the two columns, and which rows count.
+_TESTS = {"size_classes": ("size_class", _SPLICED), "d1_types_detailed": ("D1_type_revised", _SPLICED), "main_acceptors": ("main_acceptor_after_d1", _SPLICED), "percent_spliced": ("spliced", "WHERE spliced <> 'unknown'"), "isoforms": ("splice_cat2", _SPLICED)}
+_CELLS = " UNION ALL ".join(f"SELECT '{t}' AS test, id AS a, {c} AS b, count(*) AS n FROM ann {w} AND id IS NOT NULL AND {c} IS NOT NULL GROUP BY ALL" for t, (c, w) in _TESTS.items())
+
+
+@query("association_tests", f"""WITH ann AS MATERIALIZED (SELECT * FROM {_ANNOTATED} z), cell AS ({_CELLS}),
+m AS (SELECT *, sum(n) OVER (PARTITION BY test, a) AS r, sum(n) OVER (PARTITION BY test, b) AS c, sum(n) OVER (PARTITION BY test) AS t FROM cell)
+SELECT test, CAST(max(t) AS BIGINT) AS n, count(DISTINCT a) AS levels_a, count(DISTINCT b) AS levels_b, (count(DISTINCT a) - 1) * (count(DISTINCT b) - 1) AS degrees,
+  round(greatest(0.0, max(t) * (sum(n * n / (r * c)::DOUBLE) - 1)), 6) AS statistic, min(r) * min(c) / max(t)::DOUBLE AS least_expected FROM m GROUP BY test""")
+def association_tests(spark, sf_dir):
+    """Statistics of all tests from one pass over the annotated rows."""
+    spliced, known = F.col("spliced") == "spliced", F.col("spliced") != "unknown"
+    sets = {t: tally.Counted({"id": "id", c: c}, known if t == "percent_spliced" else spliced) for t, (c, _) in _TESTS.items()}
+    return association.statistics(association.cells(tally.tally(samples(spark, sf_dir), sets))).withColumn("statistic", F.round("statistic", 6))
+
+
 @query("sample_union", "SELECT id, count(*) AS n FROM (SELECT o_orderkey, 'early' AS id FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT o_orderkey, 'late' AS id FROM orders WHERE o_orderkey % 3 <> 0) u GROUP BY id")
 def sample_union(spark, sf_dir):
     rows = load(spark, sf_dir, "orders").select("o_orderkey")
@@ -676,11 +692,27 @@ def splice_events_exact(spark, sf_dir):
     return exact_events(spark, sf_dir).select("read_ix", "sequence_id", "umi", "joined_sequence", "splice_category", "size_class", "final_category", "alternative_d1_used", "unknown_sequence_after_d1", "post_splice_sequence")
 
 
+@query("splice_events_native", ORACLE_SQL["splice_events_exact"])
+def splice_events_native(spark, sf_dir):
+    """The same by column expressions alone, without a Python worker."""
+    config = build_config(distance=0, genome=GENOME)
+    rows = chain.events(_view(spark, sf_dir, "orders", EXACT_SPARK), config, hop=chain_native.splice_chain(config))
+    return rows.select("read_ix", "sequence_id", "umi", "joined_sequence", "splice_category", "size_class", "final_category", "alternative_d1_used", "unknown_sequence_after_d1", "post_splice_sequence")
+
+
 @query("joined_records_exact", f"SELECT concat('>', id, '-joined ForwardNs: ', substr(r1, 1, 4), ', UMI: ', j.umi, chr(10), joined) AS record FROM (SELECT j.*, e.r1 FROM {chain_sql.overlapped(EXACT)} j JOIN ({EXACT}) e ON j.read_ix = e.read_ix) j WHERE joined IS NOT NULL")
 def joined_records_exact(spark, sf_dir):
     return chain.joined_record(exact_events(spark, sf_dir))
 
 
+@query("joined_record_file", ORACLE_SQL["joined_records_exact"])
+def joined_record_file(spark, sf_dir):
+    """The joined reads as a FASTA file of several parts, read back as text."""
+    at = f"{shared_folder(spark)}/joined.fasta"
+    writer.write_joined(exact_events(spark, sf_dir), at)
+    return spark.read.text(at, lineSep=">").where("value <> ''").select(F.concat(F.lit(">"), F.regexp_replace("value", "\n$", "")).alias("record"))
+
+
 _EXACT_FAMILIES = f"""{_EXACT_EVENTS},
 cnt AS MATERIALIZED (SELECT final_category, umi, count(*) AS n FROM ev GROUP BY ALL),
 dec AS MATERIALIZED (SELECT final_category, u, reads, CAST(u AS DOUBLE) / reads AS share, risk, most, CASE WHEN CAST(u AS DOUBLE) / reads <= 0.1 OR risk >= 0.05 THEN 'max-model' ELSE 'cluster-model' END AS model
@@ -721,11 +753,11 @@ def family_summary_exact(spark, sf_dir):
 
 
 def _written(spark: SparkSession, df: DataFrame, ending: str) -> DataFrame:
-    """Read pairs as two files in the shared folder, read by the engine's source."""
+    """Read pairs written as two folders of parts in the shared folder, read by the engine's source in ranges."""
     at = shared_folder(spark)
     pair = f"{at}/r1.{ending}", f"{at}/r2.{ending}"
-    mock.write_pairs(df, *pair)
-    return read_source.read_pairs(spark, *pair).select("read_ix", "id", "r1", "r2")
+    writer.write_pairs(df, *pair)
+    return read_source.read_pairs(spark, *pair, range_bytes=1 << 20).select("read_ix", "id", "r1", "r2")
 
 
 _NUMBERED = "SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS read_ix, concat('mock_', CAST(o_orderkey AS VARCHAR), '_r1') AS id, r1, r2 FROM (SELECT e.*, e.read_ix AS o_orderkey FROM ({}) e) o"
@@ -736,6 +768,11 @@ def pairs_fasta(spark, sf_dir):
     return _written(spark, _view(spark, sf_dir, "orders", EXACT_SPARK), "fasta")
 
 
+@query("pairs_fastq", _NUMBERED.format(EXACT))
+def pairs_fastq(spark, sf_dir):
+    return _written(spark, _view(spark, sf_dir, "orders", EXACT_SPARK), "fastq")
+
+
 @query("pairs_fastq_gz", _NUMBERED.format(EXACT))
 def pairs_fastq_gz(spark, sf_dir):
     return _written(spark, _view(spark, sf_dir, "orders", EXACT_SPARK), "fastq.gz")

@@ -14,15 +14,18 @@ from dataclasses import asdict
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import RunConfig, build_config
+from ..config import RunConfig, SpliceConfig, build_config
 from ..functions.lineage import cut, let_go
 from ..functions.stats import SANE_MAXIMUM
-from ..operators import annotate, chain, isoforms, report, summary, umi
+from ..operators import annotate, association, chain, chain_native, isoforms, report, summary, tally, umi
+from ..operators.tally import Counted
 from ..sources import files, tables
 from ..sources import reads as read_source
 from . import drawing as draw
 
 VERSION = "0.1.0"
+#: A p-value and how it was found.
+PValue = tuple[float, str]
 log = logging.getLogger("spliceloom")
 
 
@@ -38,7 +41,12 @@ def timed(stage: str):
 def call_families(reads: DataFrame, config: RunConfig) -> DataFrame:
     """Per-read events with families; the events are stored once on the way."""
     splice = build_config(config.strain, config.assay, config.distance, config.genome)
-    return _families(cut(chain.events(reads, splice, config.header)), config)
+    return _families(cut(read_chains(reads, splice, config.header)), config)
+
+
+def read_chains(reads: DataFrame, splice: SpliceConfig, header: str | None) -> DataFrame:
+    """Events of reads; exact searches need no Python worker."""
+    return chain.events(reads, splice, header, chain_native.splice_chain(splice) if splice.distance == 0 else None)
 
 
 def _families(events: DataFrame, config: RunConfig) -> DataFrame:
@@ -46,47 +54,71 @@ def _families(events: DataFrame, config: RunConfig) -> DataFrame:
     return umi.families(events, config.family_model, config.distance, config.min_fraction, config.neighbor_risk, config.coverage_ratio)
 
 
-def report_frames(annotated: DataFrame) -> dict[str, DataFrame]:
-    """Everything a single run's report shows."""
-    spliced = report.spliced_only(annotated)
-    frames = {
-        "spliced_classes": report.percent(annotated, ["spliced"]),
-        "spliced_known": report.percent(report.known_only(annotated), ["spliced"]),
-        "size_classes": report.percent(spliced, ["size_class"]),
-        "d1_types": report.percent(spliced, ["D1_type"]),
-        "d1_types_detailed": report.percent(spliced, ["D1_type_revised"]),
-        "main_acceptors": report.percent(spliced, ["main_acceptor_after_d1"]),
-        "isoforms": report.percent(spliced, ["splice_cat2"]),
-        "isoforms_extended": report.percent(spliced, ["splice_category_2"]),
-        "isoforms_by_d1": report.pivot(spliced, "splice_cat2", "D1_type_revised", list(annotate.D1_LEVELS)),
-        "isoforms_by_size": report.pivot(spliced, "splice_cat2", "size_class", ["1.8kb", "4kb", "Both", "Unknown"]),
-        "acceptors_by_d1": report.cross_table(spliced, "D1_type_revised", "main_acceptor_after_d1"),
-        "links": report.links(annotated),
-        "cascade": report.cascade(annotated),
-        "flow": report.flow(annotated),
-        "after_a1": report.percent(annotate.reaching_a1(annotated), ["A1_fate"]),
-        "after_a2": report.cross_table(annotate.reaching_a2(annotated), "upstream_event", "A2_fate"),
-    }
-    return frames | {"sankey": report.sankey(frames["cascade"]), "map": report.splice_map(frames["links"])}
-
-
-def comparison_frames(pooled: DataFrame) -> dict[str, DataFrame]:
-    """Everything a comparison of samples shows; every share is within the sample."""
-    spliced = report.spliced_only(pooled).withColumn("D1_type_revised2", annotate.d1_type_revised2(F.col("D1_type")))
-    by_id = lambda df, c: report.percent(df, ["id", c], ["id"])
+def run_sets() -> dict[str, Counted]:
+    """What a single run's report counts."""
+    spliced, known = F.col("spliced") == "spliced", F.col("spliced") != "unknown"
+    category = F.col("splice_category_2")
+    one = lambda c, where=spliced: Counted({c: c}, where)
+    return {
+        "spliced_classes": one("spliced", None), "spliced_known": one("spliced", known), "size_classes": one("size_class"), "d1_types": one("D1_type"), "d1_types_detailed": one("D1_type_revised"),
+        "main_acceptors": one("main_acceptor_after_d1"), "isoforms": one("splice_cat2"), "isoforms_extended": one("splice_category_2"),
+        "isoforms_by_d1": Counted({"splice_cat2": "splice_cat2", "D1_type_revised": "D1_type_revised"}, spliced),
+        "isoforms_by_size": Counted({"splice_cat2": "splice_cat2", "size_class": "size_class"}, spliced),
+        "acceptors_by_d1": Counted({"D1_type_revised": "D1_type_revised", "main_acceptor_after_d1": "main_acceptor_after_d1"}, spliced),
+        "cascade": Counted({"splice_cat2": "splice_cat2"} | {c: c for c in report.STEPS}, ~F.col("splice_cat2").isin("Incomplete", "Unspliced")),
+        "flow": Counted({"final_des": "final_des", "splice_cat2": "splice_cat2"}, spliced & (F.col("D1_type_revised") != "Others") & (F.col("final_des") != "Incomplete")),
+        "after_a1": Counted({"A1_fate": annotate.a1_fate(category)}, annotate.reaches_a1()),
+        "after_a2": Counted({"upstream_event": annotate.upstream_event(), "A2_fate": annotate.a2_fate(category)}, annotate.reaches_a2()),
+    }
+
+
+def report_frames(annotated: DataFrame) -> tuple[dict[str, DataFrame], dict[str, PValue | None]]:
+    """Everything a single run's report shows, from one pass over the rows, and the p-values of its cross tables."""
+    sets = run_sets()
+    tallied = tally.tally(annotated, sets)
+    n = lambda name: tally.frame(tallied, sets, name)
+    frames = {}
+    for name, s in sets.items():
+        by = list(s.columns)
+        if name == "isoforms_by_d1":
+            frames[name] = report.pivot_of(n(name), *by, list(annotate.D1_LEVELS))
+        elif name == "isoforms_by_size":
+            frames[name] = report.pivot_of(n(name), *by, ["1.8kb", "4kb", "Both", "Unknown"])
+        elif name == "cascade":
+            frames["links"] = report.links_of(n("isoforms_extended"))
+            frames[name] = report.cascade_of(n(name))
+        else:
+            rows = n(name).where(F.col(by[1]).isNotNull()) if name in ("acceptors_by_d1", "after_a2") else n(name)
+            frames[name] = report.shares(rows, by, by[:1] if len(by) > 1 else None)
+    frames |= {"sankey": report.sankey(frames["cascade"]), "map": report.splice_map(frames["links"])}
+    return frames, p_values(tallied, ["isoforms_by_d1", "isoforms_by_size", "acceptors_by_d1", "after_a2"])
+
+
+def p_values(tallied: DataFrame, tests: list[str]) -> dict[str, PValue | None]:
+    """P-value and method by test, None for a table of one row or column."""
+    found = association.tested(association.cells(tallied.where(F.col("frame").isin(*tests)))).collect()
+    return dict.fromkeys(tests) | {r.test: (r.p_value, r.method) for r in found if r.method}
+
+
+def comparison_sets() -> dict[str, Counted]:
+    """What a comparison counts, by sample."""
+    spliced, known = F.col("spliced") == "spliced", F.col("spliced") != "unknown"
+    by_id = lambda name, where=spliced, c=None: Counted({"id": "id", name: c if c is not None else name}, where)
     return {
-        "rows": report.counts(pooled, "id"),
-        "spliced_classes": by_id(pooled, "spliced"),
-        "percent_spliced": report.percent_spliced(pooled),
-        "size_classes": by_id(spliced, "size_class"),
-        "d1_types": by_id(spliced, "D1_type_revised2"),
-        "d1_types_detailed": by_id(spliced, "D1_type_revised"),
-        "main_acceptors": by_id(spliced, "main_acceptor_after_d1"),
-        "isoforms": by_id(spliced, "splice_cat2"),
-        "final_destinations": by_id(spliced, "final_des"),
-        "after_a1": by_id(annotate.reaching_a1(pooled), "A1_fate"),
-        "after_a2": by_id(annotate.reaching_a2(pooled), "A2_fate"),
-    }
+        "rows": Counted({"id": "id"}), "spliced_classes": by_id("spliced", None), "percent_spliced": by_id("spliced", known), "size_classes": by_id("size_class"),
+        "d1_types": by_id("D1_type_revised2", c=annotate.d1_type_revised2(F.col("D1_type"))), "d1_types_detailed": by_id("D1_type_revised"), "main_acceptors": by_id("main_acceptor_after_d1"),
+        "isoforms": by_id("splice_cat2"), "final_destinations": by_id("final_des"), "after_a1": by_id("A1_fate", annotate.reaches_a1(), annotate.a1_fate(F.col("splice_category_2"))),
+        "after_a2": by_id("A2_fate", annotate.reaches_a2(), annotate.a2_fate(F.col("splice_category_2"))),
+    }
+
+
+def comparison_frames(pooled: DataFrame) -> tuple[dict[str, DataFrame], dict[str, PValue | None]]:
+    """Everything a comparison of samples shows, from one pass over the rows, every share within the sample; and the p-values by sample."""
+    sets = comparison_sets()
+    tallied = tally.tally(pooled, sets)
+    frames = {name: tally.frame(tallied, sets, name) if name == "rows" else report.shares(tally.frame(tallied, sets, name), list(s.columns), ["id"]) for name, s in sets.items()}
+    frames["percent_spliced"] = frames["percent_spliced"].where(F.col("spliced") == "spliced")
+    return frames, p_values(tallied, [x for x in sets if x not in ("rows", "spliced_classes")])
 
 
 #: How a frame is drawn: label columns and the value of its bars.
@@ -118,7 +150,7 @@ def drawing(name: str, rows: list, columns: list[str], shapes: dict) -> str:
     return ""
 
 
-def page(title: str, frames: dict[str, DataFrame], folder: str, shapes: dict, tests: dict[str, float | None] | None = None, most_rows: int = 1000) -> str:
+def page(title: str, frames: dict[str, DataFrame], folder: str, shapes: dict, tests: dict[str, PValue | None] | None = None, most_rows: int = 1000) -> str:
     """An HTML page of the frames, sorted and drawn, with p-values of association.
 
     They are counts by category.  Of a longer frame the page shows the first rows,
@@ -137,7 +169,7 @@ def page(title: str, frames: dict[str, DataFrame], folder: str, shapes: dict, te
         else:
             link, note = tables.embedded(tables.csv_text(df.columns, rows)), ""
         if tests and name in tests:
-            note += "<p>Association: " + ("not tested, one row or column" if tests[name] is None else f"p = {tests[name]:.3g} (chi-square)") + "</p>"
+            note += "<p>Association: " + ("not tested, one row or column" if tests[name] is None else f"p = {tests[name][0]:.3g} ({tests[name][1]})") + "</p>"
         picture = draw.splice_map(shown, frames["features"].collect(), report.GENOME_END) if name == "map" and rows else drawing(name, shown, df.columns, shapes)
         parts.append(f"<h2>{html.escape(name.replace('_', ' '))}</h2>{note}{picture}<table><tr>{head}</tr>{cells}</table><a download='{name}.csv' href='{link}'>CSV</a>")
         if name == "links":
@@ -160,7 +192,7 @@ def run(spark: SparkSession, config: RunConfig, partitions: int | None = None, s
         seen = Observation("reads")
         reads = reads.observe(seen, *chain.reject_counts(config.header, config.distance))
     with timed("events"):
-        events = cut(chain.events(reads, splice, config.header))
+        events = cut(read_chains(reads, splice, config.header))
     left_out = {k: v for k, v in seen.get.items()}
     with timed("families"):
         rows = cut(_families(events, config))  # for the three tables below
@@ -177,9 +209,8 @@ def run(spark: SparkSession, config: RunConfig, partitions: int | None = None, s
         tables._write(isoforms.lookup(spark), paths["isoforms"], True)
     with timed("report"):
         annotated = annotate.annotate(tables.read_summary(spark, paths["summary"])).cache()
-        spliced = report.spliced_only(annotated)
-        tests = {"acceptors_by_d1": report.chi_square(spliced, "D1_type_revised", "main_acceptor_after_d1"), "after_a2": report.chi_square(annotate.reaching_a2(annotated), "upstream_event", "A2_fate")}
-        frames = report_frames(annotated) | {"umi_histogram": umi.histogram(umis), "features": report.genome_features(spark)}
+        frames, tests = report_frames(annotated)
+        frames |= {"umi_histogram": umi.histogram(umis), "features": report.genome_features(spark)}
         files.write_text(spark, paths["report"], page(config.stem, frames, out, BARS, tests))
         annotated.unpersist()
     let_go(rows)
@@ -197,9 +228,8 @@ def compare(spark: SparkSession, folder: str, out: str) -> dict[str, str]:
     tables.write_features(spark, runs, out)
     pooled = annotate.annotate(tables.read_samples(spark, out)).cache()
     tables._write(pooled, f"{out}/pooled_annotated_data.csv", True, nullValue="NA")
-    known, spliced = report.known_only(pooled), report.spliced_only(pooled).withColumn("D1_type_revised2", annotate.d1_type_revised2(F.col("D1_type")))
-    tests = {"spliced_classes": report.chi_square(known, "id", "spliced"), "size_classes": report.chi_square(spliced, "id", "size_class"), "d1_types": report.chi_square(spliced, "id", "D1_type_revised2"), "main_acceptors": report.chi_square(spliced, "id", "main_acceptor_after_d1")}
-    frames = {"runs": tables.read_features(spark, f"{out}/run_features.csv")} | comparison_frames(pooled)
+    shown, tests = comparison_frames(pooled)
+    frames = {"runs": tables.read_features(spark, f"{out}/run_features.csv")} | shown
     files.write_text(spark, f"{out}/comparison.html", page("Comparison of samples", frames, out, COMPARED, tests))
     pooled.unpersist()
     return {"pooled": f"{out}/pooled_annotated_data.csv", "report": f"{out}/comparison.html"}
