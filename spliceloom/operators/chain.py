@@ -40,8 +40,8 @@ class Reader:
         self.site = {n: s.encode() for n, s in config.sites.items()}
         encoded = lambda steps: [(s.acceptor, s.pattern.encode()) for s in steps]
         self.after = {"D1": encoded(config.d1_to_all), "D1prime": encoded(config.d1prime_to_all), "none": encoded(config.alternative_d1_to_all), "D2": encoded(config.d2_to_all), "D2b": encoded(config.d2b_to_all), "D3": encoded(config.d3_to_all)}
-        genome = config.genome.encode()
-        self.locate = lru_cache(1 << 16)(lambda piece: fuzzy.find(genome, piece, self.k))
+        genome = fuzzy.Index(config.genome.encode())
+        self.locate = lru_cache(1 << 16)(lambda piece: genome.find(piece, self.k))
 
         self.lists = {f"at {n}": [(n, p)] for n, p in self.site.items()} | self.after
 

@@ -49,6 +49,25 @@ def test_find_many_equals_find():
     assert found > 3000
 
 
+def test_index_equals_find():
+    rng = random.Random(10)
+    text = ("".join(rng.choices("ACGT", k=3000)) + "A" * 60 + "ACACAC" * 20).encode()
+    index, found = fuzzy.Index(text), 0
+    for _ in range(1500):
+        at, size = rng.randrange(len(text)), rng.randrange(1, 40)
+        piece = bytearray(text[at : at + size])
+        for _ in range(rng.randrange(3)):
+            if piece:
+                i = rng.randrange(len(piece))
+                piece[i : i + rng.randrange(2)] = rng.choice([b"", b"A", b"GT"])
+        for k in (0, 1, 2):
+            want = fuzzy.find(text, bytes(piece), k)
+            assert index.find(bytes(piece), k) == want, (piece, k)
+            found += want is not None
+    assert found > 2000
+    assert fuzzy.Index(b"").find(b"ACGTACGTAC", 1) is None and index.find(b"", 1) == (0, 0, 0)
+
+
 def test_read_many_equals_read():
     rng = random.Random(9)
     c = build_config(distance=1, genome=GENOME)
