@@ -10,12 +10,19 @@ voter's weight.  Rates and classes are found by expectation
 maximisation with the given label as one more voter.  A logistic classifier over
 the voters' firings is trained on the posterior labels; it alone scores documents.
 
-Only a bounded sample of labelled rows is learned from: the ``SAMPLE_ROWS`` with
-the smallest hash of their id.  Scoring covers every row and its whole text.
+What the models leave open is chosen by cross-validation: voters are mined and both
+models fitted on all folds but one of the labelled rows, the one is scored, and the
+constants with the least log-loss over all folds are taken.  Rows that are not
+learned from have no part in it.
+
+Only a bounded sample of labelled rows is learned from, however many there are: the
+``SAMPLE_ROWS`` with the smallest hash of their id.  Scoring covers every row and its
+whole text.
 
 Defined results: null and empty texts get the score of a text on which no voter
 fires; long texts are taken whole, and alone; repeated rows get a row each; without
-any labelled row, or with an empty table, the lexicon decides with fixed rates; ids
+any labelled row, or with an empty table, the lexicon decides with fixed rates; where
+a fold's rest has but one label, the first constants of GRID serve; ids
 that several label rows name count once, toxic if any says so (ties); equal texts
 are learned from once; other columns of the tables are not read.
 """
@@ -23,6 +30,7 @@ are learned from once; other columns of the tables are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -38,16 +46,22 @@ MAX_VOTERS = 1_000
 #: Bytes of the word beginnings that may vote.
 STEMS = (4, 5, 6)
 THRESHOLD = 0.7
-# The next three were chosen together on learnable rows alone, those of crc32 remainder 1 apart: fitted on remainder 0, judged
-# on remainder 2, at sf0.1 and on the check's 0.1 GB.  Of 24 combinations (silence 3, 1, 0; strong from 4, 4.5, 5 or never;
-# with or without weights) this has the lowest sum of log-losses, 0.1321 + 0.0004, of those with a recall of 0.8 or more.
-# Without that condition (3.0 or 1.0, none strong, weights) the sum is 0.1255, but recall at sf0.1 is 0.78.
-#: Most that the silence of a row's other voters counts for, as a log-ratio.  With 1.0 and 0.0: 0.1331 + 0.0130, 0.1434 + 0.0034.
-MOST_SILENT = 3.0
-#: Log-ratio of a voter's rates on toxic and clean text from which it counts as strong.  With 4.5 or 5.0: 0.1341 + 0.0195.
-STRONG = 4.0
-#: Correlation of two voters on toxic rows from which it lowers their weights.  With the tree alone: 0.1481 + 0.0133.
-STRONG_PHI = 0.5
+
+
+class Constants(NamedTuple):
+    """What the models leave open; ``choose`` picks one of GRID by the labels learned from."""
+
+    #: Most that the silence of a row's other voters counts for, as a log-ratio.
+    silent: float
+    #: Log-ratio of a voter's rates on toxic and clean text from which it counts as strong.
+    strong: float
+    #: Correlation of two voters on toxic rows from which it lowers their weights.
+    phi: float
+
+
+GRID = [Constants(a, b, c) for a in (0.0, 1.0, 3.0) for b in (4.0, 5.0, np.inf) for c in (0.5, np.inf)]
+#: Folds of the labelled rows, by crc32 of the text, and steps of a fold's classifier.
+FOLDS, FOLD_STEPS = 3, 500
 LEXICON = ("bastard", "clown", "creep", "crap", "disgusting", "dumb", "filth", "fool", "freak", "garbage", "hate", "idiot", "imbecile", "jerk", "loser", "maggot", "moron", "pathetic", "pig", "scum", "shut", "stupid", "trash", "vermin", "worthless")
 PATTERNS = ("shouting", "exclaiming", "repeating")
 
@@ -102,13 +116,13 @@ def _pairs(row: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sample(docs: DataFrame, labels: DataFrame, learn: Column | None, rows: int, key: str, text: str, label: str) -> DataFrame:
-    """text and toxic of the labelled rows to learn from, equal texts once."""
+    """text, toxic and fold of the labelled rows to learn from, equal texts once."""
     known = labels.where(named(label).isNotNull() & named(key).isNotNull())
     known = (known.where(learn) if learn is not None else known).groupBy(named(key).alias("__id")).agg(F.max(named(label)).cast("int").alias("toxic"))
     few = known.orderBy(F.xxhash64("__id"), "__id").limit(rows)
     at = F.broadcast(few)  # ``rows`` ids at most
     got = docs.select(named(key).alias("__id"), named(text).cast("string").alias("text")).where("text is not null").join(at, "__id")
-    return cut(got.groupBy(F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic")).select("text", "toxic"))
+    return cut(got.groupBy(F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic")).select("text", "toxic", (F.crc32(F.col("text").cast("binary")) % FOLDS).cast("int").alias("fold")))
 
 
 def mine(rows: DataFrame, most: int = MAX_VOTERS) -> tuple[np.ndarray, np.ndarray]:
@@ -138,13 +152,13 @@ def mine(rows: DataFrame, most: int = MAX_VOTERS) -> tuple[np.ndarray, np.ndarra
     return np.array([r.h for r in chosen.select("h").collect()], np.int64).view(np.uint64), np.array([total.bad, total.n - total.bad])
 
 
-def voter_tree(row: np.ndarray, voter: np.ndarray, q: np.ndarray, j: int) -> tuple[np.ndarray, np.ndarray]:
+def voter_tree(row: np.ndarray, voter: np.ndarray, q: np.ndarray, j: int, strong_phi: float) -> tuple[np.ndarray, np.ndarray]:
     """For each voter the one that it depends on within a class, -1 for none; and its weight.
 
     That is the more frequent voter with which it has the most mutual information
     given the class, if the information pays for the two rates more (BIC).  What a
     tree cannot say, correlations with further voters, makes the weight: 1 over 1
-    and the sum of a voter's correlations above STRONG_PHI on toxic rows with others
+    and the sum of a voter's correlations above ``strong_phi`` on toxic rows with others
     than the one that it depends on and those that depend on it.
     """
     n = len(q)
@@ -174,10 +188,10 @@ def voter_tree(row: np.ndarray, voter: np.ndarray, q: np.ndarray, j: int) -> tup
     np.fill_diagonal(phi, 0)
     tied = np.flatnonzero(parent >= 0)
     phi[tied, parent[tied]] = phi[parent[tied], tied] = 0
-    return parent, 1 / (1 + np.where(phi > STRONG_PHI, phi, 0).sum(axis=1))
+    return parent, 1 / (1 + np.where(phi > strong_phi, phi, 0).sum(axis=1))
 
 
-def label_model(row: np.ndarray, voter: np.ndarray, n: int, j: int, toxic: np.ndarray, rounds: int = 15) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def label_model(row: np.ndarray, voter: np.ndarray, n: int, j: int, toxic: np.ndarray, c: Constants, rounds: int = 15) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Posterior labels of n rows from the firings (row, voter), ordered, of j voters and the given labels.
 
     Returns (posterior, rate on toxic, rate on clean, voter depended on).
@@ -186,7 +200,7 @@ def label_model(row: np.ndarray, voter: np.ndarray, n: int, j: int, toxic: np.nd
     prior = np.log((toxic.sum() + 0.5) / (n - toxic.sum() + 0.5))  # the class balance is the given labels'
     pair = row * np.int64(j) + voter
     for turn in range(2):  # the tree again from the first posteriors
-        parent, weight = voter_tree(row, voter, q, j)
+        parent, weight = voter_tree(row, voter, q, j, c.phi)
         has = parent >= 0
         up = np.where(has, parent, 0)
         at = np.minimum(np.searchsorted(pair, row * np.int64(j) + up[voter]), max(0, len(pair) - 1))
@@ -212,7 +226,7 @@ def label_model(row: np.ndarray, voter: np.ndarray, n: int, j: int, toxic: np.nd
             miss = ((1 - q) @ toxic + 0.1) / (n - q.sum() + 1)
             z = prior + np.bincount(row, weights=np.where(led, fire1[voter], fire0[voter]), minlength=n)
             # silent voters are evidence too, but many of them abstain by design: together they count for little
-            z += np.maximum(-MOST_SILENT, silent)
+            z += np.maximum(-c.silent, silent)
             z += np.where(toxic > 0, np.log(hit / miss), np.log((1 - hit) / (1 - miss)))
             new = np.clip(1 / (1 + np.exp(-np.clip(z, -30, 30))), 1e-4, 1 - 1e-4)
             settled = np.abs(new - q).max(initial=0) < 1e-4
@@ -235,32 +249,85 @@ def train_linear(row: np.ndarray, voter: np.ndarray, q: np.ndarray, j: int, step
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, rows: int = SAMPLE_ROWS, key: str = "doc_id", text: str = "text", label: str = "toxic") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Voter hashes (sorted), which of them are strong, and classifier weights: voters, any strong voter, bias."""
-    known = sample(docs, labels, learn, rows, key, text, label)
-    mined, (bad, good) = mine(known)
-    fixed = np.array([hash_of(w) for w in LEXICON] + [pattern_hash(p) for p in PATTERNS], np.uint64)
-    voters = np.unique(np.concatenate([fixed, mined]))
-    if not bad or not good:
-        words = ~np.isin(voters, [pattern_hash(p) for p in PATTERNS])
-        return voters, words, np.concatenate([np.where(words, 1.0, 0.0), [3.0, -2.5]])
+class Firings(NamedTuple):
+    """Of labelled rows, at most SAMPLE_ROWS: labels, folds, and the ordered (row, voter) pairs."""
 
+    toxic: np.ndarray
+    fold: np.ndarray
+    row: np.ndarray
+    voter: np.ndarray
+
+    def of(self, keep: np.ndarray) -> Firings:
+        place = np.cumsum(keep) - 1
+        some = keep[self.row]
+        return Firings(self.toxic[keep], self.fold[keep], place[self.row[some]], self.voter[some])
+
+
+def all_voters(mined: np.ndarray) -> np.ndarray:
+    """Hashes of lexicon, patterns and mined voters, sorted."""
+    return np.unique(np.concatenate([np.array([hash_of(w) for w in LEXICON] + [pattern_hash(p) for p in PATTERNS], np.uint64), mined]))
+
+
+def fired(known: DataFrame, voters: np.ndarray) -> Firings:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = _letters()
         for batch in pieces(batches):
             row, at = _fired(voters, *firings(*utf8(batch.column(0)), letters))
             count = np.bincount(row, minlength=batch.num_rows)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]), pa.int32()), pa.array(at, pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(1), lists], names=["toxic", "fired"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), lists], names=["toxic", "fold", "fired"])
 
-    # at most ``rows`` rows of a few voter numbers each
-    got = map_arrow(known.select("text", "toxic"), run, "toxic int, fired array<int>").collect()
-    toxic = np.array([r.toxic > 0 for r in got], float)
+    # at most SAMPLE_ROWS rows of a few voter numbers each
+    got = map_arrow(known.select("text", "toxic", "fold"), run, "toxic int, fold int, fired array<int>").collect()
     row = np.repeat(np.arange(len(got)), [len(r.fired) for r in got])
-    voter = np.array([v for r in got for v in r.fired], np.int64)
-    q, on_bad, on_good, _ = label_model(row, voter, len(got), len(voters), toxic)
-    strong = np.log(on_bad / on_good) > STRONG
-    return voters, strong, train_linear(*_with_any(row, voter, strong), q, len(voters) + 1)
+    return Firings(np.array([r.toxic > 0 for r in got], float), np.array([r.fold for r in got], int), row, np.array([v for r in got for v in r.fired], np.int64))
+
+
+def classifier(on_bad: np.ndarray, on_good: np.ndarray, f: Firings, q: np.ndarray, c: Constants, steps: int = 2000) -> tuple[np.ndarray, np.ndarray]:
+    """Which voters are strong, and the weights of voters, any strong voter and bias."""
+    strong = np.log(on_bad / on_good) > c.strong
+    return strong, train_linear(*_with_any(f.row, f.voter, strong), q, len(on_bad) + 1, steps)
+
+
+def choose(known: DataFrame, grid: list[Constants] = GRID) -> tuple[Constants, dict[Constants, float], float, float]:
+    """The constants with the least log-loss on rows that the folds left out, the loss of all, and the chosen ones' recall and false alarms there."""
+    found: dict[Constants, list] = {c: [] for c in grid}
+    for fold in range(FOLDS):
+        mined, (bad, good) = mine(known.where(F.col("fold") != fold))
+        if not bad or not good:
+            return grid[0], {}, 0.0, 0.0
+        voters = all_voters(mined)
+        every = fired(known, voters)
+        rest, own = every.of(every.fold != fold), every.of(every.fold == fold)
+        models: dict[tuple[float, float], tuple] = {}
+        for c in grid:
+            key = c.silent, c.phi  # the label model leaves strength open
+            if key not in models:
+                models[key] = label_model(rest.row, rest.voter, len(rest.toxic), len(voters), rest.toxic, c)
+            q, on_bad, on_good, _ = models[key]
+            strong, w = classifier(on_bad, on_good, rest, q, c, FOLD_STEPS)
+            row, at = _with_any(own.row, own.voter, strong)
+            z = w[-1] + np.bincount(row, weights=w[at], minlength=len(own.toxic))
+            found[c].append((own.toxic > 0, 1 / (1 + np.exp(-np.clip(z, -30, 30)))))
+    judged = {c: tuple(np.concatenate(x) for x in zip(*parts)) for c, parts in found.items()}
+    loss = {c: float(-np.mean(np.log(np.clip(np.where(t, p, 1 - p), 1e-6, 1)))) for c, (t, p) in judged.items()}
+    best = min(grid, key=loss.__getitem__)  # of equal ones the first
+    t, p = judged[best]
+    return best, loss, float(np.mean(p[t] >= THRESHOLD)) if t.any() else 0.0, float(np.mean(p[~t] >= THRESHOLD)) if (~t).any() else 0.0
+
+
+def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, rows: int = SAMPLE_ROWS, key: str = "doc_id", text: str = "text", label: str = "toxic", grid: list[Constants] = GRID) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Voter hashes (sorted), which of them are strong, and classifier weights: voters, any strong voter, bias."""
+    known = sample(docs, labels, learn, rows, key, text, label)
+    mined, (bad, good) = mine(known)
+    voters = all_voters(mined)
+    if not bad or not good:
+        words = ~np.isin(voters, [pattern_hash(p) for p in PATTERNS])
+        return voters, words, np.concatenate([np.where(words, 1.0, 0.0), [3.0, -2.5]])
+    c, *_ = choose(known, grid)
+    f = fired(known, voters)
+    q, on_bad, on_good, _ = label_model(f.row, f.voter, len(f.toxic), len(voters), f.toxic, c)
+    return voters, *classifier(on_bad, on_good, f, q, c)
 
 
 def _with_any(row: np.ndarray, voter: np.ndarray, strong: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
