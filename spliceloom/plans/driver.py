@@ -23,7 +23,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 GENOME = mock.pseudo_genome()
 FORMS = [f["SpliceForm"] for f in isoforms.forms()][2:] + ["D1_D1-unspliced", "D1_gag-AUG", "noD1_gag-AUG_unspliced", "noD1_no-acceptor", "D1_unknown_A3", "noD1_A2_D3_A4a", "noD1_A3", "D1prime_A5a", "D1prime_A1_D2_A3", "D1_A1_D2_D2-unspliced_D2b_A7"]
-DONORS = ["None", "", annotate.GC_NEAR, annotate.GC_FAR, *annotate.D1_PRIMER, annotate.GT_GAG, annotate.GT_GAG_DOWN, "ACGTACGTACGTACG"]
+#: Bases before an acceptor that tell D1 types apart, and some that do not.
+DONORS = ["None", "", "GCTGAAGCGCGCACG", "CGCGCACGGCAAGAG", "GCGCGCACGGCAAGA", "CGGCAAGAGGCGAGA", "CAGGACTCGGCTTGA", "GAAGGAGAGAGATGG", "GGTGCGAGAGCGTCG", "ACGTACGTACGTACG"]
 PATTERN = "ACGTTGCA"
 
 
@@ -117,13 +118,19 @@ def reverse_complement(spark, sf_dir):
     return reads(spark, sf_dir).select("read_ix", seq.reverse_complement(F.col("r1")).alias("rc"))
 
 
-@query("homopolymer_filter", f"SELECT read_ix FROM ({_duck(READS)}) q WHERE NOT regexp_matches(r1, '{seq.homopolymer_pattern()}') AND NOT regexp_matches(r2, '{seq.homopolymer_pattern()}')")
+#: Runs of 11 or more equal bases that touch neither end.
+_RUNS = "[^A]A{11,}[^A]|[^C]C{11,}[^C]|[^G]G{11,}[^G]|[^T]T{11,}[^T]|[^N]N{11,}[^N]"
+
+
+@query("homopolymer_filter", f"SELECT read_ix FROM ({_duck(READS)}) q WHERE NOT regexp_matches(r1, '{_RUNS}') AND NOT regexp_matches(r2, '{_RUNS}')")
 def homopolymer_filter(spark, sf_dir):
     return reads(spark, sf_dir).where(~seq.has_homopolymer(F.col("r1")) & ~seq.has_homopolymer(F.col("r2"))).select("read_ix")
 
 
 _HEADER = "RYNWS"
-_HEADER_SQL = " + ".join(f"CASE WHEN substr(r1, {i + 1}, 1) IN ({', '.join(repr(b) for b, m in seq.IUPAC.items() if m & seq.IUPAC[c])}) THEN 0 ELSE 1 END" for i, c in enumerate(_HEADER))
+#: The codes whose bases overlap with those of R, Y, N, W and S.
+_OVERLAPS = ["AGRSWKMBDHVN", "CTUYSWKMBDHVN", "ACGTURYSWKMBDHVN", "ATURYWKMBDHVN", "CGRYSKMBDHVN"]
+_HEADER_SQL = " + ".join(f"CASE WHEN contains('{codes}', substr(r1, {i + 1}, 1)) THEN 0 ELSE 1 END" for i, codes in enumerate(_OVERLAPS))
 
 
 @query("header_iupac", f"SELECT read_ix FROM ({_duck(READS)}) q WHERE {_HEADER_SQL} <= 1")
@@ -396,14 +403,15 @@ def _lookup_sql() -> str:
     return f"(SELECT * FROM (VALUES {rows}) v({names}))"
 
 
-_LEVELS = ", ".join(f"'{x}'" for x in annotate.FINAL_LEVELS)
-_PRIMERS = ", ".join(f"'{x}'" for x in annotate.D1_PRIMER)
-_MAIN = "CASE WHEN spliced = 'unspliced' THEN 'unspliced' " + " ".join(f"WHEN contains(splice_category_2, 'D1_{a}') THEN '{a}'" for a in annotate.MAIN_ACCEPTORS) + " END"
-_REVISED = f"""CASE WHEN spliced <> 'spliced' THEN NULL WHEN alternative_d1_used_common = '{annotate.GC_NEAR}' THEN '{annotate.D1_LEVELS[0]}'
-  WHEN alternative_d1_used_common = '{annotate.GC_FAR}' THEN '{annotate.D1_LEVELS[1]}' WHEN D1_type = 'D1prime' THEN 'D1prime'
-  WHEN alternative_d1_used_common IN ({_PRIMERS}) THEN 'D1prime' WHEN alternative_d1_used_common = '{annotate.GT_GAG}' THEN '{annotate.D1_LEVELS[4]}'
-  WHEN alternative_d1_used_common = '{annotate.GT_GAG_DOWN}' THEN '{annotate.D1_LEVELS[5]}' WHEN alternative_d1_used_common <> 'None' THEN 'Others'
+#: Final destinations, acceptors after D1, and the names of D1 types by the bases before an acceptor.
+_LEVELS = "'A3', 'A4', 'A5', 'A7', 'vif', 'vpr', 'Incomplete'"
+_MAIN = "CASE WHEN spliced = 'unspliced' THEN 'unspliced' " + " ".join(f"WHEN contains(splice_category_2, 'D1_{a}') THEN '{a}'" for a in "A1 A2 A3 A4 A5 A7".split()) + " END"
+_REVISED = """CASE WHEN spliced <> 'spliced' THEN NULL WHEN alternative_d1_used_common = 'GCTGAAGCGCGCACG' THEN 'GC 3 base downstream of DIS'
+  WHEN alternative_d1_used_common = 'CGCGCACGGCAAGAG' THEN 'GC 10 base downstream of DIS' WHEN D1_type = 'D1prime' THEN 'D1prime'
+  WHEN alternative_d1_used_common IN ('GCGCGCACGGCAAGA', 'CGGCAAGAGGCGAGA', 'CAGGACTCGGCTTGA') THEN 'D1prime' WHEN alternative_d1_used_common = 'GAAGGAGAGAGATGG' THEN 'GU downstream gag AUG'
+  WHEN alternative_d1_used_common = 'GGTGCGAGAGCGTCG' THEN 'GU further downstream in gag' WHEN alternative_d1_used_common <> 'None' THEN 'Others'
   WHEN D1_type <> 'Alternative D1' THEN D1_type END"""
+_D1_TYPES = ["GC 3 base downstream of DIS", "GC 10 base downstream of DIS", "D1", "D1prime", "GU downstream gag AUG", "GU further downstream in gag", "Others"]
 _ANNOTATED = f"""(SELECT id, umi_family, splice_category, size_class, final_category, alternative_d1_used_common, spliced, splice_category_2, main_acceptor_after_d1, D1_type_revised,
   CASE WHEN D1_type_revised = 'D1prime' THEN 'D1prime' WHEN D1_type_revised IS NOT NULL THEN D1_type END AS D1_type,
   step1, step2, step3, step4, step5, step6, step7, step8, CASE WHEN final_des IN ({_LEVELS}) THEN final_des END AS final_des, splice_cat2, "desc"
@@ -424,9 +432,11 @@ def isoform_left_join(spark, sf_dir):
     return samples(spark, sf_dir).select("id", "umi_family", "splice_category", "size_class", "splice_category_2", "splice_cat2", "final_des", "desc", "step8")
 
 
-@query("isoform_lookup", f'SELECT "SpliceForm", "desc", know_pattern, check_size_class, size_class_known AS size_class, step1, step2, step3, step4, step5, step6, step7, step8c, step8, final_des, splice_cat2 FROM {_lookup_sql()} f')
+@query("isoform_lookup", f'SELECT "SpliceForm", "desc", know_pattern, check_size_class, size_class_known AS size_class, step1, step2, step3, step4, step5, step6, step7, step8c, step8, final_des, splice_cat2, coalesce(n, 0) AS families FROM {_lookup_sql()} f LEFT JOIN (SELECT splice_category_2 AS c, count(*) AS n FROM {_SUMMARY} s GROUP BY c) k ON f."SpliceForm" = k.c')
 def isoform_lookup(spark, sf_dir):
-    return isoforms.lookup(spark)
+    """The lookup with the number of families of each form in three samples."""
+    n = report.counts(summary.summarize(calls(spark, sf_dir), by=("id",)), "splice_category_2").toDF("SpliceForm", "families")
+    return isoforms.lookup(spark).join(n, "SpliceForm", "left").na.fill({"families": 0})
 
 
 def _share(by: str, where: str = "", within: str = "") -> str:
@@ -500,13 +510,13 @@ def pivot_isoform_by_size(spark, sf_dir):
     return report.pivot(report.spliced_only(samples(spark, sf_dir)), "splice_cat2", "size_class", _SIZES)
 
 
-@query("pivot_isoform_by_d1", _ann("splice_cat2, " + ", ".join(f"count(*) FILTER (D1_type_revised = '{s}') AS \"{s}\"" for s in annotate.D1_LEVELS) + ', count(*) FILTER (D1_type_revised IS NULL) AS "NA"', f"{_SPLICED} GROUP BY splice_cat2"))
+@query("pivot_isoform_by_d1", _ann("splice_cat2, " + ", ".join(f"count(*) FILTER (D1_type_revised = '{s}') AS \"{s}\"" for s in _D1_TYPES) + ', count(*) FILTER (D1_type_revised IS NULL) AS "NA"', f"{_SPLICED} GROUP BY splice_cat2"))
 def pivot_isoform_by_d1(spark, sf_dir):
     return report.pivot(report.spliced_only(samples(spark, sf_dir)), "splice_cat2", "D1_type_revised", list(annotate.D1_LEVELS))
 
 
-_STEP_LIST = ", ".join(report.STEPS)
-_CASCADE = f"""(SELECT splice_cat2, splice_category_count, unnest([{', '.join(repr(s) for s in report.STEPS)}]) AS "Steps", unnest([{_STEP_LIST}]) AS value
+_STEP_LIST = "step1, step2, step3, step4, step5, step6, step7, step8"
+_CASCADE = f"""(SELECT splice_cat2, splice_category_count, unnest([{', '.join(repr(s) for s in _STEP_LIST.split(', '))}]) AS "Steps", unnest([{_STEP_LIST}]) AS value
   FROM (SELECT DISTINCT splice_cat2, {_STEP_LIST}, count(*) OVER (PARTITION BY splice_cat2) AS splice_category_count FROM {_ANNOTATED} z WHERE splice_cat2 NOT IN ('Incomplete', 'Unspliced')) d)"""
 
 
@@ -642,9 +652,12 @@ _FEATURES = """
 """
 
 
-@query("genome_features", f'SELECT r AS "row", n AS name, s AS start, e AS "end" FROM (VALUES {_FEATURES}) v(r, n, s, e)')
+@query("genome_features", f'''SELECT r AS "row", v.n AS name, v.s AS start, e AS "end", count(p) AS places FROM (VALUES {_FEATURES}) v(r, n, s, e) LEFT JOIN (SELECT o_custkey * 37 % 9719 + 1 AS p FROM orders) o ON p BETWEEN v.s AND e GROUP BY ALL''')
 def genome_features(spark, sf_dir):
-    return report.genome_features(spark)
+    """Features of the map, and how many places derived from the orders lie in each: counts by place, then features by place."""
+    places = load(spark, sf_dir, "orders").groupBy((F.col("o_custkey") * 37 % 9719 + 1).alias("p")).agg(F.count("*").alias("n"))
+    features = report.genome_features(spark).withColumn("p", F.explode(F.sequence("start", "end")))  # at most the genome's length of each
+    return features.join(places, "p", "left").groupBy("row", "name", "start", "end").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("places"))
 
 
 # ---------------------------------------------------------------- whole plans, exact search
@@ -832,4 +845,4 @@ def family_summary(spark, sf_dir):
 
 @query("simulated_umis")
 def simulated_umis(spark, sf_dir):
-    return mock.simulated_umis(spark, load(spark, sf_dir, "orders").count(), 14, 100)
+    return mock.simulated_umis(load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id")), 14, 100)

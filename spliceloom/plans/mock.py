@@ -93,10 +93,10 @@ def allotted(spark: SparkSession, ratios: dict[str, float], total: int) -> DataF
     return spark.range(total).select(F.col("id").alias("read_ix"), pick.alias("form"))
 
 
-def simulated_umis(spark: SparkSession, reads_: int, length: int, targets: int, seed: int = 10, error_rate: float = 0.005) -> DataFrame:
-    """(umi, n): reads of ``targets`` UMIs, the middle ones most often, with errors."""
+def simulated_umis(rows: DataFrame, length: int, targets: int, seed: int = 10, error_rate: float = 0.005) -> DataFrame:
+    """(umi, n): one read of ``targets`` UMIs for each id, the middle ones most often, with errors."""
     check_space(targets, length)
     normal = F.sqrt(-2 * F.log(1 - unit(F.col("id"), seed=seed))) * F.cos(6.283185307179586 * unit(F.col("id"), seed=seed + 1))
     index = F.greatest(F.lit(0), F.least(F.lit(targets - 1), F.round(normal * (targets / 6) + targets / 2).cast("int")))
     umi = mutated(random_bases(length, index, seed=seed), error_rate, F.col("id"), seed=seed + 2)
-    return spark.range(reads_).select(umi.alias("umi")).groupBy("umi").agg(F.count("*").alias("n"))
+    return rows.select(umi.alias("umi")).groupBy("umi").agg(F.count("*").alias("n"))

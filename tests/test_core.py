@@ -285,9 +285,9 @@ def test_packed_mismatches(spark):
 
 
 def test_simulation(spark):
-    assert mock.simulated_umis(spark, 10_000, 14, 100).agg(F.sum("n")).first()[0] == 10_000
+    assert mock.simulated_umis(spark.range(10_000), 14, 100).agg(F.sum("n")).first()[0] == 10_000
     with pytest.raises(ValueError):
-        mock.simulated_umis(spark, 10, 2, 17)
+        mock.simulated_umis(spark.range(10), 2, 17)
     assert Assay("k-mer").in_file_names == "kmer"
 
 
