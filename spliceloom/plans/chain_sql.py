@@ -1,4 +1,4 @@
-"""The splice chain at distance 0 as SQL, for DuckDB: a twin of the engine's reader, written from the stage table.
+"""The splice chain at distance 0 or 1 as SQL, for DuckDB: a twin of the engine's reader, written from the stage table.
 
 A stage looks for its patterns in their order; the first that occurs is kept and
 the sequence cut to begin with it.  The recursion carries the stage, the chain and
@@ -59,8 +59,28 @@ def steps() -> list[tuple[str, int, str, str]]:
     return [(stage, i, a, pattern(stage, a)) for stage, names in STAGES.items() for i, a in enumerate(names.split())]
 
 
-def _first(candidates: list[tuple[str, str]]) -> str:
-    """The first of (name, pattern) that occurs in s, as a struct, or NULL."""
+def one_edit(s: str, p: str) -> str:
+    """Where the best match of an expression p within one edit begins in s, from 1, or NULL.
+
+    Least distance, then first end; of equal pieces there the one as long as p, then
+    the longer.  Only ends near an unchanged half of p are looked at.
+    """
+    m = f"length({p})"
+    a, b = f"left({p}, {m} // 2)", f"substr({p}, {m} // 2 + 1)"
+    around = f"substr({s}, CAST(greatest(z - {m} - 1, 0) + 1 AS BIGINT), {m} + 2)"
+    score = lambda n, rank: f"CASE WHEN z >= {n} THEN levenshtein(substr({s}, CAST(z - {n} + 1 AS BIGINT), CAST({n} AS BIGINT)), {p}) * 1000000 + z * 10 + {rank} END"
+    lo = f"least(nullif(strpos({s}, {a}), 0), nullif(strpos({s}, {b}), 0))"
+    hi = f"length({s}) - least(nullif(strpos(reverse({s}), reverse({a})), 0), nullif(strpos(reverse({s}), reverse({b})), 0)) + 1"  # where the last half ends
+    ends = f"list_filter(range({lo}, least(length({s}), {hi} + {m}) + 1), lambda z: contains({around}, {a}) OR contains({around}, {b}))"
+    best = f"list_min(list_transform({ends}, lambda z: least({score(m, 0)}, {score(f'({m} + 1)', 1)}, {score(f'({m} - 1)', 2)})))"
+    begin = f"list_transform([{best}], lambda y: CASE WHEN y < 2000000 THEN y % 1000000 // 10 - (CASE y % 10 WHEN 0 THEN {m} WHEN 1 THEN {m} + 1 ELSE {m} - 1 END) + 1 END)[1]"
+    return f"CASE WHEN contains({s}, {p}) THEN strpos({s}, {p}) WHEN contains({s}, {a}) OR contains({s}, {b}) THEN {begin} END"
+
+
+def _first(candidates: list[tuple[str, str]], edits: int) -> str:
+    """The first of (name, pattern) that occurs in s, as a struct of name and pattern, or place if edits are allowed; or NULL."""
+    if edits:
+        return "list_filter([" + ", ".join(f"{{'a': '{a}', 'p': {one_edit('s', repr(p))}}}" for a, p in candidates) + "], lambda x: x.p IS NOT NULL)[1]"
     return "list_filter([" + ", ".join(f"{{'a': '{a}', 'p': '{p}'}}" for a, p in candidates) + "], lambda x: contains(s, x.p))[1]"
 
 
@@ -75,11 +95,11 @@ def overlapped(reads: str) -> str:
 _RUNS = "|".join(f"[^{b}]{b}{{11,}}[^{b}]" for b in "ACGTN")
 
 
-def chains(searched: str) -> str:
+def chains(searched: str, edits: int = 0) -> str:
     """A WITH RECURSIVE list that ends in ``chain``: read_ix, chain (list), tail, alt, beyond."""
     d1 = len(SITES["D1"])
-    of = lambda stage: _first([(a, pattern(stage, a)) for a in STAGES[stage].split()])
-    site = lambda name: _first([(name, SITES[name])])
+    of = lambda stage: _first([(a, pattern(stage, a)) for a in STAGES[stage].split()], edits)
+    site = lambda name: _first([(name, SITES[name])], edits)
     looked = {1: site("D1"), 2: of("D1"), 3: site("D2"), 4: of("D2"), 5: site("D3"), 6: site("D2b"), 7: of("D3"), 8: of("alternative D1"), 9: of("D1prime"), 10: of("D2b")}
     hit = "CASE stage " + " ".join(f"WHEN {k} THEN {x}" for k, x in looked.items()) + " END"
     return f"""m AS (
@@ -95,17 +115,18 @@ def chains(searched: str) -> str:
          ELSE list_append(chain, hit.a) END AS chain,
     CASE WHEN stage = 8 AND hit IS NOT NULL THEN right(left(s, place - 1), 15) ELSE alt END AS alt,
     CASE WHEN hit IS NULL AND stage = 2 THEN substr(s, {d1 + 1}, 15) WHEN hit IS NULL AND stage = 9 AND length(s) > {d1 + 4} THEN substr(s, {d1 + 5}, 15) ELSE beyond END AS beyond
-  FROM (SELECT *, strpos(s, hit.p) AS place FROM (SELECT *, {hit} AS hit FROM m WHERE stage > 0) h) w
+  FROM (SELECT *, {'hit.p' if edits else 'strpos(s, hit.p)'} AS place FROM (SELECT *, {hit} AS hit FROM m WHERE stage > 0) h) w
 ), chain AS (SELECT read_ix, chain, s AS tail, alt, beyond FROM m WHERE stage = 0)"""
 
 
-def size_class(chain: str, tail: str, genome: str, assay: str = "'random-reverse'") -> str:
+def size_class(chain: str, tail: str, genome: str, assay: str = "'random-reverse'", edits: int = 0) -> str:
     """Size class of a chain (a list) and its tail; places in the genome count from 0."""
     first = f"list_filter({chain}, lambda e: e IN ('A7', 'unknown', 'no-acceptor', 'D1-unspliced', 'gag-AUG'))[1]"
     ends = f"range(length({tail}) - 15, 9, -20)"
     piece = f"substr({tail}, CAST(greatest(e - 20, 0) + 1 AS BIGINT), CAST(least(e, 20) AS BIGINT))"
-    places = f"list_filter(list_transform(list_slice({ends}, 1, 10), lambda e: strpos({genome}, {piece}) - 1), lambda p: p >= 0)"
-    one = f"strpos({genome}, left(right({tail}, 30), 15)) - 1"
+    at = lambda p: f"coalesce({one_edit(genome, p)}, 0)" if edits else f"strpos({genome}, {p})"
+    places = f"list_filter(list_transform(list_slice({ends}, 1, 10), lambda e: {at(piece)} - 1), lambda p: p >= 0)"
+    one = f"{at(f'left(right({tail}, 30), 15)')} - 1"
     some = lambda test: f"len(list_filter({places}, lambda p: {test})) > 0"
     return f"""CASE WHEN {first} = 'A7' THEN '1.8kb' WHEN {first} IN ('unknown', 'no-acceptor') THEN 'Unknown' WHEN {first} IS NOT NULL THEN 'Unspliced'
     WHEN {assay} <> 'random-reverse' THEN CASE WHEN length({tail}) < 30 OR {one} < 0 THEN 'Unknown' WHEN {one} > {A7} THEN '1.8kb' WHEN {assay} = 'k-mer' OR {one} < {D4} THEN '4kb' ELSE 'Unknown' END

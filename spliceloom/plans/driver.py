@@ -713,6 +713,28 @@ def splice_events_native(spark, sf_dir):
     return rows.select("read_ix", "sequence_id", "umi", "joined_sequence", "splice_category", "size_class", "final_category", "alternative_d1_used", "unknown_sequence_after_d1", "post_splice_sequence")
 
 
+#: The same reads with a base of the first read changed, dropped or doubled in three of four, and one of the second in every fifth.
+EDITED_SPARK = f"""
+SELECT read_ix, id, CASE read_ix % 4 WHEN 0 THEN r1 WHEN 1 THEN concat(substr(r1, 1, spot), 'G', substr(r1, spot + 2, 400)) WHEN 2 THEN concat(substr(r1, 1, spot), substr(r1, spot + 2, 400)) ELSE concat(substr(r1, 1, spot), 'T', substr(r1, spot + 1, 400)) END AS r1,
+  CASE WHEN read_ix % 5 = 0 THEN concat(substr(r2, 1, 60), substr(r2, 62, 400)) ELSE r2 END AS r2
+FROM (SELECT x.*, cast(24 + read_ix * 7 % 75 as int) AS spot FROM ({EXACT_SPARK}) x) y
+"""
+EDITED = EDITED_SPARK.replace("element_at(array(", "list_extract(list_value(").replace("as string", "as varchar")
+_EDITED_EVENTS = f"""searched AS MATERIALIZED (SELECT * FROM {chain_sql.overlapped(EDITED)} x), {chain_sql.chains('searched', 1)},
+ev AS MATERIALIZED (SELECT read_ix, id AS sequence_id, umi, joined AS joined_sequence, splice_category, size_class, concat(splice_category, '_', size_class) AS final_category, alt AS alternative_d1_used, beyond AS unknown_sequence_after_d1, tail AS post_splice_sequence
+  FROM (SELECT c.read_ix, id, umi, joined, array_to_string(chain, '_') AS splice_category, {chain_sql.size_class('chain', 'tail', 'g', edits=1)} AS size_class, alt, beyond, tail FROM chain c JOIN searched t ON c.read_ix = t.read_ix, {_GENOME_SQL} g) y)"""
+
+
+def edited_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chain.events(_view(spark, sf_dir, "orders", EDITED_SPARK), build_config(distance=1, genome=GENOME))
+
+
+@query("splice_events_one_edit", f"WITH RECURSIVE {_EDITED_EVENTS} SELECT * FROM ev")
+def splice_events_one_edit(spark, sf_dir):
+    """Chain, tail, contexts, size class and joined read of every pair at the default distance of one edit."""
+    return edited_events(spark, sf_dir).select("read_ix", "sequence_id", "umi", "joined_sequence", "splice_category", "size_class", "final_category", "alternative_d1_used", "unknown_sequence_after_d1", "post_splice_sequence")
+
+
 @query("joined_records_exact", f"SELECT concat('>', id, '-joined ForwardNs: ', substr(r1, 1, 4), ', UMI: ', j.umi, chr(10), joined) AS record FROM (SELECT j.*, e.r1 FROM {chain_sql.overlapped(EXACT)} j JOIN ({EXACT}) e ON j.read_ix = e.read_ix) j WHERE joined IS NOT NULL")
 def joined_records_exact(spark, sf_dir):
     return chain.joined_record(exact_events(spark, sf_dir))
@@ -726,7 +748,8 @@ def joined_record_file(spark, sf_dir):
     return spark.read.text(at, lineSep=">").where("value <> ''").select(F.concat(F.lit(">"), F.regexp_replace("value", "\n$", "")).alias("record"))
 
 
-_EXACT_FAMILIES = f"""{_EXACT_EVENTS},
+def _families_of(events: str) -> str:
+    return f"""{events},
 cnt AS MATERIALIZED (SELECT final_category, umi, count(*) AS n FROM ev GROUP BY ALL),
 dec AS MATERIALIZED (SELECT final_category, u, reads, CAST(u AS DOUBLE) / reads AS share, risk, most, CASE WHEN CAST(u AS DOUBLE) / reads <= 0.1 OR risk >= 0.05 THEN 'max-model' ELSE 'cluster-model' END AS model
   FROM (SELECT final_category, count(*) AS u, CAST(sum(n) AS BIGINT) AS reads, max(n) AS most, CASE WHEN count(*) <= 1 THEN 0.0 ELSE (count(*) - 1) * {_RATE} END AS risk FROM cnt GROUP BY final_category) d),
@@ -745,6 +768,9 @@ fam AS (
 ),
 per AS MATERIALIZED (SELECT ev.*, f.umi_family, f.umi_family_size, CAST(f.umi_family_size AS DOUBLE) / d.reads AS umi_family_fraction, d.model AS umi_model_used, d.u AS umi_unique_count, d.share AS umi_unique_fraction, d.risk AS umi_neighbor_risk
   FROM ev JOIN dec d ON ev.final_category = d.final_category LEFT JOIN fam f ON ev.final_category = f.final_category AND ev.umi = f.umi)"""
+
+
+_EXACT_FAMILIES, _EDITED_FAMILIES = _families_of(_EXACT_EVENTS), _families_of(_EDITED_EVENTS)
 _FAMILY_COLUMNS = "sequence_id, umi, umi_family, umi_family_size, umi_family_fraction, umi_model_used, umi_unique_count, umi_unique_fraction, umi_neighbor_risk, splice_category, size_class, final_category, alternative_d1_used, unknown_sequence_after_d1"
 
 
@@ -762,6 +788,17 @@ def family_summary_exact(spark, sf_dir):
     return summary.summarize(per_read_families_exact(spark, sf_dir))
 
 
+@query("per_read_families_one_edit", f"WITH RECURSIVE {_EDITED_FAMILIES} SELECT read_ix, {_FAMILY_COLUMNS} FROM per")
+def per_read_families_one_edit(spark, sf_dir):
+    """Reads to events to families, automatic model, at the default distance."""
+    return umi.families(cut(edited_events(spark, sf_dir)), "auto-model").select("read_ix", *_FAMILY_COLUMNS.split(", "))
+
+
+@query("family_summary_one_edit", f"WITH RECURSIVE {_EDITED_FAMILIES} SELECT {_SUMMARY_COLUMNS} FROM {_summarized(_EXACT_KEPT, False)} s")
+def family_summary_one_edit(spark, sf_dir):
+    return summary.summarize(per_read_families_one_edit(spark, sf_dir))
+
+
 # ---------------------------------------------------------------- files, written and read again
 
 
