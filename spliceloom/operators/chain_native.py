@@ -5,6 +5,10 @@ is next, what is left of the sequence, the chain so far and the two contexts.  A
 stage looks for its patterns in their order, takes the first that occurs and cuts
 the sequence to begin with it.  Acceptors without D1 are looked for with one edit
 even here, as the reader does.
+
+It serves clusters without Python workers: give ``splice_chain`` of this module to
+``chain.events``.  Where there are workers, the UDF is several times as fast, as it
+searches a batch at a time.
 """
 
 from __future__ import annotations
@@ -116,10 +120,16 @@ def overlap(a: Column, b: Column, least: int = 10, rate: float = 0.02) -> Column
         return F.array_distinct(F.flatten(F.transform(hits, of)))
 
     def holds(o: Column) -> Column:
+        # more edits than mismatches allowed: no need to count these
+        close = F.call_function("levenshtein", F.right(a, o), F.left(b, o), F.floor(o * rate).cast("int")) >= 0
         wrong = F.size(F.filter(F.sequence(F.lit(1), o), lambda i: F.substr(a, la - o + i, F.lit(1)) != F.substr(b, i, F.lit(1))))
-        return (o >= least) & (o <= n) & (wrong <= o * rate)
+        return close & (wrong <= o * rate)
+
+    def largest(some: Column) -> Column:
+        fitting = F.sort_array(F.filter(some, lambda o: (o >= least) & (o <= n)), asc=False)
+        return F.aggregate(fitting, F.lit(None).cast("int"), lambda best, o: F.when(best.isNotNull(), best).when(holds(o), o))
 
-    found = let(words, lambda w: let(pieces, lambda p: F.array_max(F.filter(sizes(w, p), holds))))
+    found = let(words, lambda w: let(pieces, lambda p: largest(sizes(w, p))))
     return F.when(n >= max(least, PIECE), found)
 
 

@@ -11,13 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import Assay, build_config
+from ..config import Assay, RunConfig, build_config
 from ..functions import seq, stats
 from ..functions.lineage import cut, shared_folder
 from ..operators import annotate, association, chain, chain_native, isoforms, report, summary, tally, umi
 from ..sources import reads as read_source
 from ..sources import tables, writer
-from . import chain_sql, mock
+from . import chain_sql, mock, pipeline
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -849,6 +849,34 @@ def summary_files(spark, sf_dir):
     return tables.read_samples(spark, f"{at}/all").join(F.broadcast(features), "id").select("id", "reference_strain", "distance", "assay", *summary.COLUMNS)
 
 
+@query("summary_csv", f"SELECT {_SUMMARY_COLUMNS} FROM {_summarized(_KEPT, False)} s")
+def summary_csv(spark, sf_dir):
+    """The summary as one file and read back."""
+    at = f"{shared_folder(spark)}/{RunConfig().stem}_summary.csv"
+    tables.write_summary(summary.summarize(calls(spark, sf_dir)), at, single=True)
+    return tables.read_summary(spark, at).select(*_SUMMARY_COLUMNS.split(", "))
+
+
+@query("run_params", "SELECT o_orderstatus AS id, 'output_strain_nl43_distance_' || (CASE o_orderstatus WHEN 'F' THEN '0' WHEN 'O' THEN '1' ELSE '2' END) || '_assay_random-reverse' AS stem, count(*) AS families FROM orders GROUP BY o_orderstatus")
+def run_params(spark, sf_dir):
+    """Settings of a run for each order status, written as JSON under the run's name and read back."""
+    at = shared_folder(spark)
+    for status, n in load(spark, sf_dir, "orders").groupBy("o_orderstatus").count().collect():  # three statuses
+        stem = RunConfig(distance={"F": 0, "O": 1}.get(status, 2)).stem
+        tables.write_params(spark, f"{at}/{status}.json", id=status, stem=stem, families=n)
+    return spark.read.json(f"{at}/*.json", multiLine=True, schema="id string, stem string, families bigint")
+
+
+@query("frame_order", f"SELECT id, size_class, n, row_number() OVER (ORDER BY id, n DESC, size_class) AS place FROM (SELECT id, size_class, count(*) AS n FROM {_ANNOTATED} z {_SPLICED} GROUP BY ALL) c")
+def frame_order(spark, sf_dir):
+    """A frame as a page shows it, written as one sorted file: the places of its rows in the file."""
+    frame = pipeline.ordered(report.counts(report.spliced_only(samples(spark, sf_dir)), "id", "size_class"))
+    at = f"{shared_folder(spark)}/frame.csv"
+    tables._write(frame, at, True)
+    rows = spark.read.csv(at, header=True, schema="id string, size_class string, n bigint")  # one small file is one partition
+    return rows.withColumn("place", F.monotonically_increasing_id() + 1)
+
+
 # ---------------------------------------------------------------- whole plans, checked by tests instead of SQL
 
 

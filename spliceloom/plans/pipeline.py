@@ -14,10 +14,10 @@ from dataclasses import asdict
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import RunConfig, SpliceConfig, build_config
+from ..config import RunConfig, build_config
 from ..functions.lineage import cut, let_go
 from ..functions.stats import SANE_MAXIMUM
-from ..operators import annotate, association, chain, chain_native, isoforms, report, summary, tally, umi
+from ..operators import annotate, association, chain, isoforms, report, summary, tally, umi
 from ..operators.tally import Counted
 from ..sources import files, tables
 from ..sources import reads as read_source
@@ -41,12 +41,7 @@ def timed(stage: str):
 def call_families(reads: DataFrame, config: RunConfig) -> DataFrame:
     """Per-read events with families; the events are stored once on the way."""
     splice = build_config(config.strain, config.assay, config.distance, config.genome)
-    return _families(cut(read_chains(reads, splice, config.header)), config)
-
-
-def read_chains(reads: DataFrame, splice: SpliceConfig, header: str | None) -> DataFrame:
-    """Events of reads; exact searches need no Python worker."""
-    return chain.events(reads, splice, header, chain_native.splice_chain(splice) if splice.distance == 0 else None)
+    return _families(cut(chain.events(reads, splice, config.header)), config)
 
 
 def _families(events: DataFrame, config: RunConfig) -> DataFrame:
@@ -192,7 +187,7 @@ def run(spark: SparkSession, config: RunConfig, partitions: int | None = None, s
         seen = Observation("reads")
         reads = reads.observe(seen, *chain.reject_counts(config.header, config.distance))
     with timed("events"):
-        events = cut(read_chains(reads, splice, config.header))
+        events = cut(chain.events(reads, splice, config.header))
     left_out = {k: v for k, v in seen.get.items()}
     with timed("families"):
         rows = cut(_families(events, config))  # for the three tables below

@@ -75,6 +75,24 @@ def delete(spark: SparkSession, path: str) -> None:
     system.delete(p, True)
 
 
+def put_together(spark: SparkSession, head: str, sources: list[str], target: str) -> None:
+    """A text and the bytes of files, one after another, in place of what stands at the target."""
+    there, p = _at(spark, f"{target}.new")
+    out = there.create(p, True)
+    try:
+        out.write(bytearray(head.encode()))
+        for source in sources:
+            system_, q = _at(spark, source)
+            part = system_.open(q)
+            try:
+                spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, 1 << 20, False)
+            finally:
+                part.close()
+    finally:
+        out.close()
+    move(spark, f"{target}.new", target)
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Renames a file over what stands at the target."""
     delete(spark, target)

@@ -34,7 +34,7 @@ def read_rows(df: DataFrame) -> DataFrame:
 
 
 def write_reads(df: DataFrame, path: str, single: bool = False) -> None:
-    """Per-read TSV: a folder of parts, or one file (by one task, for small results)."""
+    """Per-read TSV: a folder of parts, or one file."""
     _write(read_rows(df), path, single, sep="\t", emptyValue="")
 
 
@@ -74,9 +74,12 @@ def _write(df: DataFrame, path: str, single: bool, **options: str) -> None:
     if not single:
         df.write.mode("overwrite").csv(path, header=True, **options)
         return
+    # written by all tasks, in order, and put together under one header
     spark, parts = df.sparkSession, f"{path}.parts"
-    df.coalesce(1).write.mode("overwrite").csv(parts, header=True, **options)
-    files.move(spark, next(at for name, at, _ in files.listed(spark, parts) if name.startswith("part-")), path)
+    df.write.mode("overwrite").csv(parts, header=False, **options)
+    head = io.StringIO()
+    csv.writer(head, delimiter=options.get("sep", ","), lineterminator="\n").writerow(df.columns)
+    files.put_together(spark, head.getvalue(), [at for name, at, _ in files.listed(spark, parts) if name.startswith("part-")], path)
     files.delete(spark, parts)
 
 
