@@ -49,7 +49,7 @@ STEPS = 2000
 #: Guards: characters and words below which a histogram is not judged.
 MIN_CLASS_CHARS, MIN_COMMON_WORDS = 200, 50
 #: Divergences fail that exceed these by more than chance; characters come in runs, of which so many count as one.
-CLASS_LIMIT, COMMON_LIMIT, RUN = 0.035, 0.05, 10
+CLASS_LIMIT, COMMON_LIMIT, RUN = 0.035, 0.05, 12
 #: Languages whose references are broadcast at most.
 MOST_LANGUAGES = 10_000
 
