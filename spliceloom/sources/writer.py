@@ -139,8 +139,9 @@ def write_pairs(df: DataFrame, r1: str, r2: str, parts: int | None = None) -> No
 def write_joined(events: DataFrame, path: str, parts: int | None = None) -> None:
     """Joined reads under their descriptions, in the order of read_ix."""
     head = F.concat("sequence_id", F.lit("-joined ForwardNs: "), "forward_ns", F.lit(", UMI: "), "umi")
-    joined = events.where("joined_sequence is not null").select("read_ix", head.alias("head"), F.col("joined_sequence").alias("sequence"))
+    joined = cut(events.where("joined_sequence is not null").select("read_ix", head.alias("head"), F.col("joined_sequence").alias("sequence")))  # ranges are drawn from the rows before they are sorted
     write_sequences(_sorted(joined, parts), path)
+    let_go(joined)
 
 
 def as_one_file(spark: SparkSession, folder: str, path: str) -> None:
