@@ -147,6 +147,7 @@ class RunConfig:
     assay: Assay = Assay.RANDOM_REVERSE
     out: str = "."
     genome: str = field(default="", repr=False)
+    isoforms: str | None = None
 
     def __post_init__(self) -> None:
         from .functions.seq import is_iupac

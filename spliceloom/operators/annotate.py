@@ -52,13 +52,13 @@ def within(value: Column, levels: tuple[str, ...]) -> Column:
 
 
 def annotate(summary: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
-    """Summary rows with annotations; the lookup of a few dozen rows is broadcast."""
-    known = lookup if lookup is not None else isoforms.lookup(summary.sparkSession)
+    """Summary rows with annotations; the built-in lookup of a few dozen rows is broadcast, another one if Spark finds it small."""
+    known = lookup if lookup is not None else F.broadcast(isoforms.lookup(summary.sparkSession))
     known = known.withColumnRenamed("size_class", "size_class_known")
     rows = summary.withColumn("main_acceptor_after_d1", main_acceptor(F.col("splice_category_2"), F.col("spliced")))
     rows = rows.withColumn("D1_type_revised", d1_type_revised(F.col("spliced"), F.col("D1_type"), F.col("alternative_d1_used_common")))
     rows = rows.withColumn("D1_type", d1_type_rewritten(F.col("D1_type_revised"), F.col("D1_type")))
-    rows = rows.join(F.broadcast(known), rows.splice_category_2 == known.SpliceForm, "left").drop("SpliceForm")
+    rows = rows.join(known, rows.splice_category_2 == known.SpliceForm, "left").drop("SpliceForm")
     return rows.withColumn("final_des", within(F.col("final_des"), FINAL_LEVELS)).withColumn("D1_type_revised", within(F.col("D1_type_revised"), D1_LEVELS))
 
 

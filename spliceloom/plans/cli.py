@@ -27,10 +27,12 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("-a", "--assay", type=Assay, choices=list(Assay), default=Assay.RANDOM_REVERSE)
     r.add_argument("-o", "--output", help="folder; that of the first file if not given")
     r.add_argument("-g", "--genome", help="FASTA file of the reference genome; the built-in one if not given")
-    r.add_argument("--single", action="store_true", help="the per-read table as one file, written by one task")
+    r.add_argument("--single", action="store_true", help="the per-read table as one file")
+    r.add_argument("--isoforms", help="CSV file of an isoform lookup in place of the built-in one")
     c = sub.add_parser("compare", help="summaries of several runs")
     c.add_argument("-i", "--input", required=True)
     c.add_argument("-o", "--output", required=True)
+    c.add_argument("--isoforms", help="CSV file of an isoform lookup in place of the built-in one")
     m = sub.add_parser("mock", help="mock read pairs")
     m.add_argument("-n", "--reads", type=int, default=10_000)
     m.add_argument("-g", "--genome", help="FASTA file of the genome that second reads come from; the built-in one if not given")
@@ -41,7 +43,7 @@ def parser() -> argparse.ArgumentParser:
 
 
 def config(a: argparse.Namespace) -> RunConfig:
-    return RunConfig(a.query, a.distance, a.umiFamilyModel, a.umiMinFraction, a.umiAutoNeighborRisk, header=a.headerMatch, r1=a.r1, r2=a.r2, assay=a.assay, out=a.output or a.r1.split(",")[0].rpartition("/")[0] or ".", genome=reads.genome(a.genome))
+    return RunConfig(a.query, a.distance, a.umiFamilyModel, a.umiMinFraction, a.umiAutoNeighborRisk, header=a.headerMatch, r1=a.r1, r2=a.r2, assay=a.assay, out=a.output or a.r1.split(",")[0].rpartition("/")[0] or ".", genome=reads.genome(a.genome), isoforms=a.isoforms)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -51,7 +53,7 @@ def main(argv: list[str] | None = None) -> int:
     if a.what == "run":
         done = pipeline.run(spark, config(a), single=a.single)
     elif a.what == "compare":
-        done = pipeline.compare(spark, a.input, a.output)
+        done = pipeline.compare(spark, a.input, a.output, a.isoforms)
     else:
         files.make_folder(spark, a.output)
         done = {"r1": f"{a.output}/mock_r1.{a.format}", "r2": f"{a.output}/mock_r2.{a.format}"}

@@ -201,9 +201,10 @@ def run(spark: SparkSession, config: RunConfig, partitions: int | None = None, s
     with timed("summary"):
         tables.write_summary(summary.summarize(rows), paths["summary"], single=True)
     with timed("isoform lookup"):
-        tables._write(isoforms.lookup(spark), paths["isoforms"], True)
+        lookup = known_isoforms(spark, config.isoforms)
+        tables._write(isoforms.lookup(spark) if lookup is None else lookup, paths["isoforms"], True)
     with timed("report"):
-        annotated = annotate.annotate(tables.read_summary(spark, paths["summary"])).cache()
+        annotated = annotate.annotate(tables.read_summary(spark, paths["summary"]), lookup).cache()
         frames, tests = report_frames(annotated)
         frames |= {"umi_histogram": umi.histogram(umis), "features": report.genome_features(spark)}
         files.write_text(spark, paths["report"], page(config.stem, frames, out, BARS, tests))
@@ -214,14 +215,24 @@ def run(spark: SparkSession, config: RunConfig, partitions: int | None = None, s
     return paths
 
 
-def compare(spark: SparkSession, folder: str, out: str) -> dict[str, str]:
+def known_isoforms(spark: SparkSession, path: str | None) -> DataFrame | None:
+    """A lookup of the user's own, in which every form has one row; None for the built-in one."""
+    if path is None:
+        return None
+    lookup = tables.read_isoforms(spark, path)
+    if twice := lookup.groupBy("SpliceForm").count().where("count > 1").select("SpliceForm").first():
+        raise ValueError(f"the isoform lookup has {twice[0]} more than once")
+    return lookup
+
+
+def compare(spark: SparkSession, folder: str, out: str, lookup: str | None = None) -> dict[str, str]:
     """Summaries of all runs under a folder to a pooled table and a comparison page."""
     out = out.rstrip("/")
     runs = tables.scan_runs(spark, folder)
     if len({r["assay"] for r in runs}) > 1:
         log.warning("the runs are of different assays: %s", sorted({r["assay"] for r in runs}))
     tables.write_features(spark, runs, out)
-    pooled = annotate.annotate(tables.read_samples(spark, out)).cache()
+    pooled = annotate.annotate(tables.read_samples(spark, out), known_isoforms(spark, lookup)).cache()
     tables._write(pooled, f"{out}/pooled_annotated_data.csv", True, nullValue="NA")
     shown, tests = comparison_frames(pooled)
     frames = {"runs": tables.read_features(spark, f"{out}/run_features.csv")} | shown

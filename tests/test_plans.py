@@ -85,6 +85,19 @@ def test_golden_search_in_the_built_in_genome():
     assert fuzzy.find(reads.genome().encode(), b"TTTTCCTAGGATATGGCTCCATAACTTAGGACAA", 2) == (4913, 4947, 0)
 
 
+def test_own_isoform_lookup(spark, files, tmp_path):
+    mine = isoforms.lookup(spark).withColumn("splice_cat2", F.when(F.col("SpliceForm") == "D1_A3", "my form").otherwise(F.col("splice_cat2")))
+    tables._write(mine, str(tmp_path / "mine.csv"), True, nullValue="NA")
+    args = ["run", "-1", str(files / "a_r1.fasta"), "-2", str(files / "a_r2.fasta"), "-o", str(tmp_path / "r" / "one"), "--isoforms"]
+    done = pipeline.run(spark, cli.config(cli.parser().parse_args([*args, str(tmp_path / "mine.csv")])))
+    assert "my form" in Path(done["report"]).read_text() and "my form" in Path(done["isoforms"]).read_text()
+    pooled = pipeline.compare(spark, str(tmp_path / "r"), str(tmp_path / "all"), str(tmp_path / "mine.csv"))
+    assert "my form" in Path(pooled["pooled"]).read_text()
+    tables._write(mine.unionByName(mine.limit(1)), str(tmp_path / "twice.csv"), True, nullValue="NA")
+    with pytest.raises(ValueError):
+        pipeline.known_isoforms(spark, str(tmp_path / "twice.csv"))
+
+
 def test_mock_files_with_ratios(spark, tmp_path, monkeypatch):
     (tmp_path / "ratios.csv").write_text("SpliceForm,ratio\nD1_A3,0.75\nnoD1,0.25\n")
     assert tables.read_ratios(spark, str(tmp_path / "ratios.csv")) == {"D1_A3": 0.75, "noD1": 0.25}
