@@ -46,7 +46,7 @@ def decisions(umis: DataFrame, model: str, distance: int, risk_limit: float = 0.
 
 
 def hamming_pairs(umis: DataFrame, distance: int, by: tuple[str, ...] = (CATEGORY,)) -> DataFrame:
-    """Pairs (a, b), a < b, of distinct UMIs of a category and length within ``distance`` substitutions."""
+    """Pairs (a, b), a < b, of distinct UMIs of a category and length within ``distance`` substitutions; ``umis`` is read three times."""
     return neighbours.pairs(umis, distance, by)
 
 
@@ -57,6 +57,7 @@ def cluster(umis: DataFrame, distance: int, min_fraction: float, task_umis: int
     earlier parent within ``distance`` has claimed it.  No chaining: only parents
     claim.  Families under ``min_fraction`` of the category's reads are dropped.
     """
+    umis = cut(umis)  # the steps and rounds below read it many times: counted from the reads once
     size = umis.groupBy(CATEGORY).agg(F.count("*").alias("u"))
     tagged = umis.join(size, CATEGORY)
     small, big = tagged.where(F.col("u") <= task_umis).drop("u"), tagged.where(F.col("u") > task_umis).drop("u")
