@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..config import FORWARD_N, UMI_BASES
+from .columns import let
 
 # ---- fixed values: IUPAC codes as sets of bases (A=1, C=2, G=4, T=8), and complements
 IUPAC = {"A": 1, "C": 2, "G": 4, "T": 8, "U": 8, "R": 5, "Y": 10, "S": 6, "W": 9, "K": 12, "M": 3, "B": 14, "D": 13, "H": 11, "V": 7, "N": 15}
@@ -40,7 +43,9 @@ def homopolymer_pattern(bases: str = "ACGTN", run: int = HOMOPOLYMER) -> str:
 
 
 def has_homopolymer(s: Column, bases: str = "ACGTN") -> Column:
-    return s.rlike(homopolymer_pattern(bases))
+    """Whether such a run occurs; the pattern is only tried on reads that hold a run at all, most hold none."""
+    pattern = homopolymer_pattern(bases)
+    return let(s, lambda x: reduce(or_, [x.contains(b * HOMOPOLYMER) for b in bases]) & x.rlike(pattern))
 
 
 def iupac_set(base: Column) -> Column:
@@ -100,7 +105,17 @@ def chunk_bounds(length: int, chunks: int) -> list[tuple[int, int]]:
 def exact_overlap(r1: Column, rc: Column, least: int = 10) -> Column:
     """Longest suffix of ``r1`` that is a prefix of ``rc``, of ``least`` bases or more; NULL if there is none."""
     n = F.least(F.length(r1), F.length(rc))
-    sizes = F.when(n >= least, F.sequence(n, F.lit(least), F.lit(-1))).otherwise(F.array().cast("array<int>"))
-    return F.get(F.filter(sizes, lambda o: F.right(r1, o) == F.left(rc, o)), 0)
+    pair = F.struct(F.right(r1, n).alias("a"), F.left(rc, n).alias("b"))
 
+    def longest(p: Column) -> Column:
+        # an overlap begins where the first bases of rc occur in r1: the first such place mostly decides
+        at, size = F.position(F.left(p["b"], F.lit(least)), p["a"]), F.length(p["a"])
+        begins = lambda o: p["b"].startswith(F.right(p["a"], o))
+        return F.when((size >= least) & (at > 0), let(size - at + 1, lambda o: F.when(begins(o), o).otherwise(F.get(F.filter(_falling(o - 1, least), begins), 0))))
 
+    return let(pair, longest)
+
+
+def _falling(top: Column, least: int) -> Column:
+    """The whole numbers from ``top`` down to ``least``."""
+    return F.when(top >= least, F.sequence(top, F.lit(least), F.lit(-1))).otherwise(F.array().cast("array<int>"))
