@@ -18,6 +18,8 @@ CONTEXT = 15
 #: Edits allowed where no D1 was seen, whatever the run's distance.
 ALTERNATIVE_DISTANCE = 1
 MOST_SLICES = 10
+#: Different pairs of a batch that are read together: bounds a worker's memory.
+TOGETHER = 4096
 
 EVENT = T.StructType([
     T.StructField("chain", T.ArrayType(T.StringType())),
@@ -179,17 +181,27 @@ def splice_chain(config: SpliceConfig):
     @F.pandas_udf(result)
     def run(forward: pd.Series, reverse: pd.Series) -> pd.DataFrame:
         reader = _reader(config)
-        a = [x.encode() for x in forward]
-        b = [fuzzy.revcomp(x.encode()) for x in reverse]
-        pairs = [fuzzy.join_pair(x, y, o) for x, y, o in zip(a, b, fuzzy.overlaps(a, b))]
-        read = reader.read_many([x + y if joined is None else joined for x, y, joined in zip(a, b, pairs)])
-        rows = []
-        for joined, (chain, tail, alternative, beyond) in zip(pairs, read):
-            text = lambda t: None if t is None else t.decode()
-            rows.append((text(joined), chain, text(tail), text(alternative), text(beyond), reader.size_class(chain, tail)))
-        return pd.DataFrame(rows, columns=result.names)
-
-    return run
+        keys = list(zip(forward, reverse))
+        different = list(dict.fromkeys(keys))  # copies of a pair are read once
+        rows = {}
+        for lo in range(0, len(different), TOGETHER):
+            some = different[lo : lo + TOGETHER]
+            rows.update(zip(some, _read_pairs(reader, some)))
+        return pd.DataFrame([rows[k] for k in keys], columns=result.names)
+
+    # a filter on what it finds must not run it a second time, nor before the rows are spread
+    return run.asNondeterministic()
+
+
+def _read_pairs(reader: Reader, pairs: list[tuple[str, str]]) -> Generator[tuple, None, None]:
+    """Joined read, chain, tail, contexts and size class of (forward, reverse) sequences."""
+    a = [x.encode() for x, _ in pairs]
+    b = [fuzzy.revcomp(y.encode()) for _, y in pairs]
+    joined = [fuzzy.join_pair(x, y, o) for x, y, o in zip(a, b, fuzzy.overlaps(a, b))]
+    read = reader.read_many([x + y if j is None else j for x, y, j in zip(a, b, joined)])
+    text = lambda t: None if t is None else t.decode()
+    for j, (chain, tail, alternative, beyond) in zip(joined, read):
+        yield text(j), chain, text(tail), text(alternative), text(beyond), reader.size_class(chain, tail)
 
 
 @lru_cache(4)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import UMI_BASES, strain_sites
+from ..functions.columns import let
 from ..functions.seq import reverse_complement
 from ..operators.umi import check_space
 
@@ -42,12 +43,13 @@ def mutated(s: Column, rate: float, *parts: Column, seed: int = 7) -> Column:
     """Each base replaced by one of the other three with probability ``rate``."""
     others = F.create_map(*[F.lit(x) for b in "ACGT" for x in (b, "ACGT".replace(b, ""))])
 
-    def base(i: Column) -> Column:
-        b = F.substring(s, i, 1)
+    def base(of: Column, i: Column) -> Column:
+        b = F.substring(of, i, 1)
         pick = (unit(i, *parts, seed=seed + 1) * 3).cast("int") + 1
         return F.when(unit(i, *parts, seed=seed) < rate, F.coalesce(F.substring(F.element_at(others, b), pick, 1), b)).otherwise(b)
 
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(s)), base), "")
+    # made once a row, not once for each of its bases
+    return let(s, lambda of: F.array_join(F.transform(F.sequence(F.lit(1), F.length(of)), lambda i: base(of, i)), ""))
 
 
 def padded(s: Column, bases: int = READ_BASES) -> Column:
