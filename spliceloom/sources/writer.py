@@ -14,10 +14,13 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import ExitStack, contextmanager
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +34,9 @@ from .reads import check_pair, data_type
 MEMBER = 0xFF00
 LAST = bytes.fromhex("1f8b08040000000000ff0600424302001b0003000000000000000000")
 
+#: Rows of a part at most, where the number of parts is not given: what one task sorts.
+PART_ROWS = 100_000
+
 
 def member(data: bytes) -> bytes:
     """One gzip member, at most MEMBER bytes of text, with its size in the extra field BC."""
@@ -42,11 +48,19 @@ def member(data: bytes) -> bytes:
     return struct.pack("<4BI2BH2B2H", 31, 139, 8, 4, 0, 0, 255, 6, 66, 67, 2, len(body) + 25) + body + struct.pack("<II", zlib.crc32(data), len(data))
 
 
-def text_of(kind: str, batch: pa.RecordBatch) -> bytes:
-    rows = zip(batch.column("head").to_pylist(), batch.column("sequence").to_pylist())
+def text_of(kind: str, head: pa.Array, sequence: pa.Array) -> memoryview:
+    """Records of a batch, put together by column."""
+    of = lambda text: pa.scalar(text, head.type)
     if kind == "fasta":
-        return "".join(f">{h}\n{s}\n" for h, s in rows).encode()
-    return "".join(f"@{h}\n{s}\n+\n{'I' * len(s)}\n" for h, s in rows).encode()
+        parts = [of(">"), head, of("\n"), sequence, of("\n")]
+    else:
+        parts = [of("@"), head, of("\n"), sequence, of("\n+\n"), pc.binary_repeat(of("I"), pc.utf8_length(sequence)), of("\n")]
+    text = pc.binary_join_element_wise(*parts, of(""), null_handling="replace", null_replacement="None")
+    if not len(text):
+        return memoryview(b"")
+    _, offsets, data = text.buffers()  # the records lie one after another already
+    ends = np.frombuffer(offsets, np.int64 if pa.types.is_large_string(text.type) else np.int32)
+    return memoryview(data)[ends[text.offset] : ends[text.offset + len(text)]]
 
 
 @dataclass
@@ -55,34 +69,39 @@ class Part(WriterCommitMessage):
     name: str
 
 
-class _Writer(DataSourceArrowWriter):
+class _Out:
+    """A folder of parts, and the part that a task writes."""
+
     def __init__(self, path: str, overwrite: bool):
-        self.path, self.overwrite = path.rstrip("/"), overwrite
+        self.path = path.rstrip("/")
         self.kind, self.packed = data_type(self.path)
         self.hidden = f"{self.path}/_writing-{uuid.uuid4().hex}"
         if not overwrite and files.exists(self.path) and files.parts(self.path):
             raise ValueError(f"{self.path} holds files already")
 
-    def write(self, batches: Iterator[pa.RecordBatch]) -> Part:
-        number = TaskContext.get().partitionId()
-        name = f"{number}-{uuid.uuid4().hex}"
+    @contextmanager
+    def part(self, name: str) -> Iterator[Callable[[pa.Array, pa.Array], None]]:
+        """Takes heads and sequences."""
         there, where = files.system(f"{self.hidden}/{name}")
         there.create_dir(where.rpartition("/")[0], recursive=True)
         with there.open_output_stream(where, compression=None) as out:
             held = b""
-            for batch in batches:
-                held += text_of(self.kind, batch)
-                if self.packed:
-                    full = len(held) // MEMBER * MEMBER
-                    for i in range(0, full, MEMBER):
-                        out.write(member(held[i : i + MEMBER]))
-                    held = held[full:]
-                else:
-                    out.write(held)
-                    held = b""
+
+            def add(head: pa.Array, sequence: pa.Array) -> None:
+                nonlocal held
+                text = text_of(self.kind, head, sequence)
+                if not self.packed:
+                    out.write(text)
+                    return
+                held += text
+                full = len(held) // MEMBER * MEMBER
+                for i in range(0, full, MEMBER):
+                    out.write(member(held[i : i + MEMBER]))
+                held = held[full:]
+
+            yield add
             if self.packed:
                 out.write((member(held) if held else b"") + LAST)
-        return Part(number, name)
 
     def commit(self, messages: list[Part | None]) -> None:
         there, where = files.system(self.path)
@@ -93,14 +112,39 @@ class _Writer(DataSourceArrowWriter):
         ending = self.path.rpartition("/")[2].partition(".")[2]
         for part in sorted((m for m in messages if m), key=lambda m: m.number):
             there.move(f"{files.system(self.hidden)[1]}/{part.name}", f"{where}/part-{part.number:05d}.{ending}")
-        self.abort(messages)
+        self.abort()
 
-    def abort(self, messages: list) -> None:
+    def abort(self) -> None:
         there, where = files.system(self.hidden)
         if files.exists(self.hidden):
             there.delete_dir(where)
 
 
+class _Writer(DataSourceArrowWriter):
+    """Writes each batch to one folder for each pair of columns (head, sequence)."""
+
+    def __init__(self, outs: list[tuple[_Out, str, str]]):
+        self.outs = outs
+
+    def write(self, batches: Iterator[pa.RecordBatch]) -> Part:
+        number = TaskContext.get().partitionId()
+        name = f"{number}-{uuid.uuid4().hex}"
+        with ExitStack() as stack:
+            parts = [(stack.enter_context(out.part(name)), head, sequence) for out, head, sequence in self.outs]
+            for batch in batches:
+                for add, head, sequence in parts:
+                    add(batch.column(head), batch.column(sequence))
+        return Part(number, name)
+
+    def commit(self, messages: list[Part | None]) -> None:
+        for out, *_ in self.outs:
+            out.commit(messages)
+
+    def abort(self, messages: list) -> None:
+        for out, *_ in self.outs:
+            out.abort()
+
+
 class Sequences(DataSource):
     """Sink of (head, sequence) rows."""
 
@@ -112,7 +156,21 @@ class Sequences(DataSource):
         return "head string, sequence string"
 
     def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
-        return _Writer(self.options["path"], overwrite)
+        return _Writer([(_Out(self.options["path"], overwrite), "head", "sequence")])
+
+
+class SequencePairs(DataSource):
+    """Sink of (head1, r1, head2, r2) rows: the two files of a pair, written by the same tasks."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "sequencepairs"
+
+    def schema(self) -> str:
+        return "head1 string, r1 string, head2 string, r2 string"
+
+    def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
+        return _Writer([(_Out(self.options[f"path{side}"], overwrite), f"head{side}", f"r{side}") for side in (1, 2)])
 
 
 def write_sequences(df: DataFrame, path: str, overwrite: bool = True) -> None:
@@ -121,26 +179,30 @@ def write_sequences(df: DataFrame, path: str, overwrite: bool = True) -> None:
     df.select("head", "sequence").write.format("sequences").option("path", path).mode("overwrite" if overwrite else "append").save()
 
 
-def _sorted(df: DataFrame, parts: int | None) -> DataFrame:
-    """By read_ix over ``parts`` tasks, one a core at least."""
-    parts = parts or max(df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
-    return df.repartitionByRange(parts, "read_ix").sortWithinPartitions("read_ix")
+def in_order(df: DataFrame, key: str, parts: int | None = None) -> DataFrame:
+    """Sorted by ``key`` over ``parts`` tasks: one a core at least, and more the more rows there are."""
+    parts = parts or max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // PART_ROWS))
+    return df.repartitionByRange(parts, key).sortWithinPartitions(key)
 
 
-def write_pairs(df: DataFrame, r1: str, r2: str, parts: int | None = None) -> None:
-    """Read pairs (read_ix, id, r1, r2) as two folders of parts in the order of read_ix."""
+def write_pairs(df: DataFrame, r1: str, r2: str, parts: int | None = None, ordered: bool = False) -> None:
+    """Read pairs (read_ix, id, r1, r2) as two folders of parts in the order of read_ix; ``ordered``: the rows are in that order."""
     check_pair(r1, r2)
-    rows = cut(_sorted(df.select("read_ix", "id", "r1", "r2"), parts))  # sorted once, so that both files have the same parts
-    for side, path in (("r1", r1), ("r2", r2)):
-        write_sequences(rows.select(F.concat("id", F.lit(f"_{side}")).alias("head"), F.col(side).alias("sequence")), path)
-    let_go(rows)
+    rows = df.select("read_ix", "id", "r1", "r2")
+    rows = (rows if ordered else in_order(rows, "read_ix", parts)).select(F.concat("id", F.lit("_r1")).alias("head1"), "r1", F.concat("id", F.lit("_r2")).alias("head2"), "r2")
+    df.sparkSession.dataSource.register(SequencePairs)
+    rows.write.format("sequencepairs").option("path1", r1).option("path2", r2).mode("overwrite").save()
 
 
-def write_joined(events: DataFrame, path: str, parts: int | None = None) -> None:
-    """Joined reads under their descriptions, in the order of read_ix."""
+def write_joined(events: DataFrame, path: str, parts: int | None = None, ordered: bool = False) -> None:
+    """Joined reads under their descriptions, in the order of read_ix; ``ordered``: the rows are in that order."""
     head = F.concat("sequence_id", F.lit("-joined ForwardNs: "), "forward_ns", F.lit(", UMI: "), "umi")
-    joined = cut(events.where("joined_sequence is not null").select("read_ix", head.alias("head"), F.col("joined_sequence").alias("sequence")))  # ranges are drawn from the rows before they are sorted
-    write_sequences(_sorted(joined, parts), path)
+    joined = events.where("joined_sequence is not null").select("read_ix", head.alias("head"), F.col("joined_sequence").alias("sequence"))
+    if ordered:
+        write_sequences(joined, path)
+        return
+    joined = cut(joined)  # ranges are drawn from the rows before they are sorted
+    write_sequences(in_order(joined, "read_ix", parts), path)
     let_go(joined)
 
 

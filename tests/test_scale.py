@@ -84,3 +84,36 @@ def test_clustering_reads_its_input_once(spark, task_umis):
     got = umi.cluster(umis.mapInArrow(seen, umis.schema), 1, 0.0, task_umis=task_umis)
     assert {(r.umi, r.umi_family) for r in got.collect()} == {("ACGT", "ACGT"), ("ACGA", "ACGT"), ("TTTA", "TTTA"), ("TTTT", "TTTA")}
     assert read.value == 4
+
+
+def test_a_task_of_the_source_is_sent_its_own_range_only():
+    import json
+    import pickle
+
+    from spliceloom.sources import reads
+
+    def sent(reader, option, item, n):
+        return len(pickle.dumps(reader({option: json.dumps([item] * n)})))
+
+    for reader, option, item in ((reads._Counter, "ranges", ["/a", "fasta", False, 0, 1]), (reads._Reader, "tasks", [0, "fasta", [False, False], 0, 1, []])):
+        assert sent(reader, option, item, 1) == sent(reader, option, item, 1000)
+
+
+def test_files_of_ordered_pairs_take_one_pass_and_parts_grow_with_the_rows(spark, monkeypatch, tmp_path):
+    from spliceloom.sources import reads, writer
+
+    monkeypatch.setattr(writer, "PART_ROWS", 50)
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    rows = spark.range(1000).selectExpr("id AS read_ix", "concat('r', id) AS id", "repeat('ACGT', cast(id % 7 AS int)) AS r1", "concat('TTG', id % 2) AS r2")
+    assert writer.in_order(rows, "read_ix").rdd.getNumPartitions() == 20
+    pair = [str(tmp_path / f"r{i}.fastq.gz") for i in (1, 2)]
+    writer.write_pairs(writer.in_order(rows, "read_ix").mapInArrow(seen, rows.schema), *pair, ordered=True)
+    assert read.value == 1000
+    got = reads.read_pairs(spark, *pair).orderBy("read_ix").select("read_ix", "id", "r1", "r2").collect()
+    assert [(r.read_ix, r.id, r.r1, r.r2) for r in got] == [(r.read_ix, f"{r.id}_r1", r.r1, r.r2) for r in rows.orderBy("read_ix").collect()]
