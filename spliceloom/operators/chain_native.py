@@ -13,6 +13,8 @@ searches a batch at a time.
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,6 +25,8 @@ from .chain import CONTEXT, MOST_SLICES
 
 #: Bases of the pieces by which overlaps are found, and stages that a read can pass.
 PIECE, STAGES = 8, 10
+#: Bases of the pieces that are looked up in the genome.
+SHORTEST, LONGEST = 10, 20
 STATE = "struct<stage:int,s:string,chain:array<string>,alt:string,beyond:string>"
 
 
@@ -108,35 +112,64 @@ def overlap(a: Column, b: Column, least: int = 10, rate: float = 0.02) -> Column
     """The longest overlap of a's end with b's beginning with mismatches up to overlap x rate, or NULL.
 
     With k mismatches one of the first k + 1 pieces of b is unchanged in a: its
-    places there give the overlaps that are looked at base by base.
+    places there give the overlaps that are looked at.  Sizes are tried from the
+    largest down, so the first that holds is the result.
     """
-    la, n = F.length(a), F.least(F.length(a), F.length(b))
-    words = F.transform(F.sequence(F.lit(1), la - PIECE + 1), lambda i: F.substr(a, i, F.lit(PIECE)))
-    pieces = F.transform(F.sequence(F.lit(0), F.floor(n * rate).cast("int")), lambda j: F.substr(b, PIECE * j + 1, F.lit(PIECE)))
-
-    def sizes(w: Column, p: Column) -> Column:
-        hits = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.array_contains(p, F.get(w, i)))
-        of = lambda i: F.transform(F.filter(F.sequence(F.lit(0), F.size(p) - 1), lambda j: F.get(p, j) == F.get(w, i)), lambda j: la - i + PIECE * j)
-        return F.array_distinct(F.flatten(F.transform(hits, of)))
-
-    def holds(o: Column) -> Column:
-        # more edits than mismatches allowed: no need to count these
-        close = F.call_function("levenshtein", F.right(a, o), F.left(b, o), F.floor(o * rate).cast("int")) >= 0
-        wrong = F.size(F.filter(F.sequence(F.lit(1), o), lambda i: F.substr(a, la - o + i, F.lit(1)) != F.substr(b, i, F.lit(1))))
-        return close & (wrong <= o * rate)
-
-    def largest(some: Column) -> Column:
-        fitting = F.sort_array(F.filter(some, lambda o: (o >= least) & (o <= n)), asc=False)
-        return F.aggregate(fitting, F.lit(None).cast("int"), lambda best, o: F.when(best.isNotNull(), best).when(holds(o), o))
-
-    found = let(words, lambda w: let(pieces, lambda p: largest(sizes(w, p))))
-    return F.when(n >= max(least, PIECE), found)
+    pair = F.struct(a.alias("a"), b.alias("b"), F.least(F.length(a), F.length(b)).alias("n"))
+
+    def places(a: Column, n: Column, piece: Column, at: Column) -> Column:
+        """Sizes of overlaps in which a piece of b that begins at ``at`` lies where it occurs in a."""
+        # cut before every place of the piece: a cut leaves of ``a`` what follows it
+        cuts = F.split(a, F.concat(F.lit(r"(?=\Q"), piece, F.lit(r"\E)")))
+        start = F.struct(F.length(a).alias("left"), F.array().cast("array<int>").alias("all")).cast("struct<left:int,all:array<int>>")
+        lefts = F.aggregate(cuts, start, lambda st, x: F.struct((st["left"] - F.length(x)).alias("left"), F.array_append(st["all"], st["left"]).alias("all")), lambda st: st["all"])
+        places_ = F.when(a.startswith(piece), lefts).otherwise(F.slice(lefts, F.lit(2), F.length(a)))
+        sizes = F.filter(F.transform(places_, lambda left: left + at), lambda o: (o >= least) & (o <= n))
+        return F.when((F.length(piece) == PIECE) & a.contains(piece), sizes).otherwise(F.array().cast("array<int>"))
+
+    def candidates(p: Column) -> Column:
+        pieces = F.sequence(F.lit(0), F.floor(p["n"] * rate).cast("int"))
+        found = F.flatten(F.transform(pieces, lambda j: let(F.substr(p["b"], PIECE * j + 1, F.lit(PIECE)), lambda piece: places(p["a"], p["n"], piece, PIECE * j))))
+        return F.sort_array(F.array_distinct(found), asc=False)
+
+    def holds(p: Column, o: Column) -> Column:
+        x, y, most = F.right(p["a"], o), F.left(p["b"], o), F.floor(o * rate).cast("int")
+        la = F.length(p["a"])
+        # one of the last pieces is unchanged too: repeats that end elsewhere need no more than a look at these
+        end = F.exists(F.sequence(F.lit(1), most + 1), lambda j: F.substr(p["a"], la - PIECE * j + 1, F.lit(PIECE)) == F.substr(p["b"], o - PIECE * j + 1, F.lit(PIECE)))
+        # equal texts hold; of others those with more edits than mismatches allowed need no count of these
+        close = F.call_function("levenshtein", x, y, most) >= 0
+        wrong = let(F.struct(x.alias("x"), y.alias("y")), lambda z: F.size(F.filter(F.sequence(F.lit(1), o), lambda i: F.substr(z["x"], i, F.lit(1)) != F.substr(z["y"], i, F.lit(1)))))
+        return (x == y) | ((most > 0) & (end | (o < PIECE * (most + 1))) & close & (wrong <= o * rate))
+
+    def largest(p: Column) -> Column:
+        return F.aggregate(candidates(p), F.lit(None).cast("int"), lambda best, o: F.when(best.isNotNull(), best).when(holds(p, o), o))
+
+    return let(pair, lambda p: F.when(p["n"] >= max(least, PIECE), largest(p)))
+
+
+def _first_places(genome: str, length: int) -> tuple[Column, int]:
+    """A function's table: by crc32 of a word of ``length`` bases, modulo the table's size, where such words begin, with what follows.
+
+    A genome is a constant, so this is one literal; a search looks a word up and does not read the genome.
+    """
+    size = max(1, len(genome))
+    buckets: list[list[str]] = [[] for _ in range(size)]
+    for at in range(len(genome) - length + 1):
+        buckets[zlib.crc32(genome[at : at + length].encode()) % size].append(f"{at}:{genome[at : at + LONGEST]}")
+    return F.split(F.lit("|".join(",".join(x) for x in buckets)), r"\|"), size
 
 
 def size_class(chain: Column, tail: Column, config: SpliceConfig) -> Column:
-    low, high, genome = config.d4_breakpoint, config.a7_breakpoint, F.lit(config.genome)
+    low, high = config.d4_breakpoint, config.a7_breakpoint
     first = F.get(F.filter(chain, lambda e: e.isin("A7", "unknown", "no-acceptor", "D1-unspliced", "gag-AUG")), 0)
-    place = lambda piece: F.call_function("locate", piece, genome) - 1
+    table, size = _first_places(config.genome, SHORTEST)
+
+    def place(piece: Column) -> Column:
+        """Where a piece of SHORTEST to LONGEST bases occurs first in the genome, from 0, or -1: places of a bucket are in order."""
+        bucket = F.get(table, F.pmod(F.crc32(F.left(piece, F.lit(SHORTEST))), F.lit(size)).cast("int"))
+        found = lambda x: let(F.position(F.concat(F.lit(":"), piece), x), lambda at: F.when(at > 0, F.substring_index(F.left(x, at - 1), ",", -1).cast("int")))
+        return F.coalesce(let(bucket, found), F.lit(-1))
 
     if config.assay is Assay.RANDOM_REVERSE:
         pieces = F.slice(seq.slices_from_end(tail), 1, MOST_SLICES)
