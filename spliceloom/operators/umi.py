@@ -17,6 +17,8 @@ from . import neighbours
 CATEGORY = "final_category"
 #: Distinct UMIs of a category that one task clusters; larger categories are clustered by joins.
 TASK_UMIS = 20_000
+#: Rows of families and decisions that are sent to every task, at most; more are joined by a shuffle.
+SENT_ROWS = 200_000
 
 
 def counts(events: DataFrame) -> DataFrame:
@@ -137,7 +139,13 @@ def families(events: DataFrame, model: str = FamilyModel.AUTO, distance: int = 1
     """``events`` with family, family size and share, model used and the numbers behind the choice."""
     umis = cut(counts(events))  # one row per exact UMI: the reads are not read again for each use below
     per_umi, choice = assigned(umis, model, distance, min_fraction, risk_limit, coverage, task_umis)
-    return with_families(events, per_umi, choice)
+    return with_families(events, _narrow(per_umi), _narrow(choice))
+
+
+def _narrow(df: DataFrame) -> DataFrame:
+    """A table to join reads with, stored; sent to all tasks if it has few rows, so that the reads are not shuffled for it."""
+    df = cut(df)
+    return F.broadcast(df) if df.count() <= SENT_ROWS else df
 
 
 def with_families(events: DataFrame, per_umi: DataFrame, choice: DataFrame) -> DataFrame:

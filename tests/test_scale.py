@@ -117,3 +117,31 @@ def test_files_of_ordered_pairs_take_one_pass_and_parts_grow_with_the_rows(spark
     assert read.value == 1000
     got = reads.read_pairs(spark, *pair).orderBy("read_ix").select("read_ix", "id", "r1", "r2").collect()
     assert [(r.read_ix, r.id, r.r1, r.r2) for r in got] == [(r.read_ix, f"{r.id}_r1", r.r1, r.r2) for r in rows.orderBy("read_ix").collect()]
+
+
+@pytest.mark.parametrize("sent", [0, 100_000])
+def test_few_families_are_sent_to_the_reads(spark, monkeypatch, sent):
+    monkeypatch.setattr(umi, "SENT_ROWS", sent)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # what Spark itself takes for small
+    try:
+        df = driver.per_read_families_exact(spark, SF)
+        shown = plan(df)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert ("BroadcastHashJoin" in shown, "Exchange hashpartitioning" in shown) == (sent > 0, sent == 0)
+    assert df.count() == driver.load(spark, SF, "orders").count()
+
+
+def test_the_native_size_class_does_not_read_the_genome(spark):
+    """A piece is looked up in a table, and the first of its places counts."""
+    from spliceloom.config import build_config
+    from spliceloom.operators import chain_native
+
+    rng = random.Random(2)
+    genome = driver.GENOME[:4000] + driver.GENOME[100:140] + driver.GENOME[4000:]
+    config = build_config(distance=0, genome=genome)
+    tails = [genome[at : at + n] + "".join(rng.choices("ACGT", k=rng.choice([15, 15, 16]))) for at in (0, 3, 100, 110, 4000, 5000, 8000, len(genome) - 30) for n in (10, 12, 20, 25, 40)]
+    df = spark.createDataFrame([(t,) for t in tails], "tail string")
+    size = chain_native.size_class(F.array(F.lit("A5")), F.col("tail"), config)
+    assert [r.x for r in df.select(size.alias("x")).collect()] == [chain.Reader(config).size_class(["A5"], t.encode()) for t in tails]
+    assert genome not in plan(df.select(size))
