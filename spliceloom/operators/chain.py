@@ -43,7 +43,7 @@ class Reader:
         encoded = lambda steps: [(s.acceptor, s.pattern.encode()) for s in steps]
         self.after = {"D1": encoded(config.d1_to_all), "D1prime": encoded(config.d1prime_to_all), "none": encoded(config.alternative_d1_to_all), "D2": encoded(config.d2_to_all), "D2b": encoded(config.d2b_to_all), "D3": encoded(config.d3_to_all)}
         genome = fuzzy.Index(config.genome.encode())
-        self.locate = lru_cache(1 << 16)(lambda piece: genome.find(piece, self.k))
+        self.locate = lru_cache(1 << 14)(lambda piece: genome.find(piece, self.k))
 
         self.lists = {f"at {n}": [(n, p)] for n, p in self.site.items()} | self.after
 
@@ -200,8 +200,12 @@ def _read_pairs(reader: Reader, pairs: list[tuple[str, str]]) -> Generator[tuple
     joined = [fuzzy.join_pair(x, y, o) for x, y, o in zip(a, b, fuzzy.overlaps(a, b))]
     read = reader.read_many([x + y if j is None else j for x, y, j in zip(a, b, joined)])
     text = lambda t: None if t is None else t.decode()
+    sizes: dict[tuple, str] = {}  # reads of one isoform share what follows their last site
     for j, (chain, tail, alternative, beyond) in zip(joined, read):
-        yield text(j), chain, text(tail), text(alternative), text(beyond), reader.size_class(chain, tail)
+        key = *chain, tail
+        if key not in sizes:
+            sizes[key] = reader.size_class(chain, tail)
+        yield text(j), chain, text(tail), text(alternative), text(beyond), sizes[key]
 
 
 @lru_cache(4)

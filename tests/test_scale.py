@@ -145,3 +145,64 @@ def test_the_native_size_class_does_not_read_the_genome(spark):
     size = chain_native.size_class(F.array(F.lit("A5")), F.col("tail"), config)
     assert [r.x for r in df.select(size.alias("x")).collect()] == [chain.Reader(config).size_class(["A5"], t.encode()) for t in tails]
     assert genome not in plan(df.select(size))
+
+
+def test_windows_and_tails_seen_before_are_not_aligned_or_located_again(monkeypatch):
+    """Reads of one isoform share them: work grows with what differs."""
+    from spliceloom.config import build_config
+    from spliceloom.functions import fuzzy
+
+    rng = random.Random(4)
+    pattern = b"ACGTTGCAGGTCATTCGACC"
+    one = [b"GG" + pattern[:i] + b"A" + pattern[i + 1 :] + b"GG" for i in range(20)]
+    texts = one + [b"".join(rng.choices([b"A", b"C", b"G", b"T"], k=30)) + t for t in one] + one
+    want = [fuzzy.find(t, pattern, 1) for t in texts]
+    aligned = []
+    lanes = fuzzy._align_many
+    monkeypatch.setattr(fuzzy, "_align_many", lambda windows, p, k: aligned.append(len(windows)) or lanes(windows, p, k))
+    assert [fuzzy.find_many(texts, pattern, 1) for _ in range(3)] == [want] * 3 and len(aligned) == 1
+    sizes = []
+    size = chain.Reader.size_class
+    monkeypatch.setattr(chain.Reader, "size_class", lambda self, c, t: sizes.append(t) or size(self, c, t))
+    reader = chain.Reader(build_config(genome=driver.GENOME))
+    reads = ["ACGT"[i % 4] * 3 + reader.c.d1_to_all[-1].pattern + driver.GENOME[7000:7100] for i in range(8)]
+    found = [r[-1] for r in chain._read_pairs(reader, [(r, "ACCA" * 9) for r in reads])]
+    assert len(found) == 8 and len(set(found)) == len(sizes) == 1
+
+
+def test_all_texts_are_searched_as_one():
+    """Places at the ends of texts, occurrences that overlap, empty texts."""
+    from spliceloom.functions import fuzzy
+
+    texts = [b"", b"AAAA", b"CAA", b"", b"AAC", b"A", b""]
+    assert list(fuzzy._occurrences(texts, b"AA")) == [(1, 0), (1, 1), (1, 2), (2, 1), (4, 0)]
+    assert list(fuzzy._occurrences([], b"AA")) == []
+    rng = random.Random(6)
+    for alphabet in ("A", "AC", "ACGT"):
+        for k in (1, 2):
+            pattern = "".join(rng.choices(alphabet, k=18)).encode()
+            texts = ["".join(rng.choices(alphabet, k=rng.randrange(50))).encode() for _ in range(60)] + [pattern[:7] + pattern[8:], pattern + b"A", b"\0" + pattern]
+            assert fuzzy.find_many(texts, pattern, k) == [fuzzy.find(t, pattern, k) for t in texts]
+
+
+def test_what_a_worker_remembers_is_bounded(monkeypatch):
+    """However many reads that all differ it has seen."""
+    from spliceloom.config import build_config
+    from spliceloom.functions import fuzzy
+
+    reader = chain.Reader(build_config(genome=driver.GENOME))
+    assert reader.locate.cache_info().maxsize + fuzzy._align.cache_info().maxsize + fuzzy.WINDOWS <= 1 << 16
+    monkeypatch.setattr(fuzzy, "WINDOWS", 500)
+    rng = random.Random(7)
+    d1 = reader.c.sites["D1"]
+    for _ in range(10):
+        texts = [("".join(rng.choices("ACGT", k=20)) + d1[:5] + rng.choice("ACGT") + d1[6:] + "".join(rng.choices("ACGT", k=60))).encode() for _ in range(200)]
+        reader.read_many(texts)
+    assert 0 < sum(map(len, fuzzy._aligned.values())) <= 500 + 3 * 200
+
+
+@pytest.mark.parametrize("name", ["splice_events_one_edit", "joined_records"])
+def test_reads_are_derived_once_a_row(spark, name):
+    """Not once for each filter on them and again for what is made of them."""
+    below, above = [part for part in plan(driver.QUERIES[name](spark, SF)).split("Generate inline")][::-1]
+    assert "reverse(translate" in below and "translate" not in above
