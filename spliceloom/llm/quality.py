@@ -84,7 +84,7 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
         """From the places of repeated windows in order: each covers its words, less those the next one covers."""
         same = lambda s, i, j: s[i]["h"] == s[j]["h"]
         again = lambda s: F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda j: F.when(j > 0, same(s, j, j - 1)).otherwise(False) | F.when(j < F.size(s) - 1, same(s, j, j + 1)).otherwise(False))
-        places = let(F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))), lambda s: F.array_sort(F.transform(again(s), lambda j: s[j]["i"])))
+        places = let(F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))), lambda s: F.sort_array(F.transform(again(s), lambda j: s[j]["i"])))
         return let(places, lambda p: window + F.aggregate(F.sequence(F.lit(1), F.size(p) - 1), F.lit(0), lambda a, k: a + F.least(F.lit(window), p[k] - p[k - 1])))
 
     of_words = F.transform(words, lambda w: F.xxhash64(w))
@@ -93,12 +93,21 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
     return F.when(F.size(words) > window, some).otherwise(0)
 
 
+#: Counts of the base.
+BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
 def base_counts(text: Column) -> Column:
     """Struct of n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words (long) of a text that is not null."""
+    return let(all_counts(text), lambda c: F.struct(*[c[n].alias(n) for n in BASE]))
+
+
+def all_counts(text: Column) -> Column:
+    """The same with the classes' counts: symbols are one of them, so the text is not searched for symbols again."""
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(WORD))
     dup = let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
-    of_words = let(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda w: F.struct(F.size(w).alias("n"), F.length(F.array_join(w, "")).alias("c"), repeated_words(w).alias("r")))
-    return let(of_words, lambda w: F.struct(w["n"].cast("bigint").alias("n_words"), w["c"].cast("bigint").alias("word_chars"), _matched(text, SYMBOL).cast("bigint").alias("n_symbols"), dup.cast("bigint").alias("n_dup_lines"), w["r"].cast("bigint").alias("n_repeat_words")))
+    of_words = let(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda w: let(F.length(F.array_join(w, "")), lambda c: F.struct(F.size(w).alias("n"), c.alias("c"), class_counts(text, c).alias("k"), repeated_words(w).alias("r"))))
+    return let(of_words, lambda w: F.struct(w["n"].cast("bigint").alias("n_words"), w["c"].cast("bigint").alias("word_chars"), w["k"][list(CLASSES).index("symbol")].cast("bigint").alias("n_symbols"), dup.cast("bigint").alias("n_dup_lines"), w["r"].cast("bigint").alias("n_repeat_words"), w["k"].alias("classes")))
 
 
 def references(docs: DataFrame, text: str = "text", lang: str = "lang", top: int = TOP, least: int = MIN_REFERENCE) -> DataFrame:
@@ -123,9 +132,10 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", top: int
     own = common(counts.where("lang is not null")).where(F.col("total") >= least)
     every = common(counts.groupBy("word").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "word", "n"))
     word_chars = F.length("text") - _matched(F.col("text"), r"[\x20\x09-\x0D]")
-    judged = rows.withColumn("n", word_chars).where(F.col("n") >= MIN_CLASS_CHARS)
-    cells = judged.select("lang", "n", F.posexplode(class_counts(F.col("text"), F.col("n"))).alias("cell", "c"))
-    steps = cut(cells.groupBy("lang", "cell", F.expr(f"{STEPS} * bigint(c) div n").alias("step")).agg(F.count(F.lit(1)).alias("docs")))
+    # no filter, which would count the characters a second time: short texts have no cells
+    in_steps = let(word_chars, lambda n: F.when(n >= MIN_CLASS_CHARS, F.transform(class_counts(F.col("text"), n), lambda c: F.floor(STEPS * c.cast("bigint") / n))))
+    cells = rows.select("lang", F.posexplode(in_steps).alias("cell", "step"))
+    steps = cut(cells.groupBy("lang", "cell", "step").agg(F.count(F.lit(1)).alias("docs")))
 
     def middle(counted: DataFrame) -> DataFrame:
         """The median document's share of each class, in steps, and all scaled to 1."""
@@ -154,8 +164,17 @@ def class_divergence(counts: Column, n: Column, shares: Column) -> Column:
     return F.aggregate(F.zip_with(counts, shares, lambda c, q: _divergence(c / n, q)), F.lit(0.0), lambda a, x: a + x) / 2
 
 
+def by_length(words: Column) -> Column:
+    """For each length, from 0 on, the words of that length as one text with commas, after as many commas as keep their places in the list.
+
+    Words are letters alone.  A text is searched faster than an array, and most of the list is not searched for a word.
+    """
+    longest = F.aggregate(words, F.lit(0), lambda a, w: F.greatest(a, F.length(w)))
+    return F.transform(F.sequence(F.lit(0), longest), lambda size: F.array_join(F.transform(words, lambda w: F.when(F.length(w) == size, w).otherwise("")), ","))
+
+
 def common_divergence(words: Column, n: Column, common: Column, shares: Column) -> Column:
-    """Of a list of ``n`` words from the shares of common words and all others.
+    """Of a list of ``n`` words from the shares of common words (given ``by_length``) and all others.
 
     The places of a text's common words, sorted, are runs of one word each: linear
     in the text but for the sort.  Cells without words add their share.
@@ -172,8 +191,7 @@ def common_divergence(words: Column, n: Column, common: Column, shares: Column)
         none = F.struct(F.lit(0.0).alias("d"), F.lit(0.0).alias("q"))
         return let(F.when(F.size(at) > 0, total(at)).otherwise(none), lambda x: (x["d"] + other + 1 - rest - x["q"]) / 2)
 
-    # words are letters alone, so the common ones can stand in one text with commas, which is searched faster than an array
-    found = let(F.array_join(common, ","), lambda c: F.transform(words, lambda w: F.find_in_set(w, c)))
+    found = F.transform(words, lambda w: F.find_in_set(w, F.get(common, F.length(w))))
     return let(F.sort_array(F.filter(found, lambda i: i > 0)), whole)
 
 
@@ -184,20 +202,19 @@ def limit(most: float, cells: Column | int, n: Column) -> Column:
 
 def judge(docs: DataFrame, refs: DataFrame, text: str = "text", lang: str = "lang", class_limit: float = CLASS_LIMIT, common_limit: float = COMMON_LIMIT) -> DataFrame:
     """row (struct of the table's columns), the counts of ``base_counts``, class_divergence and common_divergence (null if not judged), base_failed and kept."""
-    named_refs = refs.select(F.col("lang").alias("of"), F.struct("classes", "words", "shares").alias("ref"))
+    named_refs = refs.select(F.col("lang").alias("of"), F.struct("classes", by_length(F.col("words")).alias("words"), "shares").alias("ref"))
     every = named_refs.where("of is null").select(F.col("ref").alias("every"))
     rows = docs.select(F.struct(*[named(c) for c in docs.columns]).alias("row"), named(lang).cast("string").alias("lang"), _text(named(text)).alias("text"))
     own = rows.join(if_small(named_refs.where("of is not null"), MOST_LANGUAGES), F.col("lang") == F.col("of"), "left")
     met = own.join(F.broadcast(every), how="left").withColumn("ref", F.coalesce("ref", "every"))  # one row: all documents
-    base = met.withColumn("b", base_counts(F.col("text"))).select("row", "text", "ref", "b.*")
-    shown = base.withColumn("class_divergence", F.when(F.col("word_chars") >= MIN_CLASS_CHARS, class_divergence(class_counts(F.col("text"), F.col("word_chars")), F.col("word_chars"), F.col("ref.classes"))))
+    base = met.withColumn("b", all_counts(F.col("text"))).select("row", "text", "ref", "b.*")
+    shown = base.withColumn("class_divergence", F.when(F.col("word_chars") >= MIN_CLASS_CHARS, class_divergence(F.col("classes"), F.col("word_chars"), F.col("ref.classes"))))
     common = let(_common(F.col("text")), lambda w: F.struct(F.size(w).alias("n"), F.when(F.size(w) >= MIN_COMMON_WORDS, common_divergence(w, F.size(w), F.col("ref.words"), F.col("ref.shares"))).alias("d")))
     shown = shown.withColumn("common", common)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     far = lambda d, most: F.coalesce(d > most, F.lit(False))
     off = far(F.col("class_divergence"), limit(class_limit, len(CLASSES) + 1, F.col("word_chars") / RUN)) | far(F.col("common.d"), limit(common_limit, F.size("ref.shares"), F.col("common.n")))
-    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    return shown.select("row", *names, "class_divergence", F.col("common.d").alias("common_divergence"), failed.alias("base_failed"), (~failed & ~off).alias("kept"))
+    return shown.select("row", *BASE, "class_divergence", F.col("common.d").alias("common_divergence"), failed.alias("base_failed"), (~failed & ~off).alias("kept"))
 
 
 def keep_good(docs: DataFrame, refs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:

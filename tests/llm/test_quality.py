@@ -116,3 +116,19 @@ def test_query_is_native_and_equals_sql(spark):
     want = con.sql(queries.ORACLE_SQL["op11_quality"])
     assert want.columns == got.columns
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want.fetchall()))
+
+
+def test_texts_are_searched_once_for_each_purpose(spark, monkeypatch):
+    """A filter on word characters counted them twice; symbols are one of the classes; a common word is looked for among those of its length."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    refs = quality.references(docs)
+    judged = plan(quality.judge(docs, refs))
+    assert judged.count("[#*$%&|<>]+") == 1
+    monkeypatch.setattr(quality, "cut", lambda df: df)
+    assert not [x for x in plan(quality.references(docs)).split("\n") if "Filter" in x and "regexp_replace" in x]
+    words = F.array(*[F.lit(w) for w in ("the", "a", "to", "of", "einer", "i")])
+    lists = spark.range(1).select(quality.by_length(words).alias("x")).first().x
+    assert lists == [",,,,,", ",a,,,,i", ",,to,of,,", "the,,,,,", ",,,,,", ",,,,einer,"]
+    found = spark.range(1).select(F.transform(words, lambda w: F.find_in_set(w, F.get(quality.by_length(words), F.length(w)))).alias("x")).first().x
+    assert found == [1, 2, 3, 4, 5, 6]
